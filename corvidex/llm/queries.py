@@ -43,7 +43,11 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(_table(spark, sf_dir, "documents"))
     listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+
+    def of(kind: str):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [of(k) for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed("spans").alias("spans"))
 
 
