@@ -9,7 +9,7 @@ best-fit over groups of tasks join them into full sequences, until one group is
 (two numbers each) move; the documents' own rows are joined with the bins' places at the end.
 
 Scale: one pass over the texts, no shuffle of texts or ids; each batch is split by Arrow, so that the
-tokenizer sees each distinct word once, and ids are gathered in numpy.  Open bins are ``open_bins`` a task.
+tokenizer sees a distinct word once, a bounded table keeps words between batches, and ids are gathered in numpy.  Open bins are ``open_bins`` a task.
 
 Defined results: a null or empty text is the closing id alone.  Texts of any length are tokenised whole.
 Repeated rows are packed once each.  An empty table gives no rows.
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -44,20 +45,70 @@ def tokenizer(path: str):
     return _loaded[path]
 
 
+def parts(word: str) -> tuple[str, str]:
+    """A form of the word with the same ids, and punctuation after it that is a token of its own.
+
+    The tokenizer lower-cases character by character and cuts between letters and punctuation.  Words with a capital
+    sigma (whose lower case depends on its place in Python) or a ``<`` (special tokens) stay as they are.
+    """
+    if "<" in word or "\u03a3" in word:
+        return word, ""
+    word = word.lower()
+    return (word[:-1], word[-1]) if word[-1] in ".,;:" and word[:-1].isalpha() else (word, "")
+
+
+class WordIds:
+    """Ids of the words met so far; starts anew when it holds ``most`` words."""
+
+    def __init__(self, path: str, most: int = 800_000, chunk: int = 16_384):
+        self.encoder, self.most, self.chunk = tokenizer(path), most, chunk
+        self.clear()
+
+    def clear(self) -> None:
+        self.at: dict[str, int] = {}
+        self.flat, self.starts = array("I"), array("q", [0])
+
+    def rows(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Two rows of ``starts`` a word: what it is read as and the punctuation after it."""
+        if len(self.at) + len(words) > self.most:
+            self.clear()
+        known = self.at
+        heads, marks = zip(*map(parts, words), strict=True)
+        new = list({*heads, *marks}.difference(known))
+        for lo in range(0, len(new), self.chunk):
+            own = new[lo : lo + self.chunk]
+            for w, e in zip(own, self.encoder.encode_batch_fast(own, add_special_tokens=False), strict=True):
+                known[w] = len(self.starts) - 1
+                self.flat.extend(e.ids)
+                self.starts.append(len(self.flat))
+        return tuple(np.fromiter(map(known.__getitem__, own), np.int64, len(words)) for own in (heads, marks))
+
+
+_words: dict[str, WordIds] = {}
+
+
 def encode_all(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts one after another, ids in each text).
 
     The tokenizer drops white space and never joins over it, so words can be encoded one by one.
     """
     offsets, codes, words = word_table(texts)
-    encoded = tokenizer(path).encode_batch_fast(words, add_special_tokens=False) if words else []
-    each = [e.ids for e in encoded]
-    sizes = np.fromiter(map(len, each), np.int64, len(each))
-    flat = np.fromiter((i for ids in each for i in ids), np.uint32, int(sizes.sum()))
+    if not len(codes):
+        return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+    if path not in _words:
+        _words[path] = WordIds(path)
+    held = _words[path]
+    word, mark = held.rows(words)
+    edges, flat = np.array(held.starts), np.array(held.flat)
+    # the distinct words' ids first, then a gather of them
+    two = np.stack([word, mark], axis=1).ravel()
+    sizes = edges[two + 1] - edges[two]
+    own = flat[ranges(edges[two], sizes)]
+    sizes = sizes.reshape(-1, 2).sum(1)
     starts = np.cumsum(sizes) - sizes
-    counts = sizes[codes] if len(codes) else np.zeros(0, np.int64)
+    counts = sizes[codes]
     ends = np.concatenate([[0], np.cumsum(counts)])
-    return flat[ranges(starts[codes], counts)] if len(codes) else flat[:0], ends[offsets[1:]] - ends[offsets[:-1]]
+    return own[ranges(starts[codes], counts)], ends[offsets[1:]] - ends[offsets[:-1]]
 
 
 class OpenBins:
