@@ -11,6 +11,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 #: Unicode white space as Python's ``\s`` sees it
@@ -40,13 +41,18 @@ DELETED, SPACED = "\u200b\ufeff", "\u00a0\u3000\u2009\u2003\u2002"
 FULL_WIDTH = {"％": "%", "＄": "$", "￦": "원"}
 
 
-@pandas_udf("string")
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once; an expression named in a lambda is computed at every step else."""
+    return F.transform(F.array(value), body)[0]
+
+
+@pandas_udf(T.StringType())
 def nfc(text: pd.Series) -> pd.Series:
     """Canonical composition; Spark has no function for it."""
     return text.map(lambda t: None if t is None else t if t.isascii() else unicodedata.normalize("NFC", t))
 
 
-@pandas_udf("string")
+@pandas_udf(T.StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     """Compatibility composition."""
     return text.map(lambda t: None if t is None else t if t.isascii() else unicodedata.normalize("NFKC", t))
@@ -112,8 +118,7 @@ def likely_metadata(c: Column) -> Column:
 
 def clean_chunk(c: Column, least: int = 50, normalise: bool = True) -> Column:
     """The cleaned chunk, or null if it is metadata or shorter than ``least`` characters."""
-    t = clean(c, normalise=normalise)
-    return F.when(~likely_metadata(c) & (F.length(t) >= least), t)
+    return F.when(~likely_metadata(c), let(clean(c, normalise=normalise), lambda t: F.when(F.length(t) >= least, t)))
 
 
 def clean_sentences(c: Column, least: int = 10) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corvidex.functions.text import WS
+from corvidex.functions.text import WS, let
 
 
 def simple(c: Column) -> Column:
@@ -41,15 +41,17 @@ def technical_terms(c: Column) -> Column:
 def bucket_vector(tokens: Column, size: int = 64) -> Column:
     """Unit-length counts of md5 buckets of tokens: the offline stand-in for an embedding."""
     at = lambda t: F.conv(F.substring(F.md5(t.cast("binary")), 1, 4), 16, 10).cast("int") % size
-    held = F.transform(tokens, at)
-    counts = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda b: F.size(F.filter(held, lambda x: x == b)).cast("double"))
+    # with each bucket added once, a sorted array has the buckets' runs in order; a run's length less one is the count
+    held = F.sort_array(F.concat(F.transform(tokens, at), F.sequence(F.lit(0), F.lit(size - 1))))
+    begins = lambda s: F.filter(F.transform(s, lambda x, i: F.when(F.coalesce(F.get(s, i - 1), F.lit(-1)) != x, i)), lambda i: i.isNotNull())
+    counts = let(held, lambda s: let(begins(s), lambda p: F.transform(p, lambda x, k: (F.coalesce(F.get(p, k + 1), F.size(s)) - x - 1).cast("double"))))
     return normalise(counts)
 
 
 def normalise(v: Column) -> Column:
     """Unit length; a zero vector stays."""
-    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-    return F.transform(F.array(norm), lambda n: F.transform(v, lambda x: F.when(n > 0, x.cast("double") / n).otherwise(x.cast("double"))))[0]
+    norm = lambda u: F.sqrt(F.aggregate(u, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    return let(v, lambda u: let(norm(u), lambda n: F.transform(u, lambda x: F.when(n > 0, x.cast("double") / n).otherwise(x.cast("double")))))
 
 
 def dot(a: Column, b: Column) -> Column:

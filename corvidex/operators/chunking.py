@@ -9,6 +9,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from corvidex.functions.text import clean_chunk, hierarchy_path, merge_pages
@@ -43,13 +44,13 @@ def chunk(docs: DataFrame, size: int = 512, overlap: int = 50, id_col: str = "do
     return out.select("source_id", "doc_key", chunk_key(F.col("doc_key"), F.col("chunk_index"), F.col("content")).alias("chunk_id"), "chunk_index", "content", "total_chunks")
 
 
-@pandas_udf("array<struct<h1:string,h2:string,h3:string,h4:string,content:string>>")
+@pandas_udf(T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("h1", "h2", "h3", "h4", "content")])))
 def _sections(texts: pd.Series) -> pd.Series:
     names = ("h1", "h2", "h3", "h4")
     return texts.map(lambda t: [{n: h.get(i) for i, n in enumerate(names, 1)} | {"content": s} for h, s in splitting.markdown_sections(t or "")])
 
 
-@pandas_udf("array<string>")
+@pandas_udf(T.ArrayType(T.StringType()))
 def _split_by_level(texts: pd.Series, levels: pd.Series) -> pd.Series:
     return pd.Series([splitting.split_kept(t, *LEVEL_SIZES[lv]) for t, lv in zip(texts, levels, strict=True)], dtype=object)
 

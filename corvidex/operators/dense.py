@@ -18,7 +18,7 @@ def _pairs(queries: DataFrame, docs: DataFrame) -> DataFrame:
     if queries.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return docs.crossJoin(F.broadcast(queries))
     q = queries.withColumn("__b", F.pmod(F.xxhash64("query_id"), F.lit(BLOCKS)))
-    d = docs.withColumn("__b", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).cast("long"))
+    d = docs.withColumn("__b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(BLOCKS - 1).cast("long"))))
     return d.join(q, "__b").drop("__b")
 
 

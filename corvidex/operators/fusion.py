@@ -7,31 +7,37 @@ from pyspark.sql import functions as F
 
 from corvidex.operators.bm25 import ranked
 
-EACH = Window.partitionBy("query_id")
 
+def each():
+    """Rows of one query."""
+    return Window.partitionBy("query_id")
 
-def min_max(s: Column, w=EACH) -> Column:
+
+def min_max(s: Column, w=None) -> Column:
     """0 to 1 within a list; 0.5 where all are equal."""
+    w = w or each()
     low, high = F.min(s).over(w), F.max(s).over(w)
     return F.when(high == low, 0.5).otherwise((s - low) / (high - low))
 
 
-def by_rank(s: Column, w=EACH, tie: str = "doc_id") -> Column:
-    return 1.0 / F.row_number().over(w.orderBy(s.desc(), F.col(tie)))
+def by_rank(s: Column, w=None, tie: str = "doc_id") -> Column:
+    return 1.0 / F.row_number().over((w or each()).orderBy(s.desc(), F.col(tie)))
 
 
-def soft_max(s: Column, w=EACH, temperature: float = 1.0) -> Column:
+def soft_max(s: Column, w=None, temperature: float = 1.0) -> Column:
+    w = w or each()
     e = F.exp((s - F.max(s).over(w)) / temperature)
     return e / F.sum(e).over(w)
 
 
-def z_sigmoid(s: Column, w=EACH) -> Column:
+def z_sigmoid(s: Column, w=None) -> Column:
     """Sigmoid of the z-score; 0.5 where there is no spread."""
+    w = w or each()
     dev = F.stddev_pop(s).over(w)
     return F.when(dev == 0, 0.5).otherwise(1 / (1 + F.exp(-(s - F.avg(s).over(w)) / dev)))
 
 
-def sigmoid(s: Column, w=EACH) -> Column:
+def sigmoid(s: Column, w=None) -> Column:
     return 1 / (1 + F.exp(-s))
 
 
@@ -78,7 +84,7 @@ def rank_cosine(found: DataFrame, cosine: Column, k: int = 5) -> DataFrame:
 def combined(sparse: DataFrame, dense: DataFrame) -> DataFrame:
     """Both lists one after the other, duplicates kept: (query_id, pos, source, doc_id, score)."""
     both = sparse.select("query_id", "doc_id", "score", F.lit("bm25").alias("source"), "rank").unionByName(dense.select("query_id", "doc_id", "score", F.lit("vector").alias("source"), "rank"))
-    pos = F.row_number().over(EACH.orderBy("source", "rank"))
+    pos = F.row_number().over(each().orderBy("source", "rank"))
     return both.select("query_id", pos.cast("long").alias("pos"), "source", "doc_id", "score")
 
 

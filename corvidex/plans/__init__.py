@@ -1 +1,6 @@
+"""Registered queries and their SQL."""
 
+from corvidex.plans import corpus, retrieval
+
+QUERIES = {**retrieval.QUERIES, **corpus.QUERIES}
+SQL = {**retrieval.SQL, **corpus.SQL}

@@ -7,9 +7,11 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-SCHEMA = "struct<text:string,title:string,description:string,keywords:string,links:array<string>,headings:array<struct<level:string,text:string>>>"
+_HEADING = T.StructType([T.StructField("level", T.StringType()), T.StructField("text", T.StringType())])
+SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in ("text", "title", "description", "keywords")] + [T.StructField("links", T.ArrayType(T.StringType())), T.StructField("headings", T.ArrayType(_HEADING))])
 
 
 class _Page(HTMLParser):
