@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
@@ -51,3 +53,11 @@ def ascii_words(text: Column) -> Column:
 def let(value: Column, body) -> Column:
     """Bind ``value`` once and evaluate ``body`` on it, so that lambdas inside do not recompute it."""
     return F.transform(F.array(value), body)[0]
+
+
+def give_back_memory() -> None:
+    """Return what training has freed on the driver to the system, where the C library can."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

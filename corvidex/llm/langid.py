@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvidex.llm._spark import fold_of
+from corvidex.llm._spark import fold_of, give_back_memory
 from corvidex.llm._words import ranges, slices, texts_of
 
 WINDOW = 128
@@ -128,14 +128,17 @@ def train_network(texts: list[str], langs: list[str], epochs: int = 4, max_windo
     return net
 
 
-def train_langid(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 1500) -> Network:
+def train_langid(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 600) -> Network:
     """Train on at most ``max_docs`` documents a language, outside fold 0, chosen by a hash of the id."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(F.col("lang").isNotNull() & F.col("id").isNotNull() & (fold_of(F.col("id")) != 0))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     chosen = rows.select("id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= max_docs).select("id").distinct()
     sample = rows.where(F.col("text").isNotNull()).join(F.broadcast(chosen), "id").select("lang", "text")
-    got = sample.orderBy("lang", F.xxhash64("text")).collect()
-    return train_network([r["text"] for r in got], [r["lang"] for r in got])
+    got = [(r["text"], r["lang"]) for r in sample.orderBy("lang", F.xxhash64("text")).toLocalIterator()]
+    net = train_network([t for t, _ in got], [x for _, x in got])
+    del got
+    give_back_memory()
+    return net
 
 
 def predict(net: Network, texts: pa.Array, chunk: int = 2048) -> tuple[list[str], np.ndarray]:
@@ -166,7 +169,7 @@ def identify(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: st
     def work(batches):
         for batch in batches:
             texts = texts_of(batch.column(0))
-            for a, b in slices(texts, 8 << 20):
+            for a, b in slices(texts, 2 << 20):
                 langs, score = predict(shared.value, texts.slice(a, b - a))
                 own = [batch.column(i).slice(a, b - a) for i in range(1, batch.num_columns)]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(langs, pa.string()), pa.array(score, pa.float64())], names=out.names)

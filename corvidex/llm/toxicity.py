@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvidex.llm._spark import fold_of
+from corvidex.llm._spark import fold_of, give_back_memory
 from corvidex.llm._words import ranges, slices, texts_of, word_table
 
 HASH_BITS = 18
@@ -64,6 +64,10 @@ def features(word: str) -> list[int]:
     return [_hash("w", w), _hash("p3", w[:3]), _hash("p4", w[:4]), _hash("p5", w[:5]), _hash("s3", w[-3:]), _hash("len", str(min(len(w), 12)))]
 
 
+def feature_table(words: list[str]) -> np.ndarray:
+    return np.fromiter((h for w in words for h in features(w)), np.int32, len(words) * len(KINDS)).reshape(-1, len(KINDS))
+
+
 def marginals(emit: np.ndarray, lengths: np.ndarray, step: np.ndarray, start: np.ndarray) -> np.ndarray:
     """P(state 1) of each token; ``emit`` holds the state-1 logits of all sequences one after another.
 
@@ -79,8 +83,8 @@ def marginals(emit: np.ndarray, lengths: np.ndarray, step: np.ndarray, start: np
     while at < len(order):
         n0 = lengths[order[at]]
         to = max(at + 1, int(np.searchsorted(lengths[order], n0 * 1.5 + 8)))
-        # at most some four million padded cells at a time
-        to = min(to, at + max(1, int(4_000_000 // max(1, lengths[order[min(to, len(order)) - 1]]))))
+        # at most about a million padded cells at a time
+        to = min(to, at + max(1, int(1_000_000 // max(1, lengths[order[min(to, len(order)) - 1]]))))
         rows = order[at:to]
         at = to
         n, own = int(lengths[rows].max()), lengths[rows]
@@ -114,33 +118,49 @@ def marginals(emit: np.ndarray, lengths: np.ndarray, step: np.ndarray, start: np
     return out
 
 
-def _token_labels(docs: list[list[str]], toxic: np.ndarray) -> list[np.ndarray]:
-    """1 for tokens of toxic documents whose word, or prefix of 4 or 5 letters, marks toxic documents."""
-    clean: dict[str, int] = {}
-    hit: dict[str, int] = {}
-    found: dict[str, set] = {}
-    for words, y in zip(docs, toxic.tolist(), strict=True):
-        if y:  # copies repeat a word in the same place, so places count by their neighbours
-            for before, w, after in zip(["", *words], words, [*words[1:], ""], strict=False):
-                place = zlib.crc32(f"{before} {after}".encode("utf-8", "surrogatepass"))
-                for key in (f"w{w}", f"4{w[:4]}", f"5{w[:5]}"):
-                    found.setdefault(key, set()).add(place)
-        counts = hit if y else clean
-        for key in {k for w in set(words) for k in (f"w{w}", f"4{w[:4]}", f"5{w[:5]}")}:
-            counts[key] = counts.get(key, 0) + 1
+def _token_labels(codes: np.ndarray, offsets: np.ndarray, stems: list[str], toxic: np.ndarray) -> np.ndarray:
+    """1 for tokens of toxic documents whose word, or prefix of 4 or 5 letters, marks toxic documents.
+
+    A mark is over twenty times commoner among toxic than among clean documents and stands in several places; copies
+    repeat a word in the same place, so places count by their neighbours.
+    """
+    codes = codes.astype(np.int32)
+    owner = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
+    bad = toxic[owner] == 1
     n1, n0 = max(1, int(toxic.sum())), max(1, int((1 - toxic).sum()))
     least = max(3, 0.004 * n1)
-    marks = {k for k, own in found.items() if len(own) >= least and (hit[k] + 0.1) / n1 > 20 * (clean.get(k, 0) + 0.1) / n0}
-    rare = {k for k in found if k not in clean}
-    tag = lambda w: f"w{w}" in marks or f"w{w}" in rare and (len(w) > 4 and f"4{w[:4]}" in marks or len(w) > 5 and f"5{w[:5]}" in marks)
-    return [np.array([bool(w) and tag(w) for w in words], float) if y else np.zeros(len(words)) for words, y in zip(docs, toxic.tolist(), strict=True)]
+    marked, lengths = [], np.array([len(w) for w in stems])
+    rare = np.zeros(0, bool)
+    for n in (None, 4, 5):
+        names: dict[str, int] = {}
+        key = np.array([names.setdefault(w[:n], len(names)) for w in stems], dtype=np.int32)[codes]
+        pairs = np.unique(owner * np.int64(len(names)) + key)
+        doc, own = pairs // len(names), pairs % len(names)
+        del pairs
+        d = np.bincount(own[toxic[doc] == 1], minlength=len(names))
+        c = np.bincount(own[toxic[doc] == 0], minlength=len(names))
+        telling = (d >= least) & ((d + 0.1) / n1 > 20 * (c + 0.1) / n0)
+        if n is None:
+            rare = (c == 0)[key]
+        at = np.flatnonzero(telling[key] & bad)
+        with np.errstate(over="ignore"):
+            spots = (key[at] * np.int64(len(stems)) + codes[at - 1]) * np.int64(0x9E3779B97F4A7C1) + codes[(at + 1) % len(codes)]
+        first = np.unique(spots, return_index=True)[1]
+        marked.append((np.bincount(key[at[first]], minlength=len(names)) >= least)[key])
+    word, four, five = marked
+    n = lengths[codes]
+    return (bad & (n > 0) & (word | rare & ((n > 4) & four | (n > 5) & five))).astype(float)
 
 
 def _emissions(model: Field, codes: np.ndarray, words: list[str], offsets: np.ndarray) -> np.ndarray:
     if not len(codes):
         return np.zeros(0)
-    table = np.array([features(w) for w in words], dtype=np.int64)
-    own, before, after = (weights[table].sum(1)[codes] for weights in (model.own, model.before, model.after))
+    return _emissions_from((model.own, model.before, model.after), feature_table(words), codes, offsets)
+
+
+def _emissions_from(weights, table: np.ndarray, codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """State-1 logits: a token's own features, and those of its neighbours within its sequence."""
+    own, before, after = (w[table].sum(1)[codes] for w in weights)
     first = np.zeros(len(codes), bool)
     first[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
     last = np.roll(first, -1)
@@ -157,14 +177,15 @@ def train_field(texts: list[str], toxic: list[int], epochs: int = 6, piece: int
     offsets, codes, words = word_table(pa.array(texts, pa.large_string()))
     stems = [plain(w) for w in words]
     split = [codes[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-    labels = _token_labels([[stems[c] for c in own] for own in split], y_doc)
+    tagged = _token_labels(codes, offsets, stems, y_doc)
+    labels = [tagged[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
     rng = np.random.default_rng(seed)
     pieces = [(d, a) for d, own in enumerate(split) for a in range(0, len(own), piece)]
     hot = [p for p in pieces if labels[p[0]][p[1] : p[1] + piece].any()]
     cold = [p for p in pieces if not labels[p[0]][p[1] : p[1] + piece].any()]
     rng.shuffle(hot), rng.shuffle(cold)
     chosen = hot[: max_pieces // 2] + cold[: max_pieces // 2]
-    table = np.array([features(w) for w in words], dtype=np.int64)
+    table = feature_table(words)
     sums = [np.full(size, 1e-6) for _ in range(3)]
     step_sum = np.full((2, 2), 1e-6)
     weights = [model.own, model.before, model.after]
@@ -195,8 +216,12 @@ def train_field(texts: list[str], toxic: list[int], epochs: int = 6, piece: int
             grad = pm[:, :-1][:, inner] @ pm[:, 1:][:, inner].T - py[:, :-1][:, inner] @ py[:, 1:][:, inner].T
             step_sum += grad**2
             model.step = np.clip(model.step - 0.05 * grad / np.sqrt(step_sum), -2, 2)
-    emit = _emissions(model, codes, words, offsets)
-    seen = document_features(marginals(emit, np.diff(offsets), model.step, model.start), offsets)
+    parts = []
+    for lo in range(0, len(texts), 500):
+        edge = offsets[lo : lo + 501] - offsets[lo]
+        emit = _emissions_from(weights, table, codes[offsets[lo] : offsets[lo] + edge[-1]], edge)
+        parts.append(document_features(marginals(emit, np.diff(edge), model.step, model.start), edge))
+    seen = np.concatenate(parts)
     x = np.concatenate([np.ones((len(seen), 1)), seen], axis=1)
     w = np.array([-1.0, 0.5, 0.5])
     balance = np.where(y_doc == 1, 1.0, y_doc.sum() / max(1, (1 - y_doc).sum()))
@@ -207,13 +232,6 @@ def train_field(texts: list[str], toxic: list[int], epochs: int = 6, piece: int
     return model
 
 
-def _emissions_from(weights, table, own, edge):
-    e, b, a = (w[table].sum(1)[own] for w in weights)
-    first = np.zeros(len(own), bool)
-    first[edge[:-1]] = True
-    return e + np.where(first, 0, np.roll(b, 1)) + np.where(np.roll(first, -1), 0, np.roll(a, -1))
-
-
 def document_features(m: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Largest marginal as a logit within +-6, and log(1 + expected number of toxic tokens counted above 0.1)."""
     n = len(offsets) - 1
@@ -249,7 +267,7 @@ def tag(model: Field, texts: pa.Array) -> tuple[np.ndarray, list[list[tuple[int,
     return score, spans
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_toxic: int = 2000, max_clean: int = 4000, max_tokens: int = 4_000_000) -> Field:
+def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_toxic: int = 2000, max_clean: int = 4000, max_tokens: int = 3_000_000) -> Field:
     """Train on labelled rows outside fold 0: at most ``max_toxic`` and ``max_clean`` of them, in order of a hash of the id."""
     own = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where(F.col("id").isNotNull() & F.col("y").isin(0, 1) & (fold_of(F.col("id")) != 0))
     own = own.groupBy("id").agg(F.max("y").alias("y"))
@@ -264,7 +282,10 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
             break
         texts.append(r["text"])
         ys.append(r["y"])
-    return train_field(texts, ys)
+    model = train_field(texts, ys)
+    del texts, ys
+    give_back_memory()
+    return model
 
 
 def score_toxicity(docs: DataFrame, model: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
