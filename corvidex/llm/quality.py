@@ -122,12 +122,14 @@ def estimate(patterns: DataFrame, rounds: int = 25, tolerance: float = 1e-3) ->
     model: dict = {"prior": 0.5} | {r: (0.98, 0.2) for r in RULES}
     within = lambda top, of, low, high: min(high, max(low, (top + 0.5) / (of + 1)))
     for _ in range(rounds):
-        p, n = posterior(model), F.col("n")
+        # the posterior is a column of its own, so that forty sums share one copy of its expression
+        seen = patterns.withColumn("p", posterior(model))
+        p, n = F.col("p"), F.col("n")
         sums = [F.sum(n).alias("all"), F.sum(n * p).alias("good")]
         for r in RULES:
             v = F.col(f"v_{r}")
             sums += [F.sum(F.when(v == 1, n * p)).alias(f"{r}_g1"), F.sum(F.when(v.isNotNull(), n * p)).alias(f"{r}_g"), F.sum(F.when(v == 0, n * (1 - p))).alias(f"{r}_b0"), F.sum(F.when(v.isNotNull(), n * (1 - p))).alias(f"{r}_b")]
-        got = patterns.agg(*sums).first()
+        got = seen.agg(*sums).first()
         if not got["all"]:
             return model
         zero = lambda name: got[name] or 0.0  # noqa: E731, B023
@@ -161,6 +163,12 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """The documents kept, with all their columns; rows are judged where they stand, without a join."""
+    """The documents kept, with all their columns; rows are judged where they stand, without a join.
+
+    A filter on the verdict would be pushed below the statistics and compute them once more, so the verdict empties
+    an array around the row instead, and what is filtered is the array's element.
+    """
     _, model = fit(docs, id_col, text_col)
-    return verdict(votes(statistics(docs, id_col, text_col, whole_row=True)), model, least).where("kept").select("id.*")
+    judged = verdict(votes(statistics(docs, id_col, text_col, whole_row=True)), model, least)
+    held = judged.select(F.explode_outer(F.filter(F.array("id"), lambda _: F.col("kept"))).alias("row"))
+    return held.where(F.col("row").isNotNull()).select("row.*")
