@@ -20,6 +20,7 @@ from __future__ import annotations
 import os
 import zlib
 from array import array
+from itertools import accumulate, chain
 
 import numpy as np
 import pandas as pd
@@ -32,6 +33,8 @@ from corvidex.llm._spark import stored
 from corvidex.llm._words import ranges, slices, texts_of, word_table
 
 FAN_IN = 64
+#: Bytes of text whose words a worker holds at a time.
+SLICE = 16 << 20
 _loaded: dict = {}
 
 
@@ -45,20 +48,32 @@ def tokenizer(path: str):
     return _loaded[path]
 
 
-def parts(word: str) -> tuple[str, str]:
-    """A form of the word with the same ids, and punctuation after it that is a token of its own.
+MARKS = ("", ".", ",", ";", ":")
+MARK_OF = {m: i for i, m in enumerate(MARKS) if m}
+
+
+def parts(words: list[str]) -> tuple[list[str], bytearray]:
+    """A form of each word with the same ids, and the number in ``MARKS`` of the punctuation after it that is a token of its own.
 
     The tokenizer lower-cases character by character and cuts between letters and punctuation.  Words with a capital
     sigma (whose lower case depends on its place in Python) or a ``<`` (special tokens) stay as they are.
     """
-    if "<" in word or "\u03a3" in word:
-        return word, ""
-    word = word.lower()
-    return (word[:-1], word[-1]) if word[-1] in ".,;:" and word[:-1].isalpha() else (word, "")
+    heads, marks = [], bytearray(len(words))
+    for i, word in enumerate(words):
+        if word.isalpha():
+            heads.append(word if "\u03a3" in word else word.lower())
+        elif "<" in word or "\u03a3" in word:
+            heads.append(word)
+        elif (mark := MARK_OF.get(word[-1])) and word[:-1].isalpha():
+            marks[i] = mark
+            heads.append(word[:-1].lower())
+        else:
+            heads.append(word.lower())
+    return heads, marks
 
 
 class WordIds:
-    """Ids of the words met so far; starts anew when it holds ``most`` words."""
+    """Ids of the words met so far, the marks first; starts anew when it holds ``most`` words."""
 
     def __init__(self, path: str, most: int = 800_000, chunk: int = 16_384):
         self.encoder, self.most, self.chunk = tokenizer(path), most, chunk
@@ -67,21 +82,25 @@ class WordIds:
     def clear(self) -> None:
         self.at: dict[str, int] = {}
         self.flat, self.starts = array("I"), array("q", [0])
+        self._learn(MARKS)
+
+    def _learn(self, words) -> None:
+        found = [e.ids for e in self.encoder.encode_batch_fast(words, add_special_tokens=False)]
+        first, end = len(self.starts) - 1, len(self.flat)
+        self.at.update(zip(words, range(first, first + len(words)), strict=True))
+        self.flat.extend(chain.from_iterable(found))
+        self.starts.extend(accumulate(map(len, found[1:]), initial=end + len(found[0])))
 
     def rows(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Two rows of ``starts`` a word: what it is read as and the punctuation after it."""
         if len(self.at) + len(words) > self.most:
             self.clear()
+        heads, marks = parts(words)
         known = self.at
-        heads, marks = zip(*map(parts, words), strict=True)
-        new = list({*heads, *marks}.difference(known))
+        new = [w for w in dict.fromkeys(heads) if w not in known]
         for lo in range(0, len(new), self.chunk):
-            own = new[lo : lo + self.chunk]
-            for w, e in zip(own, self.encoder.encode_batch_fast(own, add_special_tokens=False), strict=True):
-                known[w] = len(self.starts) - 1
-                self.flat.extend(e.ids)
-                self.starts.append(len(self.flat))
-        return tuple(np.fromiter(map(known.__getitem__, own), np.int64, len(words)) for own in (heads, marks))
+            self._learn(new[lo : lo + self.chunk])
+        return np.fromiter(map(known.__getitem__, heads), np.int64, len(words)), np.frombuffer(marks, np.uint8).astype(np.int64)
 
 
 _words: dict[str, WordIds] = {}
@@ -155,7 +174,7 @@ def _pieces(path: str, capacity: int, open_bins: int, close: int, with_ids: bool
         bins = OpenBins(capacity, open_bins, task)
         for batch in batches:
             texts = texts_of(batch.column(1))
-            for lo, hi in slices(texts):
+            for lo, hi in slices(texts, SLICE):
                 ids, lengths = encode_all(path, texts.slice(lo, hi - lo))
                 closed = np.insert(ids, np.cumsum(lengths), close).astype("<u4") if len(lengths) else ids
                 rows: list[tuple] = []
