@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corvidex.functions import prompts, questions, text
-from corvidex.operators import chunking, quality, sampling
+from corvidex.operators import chunking, quality, reports, sampling
 from corvidex.plans.base import WS, documents, strip, table
 from corvidex.sources import files, html
 
@@ -297,6 +297,40 @@ def answer_quality_flags(spark, d):
     return documents(spark, d).select("doc_id", F.array_join(flags, ",").alias("issues"))
 
 
+def _advice_sql() -> str:
+    cases = [f"CASE WHEN list_contains(i, '{code}') THEN '{advice}' END" for code, advice in reports.ADVICE.items()]
+    cases.append(f"CASE WHEN score < {reports.LOW_SCORE} THEN '{reports.LOW['answer']}' END")
+    judged = f"SELECT doc_id, string_split(issues, ',') AS i, score FROM ({SQL['answer_quality_flags']}) JOIN ({SQL['text_quality_score']}) USING (doc_id)"
+    return f"SELECT doc_id, array_to_string(list_filter([{', '.join(cases)}], lambda x: x IS NOT NULL), '; ') AS advice FROM ({judged})"
+
+
+@query(_advice_sql())
+def quality_advice(spark, d):
+    issues = quality.answer_issues(F.col("text"), F.lit("question without keywords"), F.lit("descriptive"))
+    score = quality.text_score(quality.text_checks(F.col("text"), repetition=False))
+    return documents(spark, d).select("doc_id", F.array_join(reports.recommendations(issues, answer=score), "; ").alias("advice"))
+
+
+@query("""SELECT *, printf('Total sampled chunks: %d' || chr(10) || 'Number of documents covered: %d' || chr(10) || '  - Short (< 500): %d' || chr(10) || '  - Medium (500-1500): %d' || chr(10) || '  - Long (> 1500): %d', total, sources, short, medium, long) AS report
+        FROM (SELECT count(*) AS total, count(DISTINCT coalesce(source, 'unknown')) AS sources, count(*) FILTER (n < 500) AS short, count(*) FILTER (n >= 500 AND n < 1500) AS medium, count(*) FILTER (n >= 1500) AS long,
+        round(count(*) / count(DISTINCT coalesce(source, 'unknown')), 6) AS per_source FROM (SELECT source, length(coalesce(text, '')) AS n FROM documents))""")
+def sampling_report(spark, d):
+    return reports.sampling_statistics(documents(spark, d))
+
+
+@query("""WITH c AS (SELECT coalesce(lang, 'none') AS kind, count(*) AS n FROM documents GROUP BY ALL), e AS (SELECT round(-sum(n / t * log2(n / t)), 6) AS entropy FROM c, (SELECT sum(n) AS t FROM c)),
+        u AS (SELECT count(DISTINCT source) AS coverage, count(DISTINCT text) / count(*) AS uniq FROM documents),
+        s AS (SELECT coverage, entropy, round(100 * (0.25 * least(coverage / 30, 1.0) + 0.30 * uniq + 0.20 * uniq + 0.25 * least(entropy / 2.5, 1.0)), 1) AS score FROM u, e)
+        SELECT coverage, entropy, score, CASE WHEN score >= 80 THEN '우수한 다양성' WHEN score >= 60 THEN '양호한 다양성' WHEN score >= 40 THEN '보통 수준의 다양성' ELSE '다양성 개선 필요' END AS level FROM s""")
+def diversity_report(spark, d):
+    """Diversity of a set of texts: kinds, sources, and how many are unlike all others (equal texts count as alike)."""
+    docs = documents(spark, d).select(F.coalesce("lang", F.lit("none")).alias("kind"), "source", "text")
+    own = docs.agg(F.count_distinct("source").alias("coverage"), (F.count_distinct("text") / F.count(F.lit(1))).alias("uniq"))
+    both = own.crossJoin(F.broadcast(quality.type_entropy(docs, "kind")))  # one row each
+    score = quality.diversity_score(F.col("coverage"), 1 - F.col("uniq"), F.col("uniq"), F.col("entropy"))
+    return both.select("coverage", "entropy", score.alias("score")).withColumn("level", reports.diversity_level(F.col("score")))
+
+
 @query(f"""WITH q AS (SELECT doc_id, left(text, 120) || '?' AS text FROM documents), r AS (SELECT doc_id, text, CASE WHEN NOT ends_with({strip("text")}, '?') OR len(regexp_extract_all({strip("text")}, '\\.')) > 3 THEN 'format' WHEN NOT length({strip("text")}) BETWEEN 10 AND 500 THEN 'length' WHEN NOT regexp_matches({strip("text")}, '\\p{{L}}') THEN 'script' END AS reason FROM q),
         n AS (SELECT *, row_number() OVER (PARTITION BY CASE WHEN reason IS NULL THEN lower(trim(text)) ELSE '#' || doc_id END ORDER BY doc_id) AS k FROM r)
         SELECT doc_id, coalesce(reason, CASE WHEN k > 1 THEN 'duplicate' END) AS reason FROM n""")
