@@ -132,7 +132,12 @@ def train_langid(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Train on at most ``max_docs`` documents a language, outside fold 0, chosen by a hash of the id."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(F.col("lang").isNotNull() & F.col("id").isNotNull() & (fold_of(F.col("id")) != 0))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = rows.select("id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= max_docs).select("id").distinct()
+    # the smallest hashes lie below a cut that about four times as many rows pass, so few rows of a language meet in its group
+    cuts = {r["lang"]: 2**64 * min(1.0, 4 * max_docs / r["n"]) - 2**63 for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    cut = F.lit(2.0**63)
+    for lang, most in cuts.items():
+        cut = F.when(F.col("lang") == lang, F.lit(float(most))).otherwise(cut)
+    chosen = rows.select("id", "lang").where(F.xxhash64("id").cast("double") <= cut).withColumn("n", F.row_number().over(order)).where(F.col("n") <= max_docs).select("id").distinct()
     sample = rows.where(F.col("text").isNotNull()).join(F.broadcast(chosen), "id").select("lang", "text")
     got = [(r["text"], r["lang"]) for r in sample.orderBy("lang", F.xxhash64("text")).toLocalIterator()]
     net = train_network([t for t, _ in got], [x for _, x in got])
