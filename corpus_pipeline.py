@@ -2,7 +2,7 @@
 
 1. language ID: texts without letters, or of no language clearly, go;
 2. quality rules: documents that fail the base rules or are more likely bad than good go;
-3. SimHash near-dedup: of each group the document of the smallest id stays;
+3. near-dedup: of each group that links of 5-word Jaccard similarity 0.8 or more join, the document of the smallest id stays;
 4. secret scans: secrets are cut out of the texts, every document stays;
 5. best-fit packing: documents become pieces of packed sequences.
 
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvidex.llm import langid, packing, quality, queries, secrets, simhash
+from corvidex.llm import jaccard, langid, packing, quality, queries, secrets
 from corvidex.llm._spark import stored
 
 #: A document of two languages in equal parts still passes.
@@ -36,7 +36,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = simhash.near_duplicates(docs)
+    groups = jaccard.near_duplicates(docs)
     first = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.where(F.col("doc_id").isNull()))

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from corvidex.llm import langid, packing, pieces, pii, quality, queries, secrets, sharding, simhash, topk, toxicity
+from corvidex.llm import jaccard, langid, packing, pieces, pii, quality, queries, secrets, sharding, simhash, topk, toxicity
 
 DATA = "/root/testdata/sf0.001"
 ODD = [None, "", " \t\n", "word", "x " * 3000, "Same text twice here.", "Same text twice here.", "naïve café 在 𝄞", "a@b.co +1 (415) 555-0134"]
@@ -366,6 +366,57 @@ def test_pipeline_stages(spark, docs, odd):
         stage(spark, empty(docs), DATA).count()
 
 
+def plain_shingles(text):
+    words = re.sub(r"[A-Z]", lambda m: m[0].lower(), text or "").split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def test_pipeline_finds_copies_from_four_fifths(spark):
+    """Copies at Jaccard 0.8 to 0.95 of texts of several lengths go; those under 0.8 stay."""
+    rng = random.Random(7)
+    rows, over, under = [], set(), set()
+    for i in range(150):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([60, 100, 400, 1000]))]
+        copy = list(words)
+        for at in rng.sample(range(len(words)), max(1, round(len(words) * rng.choice([0.005, 0.01, 0.02, 0.03])))):
+            copy[at] = f"x{rng.randrange(10**6)}"
+        a, b = plain_shingles(" ".join(words)), plain_shingles(" ".join(copy))
+        rows += [(i, " ".join(words)), (1000 + i, " ".join(copy))]
+        (over if len(a & b) >= 0.8 * len(a | b) else under).add(1000 + i)
+    kept = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), DATA).collect()}
+    assert len(over) > 60 and len(under) > 5
+    assert kept == {i for i, _ in rows} - over
+
+
+@pytest.mark.parametrize("hot", [64, 2])
+def test_jaccard_components_against_all_pairs(spark, docs, odd, hot):
+    rng = random.Random(3)
+    base, line = [f"b{i}" for i in range(120)], " ".join(f"c{i}" for i in range(30))
+    texts = [" ".join(w if rng.random() > 0.008 * (k % 4) else f"y{rng.randrange(10**6)}" for w in base) for k in range(60)]
+    texts += [f"{line} {' '.join(f'z{rng.randrange(10**6)}' for _ in range(3 + k % 5))}" for k in range(40)]
+    rows = docs.select("doc_id", "text").limit(80).unionByName(spark.createDataFrame(list(enumerate(texts, 50_000)), "doc_id long, text string"))
+    rows = rows.unionByName(odd.where("doc_id is not null").select((F.col("doc_id") + 20_000).alias("doc_id"), "text"))
+    held, jaccard.HOT_BUCKET = jaccard.HOT_BUCKET, hot
+    common, jaccard.COMMON = jaccard.COMMON, 3
+    try:
+        got = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(rows).collect()}
+    finally:
+        jaccard.HOT_BUCKET, jaccard.COMMON = held, common
+    sets = {r["doc_id"]: frozenset(jaccard.shingle_set(r["text"]).tolist()) for r in rows.collect()}
+    assert all(len(sets[i]) == len(plain_shingles(t)) for i, t in enumerate(texts, 50_000))
+    root = {i: i for i in sets}
+    for _ in range(len(sets)):
+        before = dict(root)
+        for a in sets:
+            for b in sets:
+                if root[a] < root[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                    root[b] = root[a]
+        if before == root:
+            break
+    assert got == root
+    assert jaccard.near_duplicates(odd).count() == odd.count() and jaccard.near_duplicates(empty(odd)).count() == 0
+
+
 def test_queries_have_their_columns(spark):
     assert set(queries.op4_pii(spark, DATA).columns) >= {"doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"}
     r = queries.op4_pii(spark, DATA).where("n_email + n_ip > 0").first()
