@@ -2,9 +2,11 @@ import math
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from corvidex.operators import bm25, dense, fusion, rerank
+from corvidex.plans import retrieval
 
 
 def corpus(spark):
@@ -99,3 +101,13 @@ def test_near_duplicates_fold(spark):
     f = spark.createDataFrame(rows, "query_id long, doc_id long, rank long, text string")
     assert [r["doc_id"] for r in rerank.drop_near_duplicates(f).orderBy("rank").collect()] == [1, 3]
     assert rerank.diversity(f.where("rank = 1")).first()["diversity"] == 1.0
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_cells_recall_against_brute_force(spark, sf):
+    d = f"/root/testdata/{sf}"
+    near = {(r["query_id"], r["doc_id"]) for r in retrieval.QUERIES["ivf_topk"](spark, d).collect()}
+    exact = [(r["query_id"], r["doc_id"]) for r in retrieval.QUERIES["cosine_topk"](spark, d).collect()]
+    recall = sum(p in near for p in exact) / len(exact)
+    print(f"recall {sf} {recall:.3f}")
+    assert recall >= 0.9
