@@ -200,11 +200,20 @@ _PACK = f"""{_UNION}, l AS (SELECT query_id, pos, '[문서 ' || pos || ']' || ch
 
 @query(f"{_PACK} SELECT query_id, string_agg(line, '' ORDER BY pos) AS context, count(*) AS docs FROM p WHERE upto <= 1200 GROUP BY query_id")
 def context_pack(spark, d):
-    """The flagship: sparse and dense top 3, joined, and packed into one context a query."""
+    """As ``context_pack_whole``, of the first 300 characters of each text in 1200."""
     found = _combined(spark, d).withColumnRenamed("pos", "rank").join(documents(spark, d).select("doc_id", F.left("text", F.lit(300)).alias("text")), "doc_id")
     return prompts.pack(found, 1200)
 
 
+@query(f"""{_UNION}, l AS (SELECT query_id, pos, '[문서 ' || pos || ']' || chr(10) || text || chr(10) AS line FROM c JOIN documents USING (doc_id)),
+        p AS (SELECT *, sum(length(line)) OVER (PARTITION BY query_id ORDER BY pos) AS upto FROM l)
+        SELECT query_id, string_agg(line, '' ORDER BY pos) AS context, count(*) AS docs FROM p WHERE upto <= 2000 GROUP BY query_id""")
+def context_pack_whole(spark, d):
+    """The flagship: sparse and dense top 3, joined, and whole texts packed into one context a query by the operator's budget."""
+    found = _combined(spark, d).withColumnRenamed("pos", "rank").join(documents(spark, d).select("doc_id", "text"), "doc_id")
+    return prompts.pack(found)
+
+
 @query(f"""{_UNION}, t AS (SELECT query_id, pos, doc_id, text, sum(length(text)) OVER (PARTITION BY query_id ORDER BY pos) AS upto FROM c JOIN documents USING (doc_id)),
         k AS (SELECT query_id, pos AS rank, doc_id, CASE WHEN upto <= 6000 THEN text WHEN 6000 - upto + length(text) > 100 THEN left(text, CAST(6000 - upto + length(text) AS BIGINT)) || '...' END AS kept FROM t)
         SELECT query_id, rank, doc_id, md5(kept) AS kept_md5, length(kept) AS kept_length FROM k WHERE kept IS NOT NULL""")

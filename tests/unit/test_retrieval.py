@@ -111,3 +111,24 @@ def test_cells_recall_against_brute_force(spark, sf):
     recall = sum(p in near for p in exact) / len(exact)
     print(f"recall {sf} {recall:.3f}")
     assert recall >= 0.9
+
+
+def test_flagship_packs_whole_texts(spark):
+    import __spark_entry__
+
+    d = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{d}/documents.parquet").collect()}
+    found = {}
+    for r in retrieval.QUERIES["combined_top3_union"](spark, d).collect():
+        found.setdefault(r["query_id"], []).append((r["pos"], texts[r["doc_id"]]))
+    want = {}
+    for q, rows in found.items():
+        context = ""
+        for pos, t in sorted(rows):
+            if len(context) + len(line := f"[문서 {pos}]\n{t}\n") > 2000:
+                break
+            context += line
+        if context:
+            want[q] = context
+    got = {r["query_id"]: r["context"] for r in __spark_entry__.entry(spark).collect()}
+    assert got == want and any(len(t) > 300 and t in c for c in want.values() for t in texts.values())
