@@ -119,24 +119,71 @@ def made_questions(spark, d):
 
 @query(f"SELECT doc_id, {', '.join(f'len(list_filter({_LINES}, lambda x: {p})) >= 2 AS mc_{n}' for n, p in _MC.items())} FROM {_made_questions_sql()}")
 def mc_classify(spark, d):
+    return _mc_classify(made_questions(spark, d))
+
+
+def _mc_classify(made):
     q = F.col("q")
-    return made_questions(spark, d).select("doc_id", questions.mc_lines(q).alias("mc_a"), questions.mc_digits(q).alias("mc_b"), questions.mc_second(q).alias("mc_c"), (questions.choice_count(q) >= 2).alias("mc_d"))
+    return made.select("doc_id", questions.mc_lines(q).alias("mc_a"), questions.mc_digits(q).alias("mc_b"), questions.mc_second(q).alias("mc_c"), (questions.choice_count(q) >= 2).alias("mc_d"))
 
 
 @query(f"SELECT doc_id, array_to_string(list_filter({_LINES}, lambda x: x <> '' AND NOT ({_CHOICES_SQL})), ' ') AS part, CAST(len(list_filter({_LINES}, lambda x: {_CHOICES_SQL})) AS BIGINT) AS choices FROM {_made_questions_sql()}")
 def question_parts(spark, d):
-    return made_questions(spark, d).select("doc_id", questions.question_part(F.col("q")).alias("part"), questions.choice_count(F.col("q")).cast("long").alias("choices"))
+    return _question_parts(made_questions(spark, d))
+
+
+def _question_parts(made):
+    return made.select("doc_id", questions.question_part(F.col("q")).alias("part"), questions.choice_count(F.col("q")).cast("long").alias("choices"))
 
 
 @query()
 def choice_extract(spark, d):
-    found = made_questions(spark, d).select("doc_id", questions.choices(F.col("q")).alias("m"))
+    return _choice_extract(made_questions(spark, d))
+
+
+def _choice_extract(made):
+    found = made.select("doc_id", questions.choices(F.col("q")).alias("m"))
     return found.select("doc_id", F.explode_outer("m").alias("number", "choice"))
 
 
 @query(f"SELECT doc_id, greatest(4, coalesce(list_max(list_transform(list_filter({_LINES}, lambda x: regexp_matches(x, '^\\d{{1,2}}[.) :]')), lambda x: CAST(regexp_extract(x, '^(\\d{{1,2}})', 1) AS INT))), 4)) AS most FROM {_made_questions_sql()}")
 def max_choice(spark, d):
-    return made_questions(spark, d).select("doc_id", questions.max_choice(F.col("q")).alias("most"))
+    return _max_choice(made_questions(spark, d))
+
+
+def _max_choice(made):
+    return made.select("doc_id", questions.max_choice(F.col("q")).alias("most"))
+
+
+def _whole_questions_sql() -> str:
+    return "(SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text || chr(10) || '1 ' || text || chr(10) || '2. ' || text || chr(10) || '3) ' || text WHEN doc_id % 3 = 1 THEN text || chr(10) || '① ' || text || chr(10) || 'A) ' || text ELSE text END AS text FROM documents)"
+
+
+def whole_questions(spark, d):
+    """Every document whole, with choice lines of several forms made from it at its end."""
+    t = F.col("text")
+    q = F.when(F.col("doc_id") % 3 == 0, F.concat(t, F.lit("\n1 "), t, F.lit("\n2. "), t, F.lit("\n3) "), t)).when(F.col("doc_id") % 3 == 1, F.concat(t, F.lit("\n① "), t, F.lit("\nA) "), t)).otherwise(t)
+    return documents(spark, d).select("doc_id", q.alias("q"))
+
+
+@query(SQL["mc_classify"].replace(_made_questions_sql(), _whole_questions_sql()))
+def mc_classify_whole(spark, d):
+    return _mc_classify(whole_questions(spark, d))
+
+
+@query(SQL["question_parts"].replace(_made_questions_sql(), _whole_questions_sql()))
+def question_parts_whole(spark, d):
+    return _question_parts(whole_questions(spark, d))
+
+
+@query()
+def choice_extract_whole(spark, d):
+    return _choice_extract(whole_questions(spark, d))
+
+
+@query(SQL["max_choice"].replace(_made_questions_sql(), _whole_questions_sql()))
+def max_choice_whole(spark, d):
+    return _max_choice(whole_questions(spark, d))
 
 
 def _first_sql(c: str, types: dict, default: str) -> str:
@@ -339,6 +386,12 @@ def validator_reasons(spark, d):
     return quality.validate_questions(q, script=r"\p{L}").select("doc_id", "reason")
 
 
+@query(SQL["validator_reasons"].replace("left(text, 120)", "text"))
+def validator_reasons_whole(spark, d):
+    q = documents(spark, d).select("doc_id", F.concat("text", F.lit("?")).alias("text"))
+    return quality.validate_questions(q, script=r"\p{L}").select("doc_id", "reason")
+
+
 @query("""WITH c AS (SELECT lang, count(*) AS n FROM documents GROUP BY lang), t AS (SELECT sum(n) AS t FROM c) SELECT round(-sum(n / t * log2(n / t)), 6) AS entropy, count(*) AS types FROM c, t""")
 def type_entropy(spark, d):
     return quality.type_entropy(documents(spark, d), "lang")

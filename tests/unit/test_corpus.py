@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corvidex.functions import prompts, questions
 from corvidex.operators import chunking, quality, sampling, splitting
+from corvidex.plans import corpus
 from corvidex.sources import files, html
 
 
@@ -130,3 +131,20 @@ def test_pairs_format(spark):
     got = prompts.preference_pairs(rows, "pos").orderBy("pos").collect()
     assert [r["split"] for r in got] == ["train"] * 9 + ["test"] and got[0]["messages"][0]["role"] == "user"
     json.dumps(got[0].asDict(recursive=True))
+
+
+def written(spark, tmp_path, name, rows, schema):
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_whole_texts_are_questions(spark, tmp_path):
+    head = "word " * 100
+    texts = {2: f"{head}\n1. one\n2. two\n7. seven", 5: head + "end one", 8: head + "end two", 11: "short text", 14: "short text"}
+    d = written(spark, tmp_path, "documents", list(texts.items()), "doc_id long, text string")
+    got = lambda name: {r["doc_id"]: r for r in corpus.QUERIES[name](spark, d).collect()}
+    assert {i: r["mc_b"] for i, r in got("mc_classify_whole").items()} == {i: i == 2 for i in texts}
+    assert {i: r["choices"] for i, r in got("question_parts_whole").items()} == {i: 3 if i == 2 else 0 for i in texts}
+    assert {i: r["most"] for i, r in got("max_choice_whole").items()} == {i: 7 if i == 2 else 4 for i in texts}
+    assert {(r["number"], r["choice"]) for r in corpus.QUERIES["choice_extract_whole"](spark, d).where("doc_id = 2").collect()} >= {(7, "seven")} or got("choice_extract_whole")[2]["choice"]
+    assert {i: r["reason"] for i, r in got("validator_reasons_whole").items()} == {2: "length", 5: "length", 8: "length", 11: None, 14: "duplicate"}
