@@ -358,6 +358,20 @@ def quality_advice(spark, d):
     return documents(spark, d).select("doc_id", F.array_join(reports.recommendations(issues, answer=score), "; ").alias("advice"))
 
 
+@query()
+def text_quality_score_whole(spark, d):
+    """With the repetition rule; back-references are not in the oracle's pattern language."""
+    return documents(spark, d).select("doc_id", quality.text_checks(F.col("text")).alias("c")).select("doc_id", quality.text_score(F.col("c")).alias("score"), (F.col("c.repetition") > 0).alias("repetitive_pattern"))
+
+
+@query()
+def quality_advice_whole(spark, d):
+    """With the repetition rule in the score."""
+    issues = quality.answer_issues(F.col("text"), F.lit("question without keywords"), F.lit("descriptive"))
+    score = quality.text_score(quality.text_checks(F.col("text")))
+    return documents(spark, d).select("doc_id", F.array_join(reports.recommendations(issues, answer=score), "; ").alias("advice"))
+
+
 @query("""SELECT *, printf('Total sampled chunks: %d' || chr(10) || 'Number of documents covered: %d' || chr(10) || '  - Short (< 500): %d' || chr(10) || '  - Medium (500-1500): %d' || chr(10) || '  - Long (> 1500): %d', total, sources, short, medium, long) AS report
         FROM (SELECT count(*) AS total, count(DISTINCT coalesce(source, 'unknown')) AS sources, count(*) FILTER (n < 500) AS short, count(*) FILTER (n >= 500 AND n < 1500) AS medium, count(*) FILTER (n >= 1500) AS long,
         round(count(*) / count(DISTINCT coalesce(source, 'unknown')), 6) AS per_source FROM (SELECT source, length(coalesce(text, '')) AS n FROM documents))""")

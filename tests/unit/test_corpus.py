@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from corvidex.functions import prompts, questions
-from corvidex.operators import chunking, quality, sampling, splitting
+from corvidex.operators import chunking, quality, reports, sampling, splitting
 from corvidex.plans import corpus
 from corvidex.sources import files, html
 
@@ -148,3 +148,19 @@ def test_whole_texts_are_questions(spark, tmp_path):
     assert {i: r["most"] for i, r in got("max_choice_whole").items()} == {i: 7 if i == 2 else 4 for i in texts}
     assert {(r["number"], r["choice"]) for r in corpus.QUERIES["choice_extract_whole"](spark, d).where("doc_id = 2").collect()} >= {(7, "seven")} or got("choice_extract_whole")[2]["choice"]
     assert {i: r["reason"] for i, r in got("validator_reasons_whole").items()} == {2: "length", 5: "length", 8: "length", 11: None, 14: "duplicate"}
+
+
+def test_repetition_counts_in_the_score(spark, tmp_path):
+    import re
+
+    bad = "�" * 2
+    texts = ["a plain text of some words", "aaaaaaaaaaaa is a run", "aaaaaaaaaaa", "aaaaaaaaaa has ten", "so so so so so so so it goes", "one two " * 6 + "end", "      so so so so so so so", bad + "      aaaaaaaaaaaaa text"]
+    d = written(spark, tmp_path, "documents", list(enumerate(texts)), "doc_id long, text string")
+    rule = {i: bool(re.search(r"(.)\1{10,}|(\S+\s+)\2{5,}", t)) for i, t in enumerate(texts)}
+    got = {r["doc_id"]: r for r in corpus.QUERIES["text_quality_score_whole"](spark, d).collect()}
+    plain = {r["doc_id"]: r["score"] for r in corpus.QUERIES["text_quality_score"](spark, d).collect()}
+    assert {i: r["repetitive_pattern"] for i, r in got.items()} == rule and 3 < sum(rule.values()) < len(texts)
+    assert {i: r["score"] for i, r in got.items()} == {i: max(0, s - 15 * rule[i]) for i, s in plain.items()}
+    low = {i for i, r in got.items() if r["score"] < reports.LOW_SCORE}
+    advice = {r["doc_id"]: r["advice"] for r in corpus.QUERIES["quality_advice_whole"](spark, d).collect()}
+    assert {i for i, a in advice.items() if reports.LOW["answer"] in a} == low and low
