@@ -126,16 +126,38 @@ def eligible_for_semantic(content: Column, enhanced: Column) -> Column:
     return (F.length(content) >= 400) & ~enhanced & ~content.rlike(r"(?m)^\|.*\|") & ~content.rlike(r"(?m)^\s*([-*+]|\d+\.)\s")
 
 
+def longest_border(before: str, after: str) -> int:
+    """The length of the longest end of one text that begins the next, by the prefix function; linear in the shorter one."""
+    most = min(len(before), len(after))
+    start, fail, k = after[:most], [0] * most, 0
+    for i in range(1, most):
+        while k and start[i] != start[k]:
+            k = fail[k - 1]
+        k += start[i] == start[k]
+        fail[i] = k
+    k = 0
+    for c in before[len(before) - most :]:
+        while k and (k == most or c != start[k]):
+            k = fail[k - 1]
+        k += c == start[k]
+    return k
+
+
+@pandas_udf(T.IntegerType())
+def whole_overlap(before: pd.Series, after: pd.Series) -> pd.Series:
+    return pd.Series([longest_border(a, b) if a is not None and b is not None else None for a, b in zip(before, after, strict=True)], dtype="Int32")
+
+
 def actual_overlap(before: Column, after: Column, most: int = 400) -> Column:
     """The longest end of one text that begins the next."""
     lengths = F.sequence(F.lit(0), F.least(F.length(before), F.length(after), F.lit(most)))
     return F.array_max(F.filter(lengths, lambda n: (n == 0) | (F.right(before, n) == F.left(after, n))))
 
 
-def overlaps(chunks: DataFrame) -> DataFrame:
+def overlaps(chunks: DataFrame, overlap=whole_overlap) -> DataFrame:
     """The overlap of each chunk with the next of its document."""
     nxt = F.lead("content").over(Window.partitionBy("source_id").orderBy("chunk_index"))
-    return chunks.withColumn("__next", nxt).where(F.col("__next").isNotNull()).select("source_id", "chunk_index", actual_overlap(F.col("content"), F.col("__next")).alias("overlap"))
+    return chunks.withColumn("__next", nxt).where(F.col("__next").isNotNull()).select("source_id", "chunk_index", overlap(F.col("content"), F.col("__next")).alias("overlap"))
 
 
 def chunk_stats(chunks: DataFrame, *by: str) -> DataFrame:

@@ -249,7 +249,13 @@ def chunk_stats(spark, d):
 @query(f"""WITH n AS (SELECT doc_id, i, content, lead(content) OVER (PARTITION BY doc_id ORDER BY i) AS nx FROM {_SECTIONS})
         SELECT doc_id AS source_id, CAST(i - 1 AS INT) AS chunk_index, CAST(list_max(list_filter(range(0, CAST(least(length(content), length(nx), 400) + 1 AS BIGINT)), lambda k: k = 0 OR right(content, k) = left(nx, k))) AS INT) AS overlap FROM n WHERE nx IS NOT NULL""")
 def chunk_overlaps(spark, d):
-    return chunking.overlaps(_sections(spark, d).withColumnRenamed("section_index", "chunk_index"))
+    return chunking.overlaps(_sections(spark, d).withColumnRenamed("section_index", "chunk_index"), chunking.actual_overlap)
+
+
+@query()
+def chunk_overlaps_whole(spark, d):
+    """Overlaps of any length between the chunks of a chunker with overlap."""
+    return chunking.overlaps(chunking.chunk(documents(spark, d), clean=False))
 
 
 @query()

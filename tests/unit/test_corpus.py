@@ -1,4 +1,5 @@
 import json
+import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -164,3 +165,18 @@ def test_repetition_counts_in_the_score(spark, tmp_path):
     low = {i for i, r in got.items() if r["score"] < reports.LOW_SCORE}
     advice = {r["doc_id"]: r["advice"] for r in corpus.QUERIES["quality_advice_whole"](spark, d).collect()}
     assert {i for i, a in advice.items() if reports.LOW["answer"] in a} == low and low
+
+
+def test_overlaps_of_any_length(spark):
+    rng = random.Random(5)
+    brute = lambda a, b: max(k for k in range(min(len(a), len(b)) + 1) if k == 0 or a[-k:] == b[:k])
+    for _ in range(300):
+        a, b = ("".join(rng.choice("ab") for _ in range(rng.randrange(12))) for _ in range(2))
+        assert chunking.longest_border(a, b) == brute(a, b)
+    line = "".join(rng.choice("abcdefgh") for _ in range(500))
+    rows = spark.createDataFrame([(1, 0, line), (1, 1, line), (1, 2, line[-450:] + "z")], "source_id long, chunk_index int, content string")
+    assert {r["chunk_index"]: r["overlap"] for r in chunking.overlaps(rows).collect()} == {0: 500, 1: 450}
+    chunks = chunking.chunk(corpus.documents(spark, "/root/testdata/sf0.001"), clean=False).collect()
+    text = {(r["source_id"], r["chunk_index"]): r["content"] for r in chunks}
+    got = {(r["source_id"], r["chunk_index"]): r["overlap"] for r in corpus.QUERIES["chunk_overlaps_whole"](spark, "/root/testdata/sf0.001").collect()}
+    assert got == {(s, i): brute(t, text[s, i + 1]) for (s, i), t in text.items() if (s, i + 1) in text} and max(got.values()) > 0
