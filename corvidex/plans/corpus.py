@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corvidex.functions import prompts, questions, text
@@ -220,6 +221,21 @@ def preference_pairs(spark, d):
     return out.select("conv_id", "split", F.col("messages")[0]["role"].alias("first_role"), F.col("messages")[0]["content"].alias("first_content"), F.col("chosen")[0]["content"].alias("chosen_content"))
 
 
+@query("""WITH t AS (SELECT conv_id, turn, role, text, lead(role) OVER w AS next_role, lead(text) OVER w AS next_text FROM conversations WHERE role IN ('user', 'assistant') WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+        p AS (SELECT conv_id, turn, text AS prompt, CASE WHEN next_role = 'assistant' THEN next_text END AS chosen FROM t WHERE role = 'user'), n AS (SELECT *, row_number() OVER (ORDER BY conv_id, turn) AS place, count(*) OVER () AS total FROM p)
+        SELECT conv_id, turn, CASE WHEN place <= floor(0.9 * total) THEN 'train' ELSE 'test' END AS split, 'user' AS first_role, prompt AS first_content, chosen AS chosen_content FROM n""")
+def preference_pairs_turns(spark, d):
+    """One pair per user turn, with the assistant turn that follows it; null where the user speaks again first or nobody answers."""
+    c = table(spark, d, "conversations")
+    turns = (c.agg(F.max("turn")).first()[0] or 0) + 1
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    after = c.where(F.col("role").isin("user", "assistant")).select("*", F.lead("role").over(w).alias("next_role"), F.lead("text").over(w).alias("next_text")).where("role = 'user'")
+    rows = after.select((F.col("conv_id") * turns + F.col("turn")).alias("at"), F.col("text").alias("prompt"), F.when(F.col("next_role") == "assistant", F.col("next_text")).alias("chosen"), F.lit("").alias("rejected"))
+    turn = F.pmod("at", F.lit(turns).cast("long"))
+    out = prompts.preference_pairs(rows, "at")
+    return out.select(((F.col("at") - turn) / turns).cast("long").alias("conv_id"), turn.alias("turn"), "split", F.col("messages")[0]["role"].alias("first_role"), F.col("messages")[0]["content"].alias("first_content"), F.col("chosen")[0]["content"].alias("chosen_content"))
+
+
 @query("""SELECT doc_id, substr(md5(text), 1, 16) AS whole_key, substr(md5(substr(text, 1, 200)), 1, 16) AS key_200, substr(md5(substr(text, 1, 500)), 1, 16) AS key_500,
         substr(md5(substr(md5(text), 1, 16) || '_0_' || substr(text, 1, 50)), 1, 16) AS chunk_id FROM documents""")
 def chunk_ids_md5(spark, d):

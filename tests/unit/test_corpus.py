@@ -180,3 +180,10 @@ def test_overlaps_of_any_length(spark):
     text = {(r["source_id"], r["chunk_index"]): r["content"] for r in chunks}
     got = {(r["source_id"], r["chunk_index"]): r["overlap"] for r in corpus.QUERIES["chunk_overlaps_whole"](spark, "/root/testdata/sf0.001").collect()}
     assert got == {(s, i): brute(t, text[s, i + 1]) for (s, i), t in text.items() if (s, i + 1) in text} and max(got.values()) > 0
+
+
+def test_a_pair_for_every_user_turn(spark, tmp_path):
+    said = [(1, 0, "system", "s"), (1, 1, "user", "z"), (1, 2, "assistant", "a"), (1, 3, "user", "b"), (1, 4, "user", "c"), (1, 5, "assistant", "y"), (4, 0, "user", "alone")]
+    d = written(spark, tmp_path, "conversations", said, "conv_id long, turn long, role string, text string")
+    got = {(r["conv_id"], r["turn"]): (r["first_content"], r["chosen_content"], r["split"]) for r in corpus.QUERIES["preference_pairs_turns"](spark, d).collect()}
+    assert got == {(1, 1): ("z", "a", "train"), (1, 3): ("b", None, "train"), (1, 4): ("c", "y", "train"), (4, 0): ("alone", None, "test")}
