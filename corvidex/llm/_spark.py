@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import ctypes
-import gc
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,11 +14,13 @@ _own_base: str | None = None
 
 
 def scratch_base(spark: SparkSession) -> str:
-    """The folder all executors share (``spark.checkpoint.dir``); a fresh temporary one where that is unset."""
+    """The folder all executors share (``spark.checkpoint.dir``); a session on one machine may do without and gets a temporary one."""
     global _own_base
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if _own_base is None:
         _own_base = tempfile.mkdtemp(prefix="corvidex-")
     return _own_base
@@ -56,8 +58,8 @@ def let(value: Column, body) -> Column:
 
 
 def give_back_memory() -> None:
-    """Return what training has freed on the driver to the system, where the C library can."""
-    gc.collect()
+    """Return freed memory to the system: Arrow's, and the C library's where it can."""
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)

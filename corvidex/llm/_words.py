@@ -42,8 +42,9 @@ def word_table(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
         counts = np.bincount(row[filled], minlength=len(counts))
         flat = flat.filter(pa.array(filled))
     encoded = flat.dictionary_encode()
+    del lists, flat
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
-    return offsets, np.asarray(encoded.indices, dtype=np.int64), encoded.dictionary.to_pylist()
+    return offsets, np.asarray(encoded.indices), encoded.dictionary.to_pylist()
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
