@@ -3,53 +3,73 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from bisect import bisect_right
+from collections.abc import Iterator, Sequence
 
-SEPARATORS = ("\n\n\n", "\n\n", "\n", ". ", "。", "! ", "? ", "; ", ", ", " ")
+# Where a text may be cut, the coarsest first; after the last one it is cut between any two characters
+SEPARATORS = ("\n\n", "\n", ". ", "。", "! ", "? ", "；", "，", " ")
 
 
-def with_tails(pieces: list[str], overlap: int) -> list[str]:
-    """Each piece after the first begins with the end of the one before it."""
-    if overlap <= 0:
-        return pieces
-    return [(pieces[i - 1][-overlap:] if i else "") + p for i, p in enumerate(pieces)]
+def spans(text: str, size: int, step: int, separators: Sequence[str] = SEPARATORS) -> Iterator[tuple[int, int, tuple[int, ...]]]:
+    """(start, end, path) of the packed spans of a text, in order.
+
+    The cut positions of a separator are found first; from each one the packing takes the farthest end within ``size``,
+    by bisection, as the cost of the parts between two cuts is their distance plus one separator.  A part
+    longer than ``size`` is taken apart at the next separator, in the end into windows ``step`` apart.  ``path`` holds
+    where the span itself and the longer parts around it begin, one entry per separator tried: two spans were packed
+    together at a separator exactly if their paths agree up to it.
+    """
+    todo = [(0, len(text), 0, ())]
+    while todo:
+        low, high, level, path = todo.pop()
+        if level < 0:  # ready
+            if text[low:high].strip():
+                yield low, high, path
+            continue
+        if level == len(separators):
+            yield from ((a, min(a + size, high), path) for a in range(low, high, step))
+            continue
+        mark, path = separators[level], (*path, low)
+        ends = [*_found(text, mark, low, high), high]
+        found, i, begin = [], 0, low
+        while i < len(ends):
+            if ends[i] - begin > size:
+                found.append((begin, ends[i], level + 1, path))
+                i += 1
+            else:
+                i = max(i + 1, bisect_right(ends, begin + size - len(mark), i))
+                found.append((begin, ends[i - 1], -1, path))
+            begin = ends[i - 1] + len(mark)
+        todo += reversed(found)
+
+
+def _found(text: str, mark: str, low: int, high: int) -> Iterator[int]:
+    at = text.find(mark, low, high)
+    while at >= 0:
+        yield at
+        at = text.find(mark, at + len(mark), high)
 
 
 def split_packed(text: str, size: int, overlap: int, separators: Sequence[str] = SEPARATORS) -> list[str]:
-    """Greedy packing of parts between separators, finer separators for parts too long, windows in the end.
+    """The chunks of a text: its spans, each behind the end of the one before it.
 
-    Tails are added at each level, so a chunk may exceed ``size``.
+    The end of the span before is repeated once for every separator at which both were packed together, from the finest
+    to the coarsest and with what was repeated there already, so a chunk may exceed ``size``.
     """
     if len(text) <= size:
         return [text] if text.strip() else []
-    if not separators:
-        return [text[a : a + size] for a in range(0, len(text), max(1, size - overlap))]
-    mark, finer = separators[0], separators[1:]
     out: list[str] = []
-    held: list[str] = []
-    room = size
-
-    def close() -> None:
-        whole = mark.join(held)
-        if whole.strip():
-            out.append(whole)
-        held.clear()
-
-    for part in text.split(mark):
-        need = len(part) + len(mark)
-        if need <= room:
-            held.append(part)
-            room -= need
-            continue
-        close()
-        if len(part) > size and finer:
-            out += split_packed(part, size, overlap, finer)
-            room = size
-        else:
-            held.append(part)
-            room = size - need
-    close()
-    return with_tails(out, overlap)
+    before, tails = (), []  # of the span before: its path, and its end at each separator
+    for low, high, path in spans(text, size, max(1, size - overlap), separators):
+        chunk, own = text[low:high], [""] * len(path)
+        together = next((k for k, (a, b) in enumerate(zip(before, path, strict=False)) if a != b), min(len(before), len(path)))
+        for k in reversed(range(len(path))):
+            own[k] = chunk[-overlap:] if overlap > 0 else ""
+            if k < together:
+                chunk = tails[k] + chunk
+        out.append(chunk)
+        before, tails = path, own
+    return out
 
 
 def split_kept(text: str, size: int, overlap: int, separators: Sequence[str] = ("\n\n", "\n", ". ", " ")) -> list[str]:
