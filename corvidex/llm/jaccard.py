@@ -1,9 +1,9 @@
-"""Near-duplicates by the Jaccard similarity of their word shingles; every pair at 0.8 or more is found.
+"""The exact check behind :func:`corvidex.llm.simhash.keep_first`: every pair of texts whose word shingles are alike.
 
 A text is the set of the 64-bit hashes of its 5-word shingles.  Two sets link at 0.8 or more of their union.
-The search is a prefix join: in any one order of all shingles, two linked sets share one of the first
-``n - ceil(0.8 n) + 1`` shingles of each, so only those are looked up, and each pair found is verified on
-the whole sets.
+Pairs that fingerprints propose are verified first.  What they miss is found by a prefix join: in any one order of
+all shingles, two linked sets share one of the first ``n - ceil(0.8 n) + 1`` shingles of each, so only those are
+looked up, and each pair found between two groups is verified on the whole sets.
 
 * The order puts shingles that a sample of the sets shows to be common last, so a line that many texts share is
   looked up only by texts made of such lines.  The sample changes the cost and never the result.
@@ -15,25 +15,27 @@ the whole sets.
 Equal sets are one node from the start, so copies never multiply.  A task holds ``PART_BYTES`` of text or the longest text.
 
 Defined results: words are ASCII-lower-cased runs without ASCII white space; a text of fewer words than a shingle has
-the whole sequence as its one shingle; null, empty and blank texts have the empty set, equal to itself.  Rows with
-a null id get a component but never name one unless all members' ids are null.  Repeated rows share a component.
-An empty table gives no rows.
+the whole sequence as its one shingle; null, empty and blank texts have the empty set, equal to itself.
 """
 
 from __future__ import annotations
 
+from fractions import Fraction
+from math import ceil
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corvidex.llm._graph import components
 from corvidex.llm._spark import stored
 from corvidex.llm._words import ranges, slices, texts_of
-from corvidex.llm.simhash import components
 
 SEED = 42
 WIDTH = 5
+FOUR_FIFTHS = Fraction(4, 5)
 #: 1 / SAMPLE of the sets is counted for the order; a shingle in COMMON of them comes late.  At most MOST shingles do.
 SAMPLE, COMMON, MOST = 8, 16, 200_000
 HOT_BUCKET = 64
@@ -68,25 +70,30 @@ def node_of(shingles: np.ndarray) -> int:
     return int(np.array([xxhash.xxh64_intdigest(shingles.tobytes(), SEED)], np.uint64).view(np.int64)[0])
 
 
-def prefix_length(n: int) -> int:
-    return n - (4 * n + 4) // 5 + 1 if n else 0
+def fingerprint_of(shingles: np.ndarray) -> int:
+    """The SimHash of a set, signed: a bit is 1 if set in over half of its hashes."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(shingles), 1 << 16):
+        counts += np.unpackbits(shingles[at : at + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > len(shingles)).view(">u8").astype(np.uint64).view(np.int64)[0])
 
 
-def _named(docs: DataFrame, kept: str, width: int) -> DataFrame:
-    """(kept, node) of each row of ``docs(kept, text)``; ``kept`` may be the text itself."""
-    kind = docs.schema[kept].dataType.simpleString()
+def prefix_length(n: int, similarity: Fraction = FOUR_FIFTHS) -> int:
+    return n - ceil(similarity * n) + 1 if n else 0
 
-    def work(batches):
-        for batch in batches:
-            nodes = np.fromiter((node_of(shingle_set(t.as_py(), width)) for t in texts_of(batch.column(1))), np.int64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes)], names=[kept, "node"])
 
-    return docs.select(F.col(kept), F.col("text").alias("__text")).mapInArrow(work, f"`{kept}` {kind}, node long")
+def named(docs: DataFrame, kept: str, width: int) -> DataFrame:
+    """(kept, node, fp) of each row of ``docs(kept, text)``; ``kept`` may be the text itself."""
+    out = docs.select(F.col(kept)).schema.add("node", "long").add("fp", "long")
 
+    def work(batches):
+        for batch in batches:
+            for lo, hi in slices(batch.column(1), PART_BYTES):
+                sets = (shingle_set(t.as_py(), width) for t in texts_of(batch.column(1).slice(lo, hi - lo)))
+                both = np.fromiter(((node_of(x), fingerprint_of(x)) for x in sets), np.dtype((np.int64, 2)), hi - lo)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(both[:, 0]), pa.array(both[:, 1])], names=[kept, "node", "fp"])
 
-def _parts(texts: pa.Array):
-    for start, stop in slices(texts, PART_BYTES):
-        yield texts[start:stop]
+    return docs.select(F.col(kept), F.col("text").alias("__text")).mapInArrow(work, out)
 
 
 def _common(texts: DataFrame, width: int) -> np.ndarray:
@@ -94,8 +101,8 @@ def _common(texts: DataFrame, width: int) -> np.ndarray:
 
     def work(batches):
         for batch in batches:
-            for part in _parts(texts_of(batch.column(0))):
-                own = np.concatenate([shingle_set(t.as_py(), width) for t in part])
+            for start, stop in slices(batch.column(0), PART_BYTES):
+                own = np.concatenate([shingle_set(t.as_py(), width) for t in texts_of(batch.column(0).slice(start, stop - start))])
                 yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64))], names=["token"])
 
     counted = texts.where(F.pmod(F.xxhash64("node"), F.lit(SAMPLE)) == 0).select("text").mapInArrow(work, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("c"))
@@ -103,13 +110,13 @@ def _common(texts: DataFrame, width: int) -> np.ndarray:
     return np.array([r["token"] for r in reversed(rows)], np.int64).view(np.uint64)
 
 
-def _prefixes(texts: DataFrame, common: np.ndarray, width: int) -> DataFrame:
+def _prefixes(texts: DataFrame, common: np.ndarray, width: int, similarity: Fraction) -> DataFrame:
     """(token, node, n, pos): the first shingles of each set in the order."""
     by_value = np.argsort(common)
     values = common[by_value]
 
     def first(shingles: np.ndarray) -> np.ndarray:
-        p = prefix_length(len(shingles))
+        p = prefix_length(len(shingles), similarity)
         if not len(values) or not p:
             return shingles[:p]
         at = np.minimum(np.searchsorted(values, shingles), len(values) - 1)
@@ -119,10 +126,10 @@ def _prefixes(texts: DataFrame, common: np.ndarray, width: int) -> DataFrame:
 
     def work(batches):
         for batch in batches:
-            texts, nodes = texts_of(batch.column(1)), np.asarray(batch.column(0), dtype=np.int64)
-            for start, stop in slices(texts, PART_BYTES):
+            nodes = np.asarray(batch.column(0), dtype=np.int64)
+            for start, stop in slices(batch.column(1), PART_BYTES):
                 own, sizes = [], []
-                for t in texts[start:stop]:
+                for t in texts_of(batch.column(1).slice(start, stop - start)):
                     shingles = shingle_set(t.as_py(), width)
                     own.append(first(shingles))
                     sizes.append(len(shingles))
@@ -133,65 +140,62 @@ def _prefixes(texts: DataFrame, common: np.ndarray, width: int) -> DataFrame:
     return texts.select("node", "text").mapInArrow(work, "token long, node long, n int, pos int")
 
 
-def _pairs(left: DataFrame, right: DataFrame, *more) -> DataFrame:
-    """(a, b), a < b: distinct nodes that share a token, where sizes and places allow 0.8."""
+def _pairs(left: DataFrame, right: DataFrame, similarity: Fraction, *more) -> DataFrame:
+    """(a, b), a < b: distinct nodes of different groups that share a token, where sizes and places allow the similarity."""
     x = left.select(F.col("token"), *[F.col(c).alias(f"{c}_x") for c in left.columns if c != "token"])
     y = right.select(F.col("token"), *[F.col(c).alias(f"{c}_y") for c in right.columns if c != "token"])
     most = F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y"))
-    possible = 9 * most >= 4 * (F.col("n_x") + F.col("n_y"))
-    met = x.join(y, "token").where(possible)
+    met = x.join(y, "token").where(_alike(most, F.col("n_x") + F.col("n_y"), similarity) & (F.col("root_x") != F.col("root_y")))
     for condition in more:
         met = met.where(condition)
-    return met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).where("a < b").distinct()
+    return met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """The pairs whose whole sets have 0.8 or more of their union in common."""
+def _alike(both: Column, sizes: Column, similarity: Fraction) -> Column:
+    """Whether ``both`` shingles in common suffice for sets of ``sizes`` together: i / (s - i) >= p / q."""
+    p, q = similarity.numerator, similarity.denominator
+    return (p + q) * both >= p * sizes
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: Fraction) -> DataFrame:
+    """The pairs whose whole sets have that much of their union in common."""
 
     def work(batches):
         for batch in batches:
-            texts = texts_of(batch.column(1))
-            for start, stop in slices(texts, PART_BYTES):
-                own = pa.array([shingle_set(t.as_py(), width).view(np.int64) for t in texts[start:stop]], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[start:stop], own], names=["node", "own"])
+            for start, stop in slices(batch.column(1), PART_BYTES):
+                own = pa.array([shingle_set(t.as_py(), width).view(np.int64) for t in texts_of(batch.column(1).slice(start, stop - start))], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), own], names=["node", "own"])
 
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     sets = stored(texts.join(needed, "node", "left_semi").select("node", "text").mapInArrow(work, "node long, own array<long>"), "jaccard-sets")
     a, b = sets.select(F.col("node").alias("a"), F.col("own").alias("sa")), sets.select(F.col("node").alias("b"), F.col("own").alias("sb"))
     both = pairs.join(a, "a").join(b, "b")
-    # 5 i >= 4 (|a| + |b| - i)
-    return both.where(9 * F.size(F.array_intersect("sa", "sb")) >= 4 * (F.size("sa") + F.size("sb"))).select("a", "b")
+    return both.where(_alike(F.size(F.array_intersect("sa", "sb")), F.size("sa") + F.size("sb"), similarity)).select("a", "b")
+
+
+def _rooted(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """``rows`` with the root of each node's group, itself where it has no link."""
+    return rows.join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def links(texts: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(a, b), a < b: links between the nodes of ``texts(node, text)`` that connect all at 0.8 or more."""
-    looked = _prefixes(texts, _common(texts, width), width)
+def links(texts: DataFrame, proposed: DataFrame, width: int = WIDTH, similarity: float = 0.8) -> DataFrame:
+    """(a, b), a < b: links between the nodes of ``texts(node, text)`` that connect all that are alike; ``proposed`` pairs are tried first."""
+    least = Fraction(str(similarity))
+    edges = stored(_verified(stored(proposed, "jaccard-proposed"), texts, width, least), "jaccard-edges")
+    looked = _prefixes(texts, _common(texts, width), width, least)
     counts = looked.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    shared = stored(looked.join(counts, "token"), "jaccard-shared")
+    shared = stored(_rooted(looked.join(counts, "token"), edges), "jaccard-shared")
     cold, hot = shared.where(F.col("size") <= HOT_BUCKET).drop("size"), shared.where(F.col("size") > HOT_BUCKET).drop("size")
-    pairs = _pairs(cold, cold, F.col("node_x") < F.col("node_y"))
+    pairs = _pairs(cold, cold, least, F.col("node_x") < F.col("node_y"))
     if hot.isEmpty():
-        return _verified(stored(pairs, "jaccard-pairs"), texts, width)
+        return edges.unionByName(_verified(stored(pairs, "jaccard-pairs"), texts, width, least))
     # the least of several hashes each
     found = hot.groupBy("token").agg(F.array_distinct(F.array(*[F.min(F.struct(F.xxhash64("node", F.lit(s)).alias("h"), "node", "n", "pos")).getField("node") for s in range(LEADERS)])).alias("nodes"))
     leaders = found.select("token", F.explode("nodes").alias("node")).join(hot, ["token", "node"])
-    pairs = stored(pairs.unionByName(_pairs(leaders, hot)).distinct(), "jaccard-pairs")
-    edges = stored(_verified(pairs, texts, width), "jaccard-edges")
-    roots = components(edges)
-    placed = stored(hot.join(roots, "node", "left").select("token", "node", "n", "pos", F.coalesce("root", "node").alias("root")), "jaccard-hot")
+    pairs = stored(pairs.unionByName(_pairs(leaders, hot, least)).distinct(), "jaccard-pairs")
+    edges = stored(edges.unionByName(_verified(pairs, texts, width, least)), "jaccard-edges")
+    placed = stored(_rooted(hot.drop("root"), edges), "jaccard-hot")
     largest = placed.groupBy("token", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("token").agg(F.max_by("root", F.struct("c", "root")).alias("top"))
     outside = placed.join(largest, "token").where("root <> top").drop("top")
-    rest = stored(_pairs(outside, placed, F.col("root_x") != F.col("root_y")).join(pairs, ["a", "b"], "left_anti"), "jaccard-rest")
-    return edges.unionByName(_verified(rest, texts, width))
-
-
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
-    """(id, component_id): one row per document; the component is its smallest id."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    named = stored(_named(rows, "id", width), "jaccard-nodes")
-    texts = stored(_named(rows, "text", width).groupBy("node").agg(F.first("text").alias("text")), "jaccard-texts")
-    found = components(links(texts, width))
-    nodes = named.groupBy("node").agg(F.min("id").alias("rep")).join(found, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
-    names = nodes.groupBy("root").agg(F.min("rep").alias("component_id"))
-    by_node = nodes.join(names, "root").select("node", "component_id")
-    return named.join(by_node, "node").select(F.col("id").alias(id_col), "component_id")
+    rest = stored(_pairs(outside, placed, least).join(pairs, ["a", "b"], "left_anti"), "jaccard-rest")
+    return edges.unionByName(_verified(rest, texts, width, least))

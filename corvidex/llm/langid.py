@@ -4,15 +4,16 @@ A text's UTF-8 bytes are cut into windows of fixed length.  Filters of several w
 each window, max pooling keeps the best response of each filter, and a softmax layer turns those into
 language probabilities; a document's are the mean over all of its windows, weighted by their bytes.
 Because a window is one-hot in its bytes, a filter of width w is w tables of 256 weights, so a
-convolution is w table look-ups.  Training runs in numpy with Adam on windows of labelled texts.
+convolution is w table look-ups.  Training runs in numpy with Adam on windows of labelled texts; windows of under 16 bytes
+(the ends of texts) say too little and are not learnt from.
 
-Scale: prediction is one pass without a shuffle; batches of windows bound the memory.  Training reads
+Scale: prediction is one pass without a shuffle; a part of a text at a time bounds the memory.  Training reads
 at most ``max_docs`` documents a language and ``max_windows`` windows (documented bound), chosen by a hash
-of the id.  The model has a few thousand weights.
+of id and text.  The model has a few thousand weights and one output per language, so the languages must be few.
 
 Defined results: a text that is null or has no letter gives ``und`` with score 0, and so does any text
 when nothing was learned.  Whole texts are read whatever their length.  Repeated rows get the same answer.
-An empty table gives no rows.
+Of equally likely languages the first in order of their names wins.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ WINDOW = 128
 WIDTHS = (2, 3, 4)
 FILTERS = 12
 UNKNOWN = "und"
+#: Bytes whose windows are held at a time, a multiple of the window.
+PART = 1 << 20
 
 
 @dataclass
@@ -128,24 +131,58 @@ def train_network(texts: list[str], langs: list[str], epochs: int = 4, max_windo
     return net
 
 
+def sample_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 600) -> DataFrame:
+    """(lang, text) of the ``max_docs`` documents of each language with the smallest hashes of id and text, outside fold 0.
+
+    A row counts once however often it is repeated.  The rows that meet are few: those below a cut of the hash that suffices
+    for every language, found by raising it, so the cut changes the cost and never the sample.
+    """
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang"))
+    rows = rows.where(F.col("lang").isNotNull() & F.col("id").isNotNull() & F.col("text").isNotNull() & (fold_of(F.col("id")) != 0)).withColumn("h", F.xxhash64("id", "text"))
+    share = {r["lang"]: min(1.0, 4 * max_docs / r["n"]) for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    while True:
+        below = F.lit(False)
+        for lang, part in share.items():
+            below = below | ((F.col("lang") == lang) & (F.col("h").cast("double") <= part * 2.0**64 - 2.0**63))
+        few = rows.where(below).select("lang", "h").distinct()
+        found = {r["lang"]: r["n"] for r in few.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+        short = [lang for lang, part in share.items() if part < 1 and found.get(lang, 0) < max_docs]
+        if not short:
+            break
+        share.update({lang: min(1.0, 16 * share[lang]) for lang in short})
+    order = Window.partitionBy("lang").orderBy("h")
+    chosen = few.withColumn("n", F.row_number().over(order)).where(F.col("n") <= max_docs).select("lang", "h")
+    return rows.where(below).join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).orderBy("lang", "h").select("lang", "text")
+
+
 def train_langid(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 600) -> Network:
-    """Train on at most ``max_docs`` documents a language, outside fold 0, chosen by a hash of the id."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(F.col("lang").isNotNull() & F.col("id").isNotNull() & (fold_of(F.col("id")) != 0))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    # the smallest hashes lie below a cut that about four times as many rows pass, so few rows of a language meet in its group
-    cuts = {r["lang"]: 2**64 * min(1.0, 4 * max_docs / r["n"]) - 2**63 for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    cut = F.lit(2.0**63)
-    for lang, most in cuts.items():
-        cut = F.when(F.col("lang") == lang, F.lit(float(most))).otherwise(cut)
-    chosen = rows.select("id", "lang").where(F.xxhash64("id").cast("double") <= cut).withColumn("n", F.row_number().over(order)).where(F.col("n") <= max_docs).select("id").distinct()
-    sample = rows.where(F.col("text").isNotNull()).join(F.broadcast(chosen), "id").select("lang", "text")
-    got = [(r["text"], r["lang"]) for r in sample.orderBy("lang", F.xxhash64("text")).toLocalIterator()]
+    """Train on at most ``max_docs`` documents a language, outside fold 0, chosen by a hash of the row."""
+    got = [(r["text"], r["lang"]) for r in sample_of(docs, id_col, text_col, lang_col, max_docs).toLocalIterator()]
     net = train_network([t for t, _ in got], [x for _, x in got])
     del got
     give_back_memory()
     return net
 
 
+def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of the texts laid end to end, where each begins and the last ends), without a copy."""
+    edges = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    return (np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)), edges
+
+
+def _runs(lengths: np.ndarray):
+    """(first, last) of texts in order that hold ``PART`` bytes together; a longer one is a run of its own."""
+    first, held = 0, 0
+    for i, n in enumerate(lengths.tolist()):
+        if i > first and held + n > PART:
+            yield first, i
+            first, held = i, 0
+        held += n
+    if len(lengths) > first:
+        yield first, len(lengths)
+
+
 def predict(net: Network, texts: pa.Array, chunk: int = 2048) -> tuple[list[str], np.ndarray]:
     """Language and probability of each text."""
     n = len(texts)
@@ -154,11 +191,17 @@ def predict(net: Network, texts: pa.Array, chunk: int = 2048) -> tuple[list[str]
         return [UNKNOWN] * n, np.zeros(n)
     lengths = np.asarray(pc.binary_length(texts), dtype=np.int64)
     sums = np.zeros((n, len(net.langs)))
-    flat = np.frombuffer(b"".join(t.as_buffer() for t in texts.cast(pa.large_binary())), np.uint8) if lengths.sum() else np.zeros(0, np.uint8)
-    grid, owner, size = windows(flat, lengths)
-    for a in range(0, len(grid), chunk):
-        p = softmax(pooled(net, grid[a : a + chunk]) @ net.dense + net.bias)
-        np.add.at(sums, owner[a : a + chunk], p * size[a : a + chunk, None])
+    flat, ends = _bytes_of(texts)
+    for first, last in _runs(lengths):
+        # a run of texts, or a part of a text that is longer than a run
+        lows = range(0, int(lengths[first]), PART) if last == first + 1 else (0,)
+        for low in lows:
+            own = lengths[first:last] if last > first + 1 else np.minimum(lengths[first:last] - low, PART)
+            begin = int(ends[first]) + low
+            grid, owner, size = windows(flat[begin : begin + int(own.sum())], own)
+            for a in range(0, len(grid), chunk):
+                p = softmax(pooled(net, grid[a : a + chunk]) @ net.dense + net.bias)
+                np.add.at(sums, first + owner[a : a + chunk], p * size[a : a + chunk, None])
     mean = sums / np.maximum(lengths, 1)[:, None]
     best = mean.argmax(1)
     langs = [net.langs[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), lettered.tolist(), strict=True)]
@@ -166,17 +209,21 @@ def predict(net: Network, texts: pa.Array, chunk: int = 2048) -> tuple[list[str]
 
 
 def identify(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, the columns ``keep``, lang_pred, score) of every document."""
+    """(id, the columns ``keep``, lang_pred, score) of every document; what was found replaces kept columns of the same name.
+
+    Only the text goes to Python; the other columns wait in the JVM.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(net)
-    rows = docs.select(F.col(text_col).alias("__text"), F.col(id_col), *[F.col(c) for c in keep if c != id_col])
-    out = rows.drop("__text").schema.add("lang_pred", "string").add("score", "double")
-
-    def work(batches):
-        for batch in batches:
-            texts = texts_of(batch.column(0))
-            for a, b in slices(texts, 2 << 20):
-                langs, score = predict(shared.value, texts.slice(a, b - a))
-                own = [batch.column(i).slice(a, b - a) for i in range(1, batch.num_columns)]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(langs, pa.string()), pa.array(score, pa.float64())], names=out.names)
-
-    return rows.mapInArrow(work, out)
+
+    @F.arrow_udf("struct<lang_pred: string, score: double>")
+    def found(column: pa.Array) -> pa.Array:
+        langs, scores = [], [np.zeros(0)]
+        for a, b in slices(column, 2 << 20):
+            own, score = predict(shared.value, texts_of(column.slice(a, b - a)))
+            langs += own
+            scores.append(score)
+        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(np.concatenate(scores), pa.float64())], ["lang_pred", "score"])
+
+    own = [id_col, *[c for c in keep if c != id_col and c.lower() not in ("lang_pred", "score")]]
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    return held.select("row", found("text").alias("found")).select("row.*", "found.*")

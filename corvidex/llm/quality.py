@@ -14,7 +14,8 @@ texts in which a hash occurs twice go on to sort them.
 
 Defined results: null, empty and blank texts have no words: all counts are 0 and they fail the base rules.
 Texts are read whole.  Repeated rows get the same verdict.  An empty table gives no rows.  If every rule
-abstains, the posterior is the share of good documents.
+abstains, the posterior is the share of good documents.  Documents with equal votes tie and share a verdict.
+Columns of the input may have any name: a row travels as one struct.
 """
 
 from __future__ import annotations
@@ -56,8 +57,8 @@ def repeated_words(hashes: Column) -> Column:
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole_row: bool = False) -> DataFrame:
     """One row of counts per document: (id, n_words, word_chars, n_symbols, ...); ``id`` holds the whole row if asked for."""
-    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if whole_row else F.col(id_col)
-    held = docs.select(own.alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if whole_row else F.col(f"`{id_col}`")
+    held = docs.select(own.alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t"))
     without = lambda chars: F.length("t") - F.length(F.translate("t", chars, ""))
     lines = F.filter(F.split("t", "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     held = held.select("id", "t", ascii_words(F.col("t")).alias("w"), lines.alias("l"))
@@ -141,9 +142,9 @@ def estimate(patterns: DataFrame, rounds: int = 25, tolerance: float = 1e-3) ->
     return model
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, dict]:
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole_row: bool = False) -> tuple[DataFrame, dict]:
     """(stored votes of every document, the model estimated from them)."""
-    voted = stored(votes(statistics(docs, id_col, text_col)), "quality-votes")
+    voted = stored(votes(statistics(docs, id_col, text_col, whole_row)), "quality-votes")
     names = [f"v_{r}" for r in RULES]
     patterns = stored(voted.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).coalesce(1), "quality-patterns")
     return voted, estimate(patterns)
@@ -163,12 +164,6 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """The documents kept, with all their columns; rows are judged where they stand, without a join.
-
-    A filter on the verdict would be pushed below the statistics and compute them once more, so the verdict empties
-    an array around the row instead, and what is filtered is the array's element.
-    """
-    _, model = fit(docs, id_col, text_col)
-    judged = verdict(votes(statistics(docs, id_col, text_col, whole_row=True)), model, least)
-    held = judged.select(F.explode_outer(F.filter(F.array("id"), lambda _: F.col("kept"))).alias("row"))
-    return held.where(F.col("row").isNotNull()).select("row.*")
+    """The documents kept, with all their columns: rows are stored once beside their votes and filtered from there."""
+    voted, model = fit(docs, id_col, text_col, whole_row=True)
+    return verdict(voted, model, least).where("kept").select("id.*")

@@ -19,7 +19,8 @@ shared folder.  Equal fingerprints are one node from the start, so copies never
 Defined results: words are ASCII-lower-cased runs without ASCII white space; a text of fewer words than a
 shingle has the whole sequence as its one shingle; null, empty and blank texts have fingerprint 0, linked
 like any other.  Rows with a null id get a fingerprint and a component but never name one unless all
-members' ids are null.  Repeated rows share a component.  An empty table gives no rows.
+members' ids are null.  Repeated rows share a component.  An empty table gives no rows.  A bit set in exactly half
+of the hashes is 0.  Only the id and the text are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -34,8 +35,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvidex.llm._spark import stored
-from corvidex.llm._words import texts_of
+from corvidex.llm import jaccard
+from corvidex.llm._graph import components
+from corvidex.llm._spark import spread_join, stored
+from corvidex.llm._words import slices, texts_of
 
 BITS = 64
 SEED = 42
@@ -66,13 +69,14 @@ def fingerprint(text: str | None, width: int = 4) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
     """(id, fp) with the fingerprint as a signed long."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
     def work(batches):
         for batch in batches:
-            fps = np.fromiter((fingerprint(t.as_py(), width) for t in texts_of(batch.column(1))), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["id", "fp"])
+            for lo, hi in slices(batch.column(1)):
+                fps = np.fromiter((fingerprint(t.as_py(), width) for t in texts_of(batch.column(1).slice(lo, hi - lo))), np.uint64, hi - lo)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(fps.view(np.int64))], names=["id", "fp"])
 
     return rows.mapInArrow(work, f"id {kind}, fp long")
 
@@ -172,25 +176,21 @@ def _forest(radius: int):
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         index, probe = pdf[pdf["role"] == 0]["fp"].unique().astype(np.int64), pdf[pdf["role"] == 1]["fp"].unique().astype(np.int64)
-        root: dict[int, int] = {}
-
-        def find(x: int) -> int:
-            while root.setdefault(x, x) != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
-
-        links = []
-        for at in range(0, len(probe), 512):
-            own = probe[at : at + 512]
-            near = np.bitwise_count((own[:, None] ^ index[None, :]).view(np.uint64)) <= radius
-            for i, j in zip(*np.nonzero(near), strict=True):
-                a, b = int(own[i]), int(index[j])
-                ra, rb = find(a), find(b)
-                if ra != rb:
-                    root[ra] = rb
-                    links.append((min(a, b), max(a, b)))
-        return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
+        own, at = np.unique(np.concatenate([index, probe]), return_inverse=True)
+        there, asked = at[: len(index)], at[len(index) :]
+        label = np.arange(len(own))
+        a, b = [], []
+        for x, k in zip(probe.tolist(), asked.tolist(), strict=True):
+            near = there[np.bitwise_count((np.int64(x) ^ index).view(np.uint64)) <= radius]
+            # one link to each group met that is not this fingerprint's own
+            groups, first = np.unique(label[near], return_index=True)
+            new = groups != label[k]
+            if new.any():
+                a += [x] * int(new.sum())
+                b += own[near[first[new]]].tolist()
+                label[np.isin(label, groups)] = label[k]
+        lo, hi = np.minimum(np.array(a, np.int64), np.array(b, np.int64)), np.maximum(np.array(a, np.int64), np.array(b, np.int64))
+        return pd.DataFrame({"a": lo, "b": hi})
 
     return work
 
@@ -223,36 +223,42 @@ def links(fps: DataFrame, radius: int = 4) -> DataFrame:
     return cold.unionByName(warm.where("a < b")).distinct()
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
-    """(node, root): the smallest node reachable from each node of the edges (a, b); nodes without edges are absent."""
-    spark = edges.sparkSession
-    edges = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc")
-    size, total = edges.count(), None
-    for _ in range(rounds):
-        if not size:
-            return spark.createDataFrame([], edges.schema).select(F.col("u").alias("node"), F.col("v").alias("root"))
-        # large star: a node's larger neighbours link to the smallest of its neighbourhood
-        both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        # small star: a node and its smaller neighbours link to the smallest of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).distinct()
-        edges = stored(small, "cc")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if total == tuple(now):
-            break
-        total, size = tuple(now), now[0]
-    return edges.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, radius: int = 4) -> DataFrame:
     """(id, fingerprint, component_id): one row per document; the component is its smallest id."""
     rows = stored(fingerprints(docs, id_col, text_col, width), "simhash-fp")
-    distinct = stored(rows.groupBy("fp").agg(F.min("id").alias("rep")), "simhash-distinct")
+    distinct = stored(rows.groupBy("fp").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")), "simhash-distinct")
     found = components(links(distinct, radius))
     # a component's name is the smallest id of its fingerprints
-    named = distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
-    names = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    by_fp = named.join(names, "root").select("fp", "component_id")
-    return rows.join(by_fp, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    named = distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", "rep", "n", F.coalesce("root", "fp").alias("root"))
+    names = named.groupBy("root").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("members"))
+    by_fp = spread_join(named, names, "root", "members").select("fp", "n", "component_id")
+    return spread_join(rows, by_fp, "fp", "n").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, radius: int = 4) -> DataFrame:
+    """The documents without near copies, all columns: of each group the row of the smallest id stays, null ids last.
+
+    Groups join all texts whose sets of ``width``-word shingles have ``similarity`` or more of their union in common.
+    Links between fingerprints propose pairs, which are verified on the whole sets; as a fingerprint misses pairs that are
+    alike but not close, :mod:`corvidex.llm.jaccard` then finds every pair left between two groups.
+
+    A row is told by its id and all its other columns, so rows that share an id but not a text are documents of
+    their own.  Repeated rows are copies, of which one stays.
+    """
+    cells = [F.col(f"`{c}`") for c in docs.columns]
+    nulls = F.concat(*[c.isNull().cast("string") for c in cells])
+    key = F.struct(F.col(f"`{id_col}`").isNull().alias("none"), F.col(f"`{id_col}`").alias("id"), F.xxhash64(nulls, *cells).alias("h1"), F.xxhash64(F.lit(1), nulls, *cells).alias("h2"))
+    rows = docs.select(key.alias("key"), F.col(f"`{text_col}`").alias("text"))
+    named = stored(jaccard.named(rows, "key", width), "near-nodes")
+    texts = stored(jaccard.named(rows, "text", width).groupBy("node").agg(F.first("text").alias("text"), F.first("fp").alias("fp")), "near-texts")
+    # nodes of one fingerprint hang on the smallest of them, and those smallest ones on each other
+    by_fp = stored(texts.groupBy("fp").agg(F.min("node").alias("low")), "near-fps")
+    met = links(by_fp.select("fp"), radius)
+    low = lambda c, name: by_fp.select(F.col("fp").alias(c), F.col("low").alias(name))
+    proposed = met.join(low("a", "x"), "a").join(low("b", "y"), "b").select("x", "y").union(texts.join(by_fp, "fp").where("node <> low").select("low", "node"))
+    edges = jaccard.links(texts, proposed.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), width, similarity)
+    found = components(edges)
+    sized = named.groupBy("node").agg(F.min("key").alias("key")).join(found, "node", "left").select("key", F.coalesce("root", "node").alias("root"))
+    first = sized.groupBy("root").agg(F.min("key").alias("key")).select("key.h1", "key.h2")
+    held = docs.select(F.struct(*cells).alias("row"), key["h1"].alias("h1"), key["h2"].alias("h2"))
+    return held.join(first, ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"]).select("row.*")

@@ -21,7 +21,9 @@ requires; memory is one cell, what leaves a cell is ``k + 1`` rows a query, and
 
 Defined results: vectors that are null, empty of ids, or hold null or non-finite components take no
 part; neither do rows with a null id.  Vectors of different lengths are not compared.  A repeated
-(id, vector) row counts once.  Components are clipped to +-2**31.  Extra columns are ignored.
+(id, vector) row counts once.  Sums are exact whatever the size of the components; a score beyond a 64-bit integer is given as the nearest one, and
+such scores tie.  Equal scores go to smaller ids.  Vectors of any length are read whole.  An empty table gives no rows.  Only the id
+and the vector are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -40,6 +42,7 @@ QUERY_BLOCK = 4096
 VECTOR_BLOCK = 2048
 CHUNK = 512
 SALTS = 16
+LONGEST = 2**63 - 1
 
 
 def _quantised(batches, k: int, every: int, scale: float):
@@ -55,12 +58,12 @@ def _quantised(batches, k: int, every: int, scale: float):
         stops = np.cumsum(counts)
         null = np.asarray(lists.is_null())
         with np.errstate(invalid="ignore", over="ignore"):
-            whole = np.clip(np.floor(values * scale), -(2**31), 2**31)
+            whole = np.nan_to_num(np.floor(values * scale)) + 0.0  # no negative zero: equal vectors have equal bytes
         bad = np.concatenate([[0], np.cumsum(~np.isfinite(values))])
         for i, (vid, stop, n) in enumerate(zip(ids, stops.tolist(), counts.tolist(), strict=True)):
             if vid is None or null[i] or bad[stop] > bad[stop - n]:
                 continue
-            mine = held.setdefault(whole[stop - n : stop].astype("<i8").tobytes(), (set(), set()))
+            mine = held.setdefault(whole[stop - n : stop].astype("<f8").tobytes(), (set(), set()))
             mine[0].add(vid)
             if vid % every == 0:
                 mine[1].add(vid)
@@ -72,19 +75,24 @@ def _quantised(batches, k: int, every: int, scale: float):
 
 
 def _matrix(keys) -> np.ndarray:
-    flat = np.frombuffer(b"".join(keys), dtype="<i8")
-    return flat.reshape(len(keys), -1) if len(flat) else np.zeros((len(keys), 0), np.int64)
+    flat = np.frombuffer(b"".join(keys), dtype="<f8")
+    return flat.reshape(len(keys), -1) if len(flat) else np.zeros((len(keys), 0))
 
 
-def _exact_type(a: np.ndarray, b: np.ndarray):
-    """float64 where every sum stays below 2**53, else int64."""
+def _exact(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both matrices of whole numbers in a type that holds every sum of their products: float64, int64 or Python's integers."""
     top = (int(np.abs(a).max(initial=0)) or 1) * (int(np.abs(b).max(initial=0)) or 1) * max(1, a.shape[1])
-    return np.float64 if top < 2**53 else np.int64
+    if top < 2**53:
+        return a, b
+    if top < LONGEST:
+        return a.astype(np.int64), b.astype(np.int64)
+    whole = np.frompyfunc(int, 1, 1)
+    return whole(a), whole(b)
 
 
 def _best(scores: np.ndarray, ids: list, most: int) -> list[tuple[int, int]]:
     """The best ``most`` (score, id) rows of some classes; ties to smaller ids."""
-    rows = [(-int(s), v) for s, own in zip(scores, ids, strict=True) for v in own]
+    rows = [(max(-LONGEST, min(LONGEST, -int(s))), v) for s, own in zip(scores, ids, strict=True) for v in own]
     return sorted(rows)[:most]
 
 
@@ -115,8 +123,7 @@ def _cells(vectors: pd.DataFrame, queries: pd.DataFrame):
             for at in range(0, len(own), CHUNK):
                 chunk = own.iloc[at : at + CHUNK]
                 q = _matrix(list(chunk["key"]))
-                kind = _exact_type(q, v)
-                yield chunk, q.astype(kind), v.astype(kind), list(there["ids"]), there["first"].to_numpy()
+                yield chunk, *_exact(q, v), list(there["ids"]), there["first"].to_numpy()
 
 
 def _segments(n: int, segments: int) -> list[slice]:
@@ -146,18 +153,20 @@ def _collect(segments: int, most: int):
         for chunk, q, v, ids, _ in _cells(vectors, queries):
             cuts = _segments(q.shape[1], segments)
             parts = [q[:, s] @ v[:, s].T for s in cuts]
-            tau = chunk["tau"].to_numpy(dtype=np.float64, na_value=-np.inf)
-            uniform = np.where(np.isfinite(tau), np.ceil(tau / len(cuts)), -np.inf)
-            passed = [p >= uniform[:, None] for p in parts]
-            any_list = np.logical_or.reduce(passed)
-            for i, key in enumerate(chunk["key"]):
-                own = np.flatnonzero(any_list[i])
+            for i, (key, tau) in enumerate(zip(chunk["key"], chunk["tau"].tolist(), strict=True)):
+                own = np.arange(len(ids))
+                if not pd.isna(tau):
+                    tau = int(tau)
+                    uniform = -(-tau // len(cuts))
+                    passed = [p[i] >= uniform for p in parts]
+                    own = np.flatnonzero(np.logical_or.reduce(passed))
+                    bound = sum(np.where(h[own], p[i, own], uniform) for h, p in zip(passed, parts, strict=True))
+                    own = own[bound >= tau]
+                exact = sum(p[i, own] for p in parts)
+                if not pd.isna(tau):
+                    own, exact = own[exact >= tau], exact[exact >= tau]
                 if not len(own):
                     continue
-                bound = sum(np.where(h[i, own], p[i, own], uniform[i]) for h, p in zip(passed, parts, strict=True))
-                own = own[bound >= tau[i]]
-                exact = sum(p[i, own] for p in parts)
-                own, exact = own[exact >= tau[i]], exact[exact >= tau[i]]
                 best = np.argsort(-exact, kind="stable")[:most]  # columns are ordered by first id
                 rows = _best(exact[best], [ids[j] for j in own[best]], most)
                 keys.append(key)
@@ -195,8 +204,8 @@ def exact_top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "
         return df.groupBy("key", F.pmod(F.xxhash64("top"), F.lit(SALTS)).alias("salt")).agg(top).groupBy("key").agg(top)
 
     local = best(over_cells(asked, _gather(segments, most), "key binary, top array<long>"), False)
-    # fewer rows than asked for leave no cutoff: then every entry is collected
-    cut = local.select("key", F.when(F.size("top") >= most, F.get("top", F.lit(most - 1))).cast("double").alias("tau"))
+    # fewer rows than asked for leave no cutoff: then every entry is collected; as text, as pandas would turn longs with nulls into doubles
+    cut = local.select("key", F.when(F.size("top") >= most, F.get("top", F.lit(most - 1)).cast("string")).alias("tau"))
     cut = stored(wanted.join(cut, "key", "left").select("key", block(q_blocks, 2).alias("qb"), "tau"), "topk-cut")
     final = best(over_cells(cut, _collect(segments, most), "key binary, top array<struct<s:long,v:long>>"), True)
     return (

@@ -399,7 +399,7 @@ def test_jaccard_components_against_all_pairs(spark, docs, odd, hot):
     held, jaccard.HOT_BUCKET = jaccard.HOT_BUCKET, hot
     common, jaccard.COMMON = jaccard.COMMON, 3
     try:
-        got = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(rows).collect()}
+        got = {r["doc_id"] for r in simhash.keep_first(rows).collect()}
     finally:
         jaccard.HOT_BUCKET, jaccard.COMMON = held, common
     sets = {r["doc_id"]: frozenset(jaccard.shingle_set(r["text"]).tolist()) for r in rows.collect()}
@@ -413,8 +413,31 @@ def test_jaccard_components_against_all_pairs(spark, docs, odd, hot):
                     root[b] = root[a]
         if before == root:
             break
-    assert got == root
-    assert jaccard.near_duplicates(odd).count() == odd.count() and jaccard.near_duplicates(empty(odd)).count() == 0
+    assert got == set(root.values())
+    assert simhash.keep_first(odd).columns == odd.columns and simhash.keep_first(empty(odd)).count() == 0
+
+
+def test_keep_first_tells_rows_apart(spark):
+    """Rows that share an id but not a text stay; of copies one stays, whatever their ids; null ids come last."""
+    one, two, three = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, one, "x"), (1, two, "x"), (1, two, "y"), (2, one, "z"), (3, three, "x"), (3, three, "x"), (None, three, "x"), (None, "only " + one[:60], None), (4, None, "x"), (5, "", "x")]
+    got = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string, key string")).collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in got) == sorted([(1, one), (1, two), (3, three), (0, "only " + one[:60]), (4, "")])
+
+
+def test_hot_keys_are_dealt_out(spark):
+    from corvidex.llm._spark import spread_join
+
+    many = spark.range(5000).select("id", F.when(F.col("id") < 3000, 0).otherwise(F.col("id")).alias("k"))
+    one = many.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"))
+    got = spread_join(many, one, "k", "n")
+    assert got.count() == 5000 and got.where("low <> CASE WHEN id < 3000 THEN 0 ELSE id END").isEmpty() and set(got.columns) == {"id", "k", "low"}
+
+
+def test_components_of_a_long_path(spark):
+    n = 300
+    edges = spark.range(n - 1).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    assert simhash.components(edges).where("root = 0").count() == n - 1
 
 
 def test_queries_have_their_columns(spark):
