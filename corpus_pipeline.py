@@ -2,12 +2,12 @@
 
 1. language ID: texts without letters, or of no language clearly, go;
 2. quality rules: documents that fail the base rules or are more likely bad than good go;
-3. near-dedup: of each group that links of 5-word Jaccard similarity 0.8 or more join, the document of the smallest id stays;
+3. SimHash near-dedup: of each group that links of 5-word Jaccard similarity 0.8 or more join, one document stays;
 4. secret scans: secrets are cut out of the texts, every document stays;
 5. best-fit packing: documents become pieces of packed sequences.
 
-Documents with a null id cannot be named as a duplicate and stay in stage 3.  An id that stands for several rows
-keeps one of them there.
+Every stage takes nulls in any column, empty and very long texts, ties, repeated rows, empty tables and columns beyond
+those of ``documents``; its own docstring and that of its operator say what becomes of them.  No stage needs ``doc_id`` to be unique.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvidex.llm import jaccard, langid, packing, quality, queries, secrets
+from corvidex.llm import langid, packing, quality, queries, secrets, simhash
 from corvidex.llm._spark import stored
 
 #: A document of two languages in equal parts still passes.
@@ -24,6 +24,7 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Null, empty and letterless texts go; an empty table, or one without any ``lang`` to learn from, gives no rows."""
     names = docs.columns
     # trained outside fold 0 of this very input
     found = langid.identify(docs.withColumnsRenamed({c: f"in_{c}" for c in names}), langid.train_langid(docs), "in_doc_id", "in_text", keep=tuple(f"in_{c}" for c in names))
@@ -32,17 +33,18 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Null and empty texts have too few words and go; rows with the same text are judged alike."""
     return quality.keep_good(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = jaccard.near_duplicates(docs)
-    first = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where(F.col("doc_id").isNull()))
+    """Of each group of near copies one document stays, that of the smallest id.  Rows that share an id but not a text are
+    documents of their own; repeated rows are copies; a document without an id stays only if no other of its group has one."""
+    return simhash.keep_first(docs, width=5, similarity=0.8)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row stays; a text with secrets loses them and gets its new length as ``n_chars``; a null text stays null."""
     found = secrets.scan(docs, secrets.train(secrets.made_findings(spark)))
     changed = F.size("secrets") > 0
     new = {"text": F.col("redacted")} | ({"n_chars": F.when(changed, F.length("redacted").cast("long")).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {})
@@ -50,6 +52,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece; a null or empty text is one piece of the closing id."""
     packed = packing.pack(docs, queries._vocabulary("word_bpe_49k.json"))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
