@@ -16,19 +16,20 @@ def components(edges: DataFrame) -> DataFrame:
     """
     spark = edges.sparkSession
     edges = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc")
-    if edges.isEmpty():
+    size = edges.count()
+    if not size:
         return spark.createDataFrame([], edges.schema).select(F.col("u").alias("node"), F.col("v").alias("root"))
     total = None
     while True:
         # large star: a node's larger neighbours link to the smallest of its neighbourhood
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n"))
-        large = spread_join(both, least, "u", "n").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = spread_join(both, least, "u", "n", 2 * size).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # small star: a node and its smaller neighbours link to the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-        small = spread_join(large, low, "u", "n").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).distinct()
+        small = spread_join(large, low, "u", "n", 2 * size).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).distinct()
         edges = stored(small, "cc")
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if total == now:
             return edges.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
-        total = now
+        total, size = now, now[0]

@@ -43,14 +43,18 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
 
 #: A key is hot if it has more than 1 / HOT_SHARE of the rows, so there are never more than HOT_SHARE of them; SPREAD tasks share it.
 HOT_SHARE, SPREAD = 1000, 32
+#: One task may well take this many rows of a join, so smaller tables are joined plainly.
+ONE_TASK = 2_000_000
 
 
-def spread_join(many: DataFrame, one: DataFrame, key: str, count: str, how: str = "inner") -> DataFrame:
-    """``many`` joined with ``one`` on ``key``, where ``one`` has each key once and says in ``count`` how many rows of ``many`` have it.
+def spread_join(many: DataFrame, one: DataFrame, key: str, count: str, rows: int, how: str = "inner") -> DataFrame:
+    """``many`` of ``rows`` rows joined with ``one`` on ``key``, where ``one`` has each key once and says in ``count`` how many rows of ``many`` have it.
 
     The rows of a hot key are dealt over ``SPREAD`` tasks by a hash of the row, and its row of ``one`` is repeated for each
     of them.  Only the hot keys are broadcast, at most ``HOT_SHARE``.
     """
+    if rows <= ONE_TASK:
+        return many.join(one.drop(count), key, how)
     total = F.broadcast(one.agg(F.sum(count).alias("__total")))
     hot = one.crossJoin(total).where(F.col(count) * HOT_SHARE > F.col("__total")).select(key, F.lit(True).alias("__hot"))
     left = many.join(F.broadcast(hot), key, "left").withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in many.columns]), F.lit(SPREAD))).otherwise(0)).drop("__hot")

@@ -3,7 +3,7 @@
 A text is the set of the 64-bit hashes of its 5-word shingles.  Two sets link at 0.8 or more of their union.
 Pairs that fingerprints propose are verified first.  What they miss is found by a prefix join: in any one order of
 all shingles, two linked sets share one of the first ``n - ceil(0.8 n) + 1`` shingles of each, so only those are
-looked up, and each pair found between two groups is verified on the whole sets.
+looked up, and each pair found that was not tried yet is verified on the whole sets.
 
 * The order puts shingles that a sample of the sets shows to be common last, so a line that many texts share is
   looked up only by texts made of such lines.  The sample changes the cost and never the result.
@@ -82,18 +82,19 @@ def prefix_length(n: int, similarity: Fraction = FOUR_FIFTHS) -> int:
     return n - ceil(similarity * n) + 1 if n else 0
 
 
-def named(docs: DataFrame, kept: str, width: int) -> DataFrame:
-    """(kept, node, fp) of each row of ``docs(kept, text)``; ``kept`` may be the text itself."""
-    out = docs.select(F.col(kept)).schema.add("node", "long").add("fp", "long")
+def named(docs: DataFrame, width: int) -> DataFrame:
+    """``docs(key, text)`` with the name and the fingerprint of each text's set."""
 
     def work(batches):
         for batch in batches:
             for lo, hi in slices(batch.column(1), PART_BYTES):
                 sets = (shingle_set(t.as_py(), width) for t in texts_of(batch.column(1).slice(lo, hi - lo)))
                 both = np.fromiter(((node_of(x), fingerprint_of(x)) for x in sets), np.dtype((np.int64, 2)), hi - lo)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(both[:, 0]), pa.array(both[:, 1])], names=[kept, "node", "fp"])
+                own = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array(both[:, 0]), pa.array(both[:, 1])], names=["key", "text", "node", "fp"])
 
-    return docs.select(F.col(kept), F.col("text").alias("__text")).mapInArrow(work, out)
+    rows = docs.select("key", "text")
+    return rows.mapInArrow(work, docs.select("key", "text").schema.add("node", "long").add("fp", "long"))
 
 
 def _common(texts: DataFrame, width: int) -> np.ndarray:
@@ -141,11 +142,11 @@ def _prefixes(texts: DataFrame, common: np.ndarray, width: int, similarity: Frac
 
 
 def _pairs(left: DataFrame, right: DataFrame, similarity: Fraction, *more) -> DataFrame:
-    """(a, b), a < b: distinct nodes of different groups that share a token, where sizes and places allow the similarity."""
+    """(a, b), a < b: distinct nodes that share a token, where sizes and places allow the similarity."""
     x = left.select(F.col("token"), *[F.col(c).alias(f"{c}_x") for c in left.columns if c != "token"])
     y = right.select(F.col("token"), *[F.col(c).alias(f"{c}_y") for c in right.columns if c != "token"])
     most = F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y"))
-    met = x.join(y, "token").where(_alike(most, F.col("n_x") + F.col("n_y"), similarity) & (F.col("root_x") != F.col("root_y")))
+    met = x.join(y, "token").where(_alike(most, F.col("n_x") + F.col("n_y"), similarity) & (F.col("node_x") != F.col("node_y")))
     for condition in more:
         met = met.where(condition)
     return met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
@@ -173,29 +174,25 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: Fracti
     return both.where(_alike(F.size(F.array_intersect("sa", "sb")), F.size("sa") + F.size("sb"), similarity)).select("a", "b")
 
 
-def _rooted(rows: DataFrame, edges: DataFrame) -> DataFrame:
-    """``rows`` with the root of each node's group, itself where it has no link."""
-    return rows.join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
-
-
 def links(texts: DataFrame, proposed: DataFrame, width: int = WIDTH, similarity: float = 0.8) -> DataFrame:
     """(a, b), a < b: links between the nodes of ``texts(node, text)`` that connect all that are alike; ``proposed`` pairs are tried first."""
     least = Fraction(str(similarity))
-    edges = stored(_verified(stored(proposed, "jaccard-proposed"), texts, width, least), "jaccard-edges")
-    looked = _prefixes(texts, _common(texts, width), width, least)
+    tried = stored(proposed, "jaccard-proposed")
+    edges = stored(_verified(tried, texts, width, least), "jaccard-edges")
+    looked = stored(_prefixes(texts, _common(texts, width), width, least), "jaccard-prefixes")
     counts = looked.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    shared = stored(_rooted(looked.join(counts, "token"), edges), "jaccard-shared")
+    shared = stored(looked.join(counts, "token"), "jaccard-shared")
     cold, hot = shared.where(F.col("size") <= HOT_BUCKET).drop("size"), shared.where(F.col("size") > HOT_BUCKET).drop("size")
     pairs = _pairs(cold, cold, least, F.col("node_x") < F.col("node_y"))
     if hot.isEmpty():
-        return edges.unionByName(_verified(stored(pairs, "jaccard-pairs"), texts, width, least))
+        return edges.unionByName(_verified(stored(pairs.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs"), texts, width, least))
     # the least of several hashes each
     found = hot.groupBy("token").agg(F.array_distinct(F.array(*[F.min(F.struct(F.xxhash64("node", F.lit(s)).alias("h"), "node", "n", "pos")).getField("node") for s in range(LEADERS)])).alias("nodes"))
     leaders = found.select("token", F.explode("nodes").alias("node")).join(hot, ["token", "node"])
-    pairs = stored(pairs.unionByName(_pairs(leaders, hot, least)).distinct(), "jaccard-pairs")
+    pairs = stored(pairs.unionByName(_pairs(leaders, hot, least)).distinct().join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
     edges = stored(edges.unionByName(_verified(pairs, texts, width, least)), "jaccard-edges")
-    placed = stored(_rooted(hot.drop("root"), edges), "jaccard-hot")
+    placed = stored(hot.join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node")), "jaccard-hot")
     largest = placed.groupBy("token", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("token").agg(F.max_by("root", F.struct("c", "root")).alias("top"))
     outside = placed.join(largest, "token").where("root <> top").drop("top")
-    rest = stored(_pairs(outside, placed, least).join(pairs, ["a", "b"], "left_anti"), "jaccard-rest")
+    rest = stored(_pairs(outside, placed, least, F.col("root_x") != F.col("root_y")).join(pairs.unionByName(tried), ["a", "b"], "left_anti"), "jaccard-rest")
     return edges.unionByName(_verified(rest, texts, width, least))

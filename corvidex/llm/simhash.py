@@ -231,8 +231,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # a component's name is the smallest id of its fingerprints
     named = distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", "rep", "n", F.coalesce("root", "fp").alias("root"))
     names = named.groupBy("root").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("members"))
-    by_fp = spread_join(named, names, "root", "members").select("fp", "n", "component_id")
-    return spread_join(rows, by_fp, "fp", "n").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    total = rows.count()
+    by_fp = spread_join(named, names, "root", "members", total).select("fp", "n", "component_id")
+    return spread_join(rows, by_fp, "fp", "n", total).select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, radius: int = 4) -> DataFrame:
@@ -249,8 +250,8 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     nulls = F.concat(*[c.isNull().cast("string") for c in cells])
     key = F.struct(F.col(f"`{id_col}`").isNull().alias("none"), F.col(f"`{id_col}`").alias("id"), F.xxhash64(nulls, *cells).alias("h1"), F.xxhash64(F.lit(1), nulls, *cells).alias("h2"))
     rows = docs.select(key.alias("key"), F.col(f"`{text_col}`").alias("text"))
-    named = stored(jaccard.named(rows, "key", width), "near-nodes")
-    texts = stored(jaccard.named(rows, "text", width).groupBy("node").agg(F.first("text").alias("text"), F.first("fp").alias("fp")), "near-texts")
+    named = stored(jaccard.named(rows, width), "near-nodes")
+    texts = stored(named.groupBy("node").agg(F.first("text").alias("text"), F.first("fp").alias("fp")), "near-texts")
     # nodes of one fingerprint hang on the smallest of them, and those smallest ones on each other
     by_fp = stored(texts.groupBy("fp").agg(F.min("node").alias("low")), "near-fps")
     met = links(by_fp.select("fp"), radius)

@@ -430,7 +430,8 @@ def test_hot_keys_are_dealt_out(spark):
 
     many = spark.range(5000).select("id", F.when(F.col("id") < 3000, 0).otherwise(F.col("id")).alias("k"))
     one = many.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"))
-    got = spread_join(many, one, "k", "n")
+    got = spread_join(many, one, "k", "n", 1 << 40)
+    assert spread_join(many, one, "k", "n", 5000).count() == 5000
     assert got.count() == 5000 and got.where("low <> CASE WHEN id < 3000 THEN 0 ELSE id END").isEmpty() and set(got.columns) == {"id", "k", "low"}
 
 
