@@ -1,9 +1,9 @@
 """The exact check behind :func:`corvidex.llm.simhash.keep_first`: every pair of texts whose word shingles are alike.
 
 A text is the set of the 64-bit hashes of its 5-word shingles.  Two sets link at 0.8 or more of their union.
-Pairs that fingerprints propose are verified first.  What they miss is found by a prefix join: in any one order of
-all shingles, two linked sets share one of the first ``n - ceil(0.8 n) + 1`` shingles of each, so only those are
-looked up, and each pair found that was not tried yet is verified on the whole sets.
+The search is a prefix join: in any one order of all shingles, two linked sets share one of the first
+``n - ceil(0.8 n) + 1`` shingles of each, so only those are looked up.  Rows of a shingle meet in one sorted pass,
+which holds one group of bounded size; pairs met there and pairs that fingerprints propose are verified on the whole sets.
 
 * The order puts shingles that a sample of the sets shows to be common last, so a line that many texts share is
   looked up only by texts made of such lines.  The sample changes the cost and never the result.
@@ -38,7 +38,7 @@ WIDTH = 5
 FOUR_FIFTHS = Fraction(4, 5)
 #: 1 / SAMPLE of the sets is counted for the order; a shingle in COMMON of them comes late.  At most MOST shingles do.
 SAMPLE, COMMON, MOST = 8, 16, 200_000
-HOT_BUCKET = 64
+HOT_BUCKET = 16
 LEADERS = 8
 #: Of text at a time; a longer text is a part of its own.
 PART_BYTES = 4 << 20
@@ -82,19 +82,20 @@ def prefix_length(n: int, similarity: Fraction = FOUR_FIFTHS) -> int:
     return n - ceil(similarity * n) + 1 if n else 0
 
 
-def named(docs: DataFrame, width: int) -> DataFrame:
-    """``docs(key, text)`` with the name and the fingerprint of each text's set."""
+def named(rows: DataFrame, width: int) -> DataFrame:
+    """The columns of ``rows(.., text)`` but the text, with the name and the fingerprint of its set."""
+    keys = [c for c in rows.columns if c != "text"]
 
     def work(batches):
         for batch in batches:
-            for lo, hi in slices(batch.column(1), PART_BYTES):
-                sets = (shingle_set(t.as_py(), width) for t in texts_of(batch.column(1).slice(lo, hi - lo)))
+            text = batch.column(len(keys))
+            for lo, hi in slices(text, PART_BYTES):
+                sets = (shingle_set(t.as_py(), width) for t in texts_of(text.slice(lo, hi - lo)))
                 both = np.fromiter(((node_of(x), fingerprint_of(x)) for x in sets), np.dtype((np.int64, 2)), hi - lo)
                 own = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array(both[:, 0]), pa.array(both[:, 1])], names=["key", "text", "node", "fp"])
+                yield pa.RecordBatch.from_arrays([*[own.column(i) for i in range(len(keys))], pa.array(both[:, 0]), pa.array(both[:, 1])], names=[*keys, "node", "fp"])
 
-    rows = docs.select("key", "text")
-    return rows.mapInArrow(work, docs.select("key", "text").schema.add("node", "long").add("fp", "long"))
+    return rows.select(*keys, "text").mapInArrow(work, rows.select(*keys).schema.add("node", "long").add("fp", "long"))
 
 
 def _common(texts: DataFrame, width: int) -> np.ndarray:
@@ -106,7 +107,7 @@ def _common(texts: DataFrame, width: int) -> np.ndarray:
                 own = np.concatenate([shingle_set(t.as_py(), width) for t in texts_of(batch.column(0).slice(start, stop - start))])
                 yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64))], names=["token"])
 
-    counted = texts.where(F.pmod(F.xxhash64("node"), F.lit(SAMPLE)) == 0).select("text").mapInArrow(work, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("c"))
+    counted = texts.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0).select("text").mapInArrow(work, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("c"))
     rows = counted.where(F.col("c") >= COMMON).orderBy(F.col("c").desc(), "token").limit(MOST).collect()
     return np.array([r["token"] for r in reversed(rows)], np.int64).view(np.uint64)
 
@@ -127,18 +128,77 @@ def _prefixes(texts: DataFrame, common: np.ndarray, width: int, similarity: Frac
 
     def work(batches):
         for batch in batches:
-            nodes = np.asarray(batch.column(0), dtype=np.int64)
-            for start, stop in slices(batch.column(1), PART_BYTES):
-                own, sizes = [], []
-                for t in texts_of(batch.column(1).slice(start, stop - start)):
+            for start, stop in slices(batch.column(0), PART_BYTES):
+                own, sizes, nodes = [], [], []
+                for t in texts_of(batch.column(0).slice(start, stop - start)):
                     shingles = shingle_set(t.as_py(), width)
                     own.append(first(shingles))
                     sizes.append(len(shingles))
+                    nodes.append(node_of(shingles))
                 k = np.fromiter(map(len, own), np.int64, len(own))
-                columns = [np.concatenate(own).view(np.int64), np.repeat(nodes[start:stop], k), np.repeat(np.array(sizes, np.int32), k), ranges(np.zeros(len(k), np.int64), k).astype(np.int32)]
+                columns = [np.concatenate(own).view(np.int64), np.repeat(np.array(nodes, np.int64), k), np.repeat(np.array(sizes, np.int32), k), ranges(np.zeros(len(k), np.int64), k).astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "node", "n", "pos"])
 
-    return texts.select("node", "text").mapInArrow(work, "token long, node long, n int, pos int")
+    return texts.select("text").mapInArrow(work, "token long, node long, n int, pos int")
+
+
+def _met(similarity: Fraction, most: int):
+    """Reads (token, node, n, pos) in order of token and node; writes the pairs of nodes that share a token, and the
+    rows of tokens that more than ``most`` nodes look up as they are.  Holds one batch and one such group at a time."""
+    p, q = similarity.numerator, similarity.denominator
+
+    def pairs(token, node, n, pos):
+        """Candidate pairs of whole groups: all groups of one size at a time."""
+        starts = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.zeros(0, np.int64)
+        sizes = np.diff(np.append(starts, len(token)))
+        found = [np.zeros((0, 2), np.int64)]
+        for size in np.unique(sizes[sizes > 1]).tolist():
+            x, y = (np.add.outer(starts[sizes == size], i).ravel() for i in np.triu_indices(size, 1))
+            room = np.minimum(n[x] - pos[x], n[y] - pos[y]).astype(np.int64)
+            good = (p + q) * room >= p * (n[x].astype(np.int64) + n[y])
+            found.append(np.stack([np.minimum(node[x[good]], node[y[good]]), np.maximum(node[x[good]], node[y[good]])], axis=1))
+        return np.unique(np.concatenate(found), axis=0)
+
+    def out(ab=None, rows=None):
+        if rows is None:
+            none = pa.nulls(len(ab), pa.int64())
+            return pa.RecordBatch.from_arrays([none, pa.array(ab[:, 0]), pa.array(ab[:, 1]), pa.nulls(len(ab), pa.int32()), pa.nulls(len(ab), pa.int32())], names=["token", "a", "b", "n", "pos"])
+        token, node, n, pos = rows
+        return pa.RecordBatch.from_arrays([pa.array(token), pa.array(node), pa.nulls(len(token), pa.int64()), pa.array(n), pa.array(pos)], names=["token", "a", "b", "n", "pos"])
+
+    def work(batches):
+        held = [np.zeros(0, t) for t in (np.int64, np.int64, np.int32, np.int32)]
+        hot, last = None, None  # the token whose rows pass as they are, and its last node
+        for batch in batches:
+            rows = [np.concatenate([h, np.asarray(batch.column(i))]) for i, h in enumerate(held)]
+            fresh = np.append(True, (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])) if len(rows[0]) else np.zeros(0, bool)
+            if hot is not None and len(fresh) and rows[0][0] == hot and rows[1][0] == last:
+                fresh[0] = False  # a copy of what passed already
+                fresh[: int(np.searchsorted(rows[1][: int(np.searchsorted(rows[0], hot, side="right"))], last, side="right"))] = False
+            rows = [r[fresh] for r in rows]
+            token = rows[0]
+            starts = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.zeros(0, np.int64)
+            sizes = np.diff(np.append(starts, len(token)))
+            many = (sizes > most) | (token[starts] == hot if hot is not None else False)
+            pick = np.repeat(many, sizes)
+            if pick.any():
+                yield out(rows=[r[pick] for r in rows])
+            if len(starts):
+                hot, last = (int(token[-1]), int(rows[1][-1])) if many[-1] else (None, None)
+                # the last group may go on in the next batch
+                tail = ~pick & (np.arange(len(token)) >= starts[-1])
+                whole = ~pick & ~tail
+                ab = pairs(*[r[whole] for r in rows])
+                held = [r[tail] for r in rows]
+                if len(ab):
+                    yield out(ab=ab)
+            else:
+                held = rows
+        ab = pairs(*held)
+        if len(ab):
+            yield out(ab=ab)
+
+    return work
 
 
 def _pairs(left: DataFrame, right: DataFrame, similarity: Fraction, *more) -> DataFrame:
@@ -158,41 +218,41 @@ def _alike(both: Column, sizes: Column, similarity: Fraction) -> Column:
     return (p + q) * both >= p * sizes
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: Fraction) -> DataFrame:
+def _verified(pairs: DataFrame, texts_of_nodes, width: int, similarity: Fraction) -> DataFrame:
     """The pairs whose whole sets have that much of their union in common."""
 
     def work(batches):
         for batch in batches:
-            for start, stop in slices(batch.column(1), PART_BYTES):
-                own = pa.array([shingle_set(t.as_py(), width).view(np.int64) for t in texts_of(batch.column(1).slice(start, stop - start))], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), own], names=["node", "own"])
+            for start, stop in slices(batch.column(0), PART_BYTES):
+                sets = [shingle_set(t.as_py(), width) for t in texts_of(batch.column(0).slice(start, stop - start))]
+                yield pa.RecordBatch.from_arrays([pa.array([node_of(x) for x in sets], pa.int64()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))], names=["node", "own"])
 
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = stored(texts.join(needed, "node", "left_semi").select("node", "text").mapInArrow(work, "node long, own array<long>"), "jaccard-sets")
+    sets = stored(texts_of_nodes(needed).select("text").mapInArrow(work, "node long, own array<long>"), "jaccard-sets")
     a, b = sets.select(F.col("node").alias("a"), F.col("own").alias("sa")), sets.select(F.col("node").alias("b"), F.col("own").alias("sb"))
     both = pairs.join(a, "a").join(b, "b")
-    return both.where(_alike(F.size(F.array_intersect("sa", "sb")), F.size("sa") + F.size("sb"), similarity)).select("a", "b")
+    return both.where(_alike(F.size(F.array_intersect("sa", "sb")), F.size("sa") + F.size("sb"), similarity)).select("a", "b").distinct()
+
 
+def links(texts: DataFrame, texts_of_nodes, proposed: DataFrame, width: int = WIDTH, similarity: float = 0.8) -> DataFrame:
+    """(a, b), a < b: links between the nodes of ``texts(text)`` that connect all that are alike.
 
-def links(texts: DataFrame, proposed: DataFrame, width: int = WIDTH, similarity: float = 0.8) -> DataFrame:
-    """(a, b), a < b: links between the nodes of ``texts(node, text)`` that connect all that are alike; ``proposed`` pairs are tried first."""
+    ``proposed`` are pairs worth a look; ``texts_of_nodes`` gives the texts of a table of nodes.
+    """
     least = Fraction(str(similarity))
-    tried = stored(proposed, "jaccard-proposed")
-    edges = stored(_verified(tried, texts, width, least), "jaccard-edges")
-    looked = stored(_prefixes(texts, _common(texts, width), width, least), "jaccard-prefixes")
-    counts = looked.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    shared = stored(looked.join(counts, "token"), "jaccard-shared")
-    cold, hot = shared.where(F.col("size") <= HOT_BUCKET).drop("size"), shared.where(F.col("size") > HOT_BUCKET).drop("size")
-    pairs = _pairs(cold, cold, least, F.col("node_x") < F.col("node_y"))
+    looked = _prefixes(texts, _common(texts, width), width, least).repartition("token").sortWithinPartitions("token", "node")
+    met = stored(looked.mapInArrow(_met(least, HOT_BUCKET), "token long, a long, b long, n int, pos int"), "jaccard-met")
+    hot = met.where(F.col("token").isNotNull()).select("token", F.col("a").alias("node"), "n", "pos")
+    pairs = met.where(F.col("token").isNull()).select("a", "b").union(proposed.select("a", "b"))
     if hot.isEmpty():
-        return edges.unionByName(_verified(stored(pairs.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs"), texts, width, least))
+        return _verified(stored(pairs.distinct(), "jaccard-pairs"), texts_of_nodes, width, least)
     # the least of several hashes each
     found = hot.groupBy("token").agg(F.array_distinct(F.array(*[F.min(F.struct(F.xxhash64("node", F.lit(s)).alias("h"), "node", "n", "pos")).getField("node") for s in range(LEADERS)])).alias("nodes"))
     leaders = found.select("token", F.explode("nodes").alias("node")).join(hot, ["token", "node"])
-    pairs = stored(pairs.unionByName(_pairs(leaders, hot, least)).distinct().join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
-    edges = stored(edges.unionByName(_verified(pairs, texts, width, least)), "jaccard-edges")
+    pairs = stored(pairs.union(_pairs(leaders, hot, least)).distinct(), "jaccard-pairs")
+    edges = stored(_verified(pairs, texts_of_nodes, width, least), "jaccard-edges")
     placed = stored(hot.join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node")), "jaccard-hot")
     largest = placed.groupBy("token", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("token").agg(F.max_by("root", F.struct("c", "root")).alias("top"))
     outside = placed.join(largest, "token").where("root <> top").drop("top")
-    rest = stored(_pairs(outside, placed, least, F.col("root_x") != F.col("root_y")).join(pairs.unionByName(tried), ["a", "b"], "left_anti"), "jaccard-rest")
-    return edges.unionByName(_verified(rest, texts, width, least))
+    rest = stored(_pairs(outside, placed, least, F.col("root_x") != F.col("root_y")).join(pairs, ["a", "b"], "left_anti"), "jaccard-rest")
+    return edges if rest.isEmpty() else edges.unionByName(_verified(rest, texts_of_nodes, width, least))

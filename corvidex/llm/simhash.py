@@ -45,6 +45,7 @@ SEED = 42
 HOT_BUCKET = 128
 BLOCK = 2048
 PROBE_COST = 4.0
+BROADCAST_KEYS = 1_000_000
 
 
 def fingerprint(text: str | None, width: int = 4) -> int:
@@ -248,18 +249,36 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     cells = [F.col(f"`{c}`") for c in docs.columns]
     nulls = F.concat(*[c.isNull().cast("string") for c in cells])
-    key = F.struct(F.col(f"`{id_col}`").isNull().alias("none"), F.col(f"`{id_col}`").alias("id"), F.xxhash64(nulls, *cells).alias("h1"), F.xxhash64(F.lit(1), nulls, *cells).alias("h2"))
-    rows = docs.select(key.alias("key"), F.col(f"`{text_col}`").alias("text"))
-    named = stored(jaccard.named(rows, width), "near-nodes")
-    texts = stored(named.groupBy("node").agg(F.first("text").alias("text"), F.first("fp").alias("fp")), "near-texts")
+    hashes = [F.xxhash64(nulls, *cells).alias("h1"), F.xxhash64(F.lit(1), nulls, *cells).alias("h2")]
+    text, name = F.col(f"`{text_col}`").alias("text"), F.col(f"`{id_col}`")
+    rows = docs.select(*hashes, text)
+    named = stored(jaccard.named(docs.select(name.isNull().alias("none"), name.alias("id"), *hashes, text), width), "near-named")
+    key = F.struct("none", "id", "h1", "h2")
+    nodes = stored(named.groupBy("node").agg(F.min(key).alias("key"), F.first("fp").alias("fp"), F.count(F.lit(1)).alias("n")), "near-nodes")
+    # rows that are not their node's first
+    copies = spread_join(named, nodes.select("node", "n", F.col("key.h1").alias("k1"), F.col("key.h2").alias("k2")), "node", "n", named.count())
+    copies = stored(copies.where("h1 <> k1 OR h2 <> k2").select("h1", "h2").distinct(), "near-copies")
+    reps = nodes.select("node", "key.h1", "key.h2")
     # nodes of one fingerprint hang on the smallest of them, and those smallest ones on each other
-    by_fp = stored(texts.groupBy("fp").agg(F.min("node").alias("low")), "near-fps")
+    by_fp = stored(nodes.groupBy("fp").agg(F.min("node").alias("low")), "near-fps")
     met = links(by_fp.select("fp"), radius)
     low = lambda c, name: by_fp.select(F.col("fp").alias(c), F.col("low").alias(name))
-    proposed = met.join(low("a", "x"), "a").join(low("b", "y"), "b").select("x", "y").union(texts.join(by_fp, "fp").where("node <> low").select("low", "node"))
-    edges = jaccard.links(texts, proposed.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), width, similarity)
-    found = components(edges)
-    sized = named.groupBy("node").agg(F.min("key").alias("key")).join(found, "node", "left").select("key", F.coalesce("root", "node").alias("root"))
-    first = sized.groupBy("root").agg(F.min("key").alias("key")).select("key.h1", "key.h2")
-    held = docs.select(F.struct(*cells).alias("row"), key["h1"].alias("h1"), key["h2"].alias("h2"))
-    return held.join(first, ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"]).select("row.*")
+    proposed = met.join(low("a", "x"), "a").join(low("b", "y"), "b").select("x", "y").union(nodes.join(by_fp, "fp").where("node <> low").select("low", "node"))
+    proposed = stored(proposed.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), "near-proposed")
+    one_each = lambda nodes: _rows_of(rows, reps.join(nodes, "node", "left_semi").select("h1", "h2"), "left_semi")
+    edges = jaccard.links(_rows_of(rows, copies, "left_anti"), one_each, proposed, width, similarity)
+    rooted = nodes.join(components(edges), "node", "left").select("key", F.coalesce("root", "node").alias("root"))
+    # within a group all but the row of the smallest key go
+    first = rooted.groupBy("root").agg(F.min("key").alias("first"))
+    gone = rooted.join(first, "root").where("key <> first").select("key.h1", "key.h2").union(copies)
+    kept = _rows_of(docs.select(F.struct(*cells).alias("row"), *hashes), stored(gone, "near-gone"), "left_anti")
+    twice = stored(named.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2"), "near-twice")
+    once = _rows_of(kept, twice, "left_anti").unionByName(_rows_of(kept, twice, "left_semi").dropDuplicates(["h1", "h2"]))
+    return once.select("row.*")
+
+
+def _rows_of(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """``rows`` with (``left_semi``) or without (``left_anti``) those whose hashes are in ``keys(h1, h2)``; up to
+    ``BROADCAST_KEYS`` keys of sixteen bytes are sent to every task, more meet the rows in a shuffle."""
+    few = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    return rows.join(F.broadcast(keys) if few else keys, ["h1", "h2"], how)

@@ -445,3 +445,23 @@ def test_queries_have_their_columns(spark):
     assert set(queries.op4_pii(spark, DATA).columns) >= {"doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"}
     r = queries.op4_pii(spark, DATA).where("n_email + n_ip > 0").first()
     assert re.fullmatch("[0-9a-f]{64}", r["base_sha256"])
+
+
+@pytest.mark.parametrize("step", [1, 3, 1000])
+def test_shared_shingles_meet_over_batches(step):
+    """Groups that run over several batches: pairs of small ones, all rows of large ones, copies once."""
+    from fractions import Fraction
+
+    rng = random.Random(9)
+    rows = sorted((t, rng.randrange(40), 10, 0) for t in range(30) for _ in range(rng.choice([1, 2, 4, 9, 30])))
+    cols = [pa.array([r[i] for r in rows], pa.int64() if i < 2 else pa.int32()) for i in range(4)]
+    whole = pa.RecordBatch.from_arrays(cols, names=["token", "node", "n", "pos"])
+    pairs, hot = set(), []
+    for b in jaccard._met(Fraction(4, 5), 5)(whole.slice(i, step) for i in range(0, len(rows), step)):
+        for r in b.to_pylist():
+            pairs.add((r["a"], r["b"])) if r["token"] is None else hot.append((r["token"], r["a"]))
+    nodes = defaultdict(set)
+    for r in rows:
+        nodes[r[0]].add(r[1])
+    assert sorted(hot) == sorted((t, n) for t, own in nodes.items() if len(own) > 5 for n in own)
+    assert pairs == {(a, b) for own in nodes.values() if len(own) <= 5 for a in own for b in own if a < b}
