@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corvidex.functions.text import strip
+from corvidex.functions.text import let, strip
 
 # Forms of a choice line
-CHOICES = (r"^\s*(\d+)\s*[.)]\s*(.+)$", r"^\s*([①②③④⑤⑥⑦⑧⑨⑩])\s*(.+)$", r"^\s*([가나다라마바사아자차카타파하])\s*[.)]\s*(.+)$", r"^\s*([ㄱㄴㄷㄹㅁㅂㅅㅇㅈㅊㅋㅌㅍㅎ])\s*[.)]\s*(.+)$", r"^\s*([A-Za-z])\s*[.)]\s*(.+)$")
+CHOICES = (r"^\s*(\p{Nd}+)\s*[.)]\s*(.+)$", r"^\s*([①②③④⑤⑥⑦⑧⑨⑩])\s*(.+)$", r"^\s*([가나다라마바사아자차카타파하])\s*[.)]\s*(.+)$", r"^\s*([ㄱㄴㄷㄹㅁㅂㅅㅇㅈㅊㅋㅌㅍㅎ])\s*[.)]\s*(.+)$", r"^\s*([A-Za-z])\s*[.)]\s*(.+)$")
 # Words of multiple-choice and of open questions
 MC_WORDS = ("다음 중", "아래 중", "선택", "고르", "맞는 것", "틀린 것", "해당하는 것", "옳은 것", "올바른 것", "적절한 것")
 OPEN_WORDS = ("설명하", "서술하", "논하", "분석하", "평가하", "제시하", "작성하", "기술하", "정의하", "비교하", "요약하")
@@ -24,6 +24,10 @@ TYPES = {
 # Template types in the order they are tried
 TEMPLATES = {"definition": ("정의", "무엇"), "comparison": ("차이", "비교"), "application": ("적용", "구현"), "security": ("보안", "취약")}
 CIRCLED = "①②③④⑤⑥⑦⑧⑨⑩"
+# What numbers a choice in order, after plain digits
+NUMBERED = (CIRCLED, "가나다라마바사아자차카타파하", "ㄱㄴㄷㄹㅁㅂㅅㅇㅈㅊㅋㅌㅍㅎ", "ABCDEFGHIJ")
+# Fixed value: characters that count as a digit; with decimal digits these are superscript, subscript, circled and bracketed ones up to nine
+DIGIT = r"[\p{Nd}²³¹⁰⁴-⁹₀-₉①-⑨⑴-⑼⒈-⒐⓪⓵-⓽⓿❶-❾➀-➈➊-➒]"
 # Default answers and words that mark a broken generation
 NO_ANSWER = "답변 없음"
 NOT_FOUND = "해당 질문에 대한 구체적인 답변은 참고 문서에서 찾을 수 없습니다."
@@ -39,19 +43,22 @@ def _count(q: Column, pattern: str) -> Column:
     return F.size(F.filter(lines(q), lambda x: x.rlike(pattern)))
 
 
+MC_LINE, MC_DIGIT, MC_SECOND = rf"(?s)^{DIGIT}([.) ]|.[.) ])", rf"(?s)^{DIGIT}.", rf"(?s)^{DIGIT}[.) :]."
+
+
 def mc_lines(q: Column) -> Column:
     """Two lines or more that begin with a digit and have a dot, bracket or space among their first three characters."""
-    return _count(q, r"^(?=\d.)(\d?.?[.) ]|\d[.) ])") >= 2
+    return _count(q, MC_LINE) >= 2
 
 
 def mc_digits(q: Column) -> Column:
     """Two lines or more that begin with a digit."""
-    return _count(q, r"^\d.") >= 2
+    return _count(q, MC_DIGIT) >= 2
 
 
 def mc_second(q: Column) -> Column:
     """Two lines or more of a digit and a dot, bracket, space or colon."""
-    return _count(q, r"^\d[.) :].") >= 2
+    return _count(q, MC_SECOND) >= 2
 
 
 def _is_choice(x: Column) -> Column:
@@ -70,30 +77,40 @@ def keyword_score(q: Column, words) -> Column:
 
 
 def classify(q: Column) -> Column:
-    """(type, confidence): by choices, then by keywords; multiple choice wins only if strictly ahead."""
-    n, m, o = choice_count(q), keyword_score(q, MC_WORDS), keyword_score(q, OPEN_WORDS)
+    """(type, confidence): by distinct choices, then by keywords; multiple choice wins only if strictly ahead; nothing is sure of a blank question."""
+    t = F.coalesce(q, F.lit(""))
+    n, m, o = F.size(choices(t)), keyword_score(t, MC_WORDS), keyword_score(t, OPEN_WORDS)
     kind = F.when(n >= 2, "multiple_choice").when((n == 0) & (m > o), "multiple_choice").otherwise("open_ended")
-    sure = F.when(n >= 2, 0.95).when(n == 1, 0.3).when(m > o, F.least(m, F.lit(0.7))).when(o > 0, F.least(o, F.lit(0.8))).otherwise(0.6)
+    sure = F.when(t == "", 0.0).when(n >= 2, 0.95).when(n == 1, 0.3).when(m > o, F.least(m, F.lit(0.7))).when(o > 0, F.least(o, F.lit(0.8))).otherwise(0.6)
     return F.struct(kind.alias("question_type"), F.round(sure, 6).alias("confidence"))
 
 
-def choices(q: Column) -> Column:
-    """Map of choice number to text; circled digits become plain; later lines replace earlier ones of the same number."""
+def choice_number(key: Column, circled: bool = False) -> Column:
+    """A choice's key as a number: digits as they are, letters by their place.  Circled digits up to nine count as digits
+    and stay as they are, unless they are asked for as numbers too."""
+    out = F.when(key.rlike(rf"^{DIGIT}+$"), key) if not circled else F.when(key.rlike(r"^\p{Nd}+$"), key)
+    for row in NUMBERED:
+        at = F.instr(F.lit(row), F.upper(key) if row[0] == "A" else key)
+        out = out.when(at > 0, at.cast("string"))
+    return out.otherwise(key)
+
+
+def choices(q: Column, circled: bool = False) -> Column:
+    """Map of choice number to text; later lines replace earlier ones of the same number."""
 
     def entry(x: Column) -> Column:
         key, value = F.lit(None).cast("string"), F.lit(None).cast("string")
         for p in reversed(CHOICES):
             hit = x.rlike(p)
             key, value = F.when(hit, F.regexp_extract(x, p, 1)).otherwise(key), F.when(hit, F.regexp_extract(x, p, 2)).otherwise(value)
-        plain = F.when(F.locate(CIRCLED[0], key) > 0, "1")
-        for i, c in enumerate(CIRCLED[1:], 2):
-            plain = plain.when(key == c, str(i))
-        return F.struct(plain.otherwise(key).alias("key"), strip(value).alias("value"))
+        return F.struct(choice_number(key, circled).alias("key"), strip(value).alias("value"))
 
-    found = F.transform(F.filter(lines(q), _is_choice), entry)
     # the last line of a number wins, as in a dictionary, whatever the session's map policy
-    last = F.filter(found, lambda e, i: ~F.exists(F.slice(found, i + 2, F.size(found)), lambda f: f["key"] == e["key"]))
-    return F.map_from_entries(last)
+    def last(found: Column) -> Column:
+        keys = F.array_distinct(F.transform(found, lambda e: e["key"]))
+        return F.map_from_entries(let(F.reverse(found), lambda r: F.transform(keys, lambda k: F.get(F.filter(r, lambda e: e["key"] == k), F.lit(0)))))
+
+    return let(F.transform(F.filter(lines(q), _is_choice), entry), last)
 
 
 def question_part(q: Column) -> Column:

@@ -58,8 +58,12 @@ def nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else t if t.isascii() else unicodedata.normalize("NFKC", t))
 
 
+#: The characters of ``WS``, for trimming without a pattern
+SPACES = "".join(chr(i) for i in (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+
+
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def one_space(c: Column) -> Column:
@@ -85,8 +89,11 @@ def drop_furniture(c: Column) -> Column:
 
 def contents_leaders(c: Column) -> Column:
     """``Chapter ..... 3`` becomes ``Chapter 3``."""
-    c = F.regexp_replace(c, r"([^.\s]+)\s*\.{2,}\s*(\d+)", "$1 $2")
-    return F.regexp_replace(c, r"([^·\s]+)\s*·{2,}\s*(\d+)", "$1 $2")
+
+    def one(mark: str, pattern: str):
+        return lambda t: F.when(F.contains(t, F.lit(mark * 2)), F.regexp_replace(t, pattern, "$1 $2")).otherwise(t)
+
+    return let(let(c, one(".", r"([^.\s]+)\s*\.{2,}\s*(\d+)")), one("·", r"([^·\s]+)\s*·{2,}\s*(\d+)"))
 
 
 def join_jamo(c: Column) -> Column:
@@ -106,7 +113,12 @@ def clean_for_llm(c: Column, aggressive: bool = False) -> Column:
     c = clean(c, aggressive=True)
     c = F.regexp_replace(c, r"(?m)^\s*\d+\.\s+", "")
     c = F.regexp_replace(c, r"(?m)^\s*[가-하]\.\s+", "")
-    return strip(F.regexp_replace(c, r"\(\d+\)", "") if aggressive else c)
+    return F.regexp_replace(c, r"\([^)]*\d+[^)]*\)", "") if aggressive else c
+
+
+def clean_for_chunking(c: Column) -> Column:
+    """The cleaning chain; as that leaves no newline, blank lines need no rule of their own."""
+    return clean(c)
 
 
 def likely_metadata(c: Column) -> Column:
@@ -126,9 +138,11 @@ def clean_sentences(c: Column, least: int = 10) -> Column:
 
 
 def cleaning_stats(c: Column, normalise: bool = True) -> Column:
-    """Lengths before and after, and the share removed."""
-    before, after = F.length(F.coalesce(c, F.lit(""))), F.length(clean(c, normalise=normalise))
-    return F.struct(before.alias("original_length"), after.alias("cleaned_length"), (1 - after / F.greatest(before, F.lit(1))).alias("reduction_rate"))
+    """Lengths before and after, the share removed, and newlines before and after."""
+    newlines = lambda t: F.length(t) - F.length(F.replace(t, F.lit("\n"), F.lit("")))
+    old = F.coalesce(c, F.lit(""))
+    of = lambda new: F.struct(F.length(old).alias("original_length"), F.length(new).alias("cleaned_length"), (1 - F.length(new) / F.greatest(F.length(old), F.lit(1))).alias("reduction_rate"), newlines(old).alias("original_newlines"), newlines(new).alias("cleaned_newlines"))
+    return let(clean(c, normalise=normalise), of)
 
 
 def mask_contacts(c: Column) -> Column:
@@ -257,11 +271,18 @@ def contains_any(c: Column, phrases) -> Column:
     return F.exists(F.array(*[F.lit(p) for p in phrases]), lambda p: F.contains(c, p))
 
 
-def terms_in(c: Column, terms) -> Column:
+# Domain terms looked for in texts
+TERMS = (
+    "리스크 위험 헤지 변동성 VaR 위험가치 투자 수익 손실 포트폴리오 자산 채권 주식 규제 감독 컴플라이언스 준수 법규 감사 보안 사이버 해킹 침해 인증 암호화 "
+    "이익률 수익률 ROI ROE ROA P/E 은행 예금 대출 금리 이자 신용 시장 거래 매매 상장 코스피 코스닥"
+).split()
+
+
+def terms_in(c: Column, terms=TERMS) -> Column:
     """The terms that a text holds, any case."""
     low = F.lower(c)
     return F.filter(F.array(*[F.lit(t) for t in terms]), lambda t: F.contains(low, F.lower(t)))
 
 
-def term_boost(c: Column, terms, weight: float = 1.2) -> Column:
+def term_boost(c: Column, terms=TERMS, weight: float = 1.2) -> Column:
     return 1 + (weight - 1) * F.least(F.size(terms_in(c, terms)) / 10, F.lit(1.0))

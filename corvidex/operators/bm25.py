@@ -1,7 +1,8 @@
 """BM25 as tables: postings, document frequencies and corpus statistics; any number of queries at a time.
 
-The index is built in one pass over the texts (term counts are combined before the shuffle) and stored;
-searches touch the postings of the queries' terms only.
+The index is built in one pass over the texts, without a shuffle of postings.  Whoever searches more than once keeps
+the three tables (``Index.save``, or :mod:`corvidex.sources.store`).  A search sends the queries' terms to the postings where
+they are few enough, so a common word is no hot key; else both meet on the term and a share of the documents.
 """
 
 from __future__ import annotations
@@ -14,6 +15,11 @@ from pyspark.sql import functions as F
 from corvidex.functions.tokenize import TOKENIZERS
 
 
+#: Up to this many (query, term) rows are sent to every executor; more meet the postings in ``SHARES`` shares of the documents.
+BROADCAST_TERMS = 200_000
+SHARES = 32
+
+
 @dataclass
 class Index:
     """``postings(term, doc_id, tf, dl)``, ``terms(term, df)`` and one row ``stats(n, avgdl)``."""
@@ -46,10 +52,12 @@ def postings_of(docs: DataFrame, tokenizer: str = "simple", id_col: str = "doc_i
     return held.select("doc_id", "dl", F.explode(counted).alias("e")).select("e.term", "doc_id", "e.tf", "dl")
 
 
-def build(docs: DataFrame, tokenizer: str = "simple", id_col: str = "doc_id", text_col: str = "text") -> Index:
-    postings = postings_of(docs, tokenizer, id_col, text_col)
-    terms = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    stats = docs.select(F.size(TOKENIZERS[tokenizer](F.coalesce(F.col(text_col), F.lit("")))).alias("dl")).agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
+def build(docs: DataFrame, tokenizer: str = "simple", id_col: str = "doc_id", text_col: str = "text", keep=lambda name, df: df) -> Index:
+    """The index of a table; ``keep`` may store postings and terms (name, table) -> table, so that they are computed once."""
+    postings = keep("postings", postings_of(docs, tokenizer, id_col, text_col))
+    terms = keep("terms", postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    words = postings.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("words"))
+    stats = docs.agg(F.count(F.lit(1)).alias("n")).crossJoin(F.broadcast(words)).select("n", F.try_divide(F.col("words"), F.col("n")).alias("avgdl"))  # one row each
     return Index(postings, terms, stats, tokenizer)
 
 
@@ -73,11 +81,17 @@ def weights(index: Index, formula: str = "lucene", epsilon: float = 0.25) -> Dat
 
 def scores(index: Index, queries: DataFrame, formula: str = "lucene", k1: float = 1.5, b: float = 0.75, id_col: str = "query_id", text_col: str = "query") -> DataFrame:
     """(query_id, doc_id, score) of all documents that share a term with a query; scores rounded to 6 places."""
-    asked = queries.select(F.col(id_col).alias("query_id"), F.explode(TOKENIZERS[index.tokenizer](F.col(text_col))).alias("term")).groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
-    known = asked.join(weights(index, formula), "term")
+    asked = queries.select(F.col(id_col).alias("query_id"), F.explode_outer(TOKENIZERS[index.tokenizer](F.col(text_col))).alias("term")).where(F.col("term").isNotNull()).groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
+    few = asked.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
+    known = weights(index, formula).join(F.broadcast(asked) if few else asked, "term")
     top = F.col("tf") * (k1 + 1 if formula == "okapi" else 1)
     part = F.col("qtf") * F.col("idf") * top / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
-    hits = known.join(index.postings, "term").crossJoin(F.broadcast(index.stats))
+    if few:
+        hits = index.postings.join(F.broadcast(known), "term")
+    else:
+        share = F.pmod(F.xxhash64("doc_id"), F.lit(SHARES)).cast("int")
+        hits = index.postings.withColumn("__s", share).join(known.withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1)))), ["term", "__s"])
+    hits = hits.crossJoin(F.broadcast(index.stats))
     return hits.groupBy("query_id", "doc_id").agg(F.round(F.sum(part), 6).alias("score"))
 
 
@@ -92,6 +106,12 @@ def search(index: Index, queries: DataFrame, k: int = 3, formula: str = "lucene"
     return ranked(found if min_score is None else found.where(F.col("score") > min_score), k)
 
 
+def batch_search(index: Index, queries: DataFrame, k: int = 3, formula: str = "lucene", **names) -> DataFrame:
+    """As ``search``, with a row of nulls for a query that finds nothing, so every query keeps its slot."""
+    found = search(index, queries, k, formula, **names)
+    return queries.select(F.col(names.get("id_col", "query_id")).alias("query_id")).distinct().join(found, "query_id", "left")
+
+
 def padded(index: Index, queries: DataFrame, docs: DataFrame, n: int = 3, formula: str = "okapi", id_col: str = "query_id") -> DataFrame:
     """Exactly ``n`` documents a query: those without a hit follow with score 0, in order of their ids.
 

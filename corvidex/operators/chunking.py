@@ -40,7 +40,8 @@ def chunk(docs: DataFrame, size: int = 512, overlap: int = 50, id_col: str = "do
     rows = docs.select(F.col(id_col).alias("source_id"), doc_key(F.coalesce(text_col, F.lit(""))).alias("doc_key"), split(F.col(text_col)).alias("parts"))
     kept = F.filter(F.transform("parts", lambda p: clean_chunk(p, least, normalise=False)), lambda p: p.isNotNull()) if clean else F.col("parts")
     rows = rows.select("source_id", "doc_key", kept.alias("parts"))
-    out = rows.select("source_id", "doc_key", F.size("parts").alias("total_chunks"), F.posexplode("parts").alias("chunk_index", "content"))
+    # the outer form keeps the optimizer from deriving filters on the array, which would compute it once more below the generator
+    out = rows.select("source_id", "doc_key", F.size("parts").alias("total_chunks"), F.posexplode_outer("parts").alias("chunk_index", "content")).where(F.col("chunk_index").isNotNull())
     return out.select("source_id", "doc_key", chunk_key(F.col("doc_key"), F.col("chunk_index"), F.col("content")).alias("chunk_id"), "chunk_index", "content", "total_chunks")
 
 
@@ -63,9 +64,9 @@ def header_level(h1: Column, h2: Column, h3: Column, h4: Column) -> Column:
 def hierarchical(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Chunks of Markdown sections, sized by header level."""
     heads = [F.col(f"s.h{i}") for i in range(1, 5)]
-    rows = docs.select(F.col(id_col).alias("source_id"), doc_key(F.col(text_col), 200).alias("doc_key"), F.posexplode(_sections(merge_pages(F.col(text_col)))).alias("section_index", "s"))
+    rows = docs.select(F.col(id_col).alias("source_id"), doc_key(F.col(text_col), 200).alias("doc_key"), F.posexplode_outer(_sections(merge_pages(F.col(text_col)))).alias("section_index", "s")).where(F.col("section_index").isNotNull())
     rows = rows.select("source_id", "doc_key", "section_index", header_level(*heads).alias("hierarchy_level"), hierarchy_path(*heads).alias("hierarchy_path"), F.coalesce(*reversed(heads)).alias("parent_header"), F.col("s.content").alias("section"))
-    rows = rows.select("*", F.posexplode(_split_by_level("section", "hierarchy_level")).alias("chunk_in_section", "content")).drop("section")
+    rows = rows.select("*", F.posexplode_outer(_split_by_level("section", "hierarchy_level")).alias("chunk_in_section", "content")).drop("section").where(F.col("chunk_in_section").isNotNull())
     w = Window.partitionBy("source_id", "doc_key")
     index = (F.row_number().over(w.orderBy("section_index", "chunk_in_section")) - 1).alias("chunk_index")
     rows = rows.select("*", index, F.count(F.lit(1)).over(w).alias("total_chunks"), F.length("content").alias("content_length"))
@@ -94,8 +95,8 @@ def hybrid(docs: DataFrame, size: int = 2300, overlap: int = 200, width: int = 3
     def split(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: splitting.split_kept(t, size, overlap))
 
-    parts = docs.select(F.col(id_col).alias("source_id"), doc_key(F.col(text_col), 500).alias("doc_key"), F.posexplode(sections(merge_pages(F.col(text_col)))).alias("section_index", "content"))
-    regular = parts.select("source_id", "doc_key", F.col("section_index").cast("string").alias("section"), F.col("section_index").alias("__at"), F.posexplode(split("content")).alias("__n", "content"))
+    parts = docs.select(F.col(id_col).alias("source_id"), doc_key(F.col(text_col), 500).alias("doc_key"), F.posexplode_outer(sections(merge_pages(F.col(text_col)))).alias("section_index", "content")).where(F.col("section_index").isNotNull())
+    regular = parts.select("source_id", "doc_key", F.col("section_index").cast("string").alias("section"), F.col("section_index").alias("__at"), F.posexplode_outer(split("content")).alias("__n", "content")).where(F.col("__n").isNotNull())
     regular = regular.withColumn("content", clean_chunk(F.col("content"), normalise=False)).where(F.col("content").isNotNull()).withColumn("is_boundary", F.lit(False))
     edge = boundaries(parts, width).select("source_id", "doc_key", F.concat_ws("-", "from_section", "to_section").alias("section"), F.col("to_section").alias("__at"), F.lit(-1).alias("__n"), "content", F.lit(True).alias("is_boundary"))
     both = regular.unionByName(edge)
@@ -148,16 +149,10 @@ def whole_overlap(before: pd.Series, after: pd.Series) -> pd.Series:
     return pd.Series([longest_border(a, b) if a is not None and b is not None else None for a, b in zip(before, after, strict=True)], dtype="Int32")
 
 
-def actual_overlap(before: Column, after: Column, most: int = 400) -> Column:
-    """The longest end of one text that begins the next."""
-    lengths = F.sequence(F.lit(0), F.least(F.length(before), F.length(after), F.lit(most)))
-    return F.array_max(F.filter(lengths, lambda n: (n == 0) | (F.right(before, n) == F.left(after, n))))
-
-
-def overlaps(chunks: DataFrame, overlap=whole_overlap) -> DataFrame:
+def overlaps(chunks: DataFrame) -> DataFrame:
     """The overlap of each chunk with the next of its document."""
     nxt = F.lead("content").over(Window.partitionBy("source_id").orderBy("chunk_index"))
-    return chunks.withColumn("__next", nxt).where(F.col("__next").isNotNull()).select("source_id", "chunk_index", overlap(F.col("content"), F.col("__next")).alias("overlap"))
+    return chunks.withColumn("__next", nxt).where(F.col("__next").isNotNull()).select("source_id", "chunk_index", whole_overlap("content", "__next").alias("overlap"))
 
 
 def chunk_stats(chunks: DataFrame, *by: str) -> DataFrame:

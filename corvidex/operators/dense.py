@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,12 +24,52 @@ def _pairs(queries: DataFrame, docs: DataFrame) -> DataFrame:
     return d.join(q, "__b").drop("__b")
 
 
+def _local_best(queries: DataFrame, docs: DataFrame, k: int, cosine: bool) -> DataFrame:
+    """(query_id, doc_id, score): a superset of each query's ``k`` best, at most ``k`` and ties from each task.
+
+    Arrow batches meet all queries in one matrix product; vectors that are null, hold nulls or are of another length take no part.
+    """
+    held = [r for r in queries.where(F.col("qv").isNotNull() & ~F.exists("qv", lambda x: x.isNull())).select("query_id", F.col("qv").cast("array<double>").alias("qv")).collect()]
+    size = max((len(r["qv"]) for r in held), default=0)
+    held = [r for r in held if len(r["qv"]) == size]
+    names = pa.array([r["query_id"] for r in held])
+    unit = lambda m: m / np.where((n := np.sqrt((m * m).sum(1, keepdims=True))) > 0, n, 1) if cosine else m
+    q = unit(np.array([r["qv"] for r in held], float).reshape(len(held), size))
+    out = queries.select("query_id").schema.add("doc_id", docs.schema["doc_id"].dataType).add("score", "double")
+
+    def work(batches):
+        for batch in batches:
+            lists = batch.column(1)
+            sizes = np.asarray(lists.value_lengths().fill_null(-1), dtype=np.int64)
+            use = np.flatnonzero(sizes == size)
+            if not len(use) or not len(q):
+                continue
+            own = lists.take(pa.array(use)) if len(use) < len(sizes) else lists
+            v = np.asarray(own.flatten().cast(pa.float64()).fill_null(np.nan), dtype=float).reshape(len(use), size)
+            whole = ~np.isnan(v).any(1)
+            use, v = use[whole], unit(v[whole])
+            ids = batch.column(0)
+            for lo in range(0, len(q), 1024):
+                s = np.round(q[lo : lo + 1024] @ v.T, 6) + 0.0
+                if s.shape[1] > k:
+                    edge = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
+                    rows, at = np.nonzero(s >= edge[:, None])
+                else:
+                    rows, at = np.indices(s.shape).reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(rows + lo)), ids.take(pa.array(use[at])), pa.array(s[rows, at])], names=["query_id", "doc_id", "score"])
+
+    return docs.select("doc_id", "dv").mapInArrow(work, out)
+
+
 def top_k(queries: DataFrame, docs: DataFrame, k: int = 5, cosine: bool = True, threshold: float | None = None) -> DataFrame:
-    """(query_id, doc_id, score, rank) for ``queries(query_id, qv)`` and ``docs(doc_id, dv)``; exact.
+    """(query_id, doc_id, score, rank) for ``queries(query_id, qv)`` and ``docs(doc_id, dv)``; exact, ties to smaller ids.
 
-    Vectors are brought to unit length once a row, not once a pair; per-partition group limits keep
-    ``k`` rows a query before the shuffle.
+    Up to ``BROADCAST_ROWS`` queries go to every task, where batches of vectors keep their ``k`` best a query; more queries
+    meet the vectors in blocks.
     """
+    if queries.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        scored = _local_best(queries, docs, k, cosine)
+        return ranked(scored if threshold is None else scored.where(F.col("score") >= threshold), k)
     q = queries.select("query_id", (normalise(F.col("qv")) if cosine else F.col("qv")).alias("qv"))
     d = docs.select("doc_id", (normalise(F.col("dv")) if cosine else F.col("dv")).alias("dv"))
     scored = _pairs(q, d).select("query_id", "doc_id", F.round(dot(F.col("qv"), F.col("dv")), 6).alias("score"))
@@ -51,15 +93,24 @@ def train_cells(vectors: DataFrame, cells: int = 100, sample: int = 50_000, seed
     return vectors.sparkSession.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "cell_id int, centre array<double>")
 
 
-def assign_cells(vectors: DataFrame, centres: DataFrame, id_col: str = "doc_id", vector_col: str = "dv", probes: int = 1) -> DataFrame:
-    """The vectors with the ``probes`` nearest cells of each; centres are a fixed number of rows."""
-    joined = vectors.crossJoin(F.broadcast(centres)).withColumn("d", dot(F.col(vector_col), F.col("centre")))
-    near = joined.groupBy(id_col).agg(F.slice(F.sort_array(F.collect_list(F.struct("d", "cell_id")), False), 1, probes).alias("near"), F.first(vector_col).alias(vector_col))
-    return near.select(id_col, vector_col, F.explode("near.cell_id").alias("cell_id"))
+def assign_cells(vectors: DataFrame, centres: DataFrame, vector_col: str = "dv", probes: int = 1) -> DataFrame:
+    """The rows once for each of the ``probes`` cells nearest to them; the centres, a fixed number of rows, go into the plan."""
+    rows = centres.orderBy("cell_id").collect()
+    distance = [F.struct(dot(F.col(vector_col), F.array(*[F.lit(x) for x in r["centre"]])).alias("d"), F.lit(r["cell_id"]).alias("cell_id")) for r in rows]
+    near = F.slice(F.sort_array(F.array(*distance), asc=False), 1, probes)
+    return vectors.withColumn("cell_id", F.explode(F.transform(near, lambda e: e["cell_id"])))
 
 
 def search_cells(queries: DataFrame, assigned: DataFrame, centres: DataFrame, k: int = 5, probes: int = 10) -> DataFrame:
     """Approximate top-k: a query meets the vectors of its ``probes`` nearest cells."""
-    q = assign_cells(queries.select("query_id", normalise(F.col("qv")).alias("qv")), centres, "query_id", "qv", probes)
+    q = assign_cells(queries.select("query_id", normalise(F.col("qv")).alias("qv")), centres, "qv", probes)
     d = assigned.select("doc_id", normalise(F.col("dv")).alias("dv"), "cell_id")
     return ranked(q.join(d, "cell_id").select("query_id", "doc_id", F.round(dot(F.col("qv"), F.col("dv")), 6).alias("score")), k)
+
+
+def ivf_top_k(queries: DataFrame, docs: DataFrame, k: int = 5, cells: int = 100, probes: int = 10) -> DataFrame:
+    """Search over trained cells; fewer vectors than cells are searched exactly."""
+    if docs.limit(cells).count() < cells:
+        return top_k(queries, docs, k)
+    centres = train_cells(docs, cells)
+    return search_cells(queries, assign_cells(docs.withColumn("dv", normalise(F.col("dv"))), centres), centres, k, probes)

@@ -10,7 +10,7 @@ from corvidex.operators.quality import band
 # What to do about each fault, and about each stage whose score is low
 ADVICE = {
     "encoding_error": "UTF-8 인코딩 설정을 확인하고 파일 재처리",
-    "metadata_contamination": "TextCleaner의 메타데이터 제거 기능 강화",
+    "metadata_contamination": "텍스트 정제의 메타데이터 제거 기능 강화",
     "repetitive_pattern": "반복 패턴 제거 필터 적용",
     "excessive_whitespace": "공백 정규화 처리 강화",
     "empty_answer": "모델 생성 파라미터 조정 (temperature, max_tokens)",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corvidex.functions.tokenize import bucket_vector, simple
 from corvidex.operators import bm25, dense
+from corvidex.sources.store import kept
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,15 +23,21 @@ def questions(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
 
 
+def index(spark, sf_dir) -> bm25.Index:
+    """The index of ``documents``, kept for the session."""
+    docs = documents(spark, sf_dir)
+    return bm25.build(docs, keep=lambda name, df: kept(docs, f"bm25-{name}", lambda: df))
+
+
 def sparse(spark, sf_dir, k: int, formula: str = "lucene") -> DataFrame:
-    return bm25.search(bm25.build(documents(spark, sf_dir)), questions(spark, sf_dir), k, formula)
+    return bm25.search(index(spark, sf_dir), questions(spark, sf_dir), k, formula)
 
 
 def vectors(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """(queries, documents) as bucket vectors of their texts."""
     q = questions(spark, sf_dir).select("query_id", bucket_vector(simple(F.col("query"))).alias("qv"))
-    d = documents(spark, sf_dir).select("doc_id", bucket_vector(simple(F.col("text"))).alias("dv"))
-    return q, d
+    docs = documents(spark, sf_dir)
+    return q, kept(docs, "vectors", lambda: docs.select("doc_id", bucket_vector(simple(F.col("text"))).alias("dv")))
 
 
 def close(spark, sf_dir, k: int) -> DataFrame:

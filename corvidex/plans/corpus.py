@@ -94,97 +94,66 @@ def html_pages(spark, d):
     return html.read_pages(table(spark, d, "pages")).select("page_id", "url", "title", F.length("text").alias("n_chars"), F.size("links").alias("n_links"), F.size("headings").alias("n_headings"), F.md5("text").alias("text_md5"))
 
 
-# questions: each document's lines stand in for question lines
+# questions: every document whole, with choice lines of several forms at its end
 _LINES = f"list_transform(string_split(text, chr(10)), lambda x: {strip('x')})"
 _CHOICES_SQL = " OR ".join(f"regexp_matches(x, '{p}')" for p in questions.CHOICES)
-_MC = {
-    "a": "(regexp_matches(x, '^\\d.?.?[.) ]') AND length(x) > 1 AND regexp_matches(substr(x, 1, 3), '[.) ]'))",
-    "b": "regexp_matches(x, '^\\d.')",
-    "c": "regexp_matches(x, '^\\d[.) :].')",
-    "d": f"({_CHOICES_SQL})",
-}
+_MC = {"a": questions.MC_LINE, "b": questions.MC_DIGIT, "c": questions.MC_SECOND}
+_FORMS = {0: ("1 ", "2. ", "3) ", "2) again "), 1: ("① ", "A) ", "k. "), 2: ("나. ", "ㄷ) ", "⑩ ")}
 
 
 def _made_questions_sql() -> str:
-    return "(SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN left(text, 60) || chr(10) || '1 ' || substr(text, 1, 9) || chr(10) || '2. ' || substr(text, 10, 9) || chr(10) || '3) ' || substr(text, 20, 9) WHEN doc_id % 3 = 1 THEN left(text, 80) || chr(10) || '① ' || substr(text, 1, 5) || chr(10) || 'A) ' || substr(text, 7, 5) ELSE left(text, 100) END AS text FROM documents)"
+    cases = " ".join(f"WHEN {k} THEN text || " + " || ".join(f"chr(10) || '{form}' || text" for form in forms) for k, forms in _FORMS.items())
+    return f"(SELECT doc_id, CASE doc_id % 4 {cases} ELSE text END AS text FROM documents)"
 
 
 def made_questions(spark, d):
-    """Questions with choices of several forms, made from every document."""
-    t, nl = F.col("text"), F.lit("\n")
-    part = lambda a, n: F.substring(t, a, n)
-    q = F.when(F.col("doc_id") % 3 == 0, F.concat(F.left(t, F.lit(60)), nl, F.lit("1 "), part(1, 9), nl, F.lit("2. "), part(10, 9), nl, F.lit("3) "), part(20, 9)))
-    q = q.when(F.col("doc_id") % 3 == 1, F.concat(F.left(t, F.lit(80)), nl, F.lit("① "), part(1, 5), nl, F.lit("A) "), part(7, 5))).otherwise(F.left(t, F.lit(100)))
-    return documents(spark, d).select("doc_id", q.alias("q"))
+    t, kind = F.col("text"), F.col("doc_id") % 4
+    q = F.when(F.lit(False), t)
+    for k, forms in _FORMS.items():
+        q = q.when(kind == k, F.concat(t, *[x for form in forms for x in (F.lit("\n" + form), t)]))
+    return documents(spark, d).select("doc_id", q.otherwise(t).alias("q"))
 
 
-@query(f"SELECT doc_id, {', '.join(f'len(list_filter({_LINES}, lambda x: {p})) >= 2 AS mc_{n}' for n, p in _MC.items())} FROM {_made_questions_sql()}")
-def mc_classify(spark, d):
-    return _mc_classify(made_questions(spark, d))
+def _choice_table_sql() -> str:
+    """(doc_id, number, choice) with the last line of a number."""
+    key = "CASE " + " ".join(f"WHEN regexp_matches(x, '{p}') THEN regexp_extract(x, '{p}', 1)" for p in questions.CHOICES) + " END"
+    value = "CASE " + " ".join(f"WHEN regexp_matches(x, '{p}') THEN regexp_extract(x, '{p}', 2)" for p in questions.CHOICES) + " END"
+    number = f"CASE WHEN regexp_matches(k, '^{questions.DIGIT}+$') THEN k " + " ".join(f"WHEN instr('{row}', {'upper(k)' if row[0] == 'A' else 'k'}) > 0 THEN CAST(instr('{row}', {'upper(k)' if row[0] == 'A' else 'k'}) AS VARCHAR)" for row in questions.NUMBERED) + " ELSE k END"
+    return f"""(SELECT doc_id, number, choice FROM (SELECT doc_id, {number} AS number, {strip("v")} AS choice, row_number() OVER (PARTITION BY doc_id, {number} ORDER BY i DESC) AS n
+        FROM (SELECT doc_id, i, {key} AS k, {value} AS v FROM (SELECT doc_id, unnest({_LINES}) AS x, generate_subscripts({_LINES}, 1) AS i FROM {_made_questions_sql()}) WHERE {_CHOICES_SQL})) WHERE n = 1)"""
 
 
-def _mc_classify(made):
+@query(f"SELECT doc_id, {', '.join(f'len(list_filter({_LINES}, lambda x: regexp_matches(x, {chr(39)}{p}{chr(39)}))) >= 2 AS mc_{n}' for n, p in _MC.items())}, len(list_filter({_LINES}, lambda x: {_CHOICES_SQL})) >= 2 AS mc_d FROM {_made_questions_sql()}")
+def mc_classify(spark, d):
     q = F.col("q")
-    return made.select("doc_id", questions.mc_lines(q).alias("mc_a"), questions.mc_digits(q).alias("mc_b"), questions.mc_second(q).alias("mc_c"), (questions.choice_count(q) >= 2).alias("mc_d"))
+    return made_questions(spark, d).select("doc_id", questions.mc_lines(q).alias("mc_a"), questions.mc_digits(q).alias("mc_b"), questions.mc_second(q).alias("mc_c"), (questions.choice_count(q) >= 2).alias("mc_d"))
 
 
-@query(f"SELECT doc_id, array_to_string(list_filter({_LINES}, lambda x: x <> '' AND NOT ({_CHOICES_SQL})), ' ') AS part, CAST(len(list_filter({_LINES}, lambda x: {_CHOICES_SQL})) AS BIGINT) AS choices FROM {_made_questions_sql()}")
+@query(f"SELECT doc_id, md5(array_to_string(list_filter({_LINES}, lambda x: x <> '' AND NOT ({_CHOICES_SQL})), ' ')) AS part, CAST(len(list_filter({_LINES}, lambda x: {_CHOICES_SQL})) AS BIGINT) AS choices FROM {_made_questions_sql()}")
 def question_parts(spark, d):
-    return _question_parts(made_questions(spark, d))
+    return made_questions(spark, d).select("doc_id", F.md5(questions.question_part(F.col("q"))).alias("part"), questions.choice_count(F.col("q")).cast("long").alias("choices"))
 
 
-def _question_parts(made):
-    return made.select("doc_id", questions.question_part(F.col("q")).alias("part"), questions.choice_count(F.col("q")).cast("long").alias("choices"))
+@query(f"SELECT q.doc_id, number, md5(choice) AS choice FROM {_made_questions_sql()} q LEFT JOIN {_choice_table_sql()} c ON c.doc_id = q.doc_id")
+def choice_extract(spark, d):
+    found = made_questions(spark, d).select("doc_id", questions.choices(F.col("q")).alias("m"))
+    return found.select("doc_id", F.explode_outer("m").alias("number", "choice")).select("doc_id", "number", F.md5("choice").alias("choice"))
 
 
-@query()
-def choice_extract(spark, d):
-    return _choice_extract(made_questions(spark, d))
+def _words_sql(words) -> str:
+    return f"least(1.0, 0.3 * ({' + '.join(f'CAST(contains(text, {chr(39)}{w}{chr(39)}) AS INT)' for w in words)}))"
 
 
-def _choice_extract(made):
-    found = made.select("doc_id", questions.choices(F.col("q")).alias("m"))
-    return found.select("doc_id", F.explode_outer("m").alias("number", "choice"))
+@query(f"""WITH q AS (SELECT q.doc_id, text, coalesce(n, 0) AS n, {_words_sql(questions.MC_WORDS)} AS m, {_words_sql(questions.OPEN_WORDS)} AS o FROM {_made_questions_sql()} q LEFT JOIN (SELECT doc_id, count(*) AS n FROM {_choice_table_sql()} GROUP BY doc_id) c ON c.doc_id = q.doc_id)
+        SELECT doc_id, CASE WHEN n >= 2 OR (n = 0 AND m > o) THEN 'multiple_choice' ELSE 'open_ended' END AS question_type,
+        round(CASE WHEN text = '' THEN 0 WHEN n >= 2 THEN 0.95 WHEN n = 1 THEN 0.3 WHEN m > o THEN least(m, 0.7) WHEN o > 0 THEN least(o, 0.8) ELSE 0.6 END, 6) AS confidence FROM q""")
+def classify_questions(spark, d):
+    return made_questions(spark, d).select("doc_id", questions.classify(F.col("q")).alias("c")).select("doc_id", "c.*")
 
 
 @query(f"SELECT doc_id, greatest(4, coalesce(list_max(list_transform(list_filter({_LINES}, lambda x: regexp_matches(x, '^\\d{{1,2}}[.) :]')), lambda x: CAST(regexp_extract(x, '^(\\d{{1,2}})', 1) AS INT))), 4)) AS most FROM {_made_questions_sql()}")
 def max_choice(spark, d):
-    return _max_choice(made_questions(spark, d))
-
-
-def _max_choice(made):
-    return made.select("doc_id", questions.max_choice(F.col("q")).alias("most"))
-
-
-def _whole_questions_sql() -> str:
-    return "(SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text || chr(10) || '1 ' || text || chr(10) || '2. ' || text || chr(10) || '3) ' || text WHEN doc_id % 3 = 1 THEN text || chr(10) || '① ' || text || chr(10) || 'A) ' || text ELSE text END AS text FROM documents)"
-
-
-def whole_questions(spark, d):
-    """Every document whole, with choice lines of several forms made from it at its end."""
-    t = F.col("text")
-    q = F.when(F.col("doc_id") % 3 == 0, F.concat(t, F.lit("\n1 "), t, F.lit("\n2. "), t, F.lit("\n3) "), t)).when(F.col("doc_id") % 3 == 1, F.concat(t, F.lit("\n① "), t, F.lit("\nA) "), t)).otherwise(t)
-    return documents(spark, d).select("doc_id", q.alias("q"))
-
-
-@query(SQL["mc_classify"].replace(_made_questions_sql(), _whole_questions_sql()))
-def mc_classify_whole(spark, d):
-    return _mc_classify(whole_questions(spark, d))
-
-
-@query(SQL["question_parts"].replace(_made_questions_sql(), _whole_questions_sql()))
-def question_parts_whole(spark, d):
-    return _question_parts(whole_questions(spark, d))
-
-
-@query()
-def choice_extract_whole(spark, d):
-    return _choice_extract(whole_questions(spark, d))
-
-
-@query(SQL["max_choice"].replace(_made_questions_sql(), _whole_questions_sql()))
-def max_choice_whole(spark, d):
-    return _max_choice(whole_questions(spark, d))
+    return made_questions(spark, d).select("doc_id", questions.max_choice(F.col("q")).alias("most"))
 
 
 def _first_sql(c: str, types: dict, default: str) -> str:
@@ -211,20 +180,10 @@ def conversation_last3(spark, d):
     return prompts.last_turns(table(spark, d, "conversations"))
 
 
-@query("""WITH p AS (SELECT conv_id, max(text) FILTER (role = 'user') AS prompt, max(text) FILTER (role = 'assistant') AS chosen FROM conversations GROUP BY conv_id), n AS (SELECT *, row_number() OVER (ORDER BY conv_id) AS place, count(*) OVER () AS total FROM p)
-        SELECT conv_id, CASE WHEN place <= floor(0.9 * total) THEN 'train' ELSE 'test' END AS split, 'user' AS first_role, prompt AS first_content, chosen AS chosen_content FROM n""")
-def preference_pairs(spark, d):
-    c = table(spark, d, "conversations")
-    of = lambda role: F.max(F.when(F.col("role") == role, F.col("text")))
-    rows = c.groupBy("conv_id").agg(of("user").alias("prompt"), of("assistant").alias("chosen"), F.lit("").alias("rejected"))
-    out = prompts.preference_pairs(rows, "conv_id")
-    return out.select("conv_id", "split", F.col("messages")[0]["role"].alias("first_role"), F.col("messages")[0]["content"].alias("first_content"), F.col("chosen")[0]["content"].alias("chosen_content"))
-
-
 @query("""WITH t AS (SELECT conv_id, turn, role, text, lead(role) OVER w AS next_role, lead(text) OVER w AS next_text FROM conversations WHERE role IN ('user', 'assistant') WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
         p AS (SELECT conv_id, turn, text AS prompt, CASE WHEN next_role = 'assistant' THEN next_text END AS chosen FROM t WHERE role = 'user'), n AS (SELECT *, row_number() OVER (ORDER BY conv_id, turn) AS place, count(*) OVER () AS total FROM p)
         SELECT conv_id, turn, CASE WHEN place <= floor(0.9 * total) THEN 'train' ELSE 'test' END AS split, 'user' AS first_role, prompt AS first_content, chosen AS chosen_content FROM n""")
-def preference_pairs_turns(spark, d):
+def preference_pairs(spark, d):
     """One pair per user turn, with the assistant turn that follows it; null where the user speaks again first or nobody answers."""
     c = table(spark, d, "conversations")
     turns = (c.agg(F.max("turn")).first()[0] or 0) + 1
@@ -262,14 +221,8 @@ def chunk_stats(spark, d):
     return s.select("chunks", "documents", "avg_size", F.col("min_size").cast("long").alias("min_size"), F.col("max_size").cast("long").alias("max_size"), "total_chars")
 
 
-@query(f"""WITH n AS (SELECT doc_id, i, content, lead(content) OVER (PARTITION BY doc_id ORDER BY i) AS nx FROM {_SECTIONS})
-        SELECT doc_id AS source_id, CAST(i - 1 AS INT) AS chunk_index, CAST(list_max(list_filter(range(0, CAST(least(length(content), length(nx), 400) + 1 AS BIGINT)), lambda k: k = 0 OR right(content, k) = left(nx, k))) AS INT) AS overlap FROM n WHERE nx IS NOT NULL""")
-def chunk_overlaps(spark, d):
-    return chunking.overlaps(_sections(spark, d).withColumnRenamed("section_index", "chunk_index"), chunking.actual_overlap)
-
-
 @query()
-def chunk_overlaps_whole(spark, d):
+def chunk_overlaps(spark, d):
     """Overlaps of any length between the chunks of a chunker with overlap."""
     return chunking.overlaps(chunking.chunk(documents(spark, d), clean=False))
 
@@ -349,49 +302,52 @@ def changed_docs(spark, d):
     return files.changed_files(raw, history)
 
 
-_CHECKS = {n: " + ".join(f"len(regexp_extract_all(text, '{p}'))" for p in ps) for n, ps in (("encoding", ("[\\x{FFFD}]", "[^\\x{0}-\\x{FFFF}]", 'â€™|â€"|â€˜|â€œ')), ("metadata", quality.METADATA), ("whitespace", ("\\s{5,}", "\\n{4,}")))}
-
-
-@query(f"""WITH c AS (SELECT doc_id, {_CHECKS["encoding"]} AS e, {_CHECKS["metadata"]} AS m, {_CHECKS["whitespace"]} AS w, length({strip("text")}) < 10 AS t FROM documents)
-        SELECT doc_id, CAST(greatest(0, 100 - CASE WHEN e > 0 THEN 30 ELSE 0 END - CASE WHEN m > 0 THEN 20 ELSE 0 END - CASE WHEN w > 0 THEN 10 ELSE 0 END - CASE WHEN t THEN 25 ELSE 0 END - least(e * 2, 20) - least(m, 10)) AS DOUBLE) AS score FROM c""")
+@query()
 def text_quality_score(spark, d):
-    rows = documents(spark, d).select("doc_id", quality.text_checks(F.col("text"), repetition=False).alias("c"))
-    return rows.select("doc_id", quality.text_score(F.col("c")).alias("score"))
+    """Back-references of the repetition rule are not in the oracle's pattern language."""
+    return documents(spark, d).select("doc_id", quality.text_checks(F.col("text")).alias("c")).select("doc_id", quality.text_score(F.col("c")).alias("score"), (F.col("c.repetition") > 0).alias("repetitive_pattern"))
 
 
-@query(f"""SELECT doc_id, CASE WHEN {strip("text")} = '' THEN 'empty_answer' ELSE array_to_string(list_filter([CASE WHEN length({strip("text")}) < 50 THEN 'too_short' END, CASE WHEN length({strip("text")}) > 2000 THEN 'too_long' END,
-        CASE WHEN regexp_matches(text, '\\.{{3,}}$|등등$|기타$|미완성|작성 중|\\[.*?\\]$') THEN 'incomplete_answer' END, CASE WHEN regexp_matches(text, '[一-鿿぀-ゟ゠-ヿ]') THEN 'language_mix' END], lambda x: x IS NOT NULL), ',') END AS issues FROM documents""")
-def answer_quality_flags(spark, d):
-    flags = quality.answer_issues(F.col("text"), F.lit("question without keywords"), F.lit("descriptive"))
-    return documents(spark, d).select("doc_id", F.array_join(flags, ",").alias("issues"))
+# answers: every document answers a question of several kinds that shares a word with it or not
+_KINDS = tuple(quality.LENGTHS)
+_QUESTION_SQL = "'What about ' || CASE WHEN doc_id % 3 = 0 THEN '데이터 보안' WHEN doc_id % 3 = 1 THEN '모델의 AI 규제' ELSE 'nothing' END"
+_ANSWER_SQL = "CASE WHEN doc_id % 7 = 0 THEN CAST(doc_id % 120 AS VARCHAR) WHEN doc_id % 11 = 0 THEN '  ' WHEN doc_id % 3 = 0 THEN text || ' 데이터 ...' ELSE text END"
 
 
-def _advice_sql() -> str:
-    cases = [f"CASE WHEN list_contains(i, '{code}') THEN '{advice}' END" for code, advice in reports.ADVICE.items()]
-    cases.append(f"CASE WHEN score < {reports.LOW_SCORE} THEN '{reports.LOW['answer']}' END")
-    judged = f"SELECT doc_id, string_split(issues, ',') AS i, score FROM ({SQL['answer_quality_flags']}) JOIN ({SQL['text_quality_score']}) USING (doc_id)"
-    return f"SELECT doc_id, array_to_string(list_filter([{', '.join(cases)}], lambda x: x IS NOT NULL), '; ') AS advice FROM ({judged})"
+def answered(spark, d):
+    """(doc_id, answer, question, kind) from whole documents."""
+    i, t = F.col("doc_id"), F.col("text")
+    question = F.concat(F.lit("What about "), F.when(i % 3 == 0, "데이터 보안").when(i % 3 == 1, "모델의 AI 규제").otherwise("nothing"))
+    answer = F.when(i % 7 == 0, (i % 120).cast("string")).when(i % 11 == 0, "  ").when(i % 3 == 0, F.concat(t, F.lit(" 데이터 ..."))).otherwise(t)
+    kind = F.element_at(F.array(*[F.lit(k) for k in _KINDS]), (i % len(_KINDS) + 1).cast("int"))
+    return documents(spark, d).select("doc_id", answer.alias("answer"), question.alias("question"), kind.alias("kind"))
 
 
-@query(_advice_sql())
-def quality_advice(spark, d):
-    issues = quality.answer_issues(F.col("text"), F.lit("question without keywords"), F.lit("descriptive"))
-    score = quality.text_score(quality.text_checks(F.col("text"), repetition=False))
-    return documents(spark, d).select("doc_id", F.array_join(reports.recommendations(issues, answer=score), "; ").alias("advice"))
+def _issues_sql() -> str:
+    low = "CASE kind " + " ".join(f"WHEN '{k}' THEN {a}" for k, (a, _) in quality.LENGTHS.items()) + " END"
+    high = "CASE kind " + " ".join(f"WHEN '{k}' THEN {b}" for k, (_, b) in quality.LENGTHS.items()) + " END"
+    domain = "[" + ", ".join(f"'{w}'" for w in quality.DOMAIN) + "]"
+    a = strip("answer")
+    return f"""WITH q AS (SELECT doc_id, {_ANSWER_SQL} AS answer, {_QUESTION_SQL} AS question, [{", ".join(f"'{k}'" for k in _KINDS)}][doc_id % {len(_KINDS)} + 1] AS kind FROM documents),
+        k AS (SELECT *, list_distinct(list_concat(list_filter({domain}, lambda x: contains(question, x)), list_filter(regexp_extract_all(question, '[가-힣]+'), lambda w: length(w) >= 2)[1:5])) AS keys FROM q),
+        r AS (SELECT *, CASE WHEN len(keys) = 0 THEN 0.5 ELSE len(list_filter(keys, lambda x: contains(answer, x))) / len(keys) END AS relevance FROM k)
+        SELECT doc_id, CASE WHEN {a} = '' THEN 'empty_answer' ELSE array_to_string(list_filter([CASE WHEN length({a}) < {low} THEN 'too_short' END, CASE WHEN length({a}) > {high} THEN 'too_long' END,
+        CASE WHEN kind = 'multiple_choice' AND NOT (regexp_matches({a}, '^\\d{{1,2}}$') AND coalesce(TRY_CAST({a} AS INT), 0) BETWEEN 1 AND 99) THEN 'invalid_mc_answer' END, CASE WHEN relevance < 0.3 THEN 'off_topic' END,
+        CASE WHEN regexp_matches(answer, '\\.{{3,}}$|등등$|기타$|미완성|작성 중|\\[.*?\\]$') THEN 'incomplete_answer' END, CASE WHEN regexp_matches(answer, '[一-鿿぀-ゟ゠-ヿ]') THEN 'language_mix' END], lambda x: x IS NOT NULL), ',') END AS issues FROM r"""
 
 
-@query()
-def text_quality_score_whole(spark, d):
-    """With the repetition rule; back-references are not in the oracle's pattern language."""
-    return documents(spark, d).select("doc_id", quality.text_checks(F.col("text")).alias("c")).select("doc_id", quality.text_score(F.col("c")).alias("score"), (F.col("c.repetition") > 0).alias("repetitive_pattern"))
+@query(_issues_sql())
+def answer_quality_flags(spark, d):
+    flags = quality.answer_issues(F.col("answer"), F.col("question"), F.col("kind"))
+    return answered(spark, d).select("doc_id", F.array_join(flags, ",").alias("issues"))
 
 
 @query()
-def quality_advice_whole(spark, d):
-    """With the repetition rule in the score."""
-    issues = quality.answer_issues(F.col("text"), F.lit("question without keywords"), F.lit("descriptive"))
-    score = quality.text_score(quality.text_checks(F.col("text")))
-    return documents(spark, d).select("doc_id", F.array_join(reports.recommendations(issues, answer=score), "; ").alias("advice"))
+def quality_advice(spark, d):
+    """With the repetition rule in the score, so without SQL."""
+    issues = quality.answer_issues(F.col("answer"), F.col("question"), F.col("kind"))
+    score = quality.text_score(quality.text_checks(F.col("answer")))
+    return answered(spark, d).select("doc_id", F.array_join(reports.recommendations(issues, answer=score), "; ").alias("advice"))
 
 
 @query("""SELECT *, printf('Total sampled chunks: %d' || chr(10) || 'Number of documents covered: %d' || chr(10) || '  - Short (< 500): %d' || chr(10) || '  - Medium (500-1500): %d' || chr(10) || '  - Long (> 1500): %d', total, sources, short, medium, long) AS report
@@ -414,16 +370,10 @@ def diversity_report(spark, d):
     return both.select("coverage", "entropy", score.alias("score")).withColumn("level", reports.diversity_level(F.col("score")))
 
 
-@query(f"""WITH q AS (SELECT doc_id, left(text, 120) || '?' AS text FROM documents), r AS (SELECT doc_id, text, CASE WHEN NOT ends_with({strip("text")}, '?') OR len(regexp_extract_all({strip("text")}, '\\.')) > 3 THEN 'format' WHEN NOT length({strip("text")}) BETWEEN 10 AND 500 THEN 'length' WHEN NOT regexp_matches({strip("text")}, '\\p{{L}}') THEN 'script' END AS reason FROM q),
+@query(f"""WITH q AS (SELECT doc_id, text || '?' AS text FROM documents), r AS (SELECT doc_id, text, CASE WHEN NOT ends_with({strip("text")}, '?') OR len(regexp_extract_all({strip("text")}, '\\.')) > 3 THEN 'format' WHEN NOT length({strip("text")}) BETWEEN 10 AND 500 THEN 'length' WHEN NOT regexp_matches({strip("text")}, '\\p{{L}}') THEN 'script' END AS reason FROM q),
         n AS (SELECT *, row_number() OVER (PARTITION BY CASE WHEN reason IS NULL THEN lower(trim(text)) ELSE '#' || doc_id END ORDER BY doc_id) AS k FROM r)
         SELECT doc_id, coalesce(reason, CASE WHEN k > 1 THEN 'duplicate' END) AS reason FROM n""")
 def validator_reasons(spark, d):
-    q = documents(spark, d).select("doc_id", F.concat(F.left("text", F.lit(120)), F.lit("?")).alias("text"))
-    return quality.validate_questions(q, script=r"\p{L}").select("doc_id", "reason")
-
-
-@query(SQL["validator_reasons"].replace("left(text, 120)", "text"))
-def validator_reasons_whole(spark, d):
     q = documents(spark, d).select("doc_id", F.concat("text", F.lit("?")).alias("text"))
     return quality.validate_questions(q, script=r"\p{L}").select("doc_id", "reason")
 

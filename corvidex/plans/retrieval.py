@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corvidex.functions import prompts, text
 from corvidex.functions.tokenize import TOKENIZERS, dot, normalise, simple
 from corvidex.operators import bm25, dense, fusion, rerank
-from corvidex.plans.base import bm25_sql, close, documents, questions, ranked_sql, sparse, table, tokens, vector_sql, vectors
+from corvidex.plans.base import bm25_sql, close, documents, index, questions, ranked_sql, sparse, table, tokens, vector_sql, vectors
 
 QUERIES, SQL = {}, {}
 
@@ -29,14 +29,15 @@ def token_counts(spark, d):
     return documents(spark, d).select("doc_id", *[F.size(f(F.col("text"))).cast("long").alias(f"{n}_tokens") for n, f in TOKENIZERS.items()])
 
 
-@query(f"WITH {bm25_sql()} SELECT term, df, round(idf, 6) AS idf FROM dfs JOIN idf USING (term)")
+@query(f"""WITH d AS (SELECT term, count(*) AS df FROM (SELECT unnest(list_distinct({tokens("text")})) AS term FROM documents) GROUP BY term), s AS (SELECT count(*) AS n FROM documents)
+        SELECT term, df, round(ln(1 + (n - df + 0.5) / (df + 0.5)), 6) AS idf FROM d, s""")
 def vocab_df_idf(spark, d):
-    return bm25.weights(bm25.build(documents(spark, d))).select("term", "df", F.round("idf", 6).alias("idf"))
+    return bm25.weights(index(spark, d)).select("term", "df", F.round("idf", 6).alias("idf"))
 
 
 @query(f"WITH {bm25_sql()} SELECT n, round(avgdl, 6) AS avgdl FROM stats")
 def bm25_stats(spark, d):
-    return bm25.build(documents(spark, d)).stats.select("n", F.round("avgdl", 6).alias("avgdl"))
+    return index(spark, d).stats.select("n", F.round("avgdl", 6).alias("avgdl"))
 
 
 @query(f"WITH {bm25_sql()}, {ranked_sql('r', 'scored', 3)} SELECT query_id, doc_id, score, rank FROM r")
@@ -54,7 +55,7 @@ def bm25_okapi_top3(spark, d):
         {ranked_sql("r", "allp", 3)} SELECT query_id, doc_id, score, rank FROM r""")
 def bm25_padded_topn(spark, d):
     docs = documents(spark, d)
-    return bm25.padded(bm25.build(docs), questions(spark, d), docs).select("query_id", "doc_id", "score", "rank")
+    return bm25.padded(index(spark, d), questions(spark, d), docs).select("query_id", "doc_id", "score", "rank")
 
 
 @query(f"WITH {bm25_sql()}, {ranked_sql('r', 'scored', 3)} SELECT query_id, doc_id, score, rank FROM r")
@@ -67,7 +68,7 @@ def bm25_append_top3(spark, d):
 
 @query(f"WITH {bm25_sql()}, p AS (SELECT * FROM scored WHERE score > 5), {ranked_sql('r', 'p', 5)} SELECT query_id, doc_id, score, rank FROM r")
 def bm25_min_score(spark, d):
-    return bm25.search(bm25.build(documents(spark, d)), questions(spark, d), 5, min_score=5.0).select("query_id", "doc_id", "score", "rank")
+    return bm25.search(index(spark, d), questions(spark, d), 5, min_score=5.0).select("query_id", "doc_id", "score", "rank")
 
 
 @query("""WITH u AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
@@ -107,9 +108,8 @@ def similarity_matrix(spark, d):
 def ivf_topk(spark, d):
     """Approximate search over trained cells; 14 of 16 cells are searched, for a recall of 0.9 or more (README)."""
     e = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("dv"))
-    centres = dense.train_cells(e, 16)
     q = e.where("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), F.col("dv").alias("qv"))
-    return dense.search_cells(q, dense.assign_cells(e.withColumn("dv", normalise(F.col("dv"))), centres), centres, 5, probes=14)
+    return dense.ivf_top_k(q, e, 5, cells=16, probes=14)
 
 
 _NORMS = {
@@ -120,12 +120,16 @@ _NORMS = {
 }
 
 
-def _hybrid_sql(how: str, a: float = 0.5, b: float = 0.5) -> str:
+def _fused_sql(how: str, sparse: str, dense: str, k: int, a: float = 0.5, b: float = 0.5) -> str:
+    """CTEs up to ``r``: two ranked lists, normalised and joined."""
     norm = lambda src: f"(SELECT query_id, doc_id, {_NORMS[how]} AS s FROM (SELECT *, exp(score - max(score) OVER (PARTITION BY query_id)) AS e FROM {src}) WINDOW w AS (PARTITION BY query_id))"
-    return f"""WITH {bm25_sql()}, {ranked_sql("bm", "scored", 15)}, {vector_sql()}, {ranked_sql("ve", "vscored", 15)},
-        f AS (SELECT query_id, doc_id, round({a} * coalesce(x.s, 0) + {b} * coalesce(y.s, 0), 6) AS score, round(coalesce(x.s, 0), 6) AS bm25_score, round(coalesce(y.s, 0), 6) AS vector_score,
+    return f"""f AS (SELECT query_id, doc_id, round({a} * coalesce(x.s, 0) + {b} * coalesce(y.s, 0), 6) AS score, round(coalesce(x.s, 0), 6) AS bm25_score, round(coalesce(y.s, 0), 6) AS vector_score,
               CASE WHEN y.s IS NULL THEN 'bm25' WHEN x.s IS NULL THEN 'vector' ELSE 'bm25,vector' END AS methods
-              FROM {norm("bm")} x FULL OUTER JOIN {norm("ve")} y USING (query_id, doc_id)), {ranked_sql("r", "f", 5)}
+              FROM {norm(sparse)} x FULL OUTER JOIN {norm(dense)} y USING (query_id, doc_id)), {ranked_sql("r", "f", k)}"""
+
+
+def _hybrid_sql(how: str, a: float = 0.5, b: float = 0.5) -> str:
+    return f"""WITH {bm25_sql()}, {ranked_sql("bm", "scored", 15)}, {vector_sql()}, {ranked_sql("ve", "vscored", 15)}, {_fused_sql(how, "bm", "ve", 5, a, b)}
         SELECT query_id, doc_id, score, bm25_score, vector_score, methods, rank FROM r"""
 
 
@@ -265,12 +269,14 @@ def score_cache(spark, d):
     return hits.select("event_id", "score", F.lit(True).alias("hit")).unionByName(misses.select("event_id", F.lit(None).cast("double").alias("score"), F.lit(False).alias("hit")))
 
 
-@query(f"""{_BOTH}, x AS (SELECT query_id, 'bm25' AS list, rank, doc_id, score FROM bm UNION ALL SELECT query_id, 'vector', rank, doc_id, score FROM ve)
+_LISTED = f"""WITH {bm25_sql()}, {ranked_sql("bm", "scored", 10)}, {vector_sql()}, {ranked_sql("ve", "vscored", 10)}, {_fused_sql("minmax", "bm", "ve", 5)}"""
+
+
+@query(f"""{_LISTED}, x AS (SELECT query_id, 'bm25' AS list, rank, doc_id, score FROM bm UNION ALL SELECT query_id, 'vector', rank, doc_id, score FROM ve UNION ALL SELECT query_id, 'hybrid', rank, doc_id, score FROM r)
         SELECT query_id, list, rank, doc_id, score, substr(text, 1, 100) AS preview FROM x JOIN documents USING (doc_id)""")
 def explain_search(spark, d):
     s, v = sparse(spark, d, 10), close(spark, d, 10)
-    empty = s.limit(0)
-    return fusion.explain(s, v, empty, documents(spark, d)).select("query_id", "list", "rank", "doc_id", "score", "preview")
+    return fusion.explain(s, v, fusion.hybrid(s, v, 5), documents(spark, d)).select("query_id", "list", "rank", "doc_id", "score", "preview")
 
 
 @query(f"""WITH {bm25_sql()}, {ranked_sql("bm", "scored", 5)} SELECT round(avg(CASE WHEN n > 0 THEN 1.0 ELSE 0 END), 6) AS coverage, round(avg(coalesce(n, 0)), 6) AS avg_docs, round(avg(top), 6) AS avg_top, round(avg(five), 6) AS avg_five
@@ -328,10 +334,15 @@ def keyword_top20(spark, d):
     return documents(spark, d).select(F.explode(simple(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "term").limit(20)
 
 
-@query(f"SELECT doc_id, len(list_filter(['risk', 'compliance', 'with', 'that'], lambda t: contains(lower(text), t))) AS terms, round(1 + 0.2 * least(len(list_filter(['risk', 'compliance', 'with', 'that'], lambda t: contains(lower(text), t))) / 10, 1), 6) AS boost FROM documents")
+_TERMS = "[" + ", ".join(f"'{t}'" for t in text.TERMS) + "]"
+_HELD = f"len(list_filter({_TERMS}, lambda t: contains(lower(text), lower(t))))"
+
+
+@query(f"SELECT doc_id, {_HELD} AS terms, round(1 + 0.2 * least({_HELD} / 10, 1), 6) AS boost FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text || ' 금리 리스크 var' ELSE text END AS text FROM documents)")
 def term_boost(spark, d):
-    terms = ("risk", "compliance", "with", "that")
-    return documents(spark, d).select("doc_id", F.size(text.terms_in(F.col("text"), terms)).cast("long").alias("terms"), F.round(text.term_boost(F.col("text"), terms), 6).alias("boost"))
+    """The 43 terms over whole texts; a third of them get three terms at their end, as the texts hold few."""
+    t = F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit(" 금리 리스크 var"))).otherwise(F.col("text"))
+    return documents(spark, d).select("doc_id", F.size(text.terms_in(t)).cast("long").alias("terms"), F.round(text.term_boost(t), 6).alias("boost"))
 
 
 __all__ = ["QUERIES", "SQL", "vectors"]

@@ -1,3 +1,4 @@
+import hashlib
 import json
 import random
 
@@ -5,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from corvidex.functions import prompts, questions
+from corvidex.functions import prompts, questions, text
 from corvidex.operators import chunking, quality, reports, sampling, splitting
 from corvidex.plans import corpus
 from corvidex.sources import files, html
@@ -55,7 +56,7 @@ def test_boundaries_keep_columns(spark):
 
 def test_choices_and_classes(spark):
     q = "Which?\n1 one\n2 two\n① first\n10. ten"
-    row = spark.createDataFrame([(q,)], "q string").select(questions.choices(F.col("q")).alias("m"), questions.mc_lines(F.col("q")).alias("a"), questions.max_choice(F.col("q")).alias("n"), questions.question_part(F.col("q")).alias("p")).first()
+    row = spark.createDataFrame([(q,)], "q string").select(questions.choices(F.col("q"), circled=True).alias("m"), questions.mc_lines(F.col("q")).alias("a"), questions.max_choice(F.col("q")).alias("n"), questions.question_part(F.col("q")).alias("p")).first()
     assert row["m"] == {"1": "first", "10": "ten"} and row["a"] and row["n"] == 10 and row["p"] == "Which? 1 one 2 two"
 
 
@@ -141,14 +142,65 @@ def written(spark, tmp_path, name, rows, schema):
 
 def test_whole_texts_are_questions(spark, tmp_path):
     head = "word " * 100
-    texts = {2: f"{head}\n1. one\n2. two\n7. seven", 5: head + "end one", 8: head + "end two", 11: "short text", 14: "short text"}
+    texts = {3: f"{head}\n1. one\n2. two\n7. seven", 7: head + "end one", 11: head + "end two", 15: "short text", 19: "short text"}
     d = written(spark, tmp_path, "documents", list(texts.items()), "doc_id long, text string")
     got = lambda name: {r["doc_id"]: r for r in corpus.QUERIES[name](spark, d).collect()}
-    assert {i: r["mc_b"] for i, r in got("mc_classify_whole").items()} == {i: i == 2 for i in texts}
-    assert {i: r["choices"] for i, r in got("question_parts_whole").items()} == {i: 3 if i == 2 else 0 for i in texts}
-    assert {i: r["most"] for i, r in got("max_choice_whole").items()} == {i: 7 if i == 2 else 4 for i in texts}
-    assert {(r["number"], r["choice"]) for r in corpus.QUERIES["choice_extract_whole"](spark, d).where("doc_id = 2").collect()} >= {(7, "seven")} or got("choice_extract_whole")[2]["choice"]
-    assert {i: r["reason"] for i, r in got("validator_reasons_whole").items()} == {2: "length", 5: "length", 8: "length", 11: None, 14: "duplicate"}
+    assert {i: r["mc_b"] for i, r in got("mc_classify").items()} == {i: i == 3 for i in texts}
+    assert {i: r["choices"] for i, r in got("question_parts").items()} == {i: 3 if i == 3 else 0 for i in texts}
+    assert {i: r["most"] for i, r in got("max_choice").items()} == {i: 7 if i == 3 else 4 for i in texts}
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    assert {(r["number"], r["choice"]) for r in corpus.QUERIES["choice_extract"](spark, d).where("doc_id = 3").collect()} == {("1", md5("one")), ("2", md5("two")), ("7", md5("seven"))}
+    assert {i: r["reason"] for i, r in got("validator_reasons").items()} == {3: "length", 7: "length", 11: "length", 15: None, 19: "duplicate"}
+
+
+def test_choices_are_numbered(spark):
+    """Rows 7.1 to 7.7: letters become numbers, circled digits count as digits, later lines replace earlier ones."""
+    q = "Which?\nA) one\nb. two\nㄷ. three\n라) four\n③ five\n⑩ ten\nK) other\nA) again"
+    row = spark.createDataFrame([(q, "① x\n② y", "1 a\n2 b", "1x\n2y", "1) a", "")], "q string, circled string, loose string, bare string, one string, none string")
+    c = questions.choices
+    r = row.select(c(F.col("q")).alias("kept"), c(F.col("q"), circled=True).alias("numbered"), *[f(F.col(x)).alias(f"{f.__name__}_{x}") for x in ("circled", "loose", "bare") for f in (questions.mc_lines, questions.mc_digits, questions.mc_second)], *[questions.classify(F.col(x)).alias(f"is_{x}") for x in ("q", "one", "none")]).first()
+    assert r["kept"] == {"1": "again", "2": "two", "3": "three", "4": "four", "③": "five", "10": "ten", "K": "other"}
+    assert r["numbered"] == {"1": "again", "2": "two", "3": "five", "4": "four", "10": "ten", "K": "other"}
+    assert [r[f"{f}_{x}"] for x in ("circled", "loose", "bare") for f in ("mc_lines", "mc_digits", "mc_second")] == [True, True, True, True, True, True, False, True, False]
+    assert tuple(r["is_q"]) == ("multiple_choice", 0.95) and tuple(r["is_one"]) == ("open_ended", 0.3) and tuple(r["is_none"]) == ("open_ended", 0.0)
+    # two lines of one number are one choice
+    assert spark.createDataFrame([("1. a\n1. b",)], "q string").select(questions.classify(F.col("q")).alias("c")).first()["c"]["confidence"] == 0.3
+
+
+def test_splitter_by_its_rule():
+    """Row 9.1 restated as recursion over strings, on mixed, CJK and unbroken texts."""
+
+    def plain(text, size, overlap, marks):
+        if len(text) <= size:
+            return [text] if text.strip() else []
+        if not marks:
+            return [text[a : a + size] for a in range(0, len(text), size - overlap)]
+        runs, run = [], []
+        for part in text.split(marks[0]):
+            if run and sum(len(x) + len(marks[0]) for x in [*run, part]) > size:
+                runs.append(run)
+                run = []
+            if len(part) > size:
+                runs.append(part)
+            else:
+                run.append(part)
+        whole = []
+        for r in [*runs, run] if run else runs:
+            whole += plain(r, size, overlap, marks[1:]) if isinstance(r, str) else [t for t in [marks[0].join(r)] if t.strip()]
+        return [(whole[i - 1][-overlap:] if i and overlap else "") + t for i, t in enumerate(whole)]
+
+    rng = random.Random(1)
+    bits = ["\n\n", "\n", ". ", "。", "! ", "? ", "；", "，", " ", "a", "bb", "在线", "x" * 30, "  "]
+    for _ in range(3000):
+        t = "".join(rng.choice(bits) for _ in range(rng.randint(0, 60)))
+        size, overlap = rng.randint(5, 40), rng.randint(0, 4)
+        assert splitting.split_packed(t, size, overlap) == plain(t, size, overlap, splitting.SEPARATORS)
+    assert [len(t) for t in splitting.split_packed("a" * 2000, 512, 0)] == [512, 512, 512, 464]
+
+
+def test_clean_for_llm_drops_references(spark):
+    r = spark.createDataFrame([("1. text (see 12) and (none) (p. 3, x)",)], "t string").select(text.clean_for_llm(F.col("t"), True).alias("a"), text.clean_for_llm(F.col("t")).alias("b")).first()
+    assert r["a"] == "text  and (none) " and r["b"] == "text (see 12) and (none) (p. 3, x)"
 
 
 def test_repetition_counts_in_the_score(spark, tmp_path):
@@ -156,14 +208,14 @@ def test_repetition_counts_in_the_score(spark, tmp_path):
 
     bad = "�" * 2
     texts = ["a plain text of some words", "aaaaaaaaaaaa is a run", "aaaaaaaaaaa", "aaaaaaaaaa has ten", "so so so so so so so it goes", "one two " * 6 + "end", "      so so so so so so so", bad + "      aaaaaaaaaaaaa text"]
-    d = written(spark, tmp_path, "documents", list(enumerate(texts)), "doc_id long, text string")
-    rule = {i: bool(re.search(r"(.)\1{10,}|(\S+\s+)\2{5,}", t)) for i, t in enumerate(texts)}
-    got = {r["doc_id"]: r for r in corpus.QUERIES["text_quality_score_whole"](spark, d).collect()}
-    plain = {r["doc_id"]: r["score"] for r in corpus.QUERIES["text_quality_score"](spark, d).collect()}
+    d = written(spark, tmp_path, "documents", list(enumerate(texts, 29)), "doc_id long, text string")
+    rule = {i: bool(re.search(r"(.)\1{10,}|(\S+\s+)\2{5,}", t)) for i, t in enumerate(texts, 29)}
+    got = {r["doc_id"]: r for r in corpus.QUERIES["text_quality_score"](spark, d).collect()}
+    plain = {r["doc_id"]: r["score"] for r in corpus.documents(spark, d).select("doc_id", quality.text_score(quality.text_checks(F.col("text"), repetition=False)).alias("score")).collect()}
     assert {i: r["repetitive_pattern"] for i, r in got.items()} == rule and 3 < sum(rule.values()) < len(texts)
     assert {i: r["score"] for i, r in got.items()} == {i: max(0, s - 15 * rule[i]) for i, s in plain.items()}
-    low = {i for i, r in got.items() if r["score"] < reports.LOW_SCORE}
-    advice = {r["doc_id"]: r["advice"] for r in corpus.QUERIES["quality_advice_whole"](spark, d).collect()}
+    low = {r["doc_id"] for r in corpus.answered(spark, d).select("doc_id", quality.text_score(quality.text_checks(F.col("answer"))).alias("score")).collect() if r["score"] < reports.LOW_SCORE}
+    advice = {r["doc_id"]: r["advice"] for r in corpus.QUERIES["quality_advice"](spark, d).collect()}
     assert {i for i, a in advice.items() if reports.LOW["answer"] in a} == low and low
 
 
@@ -178,12 +230,12 @@ def test_overlaps_of_any_length(spark):
     assert {r["chunk_index"]: r["overlap"] for r in chunking.overlaps(rows).collect()} == {0: 500, 1: 450}
     chunks = chunking.chunk(corpus.documents(spark, "/root/testdata/sf0.001"), clean=False).collect()
     text = {(r["source_id"], r["chunk_index"]): r["content"] for r in chunks}
-    got = {(r["source_id"], r["chunk_index"]): r["overlap"] for r in corpus.QUERIES["chunk_overlaps_whole"](spark, "/root/testdata/sf0.001").collect()}
+    got = {(r["source_id"], r["chunk_index"]): r["overlap"] for r in corpus.QUERIES["chunk_overlaps"](spark, "/root/testdata/sf0.001").collect()}
     assert got == {(s, i): brute(t, text[s, i + 1]) for (s, i), t in text.items() if (s, i + 1) in text} and max(got.values()) > 0
 
 
 def test_a_pair_for_every_user_turn(spark, tmp_path):
     said = [(1, 0, "system", "s"), (1, 1, "user", "z"), (1, 2, "assistant", "a"), (1, 3, "user", "b"), (1, 4, "user", "c"), (1, 5, "assistant", "y"), (4, 0, "user", "alone")]
     d = written(spark, tmp_path, "conversations", said, "conv_id long, turn long, role string, text string")
-    got = {(r["conv_id"], r["turn"]): (r["first_content"], r["chosen_content"], r["split"]) for r in corpus.QUERIES["preference_pairs_turns"](spark, d).collect()}
+    got = {(r["conv_id"], r["turn"]): (r["first_content"], r["chosen_content"], r["split"]) for r in corpus.QUERIES["preference_pairs"](spark, d).collect()}
     assert got == {(1, 1): ("z", "a", "train"), (1, 3): ("b", None, "train"), (1, 4): ("c", "y", "train"), (4, 0): ("alone", None, "test")}
