@@ -64,12 +64,6 @@ def last_turns(turns: DataFrame, n: int = 3, conv: str = "conv_id", turn: str =
     return rows.groupBy(conv).agg(F.array_join(F.transform(ordered, lambda e: e["line"]), "\n").alias("history"), F.count(F.lit(1)).alias("turns"))
 
 
-def few_shot(examples: Column, prompt: Column) -> Column:
-    """Numbered (question, answer) examples before a prompt."""
-    own = F.transform(examples, lambda e, i: F.concat(F.lit("예시 "), (i + 1).cast("string"), F.lit("\n질문: "), e["question"], F.lit("\n답변: "), e["answer"], F.lit("\n\n")))
-    return F.concat(F.array_join(own, ""), prompt)
-
-
 def preference_pairs(rows: DataFrame, order: str, share: float = 0.9) -> DataFrame:
     """``(messages, chosen, rejected)`` arrays of messages; the first ``floor(share n)`` rows train, the rest test.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corvidex.functions.text import let, strip
+from corvidex.functions.text import WS, let, strip
 
 # Forms of a choice line
 CHOICES = (r"^\s*(\p{Nd}+)\s*[.)]\s*(.+)$", r"^\s*([①②③④⑤⑥⑦⑧⑨⑩])\s*(.+)$", r"^\s*([가나다라마바사아자차카타파하])\s*[.)]\s*(.+)$", r"^\s*([ㄱㄴㄷㄹㅁㅂㅅㅇㅈㅊㅋㅌㅍㅎ])\s*[.)]\s*(.+)$", r"^\s*([A-Za-z])\s*[.)]\s*(.+)$")
@@ -158,11 +158,72 @@ def extract_answer(text: Column, is_mc: Column) -> Column:
     )
 
 
-def number_within(text: Column, most: Column) -> Column:
-    """The first number from 1 to ``most``, else the first number, else 1."""
-    found = F.regexp_extract_all(text, F.lit(r"(\d+)"), F.lit(1))
-    inside = F.filter(found, lambda n: (F.length(n) < 9) & n.try_cast("int").between(1, most))
-    return F.coalesce(F.get(inside, F.lit(0)), F.get(found, F.lit(0)), F.lit("1"))
+def number_within(text: Column, most: Column, default: str | None = None) -> Column:
+    """The first number from 1 to ``most``; else ``default`` or, without one, the first number, else 1."""
+    found = F.regexp_extract_all(text, F.lit(r"(\p{Nd}+)"), F.lit(1))
+    inside = F.filter(found, lambda n: n.try_cast("decimal(38,0)").between(F.lit(1), most))
+    rest = F.get(found, F.lit(0)) if default is None else F.lit(None).cast("string")
+    return F.coalesce(F.get(F.transform(inside, lambda n: n.cast("int").cast("string")), F.lit(0)), rest, F.lit(default or "1"))
+
+
+# English words that may stay in an answer, and Han or Kana marks with what they become
+ALLOWED = ("API", "CPU", "GPU", "URL", "DNS", "SQL", "VPN", "SSL", "TLS", "HTTP", "HTTPS")
+FOREIGN = r"[\x{4E00}-\x{9FFF}\x{3040}-\x{309F}\x{30A0}-\x{30FF}\x{3000}-\x{303F}]+"
+MARKS = {"，": ", ", "、": ", ", "。": ". ", "：": ": ", "？": "?", "！": "!", "（": "(", "）": ")"}
+
+
+def _after_last(c: Column, label: str) -> Column:
+    return strip(F.element_at(F.split(c, label, -1), -1))
+
+
+def extract_strict(text: Column, is_mc: Column, most: Column) -> Column:
+    """Parsing B: a number within the choices or 1; else a text without other scripts, English words or echoed roles, 500 characters at most."""
+    t = F.coalesce(text, F.lit(""))
+    c = F.regexp_replace(t, FOREIGN, "")
+    for mark, to in MARKS.items():
+        c = F.replace(c, F.lit(mark), F.lit(to))
+    c = strip(c)
+    number = number_within(F.when(F.contains(c, F.lit("정답:")), _after_last(c, "정답:")).when(F.contains(c, F.lit("답변:")), _after_last(c, "답변:")).otherwise(c), most, "1")
+    english = F.array(*[F.lit(w) for w in ALLOWED])
+    words = F.filter(F.split(c, WS + "+"), lambda w: (w != "") & (~w.rlike("^[A-Za-z]+$") | F.array_contains(english, F.upper(w))))
+    free = F.array_join(words, " ")
+    free = F.when(F.contains(free, F.lit("답변:")), _after_last(free, "답변:")).otherwise(free)
+    free = F.when(F.startswith(free, F.lit("assistant")), strip(F.substring(free, 10, 1 << 30))).when(F.startswith(free, F.lit("user")), strip(F.substring(free, 5, 1 << 30))).otherwise(free)
+    return F.when(strip(t) == "", F.when(is_mc, "1").otherwise(FAILED)).when(is_mc, number).otherwise(F.left(free, F.lit(500)))
+
+
+def extract_after_colon(text: Column, is_mc: Column) -> Column:
+    """Parsing C: the first number or 1; else what follows the first colon, 500 characters at most."""
+    t = F.coalesce(text, F.lit(""))
+    c = strip(F.regexp_replace(t, r"[\x{4E00}-\x{9FFF}\x{3040}-\x{309F}\x{30A0}-\x{30FF}]+", ""))
+    number = F.coalesce(F.nullif(F.regexp_extract(c, r"(\p{Nd}+)", 1), F.lit("")), F.lit("1"))
+    free = F.left(F.when(F.contains(c, F.lit(":")), strip(F.substring(c, F.instr(c, ":") + 1, F.length(c)))).otherwise(c), F.lit(500))
+    return F.when(t == "", F.when(is_mc, "1").otherwise(NO_ANSWER)).when(is_mc, number).otherwise(F.when(free == "", FAILED).otherwise(free))
+
+
+def is_number(answer: Column) -> Column:
+    """Whether an answer counts as one to a multiple-choice question."""
+    return F.coalesce(strip(answer).rlike(rf"^{DIGIT}+$"), F.lit(False))
+
+
+def diagnosis(response: Column, is_mc: Column) -> Column:
+    """The sections of a diagnostic response, the last of a kind; the heading of the answer is read as its shorter form, so
+    the longer one leaves its last syllable."""
+    own = F.transform(F.split(F.coalesce(response, F.lit("")), "###", -1), strip)
+    last = lambda head: F.coalesce(F.try_element_at(F.filter(own, lambda s: s.startswith(head)), F.lit(-1)), F.lit(""))
+    body = lambda head: strip(F.replace(last(head), F.lit(head), F.lit("")))
+    rated = F.filter(own, lambda s: s.startswith("문서 관련성 분석") & F.contains(s, F.lit("BM25 vs Vector:")))
+    preference = strip(F.substring_index(F.get(F.split(F.try_element_at(rated, F.lit(-1)), "BM25 vs Vector:", -1), F.lit(1)), "\n", 1))
+    answer = body("최종 답")
+    final = F.when(last("최종 답") == "", "").when(is_mc, F.coalesce(F.nullif(F.regexp_extract(answer, r"(\p{Nd}+)", 1), F.lit("")), F.lit("1"))).otherwise(answer)
+    return F.struct(final.alias("final_answer"), body("문서 관련성 분석").alias("document_analysis"), body("사고 과정").alias("thought_process"), body("근거").alias("evidence"), F.coalesce(preference, F.lit("")).alias("score_preference"))
+
+
+def first_question(text: Column) -> Column:
+    """The first line as a question; the mark is added before a number or a label goes."""
+    t = strip(F.substring_index(strip(text), "\n", 1))
+    t = F.when((t != "") & ~t.endswith("?"), F.concat(t, F.lit("?"))).otherwise(t)
+    return F.regexp_replace(F.regexp_replace(t, r"^\p{Nd}+\.\s*", ""), r"^질문[:：]\s*", "")
 
 
 def title(text: Column) -> Column:

@@ -6,6 +6,7 @@ Null texts clean to the empty string, as falsy texts do.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -286,3 +287,127 @@ def terms_in(c: Column, terms=TERMS) -> Column:
 
 def term_boost(c: Column, terms=TERMS, weight: float = 1.2) -> Column:
     return 1 + (weight - 1) * F.least(F.size(terms_in(c, terms)) / 10, F.lit(1.0))
+
+
+# Terms replaced before reranking, in order
+RERANK_TERMS = {"risk": "리스크", "compliance": "컴플라이언스", "portfolio": "포트폴리오", "derivative": "파생상품", "hedge": "헤지", "VaR": "위험가치", "ROI": "투자수익률", "ROE": "자기자본이익률", "P/E": "주가수익비율"}
+
+
+def for_reranking(c: Column) -> Column:
+    """White space collapsed, terms translated, commas between digits dropped, other marks blanked."""
+    c = one_space(c)
+    for term, to in RERANK_TERMS.items():
+        c = F.replace(c, F.lit(term), F.lit(to))
+    c = F.regexp_replace(c, r"(\p{Nd}+),(\p{Nd}+)", "$1$2")
+    return one_space(F.regexp_replace(c, r"[^\p{L}\p{N}_\s.,!?%-]", " "))
+
+
+def both_ends(c: Column, length: int = 512) -> Column:
+    """White space collapsed; a text over five times ``length`` keeps half of that at both ends."""
+    half = length * 5 // 2
+    return let(one_space(c), lambda t: F.when(F.length(t) > length * 5, F.concat(F.left(t, F.lit(half)), F.lit(" ... "), F.right(t, F.lit(half)))).otherwise(t))
+
+
+# What a vision model repeats of its prompt, and what it says instead of nothing
+LEAK_START, LEAK_END = "<!--PROMPT_START_MARKER_DO_NOT_INCLUDE-->", "<!--PROMPT_END_MARKER_DO_NOT_INCLUDE-->"
+LEAKS = (
+    r"이 문서 페이지에서.*?추출해주세요[.:]*",
+    r"\*\*\d+순위:.*?\*\*",
+    r"위 우선순위에 따라.*?정리해주세요[.:]*",
+    r"추가 지침:.*?마크다운 형식화",
+    r"헤더 레벨 지정",
+    r"문단과 구조",
+    r"표 형식",
+    r"페이지 경계 표시",
+    r"특수 콘텐츠",
+    r"이러한 마크다운 형식을.*?생성해주세요[.:]*",
+    r"\*\*중요\*\*:.*?출력하세요[.:]*",
+    r"###\s*(헤더|문단|표|페이지|특수).*?\n",
+    r"-\s*[가-힣\s]*:\s*[#`\*].*?\n",
+    r"\|\s*헤더\d+\s*\|.*?\n",
+    r"```\s*\n.*?\n```",
+    r"위의?\s*지침",
+    r"다음\s*규칙",
+    r"형식으로\s*변환",
+)
+LEAK_WORDS = ("우선순위", "추출", "지침", "형식", "변환", "생성해주세요")
+NO_CONTENT = "내용 없음"
+
+
+def drop_prompt_leaks(c: Column) -> Column:
+    """The text without echoes of an extraction prompt; ``NO_CONTENT`` where little or only echoes are left."""
+    head = F.substring_index(c, LEAK_START, 1)
+    rest = F.split(F.get(F.split(c, LEAK_START, -1), F.lit(1)), LEAK_END, -1)
+    c = F.when(~F.contains(c, F.lit(LEAK_START)), c).otherwise(F.concat(head, F.coalesce(F.get(rest, F.lit(1)), F.lit(""))))
+    for p in LEAKS:
+        c = F.regexp_replace(c, f"(?is){p}", "")
+
+    def judged(t: Column) -> Column:
+        echoes = sum((F.contains(t, F.lit(w)).cast("int") for w in LEAK_WORDS), F.lit(0))
+        kept = F.array_join(F.filter(F.transform(F.split(t, "\n"), strip), lambda x: x != ""), "\n")
+        return F.when((F.length(t) < 10) | ((echoes >= 3) & (F.length(t) < 200)), NO_CONTENT).otherwise(kept)
+
+    return let(strip(c), judged)
+
+
+# Signs of a table line, and words that hint at something to see
+TABLE_SIGNS = ("표", "Table", "|", "│", "┌", "└", "┬", "┴")
+VISUAL = ("그림", "표", "차트", "그래프", "다이어그램", "Figure", "Table", "Chart")
+#: How the page formatter tells lines apart: as the two characters backslash and n, unless told otherwise
+LINE_MARK = "\\n"
+
+
+def page_markdown(c: Column, page: Column, mark: str = LINE_MARK) -> Column:
+    """A page heading, and numbered lines of under 100 characters as headings; texts in brackets stay as they are."""
+    heading = lambda x: F.when(x.rlike(r"^\p{Nd}") & F.left(x, F.lit(10)).rlike("[.)]") & (F.length(x) < 100), F.concat(F.lit("### "), x)).otherwise(x)
+    parts = F.transform(F.split(strip(c), _quoted(mark), -1), lambda x: heading(strip(x)))
+    whole = F.concat(F.lit(f"{mark}## Page "), page.cast("string"), F.lit(mark * 2), F.array_join(parts, mark))
+    return F.when((c == "") | F.startswith(c, F.lit("[")), c).otherwise(whole)
+
+
+def _quoted(mark: str) -> str:
+    return re.escape(mark)
+
+
+def page_tables(c: Column) -> Column:
+    """Runs of lines that look like tables: from a line with a sign on, up to ten more lines of any kind, then lines with a
+    sign; a blank line ends them, and so does the end of the text, but without a table.  Two lines at least."""
+    sign = r"[^\n]*(?:" + "|".join(re.escape(s) for s in TABLE_SIGNS) + r")[^\n]*"
+    some = rf"[^\n]*{WS.replace('[', '[^', 1)}[^\n]*"
+    runs = F.regexp_extract_all(c, F.lit(rf"(?m)(^{sign}(?:\n{some}){{0,10}}+(?:\n{sign})*+)(?=\n)"), F.lit(1))
+    held = F.transform(runs, lambda r: F.transform(F.split(r, "\n"), strip))
+    return F.transform(F.filter(held, lambda x: F.size(x) >= 2), lambda x: F.struct(F.size(x).alias("rows"), F.array_join(x, "\n").alias("content")))
+
+
+def page_contents(c: Column, mark: str = LINE_MARK) -> Column:
+    """(level, title, line_number) of headings of two marks or more, but for page headings; levels end at 3."""
+    rows = F.transform(F.split(c, _quoted(mark), -1), lambda x, i: F.struct(strip(x).alias("t"), (i + 1).alias("line_number")))
+    heads = F.filter(rows, lambda r: F.startswith(r["t"], F.lit("##")))
+    named = F.transform(heads, lambda r: F.struct(F.least(F.length(r["t"]) - F.length(F.replace(r["t"], F.lit("#"), F.lit(""))) - 1, F.lit(3)).alias("level"), strip(F.replace(r["t"], F.lit("#"), F.lit(""))).alias("title"), r["line_number"].alias("line_number")))
+    return F.filter(named, lambda r: (r["title"] != "") & ~F.startswith(r["title"], F.lit("Page")))
+
+
+def needs_vision(c: Column, page: Column) -> Column:
+    """Pages that hint at something to see, and the first five."""
+    return contains_any(c, VISUAL) | (page < 5)
+
+
+def precision(importance: Column) -> Column:
+    return F.when(importance > 0.8, "fp16").when(importance > 0.5, "int8").otherwise("int4")
+
+
+def tidy_text(c: Column) -> Column:
+    """Runs of blank lines and spaces shortened, page marks dropped."""
+    c = F.regexp_replace(F.regexp_replace(c, r"\n{3,}", "\n\n"), r" {2,}", " ")
+    return strip(F.regexp_replace(F.regexp_replace(c, r"\[Page \p{Nd}+\]", ""), r"Page \p{Nd}+ of \p{Nd}+", ""))
+
+
+def tidy_markdown(c: Column) -> Column:
+    """Headings without a title dropped, runs of blank lines shortened."""
+    return strip(F.regexp_replace(F.regexp_replace(c, r"(?m)^#{1,6}\s*$", ""), r"\n{4,}", "\n\n\n"))
+
+
+def section_by_title(c: Column, title: str) -> Column:
+    """The plain text of the section that a heading with this title (any case) begins, up to the next heading; empty without one."""
+    pattern = rf"(?is)(#{{1,6}}\s*{re.escape(title)}.*?)(?=\n#{{1,6}}\s|\z)"
+    return F.coalesce(markdown_to_plain(F.regexp_extract(c, pattern, 1)), F.lit(""))

@@ -23,7 +23,19 @@ def blank(c: Column) -> Column:
     return F.filter(F.split(c, WS + "+"), lambda t: t != "")
 
 
-TOKENIZERS = {"simple": simple, "word": word, "blank": blank}
+def morpheme(c: Column) -> Column:
+    """Content morphemes by the offline analyser; see :mod:`corvidex.functions.morphemes` for others."""
+    from corvidex.functions.morphemes import Morphemes
+
+    return Morphemes().tokens(c)
+
+
+TOKENIZERS = {"simple": simple, "word": word, "blank": blank, "morpheme": morpheme}
+
+
+def register(name: str, tokens) -> None:
+    """Make a tokeniser, a function from a text column to an array of strings, known by name to the index and its readers."""
+    TOKENIZERS[name] = tokens
 
 
 def bigrams(tokens: Column) -> Column:

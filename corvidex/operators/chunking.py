@@ -156,5 +156,57 @@ def overlaps(chunks: DataFrame) -> DataFrame:
 
 
 def chunk_stats(chunks: DataFrame, *by: str) -> DataFrame:
+    """Counts and sizes of chunks; those flagged ``is_boundary`` are counted apart, where there is such a column."""
     n = F.length("content")
-    return chunks.groupBy(*by).agg(F.count(F.lit(1)).alias("chunks"), F.countDistinct("source_id").alias("documents"), F.round(F.avg(n), 6).alias("avg_size"), F.min(n).alias("min_size"), F.max(n).alias("max_size"), F.sum(n).alias("total_chars"))
+    edge = F.coalesce(F.sum(F.col("is_boundary").cast("long")), F.lit(0)) if "is_boundary" in chunks.columns else F.lit(0).cast("long")
+    out = chunks.groupBy(*by).agg(F.count(F.lit(1)).alias("chunks"), edge.alias("boundary_chunks"), F.countDistinct("source_id").alias("documents"), F.round(F.avg(n), 6).alias("avg_size"), F.min(n).alias("min_size"), F.max(n).alias("max_size"), F.sum(n).alias("total_chars"))
+    return out.withColumn("regular_chunks", F.col("chunks") - F.col("boundary_chunks"))
+
+
+def hierarchy_stats(chunks: DataFrame) -> DataFrame:
+    """By level and over all (null): chunks, characters, mean size and distinct paths."""
+    n = F.length("content")
+    return chunks.rollup("hierarchy_level").agg(F.count(F.lit(1)).alias("chunks"), F.sum(n).alias("total_chars"), F.round(F.avg(n), 6).alias("avg_size"), F.count_distinct("hierarchy_path").alias("paths"))
+
+
+def overlap_report(configs: dict[str, DataFrame]) -> DataFrame:
+    """One row per configuration: chunks, sizes, and the mean overlap after regular and after boundary chunks."""
+    out = None
+    for name, chunks in configs.items():
+        c = chunks if "is_boundary" in chunks.columns else chunks.withColumn("is_boundary", F.lit(False))
+        nxt = F.lead("content").over(Window.partitionBy("source_id").orderBy("chunk_index"))
+        rows = c.withColumn("__next", nxt).withColumn("overlap", whole_overlap("content", "__next"))
+        mean = lambda test: F.round(F.coalesce(F.avg(F.when(test, F.col("overlap"))), F.lit(0.0)), 6)
+        n = F.length("content")
+        own = rows.agg(F.lit(name).alias("config"), F.count(F.lit(1)).alias("total_chunks"), F.round(F.avg(n), 6).alias("avg_size"), F.min(n).alias("min_size"), F.max(n).alias("max_size"), F.sum(F.col("is_boundary").cast("long")).alias("boundary_chunks"), mean(~F.col("is_boundary")).alias("avg_regular_overlap"), mean(F.col("is_boundary")).alias("avg_boundary_overlap"), F.coalesce(F.sum("overlap"), F.lit(0)).alias("total_overlap"))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def page_chunks(docs: DataFrame, size: int = 512, overlap: int = 50, page_col: str = "page_id", text_col: str = "text") -> DataFrame:
+    """Chunks of every page under ids of the page and their place on it."""
+    rows = chunk(docs, size, overlap, page_col, text_col)
+    return rows.select(F.col("source_id").alias(page_col), F.concat(F.lit("page_"), F.col("source_id").cast("string"), F.lit("_chunk_"), F.col("chunk_index").cast("string")).alias("chunk_id"), "chunk_index", "total_chunks", "content")
+
+
+def paragraphs(docs: DataFrame, size: int = 1000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(source_id, chunk_index, content): whole paragraphs packed up to ``size`` characters, without overlap."""
+
+    @pandas_udf("array<string>")
+    def split(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: splitting.split_paragraphs(t or "", size))
+
+    rows = docs.select(F.col(id_col).alias("source_id"), split(F.col(text_col)).alias("parts"))
+    return rows.select("source_id", F.posexplode_outer("parts").alias("chunk_index", "content")).where(F.col("chunk_index").isNotNull())
+
+
+def enhance(chunks: DataFrame, selective: bool = True, least: int = 400, id_col: str = "chunk_id") -> DataFrame:
+    """Chunks cut again where their sentences part in meaning, with ``semantic_enhanced``; if ``selective``, only long prose is cut.
+
+    Parts keep the columns of their chunk and are numbered ``segment``.
+    """
+    flag = F.coalesce(F.col("semantic_enhanced"), F.lit(False)) if "semantic_enhanced" in chunks.columns else F.lit(False)
+    wanted = eligible_for_semantic(F.col("content"), flag) if selective else F.length("content") >= least
+    cut = semantic(chunks.where(wanted), id_col=id_col, text_col="content").select(F.col("source_id").alias(id_col), "segment", F.col("content").alias("__part"))
+    rows = chunks.drop("semantic_enhanced").join(cut, id_col, "left")
+    return rows.withColumn("content", F.coalesce("__part", "content")).withColumn("semantic_enhanced", F.col("__part").isNotNull()).withColumn("segment", F.coalesce("segment", F.lit(0).cast("long"))).drop("__part")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvidex.functions.text import HANGUL, contains_any, strip
+from corvidex.functions.text import HANGUL, contains_any, let, strip
 from corvidex.functions.tokenize import simple
 
 # Patterns of each kind of fault
@@ -20,7 +20,8 @@ LENGTHS = {"multiple_choice": (1, 2), "descriptive": (50, 2000), "definition": (
 DOMAIN = ("금융", "AI", "보안", "데이터", "모델", "시스템", "규제", "가이드라인", "리스크", "암호화", "인증", "감사", "컴플라이언스", "프라이버시", "알고리즘", "학습", "추론", "편향", "공격", "방어")
 # Deductions by fault, weights of pipeline stages, bands
 DEDUCTIONS = {"encoding_error": 30, "metadata_contamination": 20, "repetitive_pattern": 15, "excessive_whitespace": 10, "truncated_text": 25}
-STAGES = {"text": 0.10, "chunks": 0.15, "retrieval": 0.15, "context": 0.25, "answer": 0.35}
+STAGES = {"input": 0.10, "processed": 0.15, "chunks": 0.15, "contexts": 0.25, "answer": 0.35}
+ANSWER_DEDUCTIONS = {"empty_answer": 50, "too_short": 20, "too_long": 10, "off_topic": 30, "invalid_mc_answer": 40, "incomplete_answer": 25}
 BANDS = ((90, "excellent"), (70, "good"), (50, "acceptable"), (30, "poor"))
 
 
@@ -36,10 +37,14 @@ def text_checks(c: Column, repetition: bool = True) -> Column:
 
 def text_score(checks: Column) -> Column:
     """100 less a deduction for each kind of fault and a little for each hit, 0 at least."""
-    on = lambda test, n: F.when(test, n).otherwise(0)
-    lost = on(checks["encoding"] > 0, 30) + on(checks["metadata"] > 0, 20) + on(checks["repetition"] > 0, 15) + on(checks["whitespace"] > 0, 10) + on(checks["truncated"], 25)
-    lost = lost + F.least(checks["encoding"] * 2, F.lit(20)) + F.least(checks["metadata"], F.lit(10))
-    return F.greatest(F.lit(0), 100 - lost).cast("double")
+
+    def scored(c: Column) -> Column:
+        on = lambda test, n: F.when(test, n).otherwise(0)
+        lost = on(c["encoding"] > 0, 30) + on(c["metadata"] > 0, 20) + on(c["repetition"] > 0, 15) + on(c["whitespace"] > 0, 10) + on(c["truncated"], 25)
+        lost = lost + F.least(c["encoding"] * 2, F.lit(20)) + F.least(c["metadata"], F.lit(10))
+        return F.greatest(F.lit(0), 100 - lost).cast("double")
+
+    return let(checks, scored)
 
 
 def relevance(answer: Column, question: Column, context: Column | None = None) -> Column:
@@ -75,6 +80,45 @@ def answer_issues(answer: Column, question: Column, kind: Column, context: Colum
     return F.when(strip(a) == "", F.array(F.lit("empty_answer"))).otherwise(found)
 
 
+def text_issues(checks: Column) -> Column:
+    """Codes of the faults that were counted."""
+
+    def codes(c: Column) -> Column:
+        hit = {"encoding_error": c["encoding"] > 0, "metadata_contamination": c["metadata"] > 0, "repetitive_pattern": c["repetition"] > 0, "excessive_whitespace": c["whitespace"] > 0, "truncated_text": c["truncated"]}
+        return F.array_compact(F.array(*[F.when(test, code) for code, test in hit.items()]))
+
+    return let(checks, codes)
+
+
+def answer_score(issues: Column) -> Column:
+    """100 less a deduction for each fault of an answer, 0 at least."""
+    lost = lambda own: sum((F.when(F.array_contains(own, code), n).otherwise(0) for code, n in ANSWER_DEDUCTIONS.items()), F.lit(0))
+    return let(issues, lambda own: F.greatest(F.lit(0), 100 - lost(own)).cast("double"))
+
+
+def mean_text_score(texts: Column, first: int) -> Column:
+    """The mean score of the first texts of a list; null for an empty one."""
+    scores = F.transform(F.slice(texts, 1, first), lambda t: text_score(text_checks(t)))
+    return F.try_divide(F.aggregate(scores, F.lit(0.0), lambda a, s: a + s), F.size(scores))
+
+
+def pipeline_report(input_text: Column, processed: Column, chunks: Column, contexts: Column, answer: Column, question: Column, kind: Column) -> Column:
+    """(score, level, passed, issues, stages): a blank text and an empty list leave their stage out, which counts 0."""
+    blank = F.array().cast("array<string>")
+    judge = lambda t: F.when(F.coalesce(t, F.lit("")) != "", let(text_checks(t), lambda c: F.struct(text_score(c).alias("score"), text_issues(c).alias("issues"))))
+    none = F.size(F.coalesce(contexts, blank)) == 0
+    found = F.when(none, answer_issues(answer, question, kind)).otherwise(answer_issues(answer, question, kind, F.array_join(contexts, "\n")))
+    facts = F.struct(judge(input_text).alias("input"), judge(processed).alias("processed"), found.alias("answer"), mean_text_score(chunks, 5).alias("chunks"), mean_text_score(contexts, 3).alias("contexts"))
+
+    def report(f: Column) -> Column:
+        stages = {"input": f["input"]["score"], "processed": f["processed"]["score"], "chunks": f["chunks"], "contexts": f["contexts"], "answer": answer_score(f["answer"])}
+        score = F.round(pipeline_score(**stages), 6)
+        issues = F.concat(F.coalesce(f["input"]["issues"], blank), F.coalesce(f["processed"]["issues"], blank), f["answer"])
+        return F.struct(score.alias("score"), band(score).alias("level"), (score >= 50).alias("passed"), F.array_sort(F.array_distinct(issues)).alias("issues"), *[F.round(c, 6).alias(n) for n, c in stages.items()])
+
+    return let(facts, report)
+
+
 def pipeline_score(**stages: Column) -> Column:
     """Weighted sum of stage scores; a missing stage counts 0."""
     return sum((F.coalesce(stages.get(s, F.lit(None).cast("double")), F.lit(0.0)) * w for s, w in STAGES.items()), F.lit(0.0))

@@ -87,3 +87,17 @@ def log_stages(lines: DataFrame, stages: list[str], text: str = "value", order:
     kept = seen.where(F.col("stage").isNotNull() & (F.contains(line, F.lit("INFO")) | F.contains(line, F.lit("DEBUG"))))
     out = kept.select(log, "stage", order, F.trim(F.get(fields, F.lit(3))).alias("content"))
     return out.where((F.col("content") != "") & ~F.contains("content", F.lit("====")))
+
+
+def page_carry(pages: DataFrame, doc: str = "doc_id", page: str = "page", text: str = "text") -> DataFrame:
+    """Each page with what the pages before it leave open: the last heading so far, the last line of the page before, and whether
+    that page ends within a sentence."""
+    from corvidex.functions.text import incomplete_page, strip
+
+    rows = F.split(strip(F.col(text)), "\n", -1)
+    heads = F.filter(rows, lambda x: x.rlike(r"^#{1,4}\s"))
+    own = pages.withColumn("__head", F.when(F.size(heads) > 0, F.element_at(heads, -1))).withColumn("__last", strip(F.element_at(rows, -1)))
+    w = Window.partitionBy(doc).orderBy(page)
+    header = F.last("__head", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    out = own.withColumn("last_header", header).withColumn("last_sentence", F.lag("__last").over(w)).withColumn("continues", F.coalesce(F.lag(incomplete_page(F.col("__last"))).over(w), F.lit(False)))
+    return out.drop("__head", "__last")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,3 +77,33 @@ def diversity(found: DataFrame, text_col: str = "text") -> DataFrame:
     lists = found.groupBy("query_id").agg(F.collect_list(F.struct("doc_id", F.array_distinct(simple(F.col(text_col))).alias("t"))).alias("items"))
     pairs = F.flatten(F.transform("items", lambda a: F.transform(F.filter("items", lambda b: b["doc_id"] > a["doc_id"]), lambda b: 1 - jaccard(a["t"], b["t"]))))
     return lists.select("query_id", pairs.alias("p")).select("query_id", F.round(F.when(F.size("p") == 0, 1.0).otherwise(F.aggregate("p", F.lit(0.0), lambda s, x: s + x) / F.size("p")), 6).alias("diversity"))
+
+
+def save_cache(memo: DataFrame, path: str) -> None:
+    memo.write.mode("overwrite").parquet(path)
+
+
+def load_cache(spark, path: str, now: Column, ttl: float = 3600.0, most: int = 10_000) -> DataFrame:
+    """A saved memo without the entries whose time is over."""
+    return cache_evict(spark.read.parquet(path), now, most, ttl)
+
+
+@dataclass(frozen=True)
+class RerankSettings:
+    """What a reranker is run with; the presets differ in model, batch and length."""
+
+    model: str = "default"
+    batch_size: int = 8
+    max_length: int = 512
+    factor: int = 3
+    alpha: float = 0.7
+    cache: bool = True
+    fallback: bool = True
+
+    def checked(self) -> RerankSettings:
+        if self.batch_size < 1 or self.max_length < 1 or self.factor < 1 or not 0 <= self.alpha <= 1:
+            raise ValueError("settings out of range")
+        return self
+
+
+PRESETS = {"default": RerankSettings(), "long": RerankSettings(max_length=2048, batch_size=4), "fast": RerankSettings(max_length=256, batch_size=32, factor=2), "debug": RerankSettings(batch_size=1, cache=False, fallback=False)}

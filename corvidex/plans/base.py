@@ -53,6 +53,11 @@ def tokens(c: str) -> str:
     return TOKENS.format(c)
 
 
+def quoted(value: str) -> str:
+    """A string as an SQL literal."""
+    return "'" + value.replace("'", "''") + "'"
+
+
 def strip(c: str) -> str:
     return f"regexp_replace({c}, '^{WS}+|{WS}+$', '', 'g')"
 

@@ -106,3 +106,51 @@ def changed_files(raw: DataFrame, history: DataFrame, key: str = "name") -> Data
     """New rows and rows of another size than before."""
     h = history.select(F.col(key), F.col("size").alias("__size"))
     return raw.join(h, key, "left").where(F.col("__size").isNull() | (F.col("__size") != F.col("size"))).drop("__size")
+
+
+def scan(spark: SparkSession, folders: list[str], kinds: tuple[str, ...] = ("txt", "html", "pdf"), recursive: bool = True) -> DataFrame:
+    """(path, kind, size) of the files of several folders, each path once, in whatever case its ending is."""
+    rows = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(folders).select("path", F.lower(F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1)).alias("kind"), F.col("length").alias("size"))
+    return rows.where(F.col("kind").isin(*kinds)).dropDuplicates(["path"])
+
+
+def write_metadata(rows: DataFrame, path: str, text: str = "content") -> None:
+    """The columns of every document but its text, with the text's length, as JSON lines."""
+    rows.withColumn("content_length", F.length(F.coalesce(F.col(text), F.lit("")))).drop(text).write.mode("overwrite").json(path)
+
+
+#: What a knowledge base's version file may set, and what holds where it does not
+VERSION = {"chunks": "chunks", "vectors": "vectors", "postings": "postings", "bm25_weight": 0.5, "vector_weight": 0.5}
+
+
+def read_version(spark: SparkSession, path: str) -> dict:
+    """The settings of a version file of JSON; without a file, or where it leaves one out, the defaults hold."""
+    from corvidex.operators.vectors import exists
+
+    if not exists(spark, path):
+        return dict(VERSION)
+    row = spark.read.json(path, multiLine=True).first()
+    return VERSION | {k: v for k, v in (row.asDict() if row else {}).items() if k in VERSION and v is not None}
+
+
+def load_version(spark: SparkSession, base: str, settings: dict) -> dict[str, DataFrame]:
+    """The tables that the settings name under ``base``; those that are not there are left out."""
+    from corvidex.operators.vectors import exists
+
+    return {k: spark.read.parquet(f"{base}/{settings[k]}") for k in ("chunks", "vectors", "postings") if exists(spark, f"{base}/{settings[k]}")}
+
+
+def bulk_documents(rows: DataFrame, id_col: str = "chunk_id", text_col: str = "content") -> DataFrame:
+    """Chunks of either stored form as (doc_id, content, source, metadata): ids fall back on the row's content, sources on a list of names."""
+    names = [c for c in ("source", "filename", "file_name", "document", "source_id") if c in rows.columns]
+    rest = [c for c in rows.columns if c not in (id_col, text_col, *names)]
+    own = F.col(id_col).cast("string") if id_col in rows.columns else F.lit(None).cast("string")
+    source = F.coalesce(*[F.col(n).cast("string") for n in names], F.lit("unknown"))
+    return rows.select(F.coalesce(own, F.substring(F.md5(F.col(text_col).cast("binary")), 1, 16)).alias("doc_id"), F.col(text_col).alias("content"), source.alias("source"), F.to_json(F.struct(*rest) if rest else F.struct(F.lit(None).alias("none"))).alias("metadata"))
+
+
+def lint_encoding(lines: DataFrame, text: str = "value") -> DataFrame:
+    """Lines that open or read a text file without naming an encoding."""
+    line = F.col(text)
+    opens = line.rlike(r"\b(open|read_csv|to_csv)\(") & ~line.rlike(r"encoding\s*=") & ~line.rlike(r"open\([^)]*['\"][rwa]?b[+]?['\"]") & ~line.rlike(r"^\s*#")
+    return lines.where(opens)

@@ -35,6 +35,46 @@ def read_index(spark: SparkSession, index_dir: str, tokenizer: str = "simple") -
     return bm25.Index(postings, postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")), stats, tokenizer)
 
 
+def update(spark: SparkSession, source: str, base: str, checkpoint: str, schema, embed=None, centres: DataFrame | None = None, size: int = 512, overlap: int = 50) -> DataFrame:
+    """Bring a knowledge base up to date with the files that are new in ``source``; gives one row per batch of this run.
+
+    Each batch is chunked, its chunks are embedded and put into their cells, and chunks, vectors and postings are
+    appended under the batch's number; existing artefacts are optional.  A batch that fails before its log is run again whole
+    and replaces its output.  Chunks are flagged ``incremental_update``.
+    """
+    from corvidex.operators import chunking
+    from corvidex.operators.vectors import celled, exists
+    from corvidex.providers import BucketEmbedder
+
+    embed = embed or BucketEmbedder().embed
+    before = {r["number"] for r in spark.read.parquet(f"{base}/log").select("number").collect()} if exists(spark, f"{base}/log") else set()
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(source)
+
+    def write(batch: DataFrame, number: int) -> None:
+        at = lambda name: f"{base}/{name}/batch={number}"
+        chunking.chunk(batch, size, overlap).withColumn("incremental_update", F.lit(True)).write.mode("overwrite").parquet(at("chunks"))
+        own = spark.read.parquet(at("chunks"))
+        celled(own.select(F.col("chunk_id").alias("doc_id"), embed(F.col("content")).alias("dv")), centres).write.mode("overwrite").parquet(at("vectors"))
+        bm25.postings_of(own, "simple", "chunk_id", "content").write.mode("overwrite").parquet(at("postings"))
+        log = batch.agg(F.count(F.lit(1)).alias("documents")).crossJoin(own.agg(F.count(F.lit(1)).alias("chunks")))  # one row each
+        log.withColumn("number", F.lit(number)).withColumn("status", F.lit("success")).withColumn("processed_at", F.current_timestamp()).write.mode("overwrite").parquet(at("log"))
+
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    if not exists(spark, f"{base}/log"):
+        return spark.createDataFrame([], "number long, documents long, chunks long, status string")
+    return spark.read.parquet(f"{base}/log").where(~F.col("number").isin(*before) if before else F.lit(True)).select(F.col("number").cast("long"), "documents", "chunks", "status")
+
+
+def knowledge_base(spark: SparkSession, base: str):
+    """(chunks, vector store, BM25 index) of all batches so far, under the ids of the chunks."""
+    from corvidex.operators.vectors import VectorStore
+
+    chunks, vectors, postings = (spark.read.parquet(f"{base}/{n}").drop("batch") for n in ("chunks", "vectors", "postings"))
+    words = postings.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("words"))
+    stats = chunks.agg(F.count(F.lit(1)).alias("n")).crossJoin(F.broadcast(words)).select("n", F.try_divide("words", "n").alias("avgdl"))  # one row each
+    return chunks, VectorStore(vectors), bm25.Index(postings, postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")), stats)
+
+
 def event_windows(events: DataFrame, minutes: int = 60, late: str = "1 hour") -> DataFrame:
     """Counts and sums of events by type and window; late rows within the watermark still count."""
     return events.withWatermark("ts", late).groupBy(F.window("ts", f"{minutes} minutes").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total")).select(F.col("w.start").alias("start"), "event_type", "n", "total")

@@ -4,6 +4,7 @@ import math
 from pathlib import Path
 
 import duckdb
+import pandas as pd
 import pytest
 
 from corvidex import plans
@@ -13,7 +14,7 @@ DATA = "/root/testdata/sf0.001"
 
 def rows(df):
     def cell(v):
-        if v is None or (isinstance(v, float) and math.isnan(v)):
+        if v is None or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
             return "null"
         return f"{float(v):.5f}" if isinstance(v, (int, float)) or getattr(getattr(v, "dtype", None), "kind", "") in "iuf" and hasattr(v, "dtype") else str(v)
 
