@@ -3,7 +3,8 @@
 A text is the set of the 64-bit hashes of its 5-word shingles.  Two sets link at 0.8 or more of their union.
 The search is a prefix join: in any one order of all shingles, two linked sets share one of the first
 ``n - ceil(0.8 n) + 1`` shingles of each, so only those are looked up.  Rows of a shingle meet in one sorted pass,
-which holds one group of bounded size; pairs met there and pairs that fingerprints propose are verified on the whole sets.
+which holds one group of bounded size.  Pairs met there that share enough of their first shingles, and pairs that
+fingerprints propose, are verified on the whole sets.
 
 * The order puts shingles that a sample of the sets shows to be common last, so a line that many texts share is
   looked up only by texts made of such lines.  The sample changes the cost and never the result.
@@ -30,14 +31,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvidex.llm._graph import components
-from corvidex.llm._spark import stored
+from corvidex.llm._spark import give_back_memory, stored
 from corvidex.llm._words import ranges, slices, texts_of
 
 SEED = 42
 WIDTH = 5
 FOUR_FIFTHS = Fraction(4, 5)
 #: 1 / SAMPLE of the sets is counted for the order; a shingle in COMMON of them comes late.  At most MOST shingles do.
-SAMPLE, COMMON, MOST = 8, 16, 200_000
+SAMPLE, COMMON, MOST = 8, 3, 200_000
 HOT_BUCKET = 16
 LEADERS = 8
 #: Of text at a time; a longer text is a part of its own.
@@ -94,6 +95,7 @@ def named(rows: DataFrame, width: int) -> DataFrame:
                 both = np.fromiter(((node_of(x), fingerprint_of(x)) for x in sets), np.dtype((np.int64, 2)), hi - lo)
                 own = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([*[own.column(i) for i in range(len(keys))], pa.array(both[:, 0]), pa.array(both[:, 1])], names=[*keys, "node", "fp"])
+                give_back_memory()
 
     return rows.select(*keys, "text").mapInArrow(work, rows.select(*keys).schema.add("node", "long").add("fp", "long"))
 
@@ -138,33 +140,38 @@ def _prefixes(texts: DataFrame, common: np.ndarray, width: int, similarity: Frac
                 k = np.fromiter(map(len, own), np.int64, len(own))
                 columns = [np.concatenate(own).view(np.int64), np.repeat(np.array(nodes, np.int64), k), np.repeat(np.array(sizes, np.int32), k), ranges(np.zeros(len(k), np.int64), k).astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "node", "n", "pos"])
+                give_back_memory()
 
     return texts.select("text").mapInArrow(work, "token long, node long, n int, pos int")
 
 
 def _met(similarity: Fraction, most: int):
-    """Reads (token, node, n, pos) in order of token and node; writes the pairs of nodes that share a token, and the
-    rows of tokens that more than ``most`` nodes look up as they are.  Holds one batch and one such group at a time."""
+    """Reads (token, node, n, pos) in order of token and node; writes the pairs of nodes that share a token, with how many
+    tokens they were seen to share and their sizes, and the rows of tokens that more than ``most`` nodes look up as they are.
+    Holds one batch and one such group at a time."""
     p, q = similarity.numerator, similarity.denominator
 
     def pairs(token, node, n, pos):
         """Candidate pairs of whole groups: all groups of one size at a time."""
         starts = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.zeros(0, np.int64)
         sizes = np.diff(np.append(starts, len(token)))
-        found = [np.zeros((0, 2), np.int64)]
+        found = [np.zeros((0, 4), np.int64)]
         for size in np.unique(sizes[sizes > 1]).tolist():
-            x, y = (np.add.outer(starts[sizes == size], i).ravel() for i in np.triu_indices(size, 1))
+            x, y = (np.add.outer(starts[sizes == size], i).ravel() for i in np.triu_indices(size, 1))  # nodes rise within a group
             room = np.minimum(n[x] - pos[x], n[y] - pos[y]).astype(np.int64)
             good = (p + q) * room >= p * (n[x].astype(np.int64) + n[y])
-            found.append(np.stack([np.minimum(node[x[good]], node[y[good]]), np.maximum(node[x[good]], node[y[good]])], axis=1))
-        return np.unique(np.concatenate(found), axis=0)
+            x, y = x[good], y[good]
+            found.append(np.stack([node[x], node[y], n[x], n[y]], axis=1))
+        return np.unique(np.concatenate(found), axis=0, return_counts=True)
 
-    def out(ab=None, rows=None):
+    def out(met=None, rows=None):
         if rows is None:
-            none = pa.nulls(len(ab), pa.int64())
-            return pa.RecordBatch.from_arrays([none, pa.array(ab[:, 0]), pa.array(ab[:, 1]), pa.nulls(len(ab), pa.int32()), pa.nulls(len(ab), pa.int32())], names=["token", "a", "b", "n", "pos"])
-        token, node, n, pos = rows
-        return pa.RecordBatch.from_arrays([pa.array(token), pa.array(node), pa.nulls(len(token), pa.int64()), pa.array(n), pa.array(pos)], names=["token", "a", "b", "n", "pos"])
+            ab, count = met
+            columns = [pa.nulls(len(ab), pa.int64()), *[pa.array(ab[:, i]) for i in (0, 1)], *[pa.array(ab[:, i].astype(np.int32)) for i in (2, 3)], pa.array(count.astype(np.int32))]
+        else:
+            token, node, n, pos = rows
+            columns = [pa.array(token), pa.array(node), pa.nulls(len(token), pa.int64()), pa.array(n), pa.nulls(len(token), pa.int32()), pa.array(pos)]
+        return pa.RecordBatch.from_arrays(columns, names=["token", "a", "b", "na", "nb", "c"])
 
     def work(batches):
         held = [np.zeros(0, t) for t in (np.int64, np.int64, np.int32, np.int32)]
@@ -188,15 +195,15 @@ def _met(similarity: Fraction, most: int):
                 # the last group may go on in the next batch
                 tail = ~pick & (np.arange(len(token)) >= starts[-1])
                 whole = ~pick & ~tail
-                ab = pairs(*[r[whole] for r in rows])
+                met = pairs(*[r[whole] for r in rows])
                 held = [r[tail] for r in rows]
-                if len(ab):
-                    yield out(ab=ab)
+                if len(met[0]):
+                    yield out(met)
             else:
                 held = rows
-        ab = pairs(*held)
-        if len(ab):
-            yield out(ab=ab)
+        met = pairs(*held)
+        if len(met[0]):
+            yield out(met)
 
     return work
 
@@ -218,6 +225,22 @@ def _alike(both: Column, sizes: Column, similarity: Fraction) -> Column:
     return (p + q) * both >= p * sizes
 
 
+def _likely(met: DataFrame, hot: DataFrame, similarity: Fraction) -> DataFrame:
+    """(a, b) of the pairs that may share enough.
+
+    Of two sets, the one whose prefix ends first in the order shares no more than the prefix tokens both were seen to have,
+    those that were not counted because they are hot, and all it has behind its prefix.
+    """
+    both = met.groupBy("a", "b").agg(F.sum("c").alias("c"), F.max("na").alias("na"), F.max("nb").alias("nb"))
+    uncounted = hot.groupBy("node").agg(F.count(F.lit(1)).alias("h"))
+    side = lambda name: uncounted.select(F.col("node").alias(name), F.col("h").alias(f"h{name}"))
+    both = both.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    p, q = similarity.numerator, similarity.denominator
+    behind = lambda n: F.ceil(F.col(n) * p / F.lit(q)) - 1
+    most = F.col("c") + F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0))) + F.greatest(behind("na"), behind("nb"))
+    return both.where(_alike(most, F.col("na") + F.col("nb"), similarity)).select("a", "b")
+
+
 def _verified(pairs: DataFrame, texts_of_nodes, width: int, similarity: Fraction) -> DataFrame:
     """The pairs whose whole sets have that much of their union in common."""
 
@@ -241,9 +264,9 @@ def links(texts: DataFrame, texts_of_nodes, proposed: DataFrame, width: int = WI
     """
     least = Fraction(str(similarity))
     looked = _prefixes(texts, _common(texts, width), width, least).repartition("token").sortWithinPartitions("token", "node")
-    met = stored(looked.mapInArrow(_met(least, HOT_BUCKET), "token long, a long, b long, n int, pos int"), "jaccard-met")
-    hot = met.where(F.col("token").isNotNull()).select("token", F.col("a").alias("node"), "n", "pos")
-    pairs = met.where(F.col("token").isNull()).select("a", "b").union(proposed.select("a", "b"))
+    met = stored(looked.mapInArrow(_met(least, HOT_BUCKET), "token long, a long, b long, na int, nb int, c int"), "jaccard-met")
+    hot = met.where(F.col("token").isNotNull()).select("token", F.col("a").alias("node"), F.col("na").alias("n"), F.col("c").alias("pos"))
+    pairs = _likely(met.where(F.col("token").isNull()), hot, least).union(proposed.select("a", "b"))
     if hot.isEmpty():
         return _verified(stored(pairs.distinct(), "jaccard-pairs"), texts_of_nodes, width, least)
     # the least of several hashes each

@@ -222,6 +222,7 @@ def identify(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: st
             own, score = predict(shared.value, texts_of(column.slice(a, b - a)))
             langs += own
             scores.append(score)
+        give_back_memory()
         return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(np.concatenate(scores), pa.float64())], ["lang_pred", "score"])
 
     own = [id_col, *[c for c in keep if c != id_col and c.lower() not in ("lang_pred", "score")]]

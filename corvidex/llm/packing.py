@@ -14,7 +14,7 @@ tokenizer sees a distinct word once, many at a time; a bounded table keeps words
 Open bins are ``open_bins`` a task.
 
 Defined results: a null or empty text is the closing id alone.  Texts of any length are tokenised whole.
-Repeated rows are packed once each.  Of bins with equal space the one opened last takes a piece.  An empty table
+Repeated rows are packed once each.  Of bins with equal space the one filled last takes a piece.  An empty table
 gives no rows.  Only the id and the text are read, so other columns may have any name.
 """
 

@@ -10,7 +10,10 @@ Scale: one pass over the texts, without a shuffle, writes base spans and candida
 counted and candidates judged on that table.  At most kinds x 3 ** labelers counts reach the driver.
 
 Defined results: null and empty texts have no spans.  Texts are read whole, and every pattern runs in time linear in the
-text.  Offsets are code points, ends exclusive.  Repeated rows get equal spans.  An empty table gives no rows.
+text.  Offsets are code points, ends exclusive.  Repeated rows get equal spans.  An empty table gives no rows.  Spans of one
+start are ordered by kind as in ``KINDS``.  Only the id and the text are read, so other columns may have any name.
+Spelled-out forms keep to the limits of mail itself (64 characters before the at, 63 in a label, five labels), and no number
+of over 23 digits is a candidate; base spans have no such limits.
 """
 
 from __future__ import annotations

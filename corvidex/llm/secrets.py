@@ -11,7 +11,8 @@ Labelled findings have columns ``before``, ``value``, ``after`` (text around a c
 
 Defined results: a null text has no candidates and stays null, an empty one stays empty.  Texts are read
 whole.  Equal candidates in one text are judged each by its own neighbours.  Repeated rows get equal results.
-An empty table gives no rows.  Extra columns pass through; the columns added replace any of the same name.
+An empty table gives no rows.  Extra columns pass through; the columns added replace any of the same name.  Overlapping
+candidates cannot be: the next one is looked for behind the last.
 """
 
 from __future__ import annotations
@@ -135,6 +136,14 @@ def train(findings: DataFrame, trees: int = 20, depth: int = 6, seed: int = 8):
     return probability
 
 
+def running_sums(values: Column, most: int = 24) -> Column:
+    """Sums of an array's first, first two, .. entries by doubling steps, so n entries take n log n; up to ``2 ** most`` of them."""
+    for k in range(most):
+        step = 1 << k
+        values = let(values, lambda a, step=step: F.when(F.size(a) <= step, a).otherwise(F.transform(a, lambda x, i: x + F.coalesce(F.get(a, i - step), F.lit(0)))))
+    return values
+
+
 def scan(docs: DataFrame, probability, text_col: str = "text", least: float = 0.5) -> DataFrame:
     """``docs`` with ``n_candidates``, ``secrets`` (start, end, probability; code points) and ``redacted`` text."""
     names = [c for c in docs.columns if c.lower() not in ("n_candidates", "secrets", "redacted")]
@@ -144,9 +153,8 @@ def scan(docs: DataFrame, probability, text_col: str = "text", least: float = 0.
     held = held.withColumn("found", F.regexp_extract_all(F.coalesce("t", F.lit("")), pattern, F.lit(1)))
     held = held.withColumn("gaps", F.when(F.size("found") > 0, F.split("t", CANDIDATE, -1)).otherwise(F.array().cast("array<string>")))
     # where each candidate starts: running lengths of the gaps and candidates before it
-    lengths = F.zip_with("gaps", "found", lambda g, v: F.struct(F.length(g).alias("g"), F.coalesce(F.length(v), F.lit(0)).alias("v")))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
-    starts = F.aggregate(lengths, empty, lambda s, x: F.struct((s["at"] + x["g"] + x["v"]).alias("at"), F.concat(s["starts"], F.array(s["at"] + x["g"])).alias("starts")))["starts"]
+    ends = running_sums(F.zip_with("gaps", "found", lambda g, v: F.length(g) + F.coalesce(F.length(v), F.lit(0))))
+    starts = let(ends, lambda e: F.transform("found", lambda v, i: F.get(e, i) - F.length(v)))
     judged = F.transform("found", lambda v, i: let(F.struct(*[c.alias(f) for c, f in zip(features(v, F.right(F.get("gaps", i), F.lit(NEAR)), F.left(F.get("gaps", i + 1), F.lit(NEAR))), FEATURES, strict=True)]), lambda x: probability([x[f] for f in FEATURES])))
     none = F.array().cast("array<double>")
     held = held.withColumn("p", F.when(F.size("found") > 0, judged).otherwise(none))

@@ -155,15 +155,15 @@ def _collect(segments: int, most: int):
             parts = [q[:, s] @ v[:, s].T for s in cuts]
             for i, (key, tau) in enumerate(zip(chunk["key"], chunk["tau"].tolist(), strict=True)):
                 own = np.arange(len(ids))
-                if not pd.isna(tau):
-                    tau = int(tau)
+                tau = None if pd.isna(tau) or int(tau) <= -LONGEST else int(tau)  # the least score of all cuts nothing off
+                if tau is not None:
                     uniform = -(-tau // len(cuts))
                     passed = [p[i] >= uniform for p in parts]
                     own = np.flatnonzero(np.logical_or.reduce(passed))
                     bound = sum(np.where(h[own], p[i, own], uniform) for h, p in zip(passed, parts, strict=True))
                     own = own[bound >= tau]
                 exact = sum(p[i, own] for p in parts)
-                if not pd.isna(tau):
+                if tau is not None:
                     own, exact = own[exact >= tau], exact[exact >= tau]
                 if not len(own):
                     continue

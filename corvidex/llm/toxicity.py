@@ -6,15 +6,19 @@ training sample; every other token is tagged clean.  The field has two states, e
 on hashed features of the word and of its neighbours, and a transition table; it is trained in numpy by
 forward-backward gradients.  At inference each document's marginals give offending spans (code point
 offsets) and, through a small logistic model on their largest value and expected count, a score.
+Gradients are expected less seen counts: marginals of tokens for emissions, of neighbouring pairs for transitions, of first
+tokens for the start weights.
 
 Scale: inference is one pass without a shuffle; Arrow encodes each batch into distinct words, so features
 are made once a word, and the recursions run over many documents at a time.  Training reads a sample
-bounded by ``max_toxic`` + ``max_clean`` documents and ``max_tokens`` tokens (documented bound); the model
-is one array of ``2 ** HASH_BITS`` floats.
+bounded by ``max_toxic`` + ``max_clean`` documents, ``max_tokens`` tokens and, for the field, ``max_pieces`` pieces of 64 tokens
+(documented bounds; a text that alone exceeds what is left of the tokens is not learnt from); the model is three arrays of
+``2 ** HASH_BITS`` floats.
 
 Defined results: null and empty texts have no tokens; their score is that of a document without any
 toxic token, with no span.  Whole texts are read whatever their length.  Repeated rows are scored
-alike.  An empty table gives no rows; without both labels in the sample, the score is 0.
+alike.  An empty table gives no rows; without both labels in the sample, the score is 0.  A label given twice counts as toxic if one
+says so.  A score of exactly one half is predicted toxic.  Only ids, texts and labels are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -69,11 +73,16 @@ def feature_table(words: list[str]) -> np.ndarray:
 
 
 def marginals(emit: np.ndarray, lengths: np.ndarray, step: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """P(state 1) of each token; ``emit`` holds the state-1 logits of all sequences one after another.
+    """P(state 1) of each token; ``emit`` holds the state-1 logits of all sequences one after another."""
+    return expectations(emit, lengths, step, start)[0]
+
+
+def expectations(emit: np.ndarray, lengths: np.ndarray, step: np.ndarray, start: np.ndarray, pairs: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(P(state 1) of each token, expected [from, to] counts of neighbouring states if asked for).
 
     Sequences of similar length are padded together; both recursions run in probability space, scaled at each step.
     """
-    out = np.zeros(len(emit))
+    out, counts = np.zeros(len(emit)), np.zeros((2, 2))
     begins = np.cumsum(lengths) - lengths
     order = np.argsort(lengths, kind="stable")
     order = order[lengths[order] > 0]
@@ -111,11 +120,16 @@ def marginals(emit: np.ndarray, lengths: np.ndarray, step: np.ndarray, start: np
             q1 = a[i] * b1
             m[i] = q1 / (q1 + (1 - a[i]) * (1 - b1))
             y0, y1 = e0[i] * (1 - b1), e1[i] * b1
+            if pairs and i:
+                # what the tokens before say, the transition, and what this token and those after say
+                both = [[(1 - a[i - 1]) * t[0, 0] * y0, (1 - a[i - 1]) * t[0, 1] * y1], [a[i - 1] * t[1, 0] * y0, a[i - 1] * t[1, 1] * y1]]
+                total = both[0][0] + both[0][1] + both[1][0] + both[1][1]
+                counts += [[float((p / total)[inside[i]].sum()) for p in row] for row in both]
             x0 = t[0, 0] * y0 + t[0, 1] * y1
             x1 = t[1, 0] * y0 + t[1, 1] * y1
             b1 = np.where(inside[i], x1 / (x0 + x1), 0.5)
         out[source] = m[pos, col]
-    return out
+    return out, counts
 
 
 def _token_labels(codes: np.ndarray, offsets: np.ndarray, stems: list[str], toxic: np.ndarray) -> np.ndarray:
@@ -187,7 +201,7 @@ def train_field(texts: list[str], toxic: list[int], epochs: int = 6, piece: int
     chosen = hot[: max_pieces // 2] + cold[: max_pieces // 2]
     table = feature_table(words)
     sums = [np.full(size, 1e-6) for _ in range(3)]
-    step_sum = np.full((2, 2), 1e-6)
+    step_sum, start_sum = np.full((2, 2), 1e-6), np.full(2, 1e-6)
     weights = [model.own, model.before, model.after]
     for _ in range(epochs):
         rng.shuffle(chosen)
@@ -198,7 +212,7 @@ def train_field(texts: list[str], toxic: list[int], epochs: int = 6, piece: int
             lengths = np.array([len(s) for s in seqs])
             own = np.concatenate(seqs)
             edge = np.concatenate([[0], np.cumsum(lengths)])
-            m = marginals(_emissions_from(weights, table, own, edge), lengths, model.step, model.start)
+            m, expected = expectations(_emissions_from(weights, table, own, edge), lengths, model.step, model.start, pairs=True)
             g = m - y
             first = np.zeros(len(own), bool)
             first[edge[:-1]] = True
@@ -210,12 +224,13 @@ def train_field(texts: list[str], toxic: list[int], epochs: int = 6, piece: int
                 total += 1e-5 * weights[k]
                 sums[k] += total**2
                 weights[k] -= 0.3 * total / np.sqrt(sums[k]) * (total != 0)
-            # transitions: expected minus seen counts, with independent neighbours as the estimate of pair marginals
-            pm, py = np.stack([1 - m, m]), np.stack([1 - y, y])
-            inner = ~first[1:]
-            grad = pm[:, :-1][:, inner] @ pm[:, 1:][:, inner].T - py[:, :-1][:, inner] @ py[:, 1:][:, inner].T
+            py, inner = np.stack([1 - y, y]), ~first[1:]
+            grad = expected - py[:, :-1][:, inner] @ py[:, 1:][:, inner].T
             step_sum += grad**2
             model.step = np.clip(model.step - 0.05 * grad / np.sqrt(step_sum), -2, 2)
+            grad = np.array([-1.0, 1.0]) * float(g[first].sum())
+            start_sum += grad**2
+            model.start = np.clip(model.start - 0.05 * grad / np.sqrt(start_sum), -2, 2)
     parts = []
     for lo in range(0, len(texts), 500):
         edge = offsets[lo : lo + 501] - offsets[lo]
@@ -253,9 +268,9 @@ def tag(model: Field, texts: pa.Array) -> tuple[np.ndarray, list[list[tuple[int,
     score = 1 / (1 + np.exp(-np.clip(w[0] + document_features(m, offsets) @ w[1:], -40, 40)))
     spans: list[list[tuple[int, int]]] = [[] for _ in range(len(texts))]
     marked = np.flatnonzero(m >= MARK)
-    rows = np.searchsorted(offsets, marked, side="right") - 1
-    for i in np.unique(rows).tolist():
-        mine = set((marked[rows == i] - offsets[i]).tolist())
+    rows, firsts = np.unique(np.searchsorted(offsets, marked, side="right") - 1, return_index=True)
+    for i, own in zip(rows.tolist(), np.split(marked, firsts[1:]), strict=False):
+        mine = set((own - offsets[i]).tolist())
         before = -2
         for k, found in enumerate(WORD.finditer(texts[i].as_py())):
             if k in mine:
@@ -276,10 +291,11 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     chosen = F.broadcast(one.union(zero))  # at most max_toxic + max_clean rows of two numbers
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull() & (fold_of(F.col("id")) != 0)).join(chosen, "id")
     held, texts, ys = 0, [], []
+    rows = rows.where(F.length("text") <= 6 * max_tokens)
     for r in rows.select("id", "text", "y").orderBy(F.xxhash64("id", F.lit(1)), "id", "text").limit(max_toxic + max_clean).toLocalIterator():
+        if held + len(r["text"]) // 6 > max_tokens:
+            continue
         held += len(r["text"]) // 6
-        if held > max_tokens:
-            break
         texts.append(r["text"])
         ys.append(r["y"])
     model = train_field(texts, ys)

@@ -49,7 +49,44 @@ def test_top_k_against_all_pairs(spark):
     assert 550 not in got and topk.exact_top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_large_components_are_exact(spark):
+    """Beyond 2 ** 53 and 2 ** 63, with saturated scores as ties."""
+    v = [(0, [3e7, 1.5, -0.001]), (1, [3e7, 2.5, 0.0]), (2, [3e7, 2.75, -0.0]), (3, [1e14, 1.0, 0.0]), (4, [1e14, 2.0, 0.0]), (50, [-1e14, 0.0, 0.0])]
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in topk.exact_top_k(spark.createDataFrame(v, "vec_id long, embedding array<double>")).collect()}
+    q = {i: [int(np.floor(256 * x)) for x in e] for i, e in v}
+    for i in (0, 50):
+        score = {j: max(-topk.LONGEST, min(topk.LONGEST, sum(a * b for a, b in zip(q[i], q[j], strict=True)))) for j in q if j != i}
+        assert [got[i, k + 1] for k in range(5)] == [(j, -s) for s, j in sorted((-s, j) for j, s in score.items())]
+
+
 # 2
+def test_gradients_against_differences():
+    """Pair and token marginals are the gradient of the likelihood, summed over all labellings."""
+    rng = np.random.default_rng(4)
+    step, start, lengths = rng.normal(0, 1, (2, 2)), rng.normal(0, 1, 2), np.array([4, 1, 3])
+    emit = rng.normal(0, 1, lengths.sum())
+
+    def log_z(step, start):
+        total, at = 0.0, 0
+        for n in lengths:
+            own = emit[at : at + n]
+            z = 0.0
+            for bits in range(2**n):
+                y = [bits >> i & 1 for i in range(n)]
+                z += np.exp(start[y[0]] + sum(own[i] * y[i] for i in range(n)) + sum(step[y[i], y[i + 1]] for i in range(n - 1)))
+            total, at = total + np.log(z), at + n
+        return total
+
+    m, counts = toxicity.expectations(emit, lengths, step, start, pairs=True)
+    for i in range(2):
+        for j in range(2):
+            d = np.zeros((2, 2))
+            d[i, j] = 1e-5
+            assert np.isclose((log_z(step + d, start) - log_z(step - d, start)) / 2e-5, counts[i, j], atol=1e-6)
+    d = np.array([0, 1e-5])
+    assert np.isclose((log_z(step, start + d) - log_z(step, start - d)) / 2e-5, m[np.cumsum(lengths) - lengths].sum(), atol=1e-6)
+
+
 def test_marginals_against_enumeration():
     rng = np.random.default_rng(1)
     step, start = rng.normal(0, 1, (2, 2)), rng.normal(0, 1, 2)
@@ -104,6 +141,53 @@ def test_language_held_out(spark, docs, odd):
     assert {r["lang_pred"] for r in langid.identify(odd, langid.train_langid(empty(docs)), keep=("doc_id",)).collect()} == {"und"}
 
 
+def test_predictions_by_a_plain_convolution(spark, docs):
+    """Windows, filters, pooling and the mean over a text, restated with loops; parts of a long text change nothing."""
+    net = langid.train_langid(docs)
+    texts = ["", "short", "word " * 60 + "é在", "longer text of several windows " * 40]
+    got, score = langid.predict(net, pa.array(texts, pa.large_string()))
+    for t, lang, s in zip(texts, got, score.tolist(), strict=True):
+        raw, mean = t.encode(), np.zeros(len(net.langs))
+        for a in range(0, len(raw), langid.WINDOW):
+            own = raw[a : a + langid.WINDOW]
+            padded = own + bytes(langid.WINDOW - len(own))
+            x = []
+            for table, bias in zip(net.tables, net.biases, strict=True):
+                for f in range(langid.FILTERS):
+                    best = max(sum(float(table[j, padded[i + j], f]) for j in range(len(table))) for i in range(langid.WINDOW - len(table) + 1))
+                    x.append(max(0.0, best + float(bias[f])))
+            z = np.array(x) @ net.dense + net.bias
+            mean += np.exp(z - z.max()) / np.exp(z - z.max()).sum() * len(own)
+        if raw:
+            assert lang == net.langs[int(mean.argmax())] and np.isclose(s, mean.max() / len(raw), atol=1e-4)
+        else:
+            assert (lang, s) == ("und", 0.0)
+    whole, held = langid.predict(net, pa.array([texts[3] * 3], pa.large_string())), langid.PART
+    try:
+        langid.PART = 2 * langid.WINDOW
+        part = langid.predict(net, pa.array([texts[3] * 3], pa.large_string()))
+    finally:
+        langid.PART = held
+    assert whole[0] == part[0] and np.isclose(whole[1], part[1])
+
+
+def test_language_sample_is_exact(spark):
+    """Every language has its documents of the smallest hashes, however often rows repeat."""
+    rows = [(7, f"one text {i % 2}", "xx") for i in range(4000)] + [(i, f"text {i}", "yy") for i in range(3000)] + [(i, None, "zz") for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.sample_of(df, max_docs=50).collect()
+    every = df.where("lang = 'yy'").withColumn("h", F.xxhash64("doc_id", "text")).where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0).orderBy("h").limit(50).collect()
+    assert sorted(r["text"] for r in got if r["lang"] == "yy") == sorted(r["text"] for r in every)
+    assert sorted(r["text"] for r in got if r["lang"] == "xx") == ["one text 0", "one text 1"] and {r["lang"] for r in got} == {"xx", "yy"}
+
+
+def test_language_replaces_clashing_columns(spark, docs):
+    net = langid.train_langid(docs)
+    clash = docs.limit(5).withColumn("score", F.lit("x")).withColumn("lang_pred", F.lit(1))
+    out = langid.identify(clash, net, keep=tuple(clash.columns))
+    assert sorted(out.columns) == sorted(clash.columns) and dict(out.dtypes)["score"] == "double" and out.count() == 5
+
+
 # 4
 PATTERNS = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -246,6 +330,56 @@ def test_secrets_are_found_and_cut(spark, odd):
     assert secrets.scan(odd, p).count() == len(ODD) + 1 and secrets.scan(empty(odd), p).count() == 0
 
 
+def test_forest_as_sql_is_the_model(spark):
+    """The trees as one expression give the model's own probabilities."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    made = secrets.made_findings(spark, 1000)
+    own = secrets.features(F.col("value"), F.col("before"), F.col("after"))
+    rows = made.select(*[c.alias(f) for c, f in zip(own, secrets.FEATURES, strict=True)], "label")
+    vectors = VectorAssembler(inputCols=list(secrets.FEATURES), outputCol="features").transform(rows)
+    model = RandomForestClassifier(numTrees=20, maxDepth=6, seed=8, featureSubsetStrategy="onethird").fit(vectors.select("features", "label"))
+    p = secrets.train(made)([F.col(f) for f in secrets.FEATURES])
+    got = model.transform(vectors).select("probability", p.alias("p")).collect()
+    assert all(abs(r["probability"][1] - r["p"]) < 1e-9 for r in got)
+
+
+def planted(rng, i):
+    """A key in its surroundings, by other means than the training findings."""
+    alnum, hexes = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "0123456789abcdef"
+    run = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    key = [("AKIA" + run(alnum[:26] + "0123456789", 16), "{}"), (run(hexes, 40), "token: {}"), (run(alnum, 30) + "5", "api_key={}"), ("ghp_" + run(alnum, 35) + "3", "{}"), (run(hexes, 20), "password = '{}'")][i % 5]
+    return key
+
+
+def test_secrets_planted_in_documents(spark, docs):
+    """Keys planted between the words of documents are found where they stand; the documents' other text keeps its verdicts."""
+    rng = random.Random(3)
+    model = secrets.train(secrets.made_findings(spark))
+    before = {r["doc_id"]: len(r["secrets"]) for r in secrets.scan(docs.select("doc_id", "text"), model).collect()}
+    rows, keys = [], {}
+    for r in docs.select("doc_id", "text").collect():
+        words = (r["text"] or "").split(" ")
+        key, frame = planted(rng, r["doc_id"])
+        words.insert(rng.randint(0, len(words)), frame.format(key))
+        rows.append((r["doc_id"], " ".join(words)))
+        keys[r["doc_id"]] = key
+    text = dict(rows)
+    found = more = 0
+    for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string"), model).collect():
+        spans = [text[r["doc_id"]][s["start"] : s["end"]] for s in r["secrets"]]
+        found += keys[r["doc_id"]] in spans
+        more += max(0, len(spans) - 1 - before[r["doc_id"]])
+    assert found >= 0.95 * len(rows) and more <= 0.02 * len(rows)
+
+
+def test_running_sums(spark):
+    rows = [(list(range(n)),) for n in (0, 1, 2, 7, 100)]
+    got = spark.createDataFrame(rows, "a array<int>").select("a", secrets.running_sums(F.col("a")).alias("s")).collect()
+    assert all(r["s"] == np.cumsum(r["a"]).tolist() for r in got)
+
+
 # 9
 def brute_components(fps):
     ids = list(fps)
@@ -311,6 +445,30 @@ def test_bins():
     assert sum(held.values()) <= 1.25 * 100 * len(held)
 
 
+def test_full_pieces_take_no_bin():
+    bins = packing.OpenBins(100, 2)
+    bins.put(60), bins.put(70)
+    assert bins.put(100) == (2, 0) and bins.count == 2 and bins.put(30)[0] == 1
+
+
+def test_open_bins_of_many_tasks(spark):
+    """Rounds join the bins of 5000 tasks; no bin is lost, none overflows, places do not overlap, and few stay part-filled."""
+    rng = random.Random(6)
+    rows = [((t << 40) + k, rng.randint(1, 99)) for t in range(0, 5000, 3) for k in range(2)]
+    places = packing.join_open_bins(spark.createDataFrame(rows, "bin long, held long"), 100, 4).collect()
+    held, into = dict(rows), defaultdict(list)
+    for r in places:
+        into[r["into"]].append((r["shift"], held[r["bin"]]))
+    assert len(places) == len(rows)
+    for own in into.values():
+        end = 0
+        for shift, n in sorted(own):
+            assert shift == end
+            end += n
+        assert end <= 100
+    assert len(into) <= 1.15 * sum(held.values()) / 100
+
+
 def test_packing(spark, docs, odd):
     path = queries._vocabulary("word_bpe_49k.json")
     rows = docs.select("doc_id", "text").unionByName(odd.where("doc_id is not null").select((F.col("doc_id") + 10_000).alias("doc_id"), "text"))
@@ -456,12 +614,15 @@ def test_shared_shingles_meet_over_batches(step):
     rows = sorted((t, rng.randrange(40), 10, 0) for t in range(30) for _ in range(rng.choice([1, 2, 4, 9, 30])))
     cols = [pa.array([r[i] for r in rows], pa.int64() if i < 2 else pa.int32()) for i in range(4)]
     whole = pa.RecordBatch.from_arrays(cols, names=["token", "node", "n", "pos"])
-    pairs, hot = set(), []
+    pairs, hot = Counter(), []
     for b in jaccard._met(Fraction(4, 5), 5)(whole.slice(i, step) for i in range(0, len(rows), step)):
         for r in b.to_pylist():
-            pairs.add((r["a"], r["b"])) if r["token"] is None else hot.append((r["token"], r["a"]))
+            if r["token"] is None:
+                pairs[r["a"], r["b"]] += r["c"]
+            else:
+                hot.append((r["token"], r["a"]))
     nodes = defaultdict(set)
     for r in rows:
         nodes[r[0]].add(r[1])
     assert sorted(hot) == sorted((t, n) for t, own in nodes.items() if len(own) > 5 for n in own)
-    assert pairs == {(a, b) for own in nodes.values() if len(own) <= 5 for a in own for b in own if a < b}
+    assert pairs == Counter((a, b) for own in nodes.values() if len(own) <= 5 for a in own for b in own if a < b)
