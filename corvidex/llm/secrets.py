@@ -138,9 +138,11 @@ def train(findings: DataFrame, trees: int = 20, depth: int = 6, seed: int = 8):
 
 def running_sums(values: Column, most: int = 24) -> Column:
     """Sums of an array's first, first two, .. entries by doubling steps, so n entries take n log n; up to ``2 ** most`` of them."""
+    def stepped(step: int):
+        return lambda a: F.when(F.size(a) <= step, a).otherwise(F.transform(a, lambda x, i: x + F.coalesce(F.get(a, i - step), F.lit(0))))
+
     for k in range(most):
-        step = 1 << k
-        values = let(values, lambda a, step=step: F.when(F.size(a) <= step, a).otherwise(F.transform(a, lambda x, i: x + F.coalesce(F.get(a, i - step), F.lit(0)))))
+        values = let(values, stepped(1 << k))
     return values
 
 
