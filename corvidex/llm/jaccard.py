@@ -146,32 +146,35 @@ def _prefixes(texts: DataFrame, common: np.ndarray, width: int, similarity: Frac
 
 
 def _met(similarity: Fraction, most: int):
-    """Reads (token, node, n, pos) in order of token and node; writes the pairs of nodes that share a token, with how many
-    tokens they were seen to share and their sizes, and the rows of tokens that more than ``most`` nodes look up as they are.
-    Holds one batch and one such group at a time."""
+    """Reads (token, node, n, pos) in order of token and node; writes the pairs of nodes of like size that share a token, with
+    how many tokens they were seen to share, whether one of them leaves room for enough others behind it, and their sizes; and
+    the rows of tokens that more than ``most`` nodes look up as they are.  Holds one batch and one such group at a time."""
     p, q = similarity.numerator, similarity.denominator
 
     def pairs(token, node, n, pos):
         """Candidate pairs of whole groups: all groups of one size at a time."""
         starts = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.zeros(0, np.int64)
         sizes = np.diff(np.append(starts, len(token)))
-        found = [np.zeros((0, 4), np.int64)]
+        found = [np.zeros((0, 5), np.int64)]
         for size in np.unique(sizes[sizes > 1]).tolist():
             x, y = (np.add.outer(starts[sizes == size], i).ravel() for i in np.triu_indices(size, 1))  # nodes rise within a group
+            like = q * np.minimum(n[x], n[y]).astype(np.int64) >= p * np.maximum(n[x], n[y]).astype(np.int64)
+            x, y = x[like], y[like]
             room = np.minimum(n[x] - pos[x], n[y] - pos[y]).astype(np.int64)
             good = (p + q) * room >= p * (n[x].astype(np.int64) + n[y])
-            x, y = x[good], y[good]
-            found.append(np.stack([node[x], node[y], n[x], n[y]], axis=1))
-        return np.unique(np.concatenate(found), axis=0, return_counts=True)
+            found.append(np.stack([node[x], node[y], n[x], n[y], good], axis=1))
+        rows = np.concatenate(found)
+        both, at = np.unique(rows[:, :4], axis=0, return_inverse=True)
+        return both, np.bincount(at.ravel(), minlength=len(both)), np.bincount(at.ravel(), rows[:, 4], len(both)) > 0
 
     def out(met=None, rows=None):
         if rows is None:
-            ab, count = met
-            columns = [pa.nulls(len(ab), pa.int64()), *[pa.array(ab[:, i]) for i in (0, 1)], *[pa.array(ab[:, i].astype(np.int32)) for i in (2, 3)], pa.array(count.astype(np.int32))]
+            ab, count, good = met
+            columns = [pa.nulls(len(ab), pa.int64()), *[pa.array(ab[:, i]) for i in (0, 1)], *[pa.array(ab[:, i].astype(np.int32)) for i in (2, 3)], pa.array(count.astype(np.int32)), pa.array(good)]
         else:
             token, node, n, pos = rows
-            columns = [pa.array(token), pa.array(node), pa.nulls(len(token), pa.int64()), pa.array(n), pa.nulls(len(token), pa.int32()), pa.array(pos)]
-        return pa.RecordBatch.from_arrays(columns, names=["token", "a", "b", "na", "nb", "c"])
+            columns = [pa.array(token), pa.array(node), pa.nulls(len(token), pa.int64()), pa.array(n), pa.nulls(len(token), pa.int32()), pa.array(pos), pa.nulls(len(token), pa.bool_())]
+        return pa.RecordBatch.from_arrays(columns, names=["token", "a", "b", "na", "nb", "c", "room"])
 
     def work(batches):
         held = [np.zeros(0, t) for t in (np.int64, np.int64, np.int32, np.int32)]
@@ -231,7 +234,7 @@ def _likely(met: DataFrame, hot: DataFrame, similarity: Fraction) -> DataFrame:
     Of two sets, the one whose prefix ends first in the order shares no more than the prefix tokens both were seen to have,
     those that were not counted because they are hot, and all it has behind its prefix.
     """
-    both = met.groupBy("a", "b").agg(F.sum("c").alias("c"), F.max("na").alias("na"), F.max("nb").alias("nb"))
+    both = met.groupBy("a", "b").agg(F.sum("c").alias("c"), F.max("na").alias("na"), F.max("nb").alias("nb"), F.max("room").alias("room")).where("room")
     uncounted = hot.groupBy("node").agg(F.count(F.lit(1)).alias("h"))
     side = lambda name: uncounted.select(F.col("node").alias(name), F.col("h").alias(f"h{name}"))
     both = both.join(side("a"), "a", "left").join(side("b"), "b", "left")
@@ -264,7 +267,7 @@ def links(texts: DataFrame, texts_of_nodes, proposed: DataFrame, width: int = WI
     """
     least = Fraction(str(similarity))
     looked = _prefixes(texts, _common(texts, width), width, least).repartition("token").sortWithinPartitions("token", "node")
-    met = stored(looked.mapInArrow(_met(least, HOT_BUCKET), "token long, a long, b long, na int, nb int, c int"), "jaccard-met")
+    met = stored(looked.mapInArrow(_met(least, HOT_BUCKET), "token long, a long, b long, na int, nb int, c int, room boolean"), "jaccard-met")
     hot = met.where(F.col("token").isNotNull()).select("token", F.col("a").alias("node"), F.col("na").alias("n"), F.col("c").alias("pos"))
     pairs = _likely(met.where(F.col("token").isNull()), hot, least).union(proposed.select("a", "b"))
     if hot.isEmpty():
