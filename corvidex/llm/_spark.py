@@ -26,15 +26,25 @@ def scratch_base(spark: SparkSession) -> str:
     return _own_base
 
 
+#: Texts of a batch are held at once by the JVM and by a Python worker.
+ARROW_ROWS, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
+
+
 def stored(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     This cuts the lineage without tying data to one executor, and lets several
-    consumers share one computation.  The JVM deletes the table when it ends.
+    consumers share one computation.  The JVM deletes the table when it ends.  Python workers get at most ``BATCH_ROWS``
+    rows at a time meanwhile.
     """
     spark = df.sparkSession
     path = f"{scratch_base(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    held = spark.conf.get(ARROW_ROWS)
+    spark.conf.set(ARROW_ROWS, min(int(held), BATCH_ROWS) if int(held) > 0 else BATCH_ROWS)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(ARROW_ROWS, held)
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)

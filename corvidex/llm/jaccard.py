@@ -108,6 +108,7 @@ def _common(texts: DataFrame, width: int) -> np.ndarray:
             for start, stop in slices(batch.column(0), PART_BYTES):
                 own = np.concatenate([shingle_set(t.as_py(), width) for t in texts_of(batch.column(0).slice(start, stop - start))])
                 yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64))], names=["token"])
+                give_back_memory()
 
     counted = texts.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0).select("text").mapInArrow(work, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("c"))
     rows = counted.where(F.col("c") >= COMMON).orderBy(F.col("c").desc(), "token").limit(MOST).collect()
@@ -207,6 +208,7 @@ def _met(similarity: Fraction, most: int):
         met = pairs(*held)
         if len(met[0]):
             yield out(met)
+        give_back_memory()
 
     return work
 
@@ -252,6 +254,7 @@ def _verified(pairs: DataFrame, texts_of_nodes, width: int, similarity: Fraction
             for start, stop in slices(batch.column(0), PART_BYTES):
                 sets = [shingle_set(t.as_py(), width) for t in texts_of(batch.column(0).slice(start, stop - start))]
                 yield pa.RecordBatch.from_arrays([pa.array([node_of(x) for x in sets], pa.int64()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))], names=["node", "own"])
+                give_back_memory()
 
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     sets = stored(texts_of_nodes(needed).select("text").mapInArrow(work, "node long, own array<long>"), "jaccard-sets")
