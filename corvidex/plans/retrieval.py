@@ -26,7 +26,7 @@ def query(sql: str | None = None):
         CAST(len(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+')) AS BIGINT) AS word_tokens,
         CAST(len(list_filter(regexp_split_to_array(text, '[\\s]+'), lambda t: t <> '')) AS BIGINT) AS blank_tokens FROM documents""")
 def token_counts(spark, d):
-    return documents(spark, d).select("doc_id", *[F.size(f(F.col("text"))).cast("long").alias(f"{n}_tokens") for n, f in TOKENIZERS.items()])
+    return documents(spark, d).select("doc_id", *[F.size(TOKENIZERS[n](F.col("text"))).cast("long").alias(f"{n}_tokens") for n in ("simple", "word", "blank")])
 
 
 @query(f"""WITH d AS (SELECT term, count(*) AS df FROM (SELECT unnest(list_distinct({tokens("text")})) AS term FROM documents) GROUP BY term), s AS (SELECT count(*) AS n FROM documents)
