@@ -10,7 +10,7 @@ round is done and leaves; only the bounded number still open go on.  Only the bi
 (two numbers each) move; the documents' own rows are joined with the bins' places at the end.
 
 Scale: one pass over the texts, no shuffle of texts or ids; each batch is split by Arrow, so that the
-tokenizer sees a distinct word once, many at a time; a bounded table keeps words between a task's batches, and ids are gathered in numpy.
+tokenizer sees a distinct word once, many at a time; a bounded table keeps words between batches, and ids are gathered in numpy.
 Open bins are ``open_bins`` a task.
 
 Defined results: a null or empty text is the closing id alone.  Texts of any length are tokenised whole.
@@ -83,7 +83,7 @@ class WordIds:
     Word i has the ids ``flat[starts[i]:starts[i + 1]]``; the arrays double as they fill.
     """
 
-    def __init__(self, path: str, most: int = 100_000, chunk: int = 4096):
+    def __init__(self, path: str, most: int = 250_000, chunk: int = 4096):
         self.encoder, self.most, self.chunk = tokenizer(path), most, chunk
         size = self.encoder.get_vocab_size()
         self.ends = np.fromiter((self.encoder.id_to_token(i).endswith("</w>") for i in range(size)), bool, size)
@@ -262,7 +262,6 @@ def _pieces(path: str, capacity: int, open_bins: int, close: int, with_ids: bool
                         names=["id", "piece", "start", "length", "ids_crc32", "bin", "offset", "ids", "open"],
                     )
                 give_back_memory()
-        _words.pop(path, None)  # an idle worker holds no table
         give_back_memory()
         left = bins.rest()
         n = len(left)
