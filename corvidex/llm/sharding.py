@@ -12,8 +12,13 @@ A permutation is a sort by a keyed 64-bit hash of the row, so a lost task gives
 second one sorts buckets of the hash's range, whose counts give each bucket its first slot: no task ever
 holds a whole shard.  The law kept is ``rows``: shard sizes differ by at most one.
 
-Scale: rows move twice, each time to bounded groups of about ``rows_per_task``; the matrix is
-partitions x shards numbers, drawn on the driver by inversion and joined to the rows by partition.
+Scale: rows move twice, each time to explicit partitions of about ``rows_per_task`` rows; the matrix is
+partitions x shards numbers.  It is drawn as a tree, on the executors: a group of at most ``FAN_OUT`` partitions
+gets its column sums first and shares them out among its members, which is the same law as one draw over all.
+The driver sees the number of rows and the size of the largest partition, nothing else.
+
+Rows that agree in key share a hash.  Where so many do that a partition passes twice its size, all rows are written
+once with a number of their own, which enters the hashes from then on, so that copies spread like other rows.
 
 Defined results: null and empty texts are rows like any other.  Rows that agree in key and content are
 interchangeable and each gets a slot.  An empty table gives no rows.  Input columns named like the output
@@ -22,61 +27,105 @@ columns (``shard``, ``slot``) are replaced.
 
 from __future__ import annotations
 
-import json
 import math
-import random
-from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corvidex.llm._spark import let, stored
+
 ROWS_PER_TASK = 20_000
 
 
-def hypergeometric(rng: random.Random, good: int, bad: int, draws: int) -> int:
-    """How many of ``draws`` items, taken without replacement, are among the ``good`` ones.
+#: Partitions that share one draw of the tree.
+FAN_OUT = 64
+#: Counts further than this many standard deviations (and 40 more) from the mode have odds below 1e-30, less than doubles tell apart.
+REACH = 12
+
 
-    Inversion that starts at the mode and walks outwards, so it takes about a standard deviation of steps.
+def hypergeometric(good: Column, bad: Column, draws: Column, u: Column) -> Column:
+    """How many of ``draws`` items, taken without replacement, are among the ``good`` ones, for a uniform ``u`` of 0 to 1.
+
+    Inversion from the mode outwards: odds relative to the mode's are summed on both sides, then the part ``u`` of the sum is walked off.
     """
-    low, high = max(0, draws - bad), min(good, draws)
-    if low == high:
-        return low
-    mode = min(high, max(low, (draws + 1) * (good + 1) // (good + bad + 2)))
-    choose = lambda n, k: math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
-    at_mode = math.exp(choose(good, mode) + choose(bad, draws - mode) - choose(good + bad, draws))
-    u = rng.random() - at_mode
-    up = down = mode
-    p_up = p_down = at_mode
-    while u > 0:
-        if up == high and down == low:
-            return mode  # what rounding left over
-        if up < high:
-            p_up *= (good - up) * (draws - up) / ((up + 1) * (bad - draws + up + 1))
-            up += 1
-            u -= p_up
-            if u <= 0:
-                return up
-        if down > low:
-            p_down *= down * (bad - draws + down) / ((good - down + 1) * (draws - down + 1))
-            down -= 1
-            u -= p_down
-            if u <= 0:
-                return down
-    return mode
-
-
-def communication_matrix(rows: list[int], columns: list[int], seed: int) -> list[list[int]]:
-    """Counts with these row and column sums, distributed as in a uniform random assignment."""
-    rng, left, out = random.Random(seed), list(columns), []
-    for n in rows:
-        total, need, own = sum(left), n, []
-        for c in left:
-            k = hypergeometric(rng, c, total - c, need)
-            own.append(k)
-            total, need = total - c, need - k
-        left = [c - k for c, k in zip(left, own, strict=True)]
-        out.append(own)
-    return out
+    given = F.struct(*[c.cast("double").alias(name) for c, name in ((good, "good"), (bad, "bad"), (draws, "draws"), (u, "u"))])
+
+    def bounds(g: Column) -> Column:
+        total = F.greatest(g["good"] + g["bad"], F.lit(1.0))
+        low, high = F.greatest(F.lit(0.0), g["draws"] - g["bad"]), F.least(g["good"], g["draws"])
+        mode = F.least(high, F.greatest(low, F.floor((g["draws"] + 1) * (g["good"] + 1) / (total + 2)).cast("double")))
+        variance = g["draws"] * g["good"] * g["bad"] * F.greatest(total - g["draws"], F.lit(0.0)) / (total * total * F.greatest(total - 1, F.lit(1.0)))
+        far = F.ceil(F.sqrt(variance) * REACH).cast("double") + 40
+        names = {"mode": mode, "low": F.greatest(low, mode - far), "high": F.least(high, mode + far)}
+        return F.struct(*[g[c].alias(c) for c in ("good", "bad", "draws", "u")], *[c.cast("long").alias(name) for name, c in names.items()])
+
+    def draw(g: Column) -> Column:
+        none = F.array().cast("array<bigint>")
+        above = F.when(g["mode"] < g["high"], F.sequence(g["mode"] + 1, g["high"])).otherwise(none)
+        below = F.when(g["mode"] > g["low"], F.sequence(g["mode"] - 1, g["low"])).otherwise(none)
+        # odds of k from those of its neighbour nearer to the mode
+        up = lambda w, k: w * (g["good"] - k + 1) * (g["draws"] - k + 1) / (k * (g["bad"] - g["draws"] + k))
+        down = lambda w, k: w * (k + 1) * (g["bad"] - g["draws"] + k + 1) / ((g["good"] - k) * (g["draws"] - k))
+
+        def odds(ks: Column, step) -> Column:
+            start = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("sum"))
+            return F.aggregate(ks, start, lambda acc, k: let(step(acc["w"], k), lambda w: F.struct(w.alias("w"), (acc["sum"] + w).alias("sum"))))["sum"]
+
+        def walk(ks: Column, step, rest: Column) -> Column:
+            start = F.struct(F.lit(1.0).alias("w"), rest.alias("rest"), g["mode"].alias("at"))
+            on = lambda acc, k: let(step(acc["w"], k), lambda w: F.struct(w.alias("w"), (acc["rest"] - w).alias("rest"), k.alias("at")))
+            return F.aggregate(ks, start, lambda acc, k: F.when(acc["rest"] < 0, acc).otherwise(on(acc, k)))["at"]
+
+        def choose(s: Column) -> Column:
+            return let(
+                g["u"] * (1 + s["up"] + s["down"]) - 1,
+                lambda t: F.when(t < 0, g["mode"]).when(t < s["up"], walk(above, up, t)).otherwise(walk(below, down, t - s["up"])),
+            )
+
+        return let(F.struct(odds(above, up).alias("up"), odds(below, down).alias("down")), choose)
+
+    return let(let(given, bounds), draw)
+
+
+def shared_out(sizes: Column, columns: Column, *seeds: Column) -> Column:
+    """Array of rows of counts with row sums ``sizes`` and column sums ``columns``, distributed as in a uniform random assignment."""
+    uniform = lambda *place: F.xxhash64(*seeds, *place).cast("double") / F.lit(2.0**64) + 0.5
+    longs = F.array().cast("array<bigint>")
+
+    def row(need: Column, left: Column, i: Column) -> Column:
+        start = F.struct(F.aggregate(left, F.lit(0).cast("long"), lambda a, c: a + c).alias("total"), need.cast("long").alias("need"), longs.alias("own"))
+
+        def cell(acc: Column, j: Column) -> Column:
+            others = acc["total"] - left[j]
+            taken = hypergeometric(left[j], others, acc["need"], uniform(i, j))
+            return let(taken, lambda k: F.struct(others.alias("total"), (acc["need"] - k).alias("need"), F.concat(acc["own"], F.array(k)).alias("own")))
+
+        return F.aggregate(F.sequence(F.lit(0), F.size(left) - 1), start, cell)["own"]
+
+    def add(acc: Column, i: Column) -> Column:
+        return let(
+            row(sizes[i], acc["left"], i),
+            lambda own: F.struct(F.zip_with(acc["left"], own, lambda c, k: c - k).alias("left"), F.concat(acc["rows"], F.array(own)).alias("rows")),
+        )
+
+    start = F.struct(columns.cast("array<bigint>").alias("left"), F.array().cast("array<array<bigint>>").alias("rows"))
+    return F.aggregate(F.sequence(F.lit(0), F.size(sizes) - 1), start, add)["rows"]
+
+
+def communication_matrix(sizes: DataFrame, parts: int, columns: list[int], seed: int, fan_out: int = FAN_OUT) -> DataFrame:
+    """(part, counts): how many rows each of the partitions (part, n), numbered below ``parts``, sends to each shard."""
+    depth = 1
+    while fan_out**depth < parts:
+        depth += 1
+    drawn = sizes.sparkSession.range(1).select(F.lit(0).cast("long").alias("above"), F.lit(columns).cast("array<bigint>").alias("counts"))
+    for level in reversed(range(depth)):
+        nodes = sizes.groupBy(F.floor(F.col("part") / fan_out**level).alias("node")).agg(F.sum("n").alias("n"))
+        # at most fan_out nodes a group
+        groups = nodes.groupBy(F.floor(F.col("node") / fan_out).alias("above")).agg(F.array_sort(F.collect_list(F.struct("node", "n"))).alias("nodes"))
+        rows = shared_out(F.col("nodes.n"), F.col("counts"), F.lit(seed), F.lit(level), F.col("above"))
+        # the outer form: the plain one would draw once more to leave out empty arrays
+        drawn = groups.join(drawn, "above").select(F.inline_outer(F.arrays_zip(F.col("nodes.node").alias("above"), rows.alias("counts"))))
+    return drawn.select(F.col("above").cast("int").alias("part"), "counts")
 
 
 def shard_sizes(n: int, shards: int) -> list[int]:
@@ -86,29 +135,38 @@ def shard_sizes(n: int, shards: int) -> list[int]:
 
 def shard_rows(df: DataFrame, key: list[Column], shards: int = 16, seed: int = 20, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """``df`` with ``shard`` and ``slot`` (gapless from 0 in each shard); ``key`` tells rows apart."""
-    spark = df.sparkSession
     names = [c for c in df.columns if c.lower() not in ("shard", "slot")]
-    hashed = lambda salt: F.xxhash64(F.lit(seed), F.lit(salt), *key)
-    # the hashes are taken before the rows are wrapped, so no name of theirs can clash
-    wrapped = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), hashed("part").alias("h0"), hashed("first").alias("h1"), hashed("second").alias("h2"))
+    # the keys are hashed before the rows are wrapped, so no name of theirs can clash
+    keyed = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), *[F.xxhash64(F.lit(seed), F.lit(c), *key).alias(c) for c in ("k0", "k1")], F.lit(0).cast("long").alias("copy"))
     n = df.count()
     parts = max(1, math.ceil(n / rows_per_task))
-    wrapped = wrapped.withColumn("part", F.pmod("h0", F.lit(parts)).cast("int"))
-    sizes = {r["part"]: r["count"] for r in wrapped.groupBy("part").count().collect()}
-    there = sorted(sizes)
-    matrix = communication_matrix([sizes[p] for p in there], shard_sizes(n, shards), seed)
-    ends = [{"part": p, "ends": list(accumulate(own))} for p, own in zip(there, matrix, strict=True)]
-    cuts = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(ends)), "array<struct<part:int,ends:array<bigint>>>")))
+
+    def hashed(rows: DataFrame) -> DataFrame:
+        hashes = [F.xxhash64(F.lit(salt), "k0", "k1", "copy") for salt in ("part", "first", "second")]
+        return rows.select("row", F.pmod(hashes[0], F.lit(parts)).cast("int").alias("part"), hashes[1].alias("h1"), hashes[2].alias("h2"))
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return stored(rows.groupBy("part").agg(F.count(F.lit(1)).alias("n")), "shard-sizes")
+
+    wrapped = hashed(keyed)
+    sizes = counted(wrapped)
+    if (sizes.agg(F.max("n")).first()[0] or 0) > 2 * rows_per_task:
+        # only rows that agree in key crowd a partition so; numbers are written, since a second run may number rows otherwise
+        wrapped = hashed(stored(keyed.withColumn("copy", F.monotonically_increasing_id()), "shard-copies"))
+        sizes = counted(wrapped)
+    cuts = communication_matrix(sizes, parts, shard_sizes(n, shards), seed)
+    ends = F.transform(F.sequence(F.lit(1), F.size("counts")), lambda i: F.aggregate(F.slice("counts", 1, i), F.lit(0).cast("long"), lambda a, c: a + c))
+    cuts = stored(cuts.select("part", ends.alias("ends")), "shard-cuts")
     first = F.row_number().over(Window.partitionBy("part").orderBy("h1", "h2"))
-    sent = wrapped.withColumn("place", first).join(cuts, "part").withColumn("shard", F.size(F.filter("ends", lambda e: e < F.col("place"))))
+    sent = wrapped.repartition(parts, "part").withColumn("place", first).join(cuts, "part").withColumn("shard", F.size(F.filter("ends", lambda e: e < F.col("place"))))
     # the hash's range in buckets of about rows_per_task rows a shard
     buckets = max(1, math.ceil(n / shards / rows_per_task))
     bucket = F.least(F.lit(buckets - 1), F.floor((F.col("h2").cast("double") + F.lit(2.0**63)) / F.lit(2.0**64) * buckets).cast("int"))
     sent = sent.select("row", "h2", "h1", "shard", bucket.alias("bucket"))
-    held = sent.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    before = held.withColumn("base", F.sum("n").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("n")).select("shard", "bucket", "base")
     second = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("h2", "h1"))
-    out = sent.withColumn("nth", second)
+    out = sent.repartition(shards * buckets, "shard", "bucket").withColumn("nth", second)
     if buckets == 1:
         return out.select("row.*", "shard", (F.col("nth") - 1).cast("long").alias("slot"))
+    held = sent.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    before = held.withColumn("base", F.sum("n").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("n")).select("shard", "bucket", "base")
     return out.join(before, ["shard", "bucket"]).select("row.*", "shard", (F.col("base") + F.col("nth") - 1).cast("long").alias("slot"))

@@ -1,5 +1,6 @@
 """The ten operators against brute force, round trips or held-out labels, and on odd input."""
 
+import math
 import random
 import re
 import zlib
@@ -244,14 +245,41 @@ def test_quality_counts_and_verdicts(spark, docs, odd):
 
 
 # 6
-def test_matrix_has_its_sums_and_law():
+def test_matrix_has_its_sums_and_law(spark):
     rows, cols = [5, 7, 0, 9], [6, 5, 5, 5]
-    m = sharding.communication_matrix(rows, cols, 1)
-    assert [sum(r) for r in m] == rows and [sum(c) for c in zip(*m, strict=True)] == cols
-    draws = Counter(sharding.communication_matrix([2, 2], [2, 2], s)[0][0] for s in range(6000))
+    sizes = spark.createDataFrame(list(enumerate(rows)), "part int, n long")
+    for fan_out in (2, 64):  # a tree of two levels, and one group
+        m = [r["counts"] for r in sharding.communication_matrix(sizes, 4, cols, 1, fan_out).orderBy("part").collect()]
+        assert [sum(r) for r in m] == rows and [sum(c) for c in zip(*m, strict=True)] == cols
+    longs = lambda *own: F.array(*map(F.lit, own)).cast("array<bigint>")
+    drawn = spark.range(6000).select(sharding.shared_out(longs(2, 2), longs(2, 2), F.col("id"))[0][0].alias("k"))
+    draws = Counter(r["k"] for r in drawn.collect())
     assert all(abs(draws[k] / 6000 - p) < 0.03 for k, p in ((0, 1 / 6), (1, 4 / 6), (2, 1 / 6)))
 
 
+def test_hypergeometric_draws(spark):
+    # against the exact odds, at every hundredth of the uniform number
+    for good, bad, draws in ((7, 5, 6), (300, 4500, 320), (0, 9, 4), (9, 0, 4), (3, 8, 0), (40, 2, 41)):
+        odds = [math.comb(good, k) * math.comb(bad, draws - k) / math.comb(good + bad, draws) for k in range(min(good, draws) + 1) if draws - k <= bad]
+        us = spark.range(20_000).select(((F.col("id") + 0.5) / 20_000).alias("u"))
+        got = Counter(r["k"] for r in us.select(sharding.hypergeometric(*map(F.lit, (good, bad, draws)), F.col("u")).alias("k")).collect())
+        low = max(0, draws - bad)
+        assert all(abs(got[low + i] / 20_000 - p) < 2e-4 for i, p in enumerate(odds)) and sum(got.values()) == 20_000
+    # large numbers: the mean and the spread
+    big = spark.range(2000).select(sharding.hypergeometric(F.lit(10**10), F.lit(15 * 10**10), F.lit(10**6), (F.col("id") + 0.5) / 2000).alias("k")).agg(F.avg("k"), F.stddev("k")).first()
+    assert abs(big[0] - 62500) < 1 and abs(big[1] / math.sqrt(10**6 * 15 / 256) - 1) < 0.02
+
+
+def test_copies_are_spread(spark):
+    same = spark.range(0, 3000, 1, 3).select(F.lit(7).alias("doc_id"), (F.col("id") % 2).alias("text"))
+    got = sharding.shard_rows(same, [F.col("doc_id")], 4, rows_per_task=100)
+    rows = got.collect()
+    assert Counter(r["shard"] for r in rows) == dict.fromkeys(range(4), 750) and len({(r["shard"], r["slot"]) for r in rows}) == 3000
+    assert Counter(r["text"] for r in rows) == {0: 1500, 1: 1500}
+    # a uniform shuffle deals both texts over all shards
+    assert all(abs(n - 375) < 80 for n in Counter((r["shard"], r["text"]) for r in rows).values())
+
+
 def test_shards_are_even_and_gapless(spark, docs, odd):
     for rows_per_task in (7, 20_000):
         got = sharding.shard_rows(docs, [F.col("doc_id")], 16, rows_per_task=rows_per_task).select("doc_id", "shard", "slot").collect()
