@@ -12,7 +12,7 @@ A permutation is a sort by a keyed 64-bit hash of the row, so a lost task gives
 second one sorts buckets of the hash's range, whose counts give each bucket its first slot: no task ever
 holds a whole shard.  The law kept is ``rows``: shard sizes differ by at most one.
 
-Scale: rows move twice, each time to explicit partitions of about ``rows_per_task`` rows; the matrix is
+Scale: rows move twice, each time straight to the task of their number, about ``rows_per_task`` rows a task; the matrix is
 partitions x shards numbers.  It is drawn as a tree, on the executors: a group of at most ``FAN_OUT`` partitions
 gets its column sums first and shares them out among its members, which is the same law as one draw over all.
 The driver sees the number of rows and the size of the largest partition, nothing else.
@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 from corvidex.llm._spark import let, stored
 
 ROWS_PER_TASK = 20_000
+#: A shuffle of more tasks than this costs more than larger tasks, whose sorts spill.
+MOST_TASKS = 100_000
 
 
 #: Partitions that share one draw of the tree.
@@ -139,6 +141,7 @@ def shard_rows(df: DataFrame, key: list[Column], shards: int = 16, seed: int = 2
     # the keys are hashed before the rows are wrapped, so no name of theirs can clash
     keyed = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), *[F.xxhash64(F.lit(seed), F.lit(c), *key).alias(c) for c in ("k0", "k1")], F.lit(0).cast("long").alias("copy"))
     n = df.count()
+    rows_per_task = max(rows_per_task, math.ceil(n / MOST_TASKS))
     parts = max(1, math.ceil(n / rows_per_task))
 
     def hashed(rows: DataFrame) -> DataFrame:
@@ -158,13 +161,13 @@ def shard_rows(df: DataFrame, key: list[Column], shards: int = 16, seed: int = 2
     ends = F.transform(F.sequence(F.lit(1), F.size("counts")), lambda i: F.aggregate(F.slice("counts", 1, i), F.lit(0).cast("long"), lambda a, c: a + c))
     cuts = stored(cuts.select("part", ends.alias("ends")), "shard-cuts")
     first = F.row_number().over(Window.partitionBy("part").orderBy("h1", "h2"))
-    sent = wrapped.repartition(parts, "part").withColumn("place", first).join(cuts, "part").withColumn("shard", F.size(F.filter("ends", lambda e: e < F.col("place"))))
+    sent = wrapped.repartitionById(parts, F.col("part")).withColumn("place", first).join(cuts.repartitionById(parts, F.col("part")), "part").withColumn("shard", F.size(F.filter("ends", lambda e: e < F.col("place"))))
     # the hash's range in buckets of about rows_per_task rows a shard
     buckets = max(1, math.ceil(n / shards / rows_per_task))
     bucket = F.least(F.lit(buckets - 1), F.floor((F.col("h2").cast("double") + F.lit(2.0**63)) / F.lit(2.0**64) * buckets).cast("int"))
     sent = sent.select("row", "h2", "h1", "shard", bucket.alias("bucket"))
-    second = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("h2", "h1"))
-    out = sent.repartition(shards * buckets, "shard", "bucket").withColumn("nth", second)
+    second = F.row_number().over(Window.partitionBy("group").orderBy("h2", "h1"))
+    out = sent.withColumn("group", F.col("shard") * buckets + F.col("bucket")).repartitionById(shards * buckets, F.col("group")).withColumn("nth", second)
     if buckets == 1:
         return out.select("row.*", "shard", (F.col("nth") - 1).cast("long").alias("slot"))
     held = sent.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
