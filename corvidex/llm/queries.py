@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvidex.llm import langid, packing, pieces, pii, quality, secrets, sharding, simhash, topk, toxicity
+from corvidex.llm import align, audit, balance, langid, packing, pieces, pii, quality, secrets, sharding, simhash, topk, toxicity
 from corvidex.llm._spark import fold_of
 
 
@@ -91,8 +91,22 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = align.align_tokens(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), _vocabulary("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(audit.flagged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")))
+
+
+def op13_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = balance.pack_balanced(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_top_k, op2_toxicity, op3_language_id, op4_pii, op5_quality_rules, op6_sharding, op7_sentencepiece, op8_secret_scan, op9_simhash, op10_packing)
+    f.__name__: f for f in (op1_exact_top_k, op2_toxicity, op3_language_id, op4_pii, op5_quality_rules, op6_sharding, op7_sentencepiece, op8_secret_scan, op9_simhash, op10_packing, op11_token_alignment, op12_filter_audit, op13_cost_packing)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -111,4 +125,48 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
     """,
+    "op12_filter_audit": """
+        WITH RECURSIVE words AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+                list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+            FROM documents
+        ), firsts AS (
+            SELECT t, min(doc_id) AS least FROM words GROUP BY t
+        ), marks AS (
+            SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id
+        ), masks AS (
+            SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                CASE WHEN len(w) < 50 THEN 1 ELSE 0 END
+                + CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END
+                + CASE WHEN 100 * length(regexp_replace(words.t, '[^A-Z]', '', 'g')) > 5 * length(words.t) THEN 4 ELSE 0 END
+                + CASE WHEN regexp_matches(words.t, '[#$%&*|]') THEN 8 ELSE 0 END
+                + CASE WHEN words.doc_id > least THEN 16 ELSE 0 END AS mask
+            FROM words JOIN firsts ON words.t = firsts.t LEFT JOIN marks ON words.doc_id = marks.doc_id
+        ), cells AS (
+            SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM masks GROUP BY part, mask
+        ), letters AS (
+            SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS v(f, b)
+        ), orders AS (
+            SELECT f AS filter_order, b AS used FROM letters
+            UNION ALL
+            SELECT filter_order || f, used + b FROM orders JOIN letters ON used & b = 0
+        ), steps AS (
+            SELECT o.filter_order, l.b AS bit, p.used AS after, length(p.filter_order) AS step
+            FROM orders o JOIN orders p ON length(o.filter_order) = 5 AND starts_with(o.filter_order, p.filter_order)
+            JOIN letters l ON l.f = right(p.filter_order, 1)
+        ), counted AS (
+            SELECT part, filter_order, step, bit,
+                sum(CASE WHEN mask & after = 0 THEN n ELSE 0 END) AS kept,
+                sum(CASE WHEN mask & (after - bit) = 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS removed,
+                sum(CASE WHEN mask & (after - bit) <> 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS redundant,
+                sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+                sum(CASE WHEN mask & (after - bit) = 0 AND mask & bit <> 0 THEN good ELSE 0 END) AS good_lost,
+                sum(CASE WHEN mask & (after - bit) = 0 AND mask & bit <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+            FROM cells CROSS JOIN steps GROUP BY part, filter_order, step, bit
+        )
+        SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+            CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+            CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+        FROM counted
+    """,
 }
