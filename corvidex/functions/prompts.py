@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvidex.functions.questions import pack_line
+from corvidex.operators import order as order_of
 
 # System lines of the production prompts
 SYSTEM_MC = "당신은 한국 금융보안 전문가입니다. 객관식 문제의 정답 번호만 답하세요."
@@ -67,21 +68,10 @@ def last_turns(turns: DataFrame, n: int = 3, conv: str = "conv_id", turn: str =
 def preference_pairs(rows: DataFrame, order: str, share: float = 0.9) -> DataFrame:
     """``(messages, chosen, rejected)`` arrays of messages; the first ``floor(share n)`` rows train, the rest test.
 
-    Places come from a range sort with counts of its blocks, not from one ordered task.
+    Rows without an order come last.  Places come from ranges of the order with sums of their own, not from one ordered task.
     """
     message = lambda role, c: F.array(F.struct(F.lit(role).alias("role"), F.col(c).alias("content")))
     total = rows.agg(F.count(F.lit(1)).alias("__total"))
-    placed = places(rows, order).crossJoin(F.broadcast(total))
+    placed = order_of.places(rows, order).crossJoin(F.broadcast(total))
     split = F.when(F.col("place") <= F.floor(share * F.col("__total")), "train").otherwise("test")
     return placed.select(order, split.alias("split"), message("user", "prompt").alias("messages"), message("assistant", "chosen").alias("chosen"), message("assistant", "rejected").alias("rejected"))
-
-
-def places(rows: DataFrame, order: str, blocks: int = 1024) -> DataFrame:
-    """``rows`` with ``place`` from 1 in the order of a numeric column: a count per block of the order, then within blocks."""
-    low_high = rows.agg(F.min(order).alias("__lo"), F.max(order).alias("__hi"))
-    width = F.greatest((F.col("__hi") - F.col("__lo") + 1) / blocks, F.lit(1.0))
-    held = rows.crossJoin(F.broadcast(low_high)).withColumn("__b", F.floor((F.col(order) - F.col("__lo")) / width)).drop("__lo", "__hi")
-    counts = held.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
-    before = counts.withColumn("__base", F.sum("__n").over(Window.orderBy("__b")) - F.col("__n")).drop("__n")  # at most ``blocks`` rows
-    inside = F.row_number().over(Window.partitionBy("__b").orderBy(order))
-    return held.withColumn("__i", inside).join(F.broadcast(before), "__b").withColumn("place", F.col("__base") + F.col("__i")).drop("__b", "__i", "__base")

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corvidex.operators.order import running_sum
+
+#: Up to this many distinct values have their ranks sent to every task.
+FEW_VALUES = 100_000
+
 
 def usage(chunks: DataFrame, hits: DataFrame) -> DataFrame:
     """Hits of every chunk, used or not: ``hits(chunk_id, method, kind, score)``."""
@@ -48,9 +53,10 @@ def dominance(results: DataFrame) -> DataFrame:
 def spearman_ready(df: DataFrame, col: str, out: str) -> DataFrame:
     """``df`` with average ranks of a column; ties share the mean of their places."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("__n"))
-    # distinct values in order: the running count before a value, then the middle of its block
-    ranks = counts.withColumn("__upto", F.sum("__n").over(Window.orderBy(col)))
-    return df.join(ranks.select(col, (F.col("__upto") - (F.col("__n") - 1) / 2).alias(out)), col)
+    # distinct values in order: the running count up to a value, less half of its block
+    ranks = running_sum(counts, col, F.col("__n"), "__upto").select(col, (F.col("__upto") - (F.col("__n") - 1) / 2).alias(out))
+    few = ranks.limit(FEW_VALUES + 1).count() <= FEW_VALUES  # with few values each has many rows
+    return df.join(F.broadcast(ranks) if few else ranks, col)
 
 
 def embedding_eval(pairs: DataFrame) -> DataFrame:

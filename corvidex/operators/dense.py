@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from corvidex.functions.tokenize import dot, normalise
 from corvidex.operators.bm25 import ranked
 
-#: Query sides up to this many rows are sent to every executor; larger ones are joined in blocks.
+#: Query sides up to this many rows are sent to every executor by ``_pairs``; larger ones are joined in blocks.
 BROADCAST_ROWS = 20_000
+#: Query vectors up to this many bytes go to every task of ``top_k``; more meet the vectors in blocks.
+QUERY_BYTES = 32 << 20
 BLOCKS = 64
 
 
@@ -19,60 +21,98 @@ def _pairs(queries: DataFrame, docs: DataFrame) -> DataFrame:
     """Every query beside every document: the query side is broadcast if counted small, else both meet in blocks."""
     if queries.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return docs.crossJoin(F.broadcast(queries))
+    return _in_blocks(queries, docs)
+
+
+def _in_blocks(queries: DataFrame, docs: DataFrame) -> DataFrame:
     q = queries.withColumn("__b", F.pmod(F.xxhash64("query_id"), F.lit(BLOCKS)))
     d = docs.withColumn("__b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(BLOCKS - 1).cast("long"))))
     return d.join(q, "__b").drop("__b")
 
 
+def whole(rows: DataFrame, key: str, vector: str) -> DataFrame:
+    """(key, vector as doubles) of the rows that can be searched: with a key, and a vector without nulls and NaN."""
+    v = F.col(vector).cast("array<double>")
+    return rows.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).select(key, v.alias(vector)).where(~F.exists(vector, lambda x: x.isNull() | F.isnan(x)))
+
+
+def keep_best(rows: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Which of the entries (query row, score, id) are among the ``k`` best of their row; ties to smaller ids."""
+    order_of_id = np.unique(ids, return_inverse=True)[1]
+    order = np.lexsort((order_of_id, -scores, rows))
+    own = rows[order]
+    begins = np.flatnonzero(np.diff(own, prepend=-1))
+    place = np.arange(len(own)) - np.repeat(begins, np.diff(np.append(begins, len(own))))
+    return order[place < k]
+
+
 def _local_best(queries: DataFrame, docs: DataFrame, k: int, cosine: bool) -> DataFrame:
-    """(query_id, doc_id, score): a superset of each query's ``k`` best, at most ``k`` and ties from each task.
+    """(query_id, doc_id, score): each task's ``k`` best of every query.
 
-    Arrow batches meet all queries in one matrix product; vectors that are null, hold nulls or are of another length take no part.
+    Arrow batches meet the queries of their length in one matrix product; the best so far are carried from batch to batch, and each
+    task gives them once.
     """
-    held = [r for r in queries.where(F.col("qv").isNotNull() & ~F.exists("qv", lambda x: x.isNull())).select("query_id", F.col("qv").cast("array<double>").alias("qv")).collect()]
-    size = max((len(r["qv"]) for r in held), default=0)
-    held = [r for r in held if len(r["qv"]) == size]
-    names = pa.array([r["query_id"] for r in held])
+    by_size: dict[int, list] = {}
+    for r in queries.collect():
+        by_size.setdefault(len(r["qv"]), []).append(r)
     unit = lambda m: m / np.where((n := np.sqrt((m * m).sum(1, keepdims=True))) > 0, n, 1) if cosine else m
-    q = unit(np.array([r["qv"] for r in held], float).reshape(len(held), size))
+    held = {n: (pa.array([r["query_id"] for r in own], from_arrow(queries, "query_id")), unit(np.array([r["qv"] for r in own], float).reshape(len(own), n))) for n, own in by_size.items()}
     out = queries.select("query_id").schema.add("doc_id", docs.schema["doc_id"].dataType).add("score", "double")
 
     def work(batches):
+        best: dict[int, list] = {}
+        kind = None
         for batch in batches:
-            lists = batch.column(1)
-            sizes = np.asarray(lists.value_lengths().fill_null(-1), dtype=np.int64)
-            use = np.flatnonzero(sizes == size)
-            if not len(use) or not len(q):
-                continue
-            own = lists.take(pa.array(use)) if len(use) < len(sizes) else lists
-            v = np.asarray(own.flatten().cast(pa.float64()).fill_null(np.nan), dtype=float).reshape(len(use), size)
-            whole = ~np.isnan(v).any(1)
-            use, v = use[whole], unit(v[whole])
-            ids = batch.column(0)
-            for lo in range(0, len(q), 1024):
-                s = np.round(q[lo : lo + 1024] @ v.T, 6) + 0.0
-                if s.shape[1] > k:
-                    edge = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
-                    rows, at = np.nonzero(s >= edge[:, None])
-                else:
-                    rows, at = np.indices(s.shape).reshape(2, -1)
-                yield pa.RecordBatch.from_arrays([names.take(pa.array(rows + lo)), ids.take(pa.array(use[at])), pa.array(s[rows, at])], names=["query_id", "doc_id", "score"])
-
-    return docs.select("doc_id", "dv").mapInArrow(work, out)
+            ids, lists = batch.column(0), batch.column(1)
+            kind = ids.type
+            sizes = np.asarray(lists.value_lengths(), dtype=np.int64)
+            for size, (_, q) in held.items():
+                use = np.flatnonzero(sizes == size)
+                if not len(use):
+                    continue
+                v = unit(np.asarray(lists.take(pa.array(use)).flatten(), dtype=float).reshape(len(use), size))
+                names = ids.take(pa.array(use)).to_numpy(zero_copy_only=False)
+                for lo in range(0, len(q), 1024):
+                    s = np.round(q[lo : lo + 1024] @ v.T, 6) + 0.0
+                    rows, scores, found, least = best.get((size, lo)) or [np.zeros(0, np.int64), np.zeros(0), names[:0], np.full(len(s), -np.inf)]
+                    if s.shape[1] > k:
+                        least = np.maximum(least, np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k])
+                    at, col = np.nonzero(s >= least[:, None])
+                    rows, scores, found = np.concatenate([rows, at]), np.concatenate([scores, s[at, col]]), np.concatenate([found, names[col]])
+                    keep = keep_best(rows, scores, found, k)
+                    rows, scores, found = rows[keep], scores[keep], found[keep]
+                    full = np.bincount(rows, minlength=len(s)) >= k
+                    worst = np.full(len(s), np.inf)
+                    np.minimum.at(worst, rows, scores)
+                    best[size, lo] = [rows, scores, found, np.where(full, worst, -np.inf)]
+        for (size, lo), (rows, scores, found, _) in best.items():
+            yield pa.RecordBatch.from_arrays([held[size][0].take(pa.array(rows + lo)), pa.array(found, kind), pa.array(scores)], names=["query_id", "doc_id", "score"])
+
+    return docs.mapInArrow(work, out)
+
+
+def from_arrow(rows: DataFrame, name: str) -> pa.DataType:
+    """The Arrow type of a column."""
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    return to_arrow_type(rows.schema[name].dataType)
 
 
 def top_k(queries: DataFrame, docs: DataFrame, k: int = 5, cosine: bool = True, threshold: float | None = None) -> DataFrame:
     """(query_id, doc_id, score, rank) for ``queries(query_id, qv)`` and ``docs(doc_id, dv)``; exact, ties to smaller ids.
 
-    Up to ``BROADCAST_ROWS`` queries go to every task, where batches of vectors keep their ``k`` best a query; more queries
-    meet the vectors in blocks.
+    A query meets the vectors of its own length.  Rows without an id or a vector, and vectors that hold nulls or NaN, take no part.
+    Query vectors of up to ``QUERY_BYTES`` in all go to every task, which keeps the ``k`` best of each; more meet the vectors in blocks.
     """
-    if queries.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        scored = _local_best(queries, docs, k, cosine)
+    q, d = whole(queries, "query_id", "qv"), whole(docs, "doc_id", "dv")
+    numbers = q.agg(F.sum(F.size("qv") + 8)).first()[0] or 0
+    if 8 * numbers <= QUERY_BYTES:
+        scored = _local_best(q, d, k, cosine)
         return ranked(scored if threshold is None else scored.where(F.col("score") >= threshold), k)
-    q = queries.select("query_id", (normalise(F.col("qv")) if cosine else F.col("qv")).alias("qv"))
-    d = docs.select("doc_id", (normalise(F.col("dv")) if cosine else F.col("dv")).alias("dv"))
-    scored = _pairs(q, d).select("query_id", "doc_id", F.round(dot(F.col("qv"), F.col("dv")), 6).alias("score"))
+    if cosine:
+        q, d = q.withColumn("qv", normalise(F.col("qv"))), d.withColumn("dv", normalise(F.col("dv")))
+    met = _in_blocks(q, d).where(F.size("qv") == F.size("dv"))
+    scored = met.select("query_id", "doc_id", F.round(dot(F.col("qv"), F.col("dv")), 6).alias("score"))
     return ranked(scored if threshold is None else scored.where(F.col("score") >= threshold), k)
 
 

@@ -40,6 +40,11 @@ def batch(df: DataFrame, i: int, batches: int, n: int, order: str = "pos") -> Da
     return df.where((F.col(order) >= i * (n // batches)) & (F.col(order) < high))
 
 
+def batch_of(pos: Column, batches: int, n: int) -> Column:
+    """The contiguous batch that a position is in, as ``batch`` cuts them."""
+    return F.least(F.floor(pos / F.lit(max(1, n // batches))), F.lit(batches - 1)).cast("int") if n >= batches else F.lit(batches - 1)
+
+
 def assign_types(df: DataFrame, types: list[str], quota: int, order: str = "doc_id") -> DataFrame:
     """Rows take types in turn; each type keeps ``quota`` rows."""
     rows = df.orderBy(order).limit(len(types) * quota)

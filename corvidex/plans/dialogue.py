@@ -142,14 +142,14 @@ def answer_counts(spark, d):
     return answered(spark, d).agg(F.count_if(number).alias("multiple_choice"), F.count_if(~number).alias("open_ended"))
 
 
-@query(f"""WITH a AS (SELECT doc_id, doc_id % 4 = 0 AS mc, {strip("text")} AS s FROM documents)
-        SELECT doc_id, md5(CASE WHEN mc THEN coalesce(nullif(regexp_extract(s || ' 7', '(\\p{{Nd}}+)', 1), ''), '1') ELSE '변' || chr(10) || s || ' 7' END) AS final_answer, md5(s) AS evidence, '유용: BM25' AS score_preference FROM a WHERE NOT contains(s, '###')""")
+@query(f"""WITH a AS (SELECT doc_id, doc_id % 4 = 0 AS mc, {strip("text")} AS s FROM documents),
+        b AS (SELECT doc_id, mc, {strip("string_split(s, '###')[1]")} AS e, {strip("'변' || chr(10) || string_split(s || ' 7', '###')[1]")} AS f FROM a)
+        SELECT doc_id, md5(CASE WHEN mc THEN coalesce(nullif(regexp_extract(f, '(\\p{{Nd}}+)', 1), ''), '1') ELSE f END) AS final_answer, md5(e) AS evidence, '유용: BM25' AS score_preference FROM b""")
 def diagnosis_parse(spark, d):
-    """Responses with all sections, whose evidence and answer are whole documents; those with a mark of their own within are left to the tests."""
+    """Responses with all sections, whose evidence and answer are whole documents; a document's own ``###`` begins a section there."""
     s = text.strip(F.col("text"))
     response = F.concat(F.lit("intro\n### 문서 관련성 분석\nBM25 vs Vector: 유용: BM25\nmore\n### 근거\n"), s, F.lit("\n### 최종 답변\n"), s, F.lit(" 7"))
-    rows = documents(spark, d).where(~F.contains(s, F.lit("###")))
-    return rows.select("doc_id", questions.diagnosis(response, F.col("doc_id") % 4 == 0).alias("r")).select("doc_id", F.md5("r.final_answer").alias("final_answer"), F.md5("r.evidence").alias("evidence"), "r.score_preference")
+    return documents(spark, d).select("doc_id", questions.diagnosis(response, F.col("doc_id") % 4 == 0).alias("r")).select("doc_id", F.md5("r.final_answer").alias("final_answer"), F.md5("r.evidence").alias("evidence"), "r.score_preference")
 
 
 @query(f"""WITH l AS (SELECT doc_id, {strip(f"string_split({strip("'7. 질문: ' || text")}, chr(10))[1]")} AS t FROM documents)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corvidex.functions import prompts, text
 from corvidex.functions.morphemes import Morphemes
 from corvidex.functions.tokenize import simple, technical_terms
-from corvidex.operators import analytics, bm25, chunking, fusion, quality, rerank, reports, retrieve, sampling
+from corvidex.operators import analytics, bm25, chunking, fusion, order, quality, rerank, reports, retrieve, sampling
 from corvidex.operators import vectors as stores
 from corvidex.plans import retrieval
 from corvidex.plans.base import bm25_sql, close, documents, index, quoted, ranked_sql, sparse, strip, table, tokens, vector_sql, vectors
@@ -98,7 +98,7 @@ def merged_metadata(spark, d):
     return retrieve.formatted(merged, ("original_score", "score", "metadata", "absent"))
 
 
-@query(f"""WITH {vector_sql()}, {ranked_sql("ve", "vscored", 10)}, f AS (SELECT query_id, doc_id, round(0.3 / rank + 0.7 * score, 6) AS score FROM ve), {ranked_sql("r", "f", 5)} SELECT query_id, doc_id, score, rank FROM r""")
+@query(f"""WITH {vector_sql()}, {ranked_sql("ve", "vscored", 10)}, f AS (SELECT query_id, doc_id, round(0.3 / rank + 0.7 * score, 8) AS score FROM ve), {ranked_sql("r", "f", 5)} SELECT query_id, doc_id, score, rank FROM r""")
 def rank_cosine_mix(spark, d):
     return fusion.rank_cosine(close(spark, d, 10), F.col("score"), 5).select("query_id", "doc_id", "score", "rank")
 
@@ -279,7 +279,7 @@ def _leaks_sql() -> str:
     for p in text.LEAKS:
         t = f"regexp_replace({t}, {quoted('(?is)' + p)}, '', 'g')"
     words = " + ".join(f"CAST(contains(t, '{w}') AS INT)" for w in text.LEAK_WORDS)
-    return f"""WITH l AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN text || '{text.LEAK_START} x {text.LEAK_END} tail' WHEN 1 THEN '이 문서 페이지에서 ' || left(text, 40) || ' 추출해주세요. **1순위: a** ' || text || chr(10) || '### 헤더 b' || chr(10) || chr(10) || 'end' WHEN 2 THEN '우선순위 지침 변환 ' || left(text, 50) ELSE text || '{text.LEAK_START} y' END AS c FROM documents),
+    return f"""WITH l AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN text || '{text.LEAK_START} x {text.LEAK_END} tail' WHEN 1 THEN '이 문서 페이지에서 ' || text || ' 추출해주세요. **1순위: a** ' || text || chr(10) || '### 헤더 b' || chr(10) || chr(10) || 'end' WHEN 2 THEN '우선순위 지침 변환 ' || text ELSE text || '{text.LEAK_START} y' END AS c FROM documents),
         h AS (SELECT doc_id, CASE WHEN contains(c, '{text.LEAK_START}') THEN string_split(c, '{text.LEAK_START}')[1] || coalesce(string_split(string_split(c, '{text.LEAK_START}')[2], '{text.LEAK_END}')[2], '') ELSE c END AS m FROM l),
         t AS (SELECT doc_id, {strip(t)} AS t FROM h)
         SELECT doc_id, md5(CASE WHEN length(t) < 10 OR ({words} >= 3 AND length(t) < 200) THEN '{text.NO_CONTENT}' ELSE array_to_string(list_filter(list_transform(string_split(t, chr(10)), lambda x: {strip("x")}), lambda x: x <> ''), chr(10)) END) AS t FROM t"""
@@ -288,10 +288,9 @@ def _leaks_sql() -> str:
 @query(_leaks_sql())
 def prompt_leaks(spark, d):
     i, t = F.col("doc_id"), F.col("text")
-    head = lambda n: F.left(t, F.lit(n))
     c = F.when(i % 4 == 0, F.concat(t, F.lit(f"{text.LEAK_START} x {text.LEAK_END} tail")))
-    c = c.when(i % 4 == 1, F.concat(F.lit("이 문서 페이지에서 "), head(40), F.lit(" 추출해주세요. **1순위: a** "), t, F.lit("\n### 헤더 b\n\nend")))
-    c = c.when(i % 4 == 2, F.concat(F.lit("우선순위 지침 변환 "), head(50))).otherwise(F.concat(t, F.lit(f"{text.LEAK_START} y")))
+    c = c.when(i % 4 == 1, F.concat(F.lit("이 문서 페이지에서 "), t, F.lit(" 추출해주세요. **1순위: a** "), t, F.lit("\n### 헤더 b\n\nend")))
+    c = c.when(i % 4 == 2, F.concat(F.lit("우선순위 지침 변환 "), t)).otherwise(F.concat(t, F.lit(f"{text.LEAK_START} y")))
     return documents(spark, d).select("doc_id", F.md5(text.drop_prompt_leaks(c)).alias("t"))
 
 
@@ -367,13 +366,8 @@ def assigned_types(spark, d):
 @query("WITH p AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS pos, count(*) OVER () AS n FROM documents) SELECT doc_id, CAST(least(pos // (n // 7), 6) AS INT) AS batch FROM p")
 def contiguous_batches(spark, d):
     """All rows in seven batches, the last with what is left over."""
-    rows = prompts.places(documents(spark, d).select("doc_id"), "doc_id").select("doc_id", (F.col("place") - 1).alias("pos"))
-    n = documents(spark, d).count()
-    out = None
-    for i in range(7):
-        own = sampling.batch(rows, i, 7, n).select("doc_id", F.lit(i).alias("batch"))
-        out = own if out is None else out.unionByName(own)
-    return out
+    rows = order.places(documents(spark, d).select("doc_id"), "doc_id").select("doc_id", (F.col("place") - 1).alias("pos"))
+    return rows.select("doc_id", sampling.batch_of(F.col("pos"), 7, documents(spark, d).count()).alias("batch"))
 
 
 @query()

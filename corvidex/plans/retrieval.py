@@ -198,14 +198,14 @@ def combined_top3_dedup(spark, d):
     return fusion.distinct_content(_combined(spark, d).join(documents(spark, d).select("doc_id", "text"), "doc_id")).select("query_id", "pos", "source", "doc_id", "score")
 
 
-_PACK = f"""{_UNION}, l AS (SELECT query_id, pos, '[문서 ' || pos || ']' || chr(10) || left(text, 300) || chr(10) AS line FROM c JOIN documents USING (doc_id)),
+_PACK = f"""{_UNION}, l AS (SELECT query_id, pos, '[문서 ' || pos || ']' || chr(10) || text || chr(10) AS line FROM c JOIN documents USING (doc_id)),
         p AS (SELECT *, sum(length(line)) OVER (PARTITION BY query_id ORDER BY pos) AS upto FROM l)"""
 
 
 @query(f"{_PACK} SELECT query_id, string_agg(line, '' ORDER BY pos) AS context, count(*) AS docs FROM p WHERE upto <= 1200 GROUP BY query_id")
 def context_pack(spark, d):
-    """As ``context_pack_whole``, of the first 300 characters of each text in 1200."""
-    found = _combined(spark, d).withColumnRenamed("pos", "rank").join(documents(spark, d).select("doc_id", F.left("text", F.lit(300)).alias("text")), "doc_id")
+    """As ``context_pack_whole``, with a budget of 1200."""
+    found = _combined(spark, d).withColumnRenamed("pos", "rank").join(documents(spark, d).select("doc_id", "text"), "doc_id")
     return prompts.pack(found, 1200)
 
 

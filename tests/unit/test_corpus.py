@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from corvidex.functions import prompts, questions, text
-from corvidex.operators import chunking, quality, reports, sampling, splitting
+from corvidex.operators import chunking, order, quality, reports, sampling, splitting
 from corvidex.plans import corpus
 from corvidex.sources import files, html
 
@@ -73,8 +73,17 @@ def test_pack_stops_at_first_overflow(spark):
 
 
 def test_places_are_gapless(spark):
-    df = spark.createDataFrame([(i * i,) for i in range(200)], "pos long")
-    assert [r["place"] for r in prompts.places(df, "pos", 7).orderBy("pos").collect()] == list(range(1, 201))
+    """An outlier, a value that holds a third of all rows, repeated rows, NaN and nulls: every row keeps a place of its own, in order."""
+    values = [float(i * i) for i in range(200)] + [1e300, -1e300, float("inf")] + [7.0] * 150 + [float("nan")] * 3 + [None] * 40
+    df = spark.createDataFrame([(v, i % 60) for i, v in enumerate(values)], "pos double, other long")
+    rows = order.places(df, "pos").orderBy("place").collect()
+    assert [r["place"] for r in rows] == list(range(1, len(values) + 1))
+    rank = lambda v: (2, 0.0) if v is None else (1, 0.0) if v != v else (0, v)
+    assert [rank(r["pos"]) for r in rows] == sorted(map(rank, values))
+    big = spark.createDataFrame([(2**60 + i % 50,) for i in range(300)], "pos long")
+    own = order.places(big, "pos").orderBy("place").collect()
+    assert [r["pos"] for r in own] == sorted(2**60 + i % 50 for i in range(300)) and [r["place"] for r in own] == list(range(1, 301))
+    assert order.places(df.where("false"), "pos").count() == 0 and order.places(df.where("pos IS NULL"), "pos").count() == 40
 
 
 def test_batches_lose_no_row(spark):

@@ -66,17 +66,38 @@ def test_padding_gives_n_rows(spark):
     assert [r["doc_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == 1] == [0, 1, 2]
 
 
-def test_dense_and_blocks_agree(spark):
+def test_dense_and_blocks_agree(spark, monkeypatch):
+    """Queries of two lengths, ties, and vectors that hold NaN or nulls or are missing, in small Arrow batches and in blocks, against all pairs."""
     rng = random.Random(1)
-    rows = [(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(60)]
+    rows = [(i, [round(rng.gauss(0, 1), 1) for _ in range(8 if i % 3 else 2)]) for i in range(200)]
+    rows += [(200, [float("nan")] * 8), (201, None), (202, [1.0, None]), (None, [1.0] * 8), (203, [0.0] * 8), (204, [])] + [(i, [1.0, 1.0]) for i in range(205, 230)]
     d = spark.createDataFrame(rows, "doc_id long, dv array<double>")
-    q = d.where("doc_id < 7").select(F.col("doc_id").alias("query_id"), F.col("dv").alias("qv"))
-    plain = sorted(dense.top_k(q, d, 4).collect())
-    held, dense.BROADCAST_ROWS = dense.BROADCAST_ROWS, 2
+    q = d.where("doc_id < 9 OR doc_id >= 199 OR doc_id IS NULL").select(F.col("doc_id").alias("query_id"), F.col("dv").alias("qv"))
+    good = {i: v for i, v in rows if i is not None and v is not None and all(x is not None and x == x for x in v)}
+
+    def cosine(a, b):
+        n = math.sqrt(sum(x * x for x in a)) * math.sqrt(sum(x * x for x in b))
+        return round(sum(x * y for x, y in zip(a, b, strict=True)) / n if n else 0.0, 6)
+
+    want = []
+    for i, v in good.items():
+        if i < 9 or i >= 199:
+            best = sorted((-cosine(v, w), j) for j, w in good.items() if len(w) == len(v))[:4]
+            want += [(i, j, -s + 0.0, k + 1) for k, (s, j) in enumerate(best)]
+    tidy = lambda rows: sorted((r["query_id"], r["doc_id"], round(r["score"] + 0.0, 5), r["rank"]) for r in rows)
+    want = sorted((i, j, round(s, 5), k) for i, j, s, k in want)
+    assert tidy(dense.top_k(q, d, 4).collect()) == want
+    held = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
     try:
-        assert sorted(dense.top_k(q, d, 4).collect()) == plain
+        assert tidy(dense.top_k(q, d, 4).collect()) == want
     finally:
-        dense.BROADCAST_ROWS = held
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", held)
+    assert dense.top_k(q.where("false"), d, 4).count() == 0 == dense.top_k(q, d.where("false"), 4).count()
+    names = d.select(F.col("doc_id").cast("string").alias("doc_id"), "dv").where("doc_id < 9")
+    assert {r["doc_id"] for r in dense.top_k(q, names, 1).collect()} <= set("012345678")
+    monkeypatch.setattr(dense, "QUERY_BYTES", 16)
+    assert tidy(dense.top_k(q, d, 4).collect()) == want
 
 
 def lists(spark):
