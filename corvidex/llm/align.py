@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from corvidex.llm._spark import give_back_memory, spread_join, stored
 from corvidex.llm._words import ranges, slices, texts_of
-from corvidex.llm.units import ONE_WORD, ByteLevel, Known, per_text, unit_table
+from corvidex.llm.units import ByteLevel, Known, one_word, per_text, unit_table
 
 SLICE = 3 << 20
 A_END, B_END, BOTH = 1, 2, 3
@@ -67,12 +67,12 @@ class Aligner:
 
     def __call__(self, units: list[str]):
         codes, counts, groups = [None] * len(units), np.zeros((len(units), 3), np.int64), [b""] * len(units)
-        left, joint = [], []
-        for i, u in enumerate(units):
-            (joint if ONE_WORD.fullmatch(u) and SPACE not in u else left).append(i)
+        texts = pa.array(units, pa.large_string())
+        joined = one_word(texts) & ~np.asarray(pc.match_substring(texts, SPACE), dtype=bool)
+        joint, left = np.flatnonzero(joined).tolist(), np.flatnonzero(~joined).tolist()
         for lo in range(0, len(joint), self.chunk):
             own = joint[lo : lo + self.chunk]
-            if not self._align([units[i] for i in own], own, codes, counts, groups):
+            if not self._align([units[i] for i in own], own, codes, counts, groups, self.a.joined):
                 left += own
         for i in left:
             if not units[i]:  # before a text's first space
@@ -83,11 +83,14 @@ class Aligner:
         flat = np.concatenate([np.zeros(0, np.int64), *codes])
         return [(flat, sizes), (counts.ravel(), np.full(len(units), 3))], groups
 
-    def _align(self, words: list[str], places: list[int], codes: list, counts: np.ndarray, groups: list) -> bool:
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.a.encoder.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+
+    def _align(self, words: list[str], places: list[int], codes: list, counts: np.ndarray, groups: list, encode=None) -> bool:
         """Align the joined words and deal the result to their places; false if the tokens are not the words' bytes or cross their ends."""
         text = "".join(words)
         data = text.encode()
-        a = np.array(self.a.encoder.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+        a = (encode or self._whole)(text).astype(np.int64)
         b = self.b.ids(text)
         if b"".join(map(self.a.bytes.__getitem__, a.tolist())) != data or b"".join(map(self.b.bytes.__getitem__, b.tolist())) != data:
             return False

@@ -42,7 +42,7 @@ def table_of(path: str) -> tuple[ByteLevel, Known]:
         def learn(units: list[str]):
             return [encoder.encode(units)], [None] * len(units)
 
-        _known[path] = encoder, Known(learn, (np.uint32,))
+        _known[path] = encoder, Known(learn, (np.uint32,), most=800_000)
     return _known[path]
 
 

@@ -22,8 +22,6 @@ BLANK = r"[\s\x0b\x{85}\p{Z}]"
 ODD = rf"  |{BLANK} (?:{BLANK}|$)|\x00"
 CUT = "\x00"
 SAFE_CUT = regex.compile(r"(?<=\S)(?= )")
-#: Units of one word are encoded many at a time, joined.
-ONE_WORD = regex.compile(r" \S+")
 LISTS = pa.large_list(pa.large_string())
 
 
@@ -104,14 +102,27 @@ class Known:
         return found
 
 
+def one_word(units: pa.Array) -> np.ndarray:
+    """Which units are a space and one word: those are encoded many at a time, joined."""
+    return np.asarray(pc.match_substring_regex(units, r"^ [^\s\x0b\x00\x1c-\x1f\x{85}\p{Z}]+$"), dtype=bool)
+
+
 def per_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """The sum of each text's values."""
     ends = np.concatenate([[0], np.cumsum(values)])
     return ends[offsets[1:]] - ends[offsets[:-1]]
 
 
+#: Fixed value: how a byte-level BPE of this kind cuts texts before it merges (the pattern ``tokenizers`` has built in)
+CUTS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 class ByteLevel:
-    """A byte-level BPE of the ``tokenizers`` library over units; special tokens' strings count as plain text if asked for."""
+    """A byte-level BPE of the ``tokenizers`` library over units; special tokens' strings count as plain text if asked for.
+
+    Where the file's merges make ids in ascending order, ids are ranks, and ``tiktoken`` merges words of one space from the same
+    file's vocabulary, which gives the same ids in a quarter of the time.
+    """
 
     def __init__(self, path: str, plain_specials: bool = False, chunk: int = 2048):
         import os
@@ -128,31 +139,67 @@ class ByteLevel:
         self.bytes = [n.encode() if i in special else bytes(code_of[c] for c in n) for i, n in enumerate(names)]
         self.lengths = np.fromiter(map(len, self.bytes), np.int64, size)
         self.special = [names[i] for i in special]
+        self.words = self._ranked(path)
         self.odd = "|".join(regex.escape(s) for s in self.special) if self.special and not plain_specials else ""
 
+    def _ranked(self, path: str):
+        """An encoder of joined words by rank, or none if the file's ids are no ranks."""
+        import json
+
+        import tiktoken
+
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        model, before = file["model"], file["pre_tokenizer"] or {}
+        vocab = model.get("vocab", {})
+        pairs = (m.split(" ") if isinstance(m, str) else m for m in model.get("merges", []))
+        made = [vocab.get("".join(p), -1) for p in pairs]
+        ordered = made == sorted(set(made)) and (not made or min(made) >= 256)
+        usual = before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True) and not file.get("normalizer")
+        if not (ordered and usual and not model.get("ignore_merges") and not model.get("dropout")):
+            return None
+        special = set(self.special)
+        return tiktoken.Encoding("ranks", pat_str=CUTS, mergeable_ranks={b: i for i, b in enumerate(self.bytes) if self.encoder.id_to_token(i) not in special}, special_tokens={})
+
+    def joined(self, text: str) -> np.ndarray:
+        """Ids of words that each follow one space, without special tokens."""
+        ids = self.words.encode_ordinary(text) if self.words else self.encoder.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return np.array(ids, np.uint32)
+
     def encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all units one after another, ids in each)."""
-        out: list = [None] * len(units)
-        single = [i for i, u in enumerate(units) if not ONE_WORD.fullmatch(u) or any(s in u for s in self.special)]
-        left = set(single)
-        joint = [i for i in range(len(units)) if i not in left]
+        texts = pa.array(units, pa.large_string())
+        joined = one_word(texts)
+        for s in self.special:
+            joined &= ~np.asarray(pc.match_substring(texts, s), dtype=bool)
+        lengths = np.asarray(pc.binary_length(texts), dtype=np.int64)
+        order, flats, sizes = [], [], []
+        alone = [np.flatnonzero(~joined)]
+        joint = np.flatnonzero(joined)
         for lo in range(0, len(joint), self.chunk):
             own = joint[lo : lo + self.chunk]
-            words = [units[i] for i in own]
-            ids = np.array(self.encoder.encode_batch_fast(["".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+            ids = self.joined("".join([units[i] for i in own.tolist()]))
             ends = np.cumsum(self.lengths[ids])
-            stops = np.cumsum(np.fromiter((len(w.encode()) for w in words), np.int64, len(words)))
+            stops = np.cumsum(lengths[own])
             at = np.searchsorted(ends, stops)
             if len(ends) and ends[-1] == stops[-1] and (ends[at] == stops).all():
-                for i, part in zip(own, np.split(ids, at[:-1] + 1), strict=True):
-                    out[i] = part
+                order.append(own)
+                flats.append(ids)
+                sizes.append(np.diff(at, prepend=-1))
             else:
-                single += own
-        for lo in range(0, len(single), self.chunk):
-            own = single[lo : lo + self.chunk]
-            for i, e in zip(own, self.encoder.encode_batch_fast([units[i] for i in own], add_special_tokens=False), strict=True):
-                out[i] = np.array(e.ids, np.uint32)
-        return np.concatenate([np.zeros(0, np.uint32), *out]), np.fromiter(map(len, out), np.int64, len(out))
+                alone.append(own)
+        rest = np.concatenate(alone)
+        for lo in range(0, len(rest), self.chunk):
+            own = rest[lo : lo + self.chunk]
+            found = [e.ids for e in self.encoder.encode_batch_fast([units[i] for i in own.tolist()], add_special_tokens=False)]
+            order.append(own)
+            flats += [np.array(ids, np.uint32) for ids in found]
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+        if not order:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        flat, size, back = np.concatenate([np.zeros(0, np.uint32), *flats]), np.concatenate(sizes), np.argsort(np.concatenate(order))
+        starts = np.cumsum(size) - size
+        return flat[ranges(starts[back], size[back])], size[back]
 
 
 def byte_letters() -> dict[int, str]:
