@@ -265,7 +265,7 @@ def test_balanced_packing_of_odd_texts(odd, plain_a, spark):
 
 
 def test_costs_are_balanced():
-    """Against the plain greedy rule, and closer together than filling in order."""
+    """Against the plain greedy rule, and closer together than by first fit."""
     rng = random.Random(2)
     sizes = [min(2047, int(rng.expovariate(1 / 400)) + 1) for _ in range(900)]
     window = balance.Window(2048, 1 / 1024, 0)
@@ -288,11 +288,14 @@ def test_costs_are_balanced():
     cost = defaultdict(float)
     for _, _, ids, q, _ in got:
         cost[q] += window.cost(len(ids))
-    stream, at, plain = [n for n in sizes], 0, defaultdict(float)
-    for n in stream:
-        while n:
-            m = min(n, 2048 - at % 2048)
-            plain[at // 2048] += window.cost(m)
-            at, n = at + m, n - m
+    first = defaultdict(float)  # the same documents, each to the first sequence with room
+    room = [2048] * len(bins)
+    for _, n in todo:
+        while n and any(room):
+            k = next((k for k, r in enumerate(room) if r >= n), None)
+            k = next(k for k, r in enumerate(room) if r) if k is None else k
+            m = min(n, room[k])
+            first[k] += m + m * m / 1024
+            room[k], n = room[k] - m, n - m
     spread = lambda c: np.std(list(c.values()))
-    assert spread(cost) < 0.6 * spread({k: v for k, v in plain.items() if k < len(cost)})
+    assert spread(cost) < 0.8 * spread(first)
