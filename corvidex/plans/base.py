@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvidex.functions.tokenize import bucket_vector, simple
-from corvidex.operators import bm25, dense
+from corvidex.operators import bm25, dense, graph
 from corvidex.sources.store import kept
 
 
@@ -44,6 +44,13 @@ def close(spark, sf_dir, k: int) -> DataFrame:
     return dense.top_k(*vectors(spark, sf_dir), k=k)
 
 
+def graph_index(spark, sf_dir) -> graph.GraphIndex:
+    """Proximity graphs over the documents' vectors, kept for the session."""
+    made = graph.build(vectors(spark, sf_dir)[1])
+    made.nodes = kept(documents(spark, sf_dir), "graph", lambda: made.nodes)
+    return made
+
+
 # --- DuckDB fragments ---
 WS = r"[\t-\r\x1c-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 TOKENS = "list_filter(regexp_extract_all(lower({0}), '[\\p{{L}}\\p{{N}}]+'), lambda t: length(t) >= 2)"

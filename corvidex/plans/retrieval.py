@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corvidex.functions import prompts, text
 from corvidex.functions.tokenize import TOKENIZERS, dot, normalise, simple
 from corvidex.operators import bm25, dense, fusion, rerank
-from corvidex.plans.base import bm25_sql, close, documents, index, questions, ranked_sql, sparse, table, tokens, vector_sql, vectors
+from corvidex.plans.base import bm25_sql, close, documents, graph_index, index, questions, ranked_sql, sparse, table, tokens, vector_sql, vectors
 
 QUERIES, SQL = {}, {}
 
@@ -112,6 +112,24 @@ def ivf_topk(spark, d):
     return dense.ivf_top_k(q, e, 5, cells=16, probes=14)
 
 
+@query()
+def graph_topk(spark, d):
+    """Approximate search for every passage of ``benchmark`` over proximity graphs of the documents' vectors."""
+    return graph_index(spark, d).search(vectors(spark, d)[0], 5).select("query_id", "doc_id", "score", "rank")
+
+
+@query()
+def graph_work(spark, d):
+    """How many similarities that search computes for each passage."""
+    return graph_index(spark, d).work(vectors(spark, d)[0], 5)
+
+
+@query()
+def graph_layers(spark, d):
+    """Nodes, links and vectors of each layer of the graphs."""
+    return graph_index(spark, d).stats()
+
+
 _NORMS = {
     "minmax": "CASE WHEN max(score) OVER w = min(score) OVER w THEN 0.5 ELSE (score - min(score) OVER w) / (max(score) OVER w - min(score) OVER w) END",
     "rank": "1.0 / row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)",
