@@ -45,10 +45,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row stays; a text with secrets loses them and gets its new length as ``n_chars``; a null text stays null."""
-    found = secrets.scan(docs, secrets.train(secrets.made_findings(spark)))
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")  # so that no column meets one of the operator's
+    found = secrets.scan(held, secrets.train(secrets.made_findings(spark)))
     changed = F.size("secrets") > 0
-    new = {"text": F.col("redacted")} | ({"n_chars": F.when(changed, F.length("redacted").cast("long")).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {})
-    return found.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    new = {"text": F.col("redacted")} | ({"n_chars": F.when(changed, F.length("redacted").cast("long")).otherwise(F.col("row.n_chars"))} if "n_chars" in docs.columns else {})
+    return found.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
