@@ -245,11 +245,12 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     alike but not close, :mod:`corvidex.llm.jaccard` then finds every pair left between two groups.
 
     A row is told by its id and all its other columns, so rows that share an id but not a text are documents of
-    their own.  Repeated rows are copies, of which one stays.
+    their own.  Repeated rows are copies, of which one stays.  Maps and variants are compared as JSON.
     """
     cells = [F.col(f"`{c}`") for c in docs.columns]
     nulls = F.concat(*[c.isNull().cast("string") for c in cells])
-    hashes = [F.xxhash64(nulls, *cells).alias("h1"), F.xxhash64(F.lit(1), nulls, *cells).alias("h2")]
+    hashable = [F.to_json(F.struct(c.alias("c"))) if any(k in f.dataType.simpleString() for k in ("map<", "variant")) else c for c, f in zip(cells, docs.schema, strict=True)]
+    hashes = [F.xxhash64(nulls, *hashable).alias("h1"), F.xxhash64(F.lit(1), nulls, *hashable).alias("h2")]
     text, name = F.col(f"`{text_col}`").alias("text"), F.col(f"`{id_col}`")
     rows = docs.select(*hashes, text)
     named = stored(jaccard.named(docs.select(name.isNull().alias("none"), name.alias("id"), *hashes, text), width), "near-named")

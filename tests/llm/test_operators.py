@@ -654,3 +654,15 @@ def test_shared_shingles_meet_over_batches(step):
         nodes[r[0]].add(r[1])
     assert sorted(hot) == sorted((t, n) for t, own in nodes.items() if len(own) > 5 for n in own)
     assert pairs == Counter((a, b) for own in nodes.values() if len(own) <= 5 for a in own for b in own if a < b)
+
+
+def test_stages_keep_columns_of_any_type_and_name(spark):
+    """Maps, and columns named as the operators' own, go through near_dedup and secret_scan unchanged."""
+    key = "AKIA" + "Q7ZP2M4X9KT3WB5L"
+    rows = [(1, f"use {key} here", {"b": 1, "a": 2}, "mine", [1], 7, 5), (2, "one two three four five six", None, "mine", None, 8, 5), (3, "one two three four five six", {"a": 1}, None, [2], 9, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, props map<string,int>, redacted string, secrets array<int>, n_candidates int, n_chars long")
+    cleaned = {r["doc_id"]: r for r in corpus_pipeline.secret_scan(spark, docs, DATA).collect()}
+    assert len(cleaned) == 3 and cleaned[1]["redacted"] == "mine" and cleaned[1]["secrets"] == [1] and cleaned[1]["n_candidates"] == 7 and cleaned[1]["props"] == {"b": 1, "a": 2}
+    assert key not in cleaned[1]["text"] and cleaned[1]["n_chars"] == len(cleaned[1]["text"]) and cleaned[2]["text"] == rows[1][1] and cleaned[2]["n_chars"] == 5
+    kept = corpus_pipeline.near_dedup(spark, docs, DATA)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 2]
