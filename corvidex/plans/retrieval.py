@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from corvidex.functions import prompts, text
 from corvidex.functions.tokenize import TOKENIZERS, dot, normalise, simple
 from corvidex.operators import bm25, dense, fusion, rerank
 from corvidex.plans.base import bm25_sql, close, documents, graph_index, index, questions, ranked_sql, sparse, table, tokens, vector_sql, vectors
+from corvidex.sources.store import shared_folder
+from corvidex.streaming.knowledge import KnowledgeBase, Snapshot
 
 QUERIES, SQL = {}, {}
 
@@ -364,3 +368,30 @@ def term_boost(spark, d):
 
 
 __all__ = ["QUERIES", "SQL", "vectors"]
+
+
+def _batches(spark, d) -> Snapshot:
+    """A knowledge base of ``documents`` in four batches: two thirds; the rest and every fifth anew; every seventh out; then all in one segment."""
+    docs = documents(spark, d).select("doc_id", "text")
+    base = KnowledgeBase(spark, f"{shared_folder(spark)}/knowledge-{uuid.uuid4().hex}")
+    base.apply(docs.where("doc_id % 3 <> 0"))
+    edition = F.when(F.col("doc_id") % 5 == 0, F.concat("text", F.lit(" revised edition"))).otherwise(F.col("text"))
+    base.apply(docs.where("doc_id % 3 = 0 OR doc_id % 5 = 0").select("doc_id", edition.alias("text")))
+    base.apply(docs.where("false"), docs.where("doc_id % 7 = 0").select("doc_id"))
+    base.folder.fs.deleteOnExit(base.folder.at(""))
+    return base.snapshot()
+
+
+_FINAL = "final AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN text || ' revised edition' ELSE text END AS text FROM documents WHERE doc_id % 7 <> 0)"
+
+
+@query(f"WITH {_FINAL} SELECT doc_id, sha256(coalesce(text, '')) AS digest FROM final")
+def knowledge_documents(spark, d):
+    """What is live after batches of additions, changes and removals."""
+    return _batches(spark, d).documents().select("doc_id", "digest")
+
+
+@query(f"WITH {_FINAL}, {bm25_sql().replace('FROM documents', 'FROM final')}, {ranked_sql('r', 'scored', 3)} SELECT query_id, doc_id, score, rank FROM r")
+def knowledge_search(spark, d):
+    """A search after those batches, whose frequencies and lengths are those of the live documents."""
+    return _batches(spark, d).search(questions(spark, d), 3).select("query_id", "doc_id", "score", "rank")
