@@ -171,29 +171,6 @@ def valid_pair(question: Column, answer: Column, context: Column, is_mc: Column,
     return ok & ~contains_any(answer, prohibited) if prohibited else ok
 
 
-def similar_questions(df: DataFrame, group: str, text: str = "text", order: str = "doc_id", threshold: float = 0.85) -> DataFrame:
-    """Greedy by order within a group: a question goes if its matching ratio with an accepted one exceeds the threshold.
-
-    The ratio is Python's sequence matcher's, so groups meet in Arrow; a group is one job's batch of questions.
-    """
-    import pandas as pd
-
-    def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        from difflib import SequenceMatcher
-
-        kept: list[str] = []
-        flags = []
-        pdf = pdf.sort_values(order)
-        for t in pdf[text]:
-            near = any(SequenceMatcher(None, t.lower(), k.lower()).ratio() > threshold for k in kept)
-            flags.append(not near)
-            if not near:
-                kept.append(t)
-        return pdf.assign(accepted=flags)
-
-    return df.groupBy(group).applyInPandas(work, df.schema.add("accepted", "boolean"))
-
-
 def type_entropy(df: DataFrame, kind: str) -> DataFrame:
     """Shannon entropy of a column in bits, and its number of values."""
     counts = df.groupBy(kind).agg(F.count(F.lit(1)).alias("n"))

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corvidex.functions import prompts, questions, text
-from corvidex.operators import chunking, quality, reports, sampling
+from corvidex.operators import chunking, quality, reports, sampling, similar
 from corvidex.plans.base import WS, documents, strip, table
 from corvidex.sources import files, html
 
@@ -400,3 +400,20 @@ def event_windows(spark, d):
 def label_join(spark, d):
     """Gold labels beside the documents that have one."""
     return documents(spark, d).select("doc_id").join(table(spark, d, "labels"), "doc_id").groupBy("doc_id").agg(F.sum(F.when(F.col("quality") == 1, 1).otherwise(0)).alias("good"))
+
+
+@query()
+def question_validation(spark, d):
+    """All rules of the question validator over the passages of ``benchmark``, similarity to an accepted question among them."""
+    q = table(spark, d, "benchmark").select("item_id", F.concat("text", F.lit("?")).alias("text"))
+    return similar.too_similar(quality.validate_questions(q, order="item_id", script=r"\p{L}"), order="item_id").select("item_id", "reason")
+
+
+@query()
+def question_diversity(spark, d):
+    """Mean similarity of all pairs of passages, share of distinct keywords, and the score they give with one source and kind."""
+    q = table(spark, d, "benchmark")
+    words = q.select(F.explode(F.filter(F.split(F.trim("text"), r"\s+"), lambda w: F.length(w) > 2)).alias("w")).agg((F.count_distinct("w") / F.count(F.lit(1))).alias("unique_ratio"))
+    both = similar.mean_similarity(q, order="item_id").crossJoin(F.broadcast(words))  # one row each
+    score = quality.diversity_score(F.lit(1), F.col("similarity"), F.col("unique_ratio"), F.lit(0.0))
+    return both.select("pairs", F.round("similarity", 6).alias("similarity"), F.round("unique_ratio", 6).alias("unique_ratio"), score.alias("score"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,3 +52,13 @@ def kept(source: DataFrame, tag: str, build: Callable[[], DataFrame]) -> DataFra
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
         _held[key] = path
     return spark.read.parquet(_held[key])
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, which cuts its lineage; the JVM deletes the table when it ends."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return spark.read.schema(df.schema).parquet(path)
