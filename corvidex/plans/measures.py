@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from corvidex.functions import prompts, text
@@ -13,7 +15,8 @@ from corvidex.plans import retrieval
 from corvidex.plans.base import bm25_sql, close, documents, index, quoted, ranked_sql, sparse, strip, table, tokens, vector_sql, vectors
 from corvidex.plans.base import questions as asked
 from corvidex.plans.corpus import _clean_sql
-from corvidex.sources.store import kept
+from corvidex.sources.store import kept, shared_folder
+from corvidex.streaming import score_cache
 
 QUERIES, SQL = {}, {}
 
@@ -392,3 +395,14 @@ def processed_texts(spark, d):
 @query(f"SELECT doc_id, NOT regexp_matches({strip('text')}, '([.!?]|다\\.|요\\.|니다\\.)$') OR contains(text, '[다음 페이지에 계속]') AS incomplete FROM documents")
 def incomplete_pages(spark, d):
     return documents(spark, d).select("doc_id", text.incomplete_page(F.col("text")).alias("incomplete"))
+
+
+@query()
+def cache_replay(spark, d):
+    """``events`` as accesses to a cache of user and event type: hits, misses, evictions and expiries by shard, as stream state."""
+    schema = table(spark, d, "events").schema
+    events = spark.readStream.schema(schema).parquet(f"{d}/event[s].parquet")  # as a pattern, which may name a file as well as a folder
+    accesses = events.select(F.col("event_id").alias("id"), F.concat_ws("|", "user_id", "event_type").alias("key"), "ts", F.col("value").alias("score"))
+    place = f"{shared_folder(spark)}/cache-{uuid.uuid4().hex}"
+    score_cache.follow(accesses, f"{place}/counts", f"{place}/checkpoint", most=8, ttl=86400.0, shards=16)
+    return score_cache.counts_so_far(spark, f"{place}/counts")
