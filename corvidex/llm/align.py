@@ -64,67 +64,80 @@ class Aligner:
 
     def __init__(self, path_a: str, path_b: str, chunk: int = 2048):
         self.a, self.b, self.chunk = ByteLevel(path_a, plain_specials=True), PieceBytes(path_b), chunk
+        written = lambda n, mark: np.array([f"{i}{mark}" for i in range(n)], object)
+        n_a, n_b = len(self.a.bytes), len(self.b.bytes)
+        # an id in a group: followed by more of its side, by the other side, by the next group, or by the next unit
+        self.a_more, self.a_last, self.b_more, self.b_last, self.b_end = written(n_a, ","), written(n_a, "|"), written(n_b, ","), written(n_b, ";"), written(n_b, ";\n")
 
     def __call__(self, units: list[str]):
-        codes, counts, groups = [None] * len(units), np.zeros((len(units), 3), np.int64), [b""] * len(units)
+        codes, counts, groups = [np.zeros(0, np.int64)] * len(units), np.zeros((len(units), 3), np.int64), [b""] * len(units)
         texts = pa.array(units, pa.large_string())
         joined = one_word(texts) & ~np.asarray(pc.match_substring(texts, SPACE), dtype=bool)
-        joint, left = np.flatnonzero(joined).tolist(), np.flatnonzero(~joined).tolist()
+        empty = np.asarray(pc.equal(texts, ""), dtype=bool)  # before a text's first space
+        counts[empty] = 0, 0, 1
+        joint, left = np.flatnonzero(joined).tolist(), np.flatnonzero(~joined & ~empty).tolist()
         for lo in range(0, len(joint), self.chunk):
             own = joint[lo : lo + self.chunk]
-            if not self._align([units[i] for i in own], own, codes, counts, groups, self.a.joined):
+            words = [units[i] for i in own]
+            text = "".join(words)
+            a, b = self.a.joined(text).astype(np.int64), self.b.ids(text)
+            if not (self._spell(text.encode(), a, b) and self._deal(own, words, a, b, codes, counts, groups)):
                 left += own
-        for i in left:
-            if not units[i]:  # before a text's first space
-                codes[i], counts[i] = np.zeros(0, np.int64), (0, 0, 1)
-            elif not self._align([units[i]], [i], codes, counts, groups):
-                codes[i] = np.zeros(0, np.int64)
+        for lo in range(0, len(left), self.chunk):
+            own = left[lo : lo + self.chunk]
+            words = [units[i] for i in own]
+            each_a = [np.array(e.ids, np.int64) for e in self.a.encoder.encode_batch_fast(words, add_special_tokens=False)]
+            each_b = [self.b.ids(w) for w in words]
+            right = [i for i, w in enumerate(words) if self._spell(w.encode(), each_a[i], each_b[i])]
+            if right:
+                self._deal([own[i] for i in right], [words[i] for i in right], np.concatenate([each_a[i] for i in right]), np.concatenate([each_b[i] for i in right]), codes, counts, groups)
         sizes = np.fromiter(map(len, codes), np.int64, len(codes))
         flat = np.concatenate([np.zeros(0, np.int64), *codes])
         return [(flat, sizes), (counts.ravel(), np.full(len(units), 3))], groups
 
-    def _whole(self, text: str) -> np.ndarray:
-        return np.array(self.a.encoder.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+    def _spell(self, data: bytes, a: np.ndarray, b: np.ndarray) -> bool:
+        """Whether both sides' tokens, joined, are these bytes."""
+        return b"".join(map(self.a.bytes.__getitem__, a.tolist())) == data and b"".join(map(self.b.bytes.__getitem__, b.tolist())) == data
 
-    def _align(self, words: list[str], places: list[int], codes: list, counts: np.ndarray, groups: list, encode=None) -> bool:
-        """Align the joined words and deal the result to their places; false if the tokens are not the words' bytes or cross their ends."""
-        text = "".join(words)
-        data = text.encode()
-        a = (encode or self._whole)(text).astype(np.int64)
-        b = self.b.ids(text)
-        if b"".join(map(self.a.bytes.__getitem__, a.tolist())) != data or b"".join(map(self.b.bytes.__getitem__, b.tolist())) != data:
-            return False
+    def _deal(self, places: list[int], words: list[str], a: np.ndarray, b: np.ndarray, codes: list, counts: np.ndarray, groups: list) -> bool:
+        """Align the tokens of words in a row and deal the result to their places; false if tokens cross the words' ends."""
         a_ends, b_ends = np.cumsum(self.a.lengths[a]), np.cumsum(self.b.lengths[b])
-        labels = np.zeros(len(data), np.uint8)
+        labels = np.zeros(int(a_ends[-1]), np.uint8)
         labels[a_ends - 1] = A_END
         labels[b_ends - 1] += B_END
         stops = np.cumsum(np.fromiter((len(w.encode()) for w in words), np.int64, len(words)))
         if (labels[stops - 1] != BOTH).any():
             return False
-        spans = [(s.end(), s.group()) for s in GROUP.finditer(labels.tobytes())]
-        n_a = np.fromiter((s.count(A_END) + 1 for _, s in spans), np.int64, len(spans))
-        n_b = np.fromiter((s.count(B_END) + 1 for _, s in spans), np.int64, len(spans))
+        # each span runs up to a label of both; its labels count the tokens of its group
+        ends = np.cumsum(np.fromiter(map(len, GROUP.findall(labels.tobytes())), np.int64))
+        begins = np.concatenate([[0], ends[:-1]])
+        n_a, n_b = (np.add.reduceat(labels >> bit & 1, begins, dtype=np.int64) for bit in (0, 1))
         to_a, to_b = np.cumsum(n_a), np.cumsum(n_b)
         links = a[to_a - 1] * PAIR + b[to_b - 1]
-        last = np.searchsorted(np.fromiter((e for e, _ in spans), np.int64, len(spans)), stops) + 1
-        in_a, in_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        listed, i, k = [], 0, 0
-        for j, m in zip(to_a.tolist(), to_b.tolist(), strict=True):
-            listed.append(f"{','.join(in_a[i:j])}|{','.join(in_b[k:m])};")
-            i, k = j, m
-        first, from_a, from_b = 0, 0, 0
-        for place, stop in zip(places, last.tolist(), strict=True):
-            codes[place] = links[first:stop]
-            counts[place] = to_a[stop - 1] - from_a, to_b[stop - 1] - from_b, 1
-            groups[place] = "".join(listed[first:stop]).encode()
-            first, from_a, from_b = stop, to_a[stop - 1], to_b[stop - 1]
+        last = np.searchsorted(ends, stops)  # each word's last group
+        # the groups as text: tokens of A, then of B, group by group
+        group_a, group_b = np.repeat(np.arange(len(ends)), n_a), np.repeat(np.arange(len(ends)), n_b)
+        text_a, text_b = self.a_more[a], self.b_more[b]
+        text_a[to_a - 1] = self.a_last[a[to_a - 1]]
+        text_b[to_b - 1] = self.b_last[b[to_b - 1]]
+        text_b[to_b[last] - 1] = self.b_end[b[to_b[last] - 1]]
+        order = np.empty(len(a) + len(b), object)
+        order[np.arange(len(a)) + (to_b - n_b)[group_a]] = text_a
+        order[np.arange(len(b)) + to_a[group_b]] = text_b
+        listed = "".join(order.tolist()).encode().split(b"\n")
+        first = np.concatenate([[0], last[:-1] + 1])
+        counts[places, 0] = np.diff(to_a[last], prepend=0)
+        counts[places, 1] = np.diff(to_b[last], prepend=0)
+        counts[places, 2] = 1
+        for place, lo, hi, group in zip(places, first.tolist(), (last + 1).tolist(), listed, strict=False):
+            codes[place], groups[place] = links[lo:hi], group
         return True
 
 
 def _aligned(path_a: str, path_b: str):
     def work(batches):
         if (path_a, path_b) not in _known:
-            _known[path_a, path_b] = Known(Aligner(path_a, path_b), (np.int64, np.int64))
+            _known[path_a, path_b] = Known(Aligner(path_a, path_b), (np.int64, np.int64), most=500_000)
         known = _known[path_a, path_b]
         for batch in batches:
             column = batch.column(1)

@@ -1,5 +1,6 @@
 """Token alignment, the filter audit and cost-balanced packing against brute force over whole texts, and on odd input."""
 
+import bisect
 import hashlib
 import itertools
 import random
@@ -103,7 +104,7 @@ def aligned_by_hand(texts: dict):
         groups, ga, gb = [], defaultdict(list), defaultdict(list)
         ends = sorted(both)
         for e, i, held in [(e, i, ga) for e, i in zip(ea, ia, strict=True)] + [(e, i, gb) for e, i in zip(eb, ib, strict=True)]:
-            held[next(x for x in ends if x >= e) if len(ends) < 300 else ends[np.searchsorted(ends, e)]].append(i)
+            held[ends[bisect.bisect_left(ends, e)]].append(i)
         groups = [f"{','.join(map(str, ga[e]))}|{','.join(map(str, gb[e]))}" for e in ends]
         out[key] = len(ia), len(ib), ";".join(groups), [(ga[e][-1], gb[e][-1]) for e in ends]
     return out
