@@ -168,3 +168,11 @@ def build_summary(files: DataFrame) -> DataFrame:
     """Files by outcome of ``files(path, error)``, each path once, and the share that went well in percent."""
     own = files.dropDuplicates(["path"]).agg(F.count(F.lit(1)).alias("total"), F.coalesce(F.sum(F.col("error").isNull().cast("long")), F.lit(0)).alias("success"))
     return own.select("total", "success", (F.col("total") - F.col("success")).alias("failed"), F.coalesce(F.round(F.try_divide(100.0 * F.col("success"), F.col("total")), 1), F.lit(0.0)).alias("success_rate"))
+
+
+def question_set_profile(questions: DataFrame) -> DataFrame:
+    """Counts, lengths and mean choices of ``questions(type, is_mc, text, options)`` by type and in all (null); choices are those of multiple-choice questions."""
+    n = F.length("text")
+    counts = [F.count(F.lit(1)).alias("total"), F.count_if("is_mc").alias("multiple_choice"), F.count_if(~F.col("is_mc")).alias("open_ended")]
+    lengths = [F.round(F.avg(n), 6).alias("avg_length"), F.max(n).cast("long").alias("max_length"), F.min(n).cast("long").alias("min_length")]
+    return questions.rollup("type").agg(*counts, *lengths, F.round(F.avg(F.when(F.col("is_mc"), F.col("options"))), 6).alias("avg_options"))

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corvidex.functions import prompts, questions, text
-from corvidex.operators import chunking, quality, reports, sampling, similar
+from corvidex.operators import analytics, chunking, quality, reports, sampling, similar
 from corvidex.plans.base import WS, documents, strip, table
 from corvidex.sources import files, html
 
@@ -417,3 +417,13 @@ def question_diversity(spark, d):
     both = similar.mean_similarity(q, order="item_id").crossJoin(F.broadcast(words))  # one row each
     score = quality.diversity_score(F.lit(1), F.col("similarity"), F.col("unique_ratio"), F.lit(0.0))
     return both.select("pairs", F.round("similarity", 6).alias("similarity"), F.round("unique_ratio", 6).alias("unique_ratio"), score.alias("score"))
+
+
+@query(f"""WITH q AS (SELECT text AS q, {_first_sql('lower(text)', questions.TYPES, 'analysis')} AS type, len(list_filter({_LINES}, lambda x: regexp_matches(x, '{questions.MC_LINE}'))) >= 2 AS mc, len(list_filter({_LINES}, lambda x: {_CHOICES_SQL})) AS options FROM {_made_questions_sql()})
+        SELECT type, count(*) AS total, count(*) FILTER (mc) AS multiple_choice, count(*) FILTER (NOT mc) AS open_ended, round(avg(length(q)), 6) AS avg_length, max(length(q)) AS max_length, min(length(q)) AS min_length, round(avg(options) FILTER (mc), 6) AS avg_options
+        FROM q GROUP BY ROLLUP (type)""")
+def question_profile(spark, d):
+    """A test set's profile: by type and in all, its questions, their lengths and choices."""
+    q = F.col("q")
+    rows = made_questions(spark, d).select(q.alias("text"), questions.question_type(q).alias("type"), questions.mc_lines(q).alias("is_mc"), questions.choice_count(q).alias("options"))
+    return analytics.question_set_profile(rows)
