@@ -21,10 +21,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from corvidex.operators import bm25
+from corvidex.operators import bm25, dense, fusion
 from corvidex.operators.vectors import VectorStore
 from corvidex.providers import BucketEmbedder
-from corvidex.sources import versions
+from corvidex.sources import files, versions
 
 MOST_SEGMENTS = 16
 #: Up to this many tombstones are sent to every task.
@@ -176,3 +176,31 @@ class KnowledgeBase:
             content = versions.manifest(self.folder, n)[1]
             rows.append((n, len(content["segments"])))
         return self.spark.createDataFrame(rows, "snapshot long, segments int")
+
+
+class Retriever:
+    """Hybrid search over a knowledge base by a version file's settings; it stays on its snapshot until it is refreshed."""
+
+    def __init__(self, base: KnowledgeBase, version: str | None = None, rerank=None, over_fetch: int = 3):
+        self.base, self.rerank, self.over_fetch = base, rerank, over_fetch
+        self.settings = files.read_version(base.spark, version) if version else dict(files.VERSION)
+        self.snapshot = base.snapshot()
+
+    def refresh(self) -> bool:
+        """Go to the newest snapshot; whether there was a newer one."""
+        before, self.snapshot = self.snapshot.number, self.base.snapshot()
+        return self.snapshot.number > before
+
+    def search(self, queries: DataFrame, k: int = 5, how: str = "minmax") -> DataFrame:
+        """(query_id, doc_id, score, rank) for ``queries(query_id, query)``: both lists fused by the settings' weights, then
+        reranked by ``rerank(query, text)``, a column, if there is one, over ``over_fetch`` times as many."""
+        wide = k * self.over_fetch if self.rerank is not None else k
+        sparse = bm25.search(self.snapshot.index(), queries, wide)
+        asked = queries.select("query_id", self.base.embed(F.col("query")).alias("qv"))
+        dense_found = dense.top_k(asked, self.snapshot.vectors().vectors, wide)
+        weights = float(self.settings["bm25_weight"]), float(self.settings["vector_weight"])
+        found = fusion.hybrid(sparse, dense_found, wide, weights, how).select("query_id", "doc_id", "score", "rank")
+        if self.rerank is None:
+            return found
+        texts = found.join(self.snapshot.documents().select("doc_id", "text"), "doc_id").join(queries.select("query_id", "query"), "query_id")
+        return bm25.ranked(texts.select("query_id", "doc_id", self.rerank(F.col("query"), F.col("text")).alias("score")), k)

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from corvidex.operators import bm25, dense
+from corvidex.operators import bm25, dense, fusion
 from corvidex.sources import versions
 from corvidex.streaming import knowledge
 
@@ -108,3 +108,26 @@ def test_following_a_folder(spark, tmp_path):
     assert base.snapshot().number == number == 2
     check(spark, base.snapshot(), {1: "alpha", 2: "beta two"})
     assert dense.top_k(spark.createDataFrame([], "query_id long, qv array<double>"), base.snapshot().vectors().vectors, 2).count() == 0
+
+
+def test_retriever_takes_weights_and_refreshes(spark, tmp_path):
+    base = knowledge.KnowledgeBase(spark, str(tmp_path / "kb"))
+    docs = {1: "alpha beta", 2: "alpha alpha gamma", 3: "delta", 4: "gamma delta kappa"}
+    base.apply(table(spark, docs))
+    (tmp_path / "version.json").write_text('{"bm25_weight": 1.0, "vector_weight": 0.0}')
+    q = spark.createDataFrame(QUERIES, "query_id long, query string")
+    snapshot = base.snapshot()
+    sparse = bm25.search(snapshot.index(), q, 3)
+    close = dense.top_k(q.select("query_id", base.embed(F.col("query")).alias("qv")), snapshot.vectors().vectors, 3)
+    tidy = lambda df: sorted((r["query_id"], r["rank"], r["doc_id"], round(r["score"], 5)) for r in df.collect())
+    by_file = knowledge.Retriever(base, str(tmp_path / "version.json"))
+    assert tidy(by_file.search(q, 3)) == tidy(fusion.hybrid(sparse, close, 3, (1.0, 0.0)))
+    plain = knowledge.Retriever(base)
+    assert tidy(plain.search(q, 3)) == tidy(fusion.hybrid(sparse, close, 3, (0.5, 0.5))) != tidy(by_file.search(q, 3))
+    base.apply(table(spark, {5: "kappa kappa"}), spark.createDataFrame([(4,)], "doc_id long"))
+    old = {r["doc_id"] for r in plain.search(q, 3).collect()}
+    assert plain.refresh() and not plain.refresh()
+    new = {r["doc_id"] for r in plain.search(q, 3).collect()}
+    assert 5 not in old and 5 in new and 4 not in new
+    ranked = knowledge.Retriever(base, rerank=lambda query, text: F.length(text).cast("double")).search(q, 1)
+    assert {r["doc_id"] for r in ranked.where("query_id = 0").collect()} == {2}
