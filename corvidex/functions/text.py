@@ -207,6 +207,19 @@ def process(c: Column, html: bool = True, whitespace: bool = True, runs: bool =
     return c
 
 
+def composite(c: Column, space=None, html: bool = True, money: bool = True) -> Column:
+    """Tags, the mixed-text cleaning, ``space`` (a column function; spacing is collapsed without one) on each paragraph that holds something, financial signs.
+
+    A blank text gives an empty one; a text whose paragraphs a provider fails on (null) stays as it was.
+    """
+    own = clean_mixed(strip_tags(c) if html else c)
+    paragraphs = F.filter(F.split(own, "\n\n", -1), lambda p: strip(p) != "")
+    spaced = F.transform(paragraphs, space or one_space)
+    whole = F.when(~F.exists(spaced, lambda p: p.isNull()), F.array_join(F.filter(spaced, lambda p: p != ""), "\n\n"))
+    done = let(whole, financial) if money else whole
+    return F.when(strip(F.coalesce(c, F.lit(""))) == "", "").otherwise(F.coalesce(done, c))
+
+
 def tidy_punctuation(c: Column) -> Column:
     """Single spaces, one space after punctuation, spaces outside brackets."""
     c = F.regexp_replace(full_width(F.coalesce(c, F.lit(""))), WS + "+", " ")

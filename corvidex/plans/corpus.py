@@ -427,3 +427,9 @@ def question_profile(spark, d):
     q = F.col("q")
     rows = made_questions(spark, d).select(q.alias("text"), questions.question_type(q).alias("type"), questions.mc_lines(q).alias("is_mc"), questions.choice_count(q).alias("options"))
     return analytics.question_set_profile(rows)
+
+
+@query("SELECT doc_id, md5(regexp_replace(replace(replace(replace(t, '％', '%'), '＄', '$'), '￦', '원'), '(\\d),(\\d{3})', '\\1\\2', 'g')) AS t FROM (SELECT doc_id, " + strip("regexp_replace(regexp_replace(regexp_replace(regexp_replace(nfc_normalize(regexp_replace(text, '<.*?>', '', 'g')), 'https?://[A-Za-z0-9$-_@.&+!*(),%\\\\]+', '[URL]', 'g'), '\\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z|]{2,}\\b', '[EMAIL]', 'g'), '[^\\p{L}\\p{N}_\\s.,!?;:\\-()\\[\\]''\"％＆／]', ' ', 'g'), '" + WS + "+', ' ', 'g')") + " AS t FROM documents)")
+def composite_text(spark, d):
+    """The composite processor over whole texts: tags, mixed cleaning, paragraphs, financial signs."""
+    return documents(spark, d).select("doc_id", F.md5(text.composite(F.col("text"))).alias("t"))

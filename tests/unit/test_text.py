@@ -58,3 +58,14 @@ def test_unit_vectors(spark):
     v = one(spark, "one two three two", lambda c: K.bucket_vector(K.simple(c)))
     assert len(v) == 64 and abs(sum(x * x for x in v) - 1) < 1e-12
     assert one(spark, "", lambda c: K.bucket_vector(K.simple(c))) == [0.0] * 64
+
+
+def test_composite_processor(spark):
+    """Steps in order; blank texts are empty, and a text that the spacing provider fails on stays as it was."""
+    rows = [(0, "<b>총  자산</b> 1,234,567원 ％ ￦5"), (1, " \n "), (2, None), (3, "fail <i>here</i> 1,000"), (4, "a@b.co  ok")]
+    df = spark.createDataFrame(rows, "i int, t string")
+    space = lambda p: F.when(~F.contains(p, F.lit("fail")), T.one_space(p))
+    got = {r["i"]: r["c"] for r in df.select("i", T.composite(F.col("t"), space).alias("c")).collect()}
+    assert got == {0: "총 자산 1234,567원 5", 1: "", 2: "", 3: rows[3][1], 4: "[EMAIL] ok"}
+    bare = df.select("i", T.composite(F.col("t"), html=False, money=False).alias("c")).where("i = 3").first()["c"]
+    assert bare == "fail i here i 1,000"
