@@ -28,6 +28,8 @@ def scratch_base(spark: SparkSession) -> str:
 
 #: Texts of a batch are held at once by the JVM and by a Python worker.
 ARROW_ROWS, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
+#: Bytes of a row group of stored tables: a task that writes texts holds one.
+ROW_GROUP = 32 << 20
 
 
 def stored(df: DataFrame, tag: str) -> DataFrame:
@@ -42,7 +44,7 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     held = spark.conf.get(ARROW_ROWS)
     spark.conf.set(ARROW_ROWS, min(int(held), BATCH_ROWS) if int(held) > 0 else BATCH_ROWS)
     try:
-        df.write.parquet(path)
+        df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     finally:
         spark.conf.set(ARROW_ROWS, held)
     jvm = spark.sparkContext._jvm

@@ -238,7 +238,7 @@ class OpenBins:
         return [(name, self.capacity - space) for space, own in sorted(self.by_space.items()) for name in own]
 
 
-def _pieces(path: str, capacity: int, open_bins: int, close: int, with_ids: bool):
+def _pieces(path: str, capacity: int, open_bins: int, close: int, with_ids: bool, keep_words: bool = True):
     def work(batches):
         task = TaskContext.get().partitionId() << 40
         bins = OpenBins(capacity, open_bins, task)
@@ -262,6 +262,9 @@ def _pieces(path: str, capacity: int, open_bins: int, close: int, with_ids: bool
                         names=["id", "piece", "start", "length", "ids_crc32", "bin", "offset", "ids", "open"],
                     )
                 give_back_memory()
+        if not keep_words:  # the worker lives on, and other stages' workers beside it
+            _words.pop(path, None)
+            _loaded.pop(path, None)
         give_back_memory()
         left = bins.rest()
         n = len(left)
@@ -292,11 +295,14 @@ def _join_bins(capacity: int, open_bins: int):
     return work
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, close: int = 1, open_bins: int = 256, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """(id, piece, start, length, ids_crc32, ids, sequence_id, offset): one row per piece; ``ids`` only if asked for."""
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, close: int = 1, open_bins: int = 256, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, keep_words: bool = True) -> DataFrame:
+    """(id, piece, start, length, ids_crc32, ids, sequence_id, offset): one row per piece; ``ids`` only if asked for.
+
+    With ``keep_words`` a worker keeps its tokenizer and word table for its next task; without, it gives their memory back.
+    """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     schema = "id long, piece int, start long, length long, ids_crc32 long, bin long, offset long, ids array<long>, open boolean"
-    placed = stored(rows.mapInArrow(_pieces(tokenizer_path, capacity, open_bins, close, with_ids), schema), "pack-pieces")
+    placed = stored(rows.mapInArrow(_pieces(tokenizer_path, capacity, open_bins, close, with_ids, keep_words), schema), "pack-pieces")
     places = join_open_bins(placed.where("open").select("bin", F.col("length").alias("held")), capacity, open_bins)
     out = placed.where("NOT open").join(places, "bin", "left")
     return out.select(F.col("id").alias(id_col), "piece", "start", "length", "ids_crc32", "ids", F.coalesce("into", "bin").alias("sequence_id"), (F.col("offset") + F.coalesce("shift", F.lit(0))).alias("offset"))

@@ -666,3 +666,9 @@ def test_stages_keep_columns_of_any_type_and_name(spark):
     assert key not in cleaned[1]["text"] and cleaned[1]["n_chars"] == len(cleaned[1]["text"]) and cleaned[2]["text"] == rows[1][1] and cleaned[2]["n_chars"] == 5
     kept = corpus_pipeline.near_dedup(spark, docs, DATA)
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 2]
+
+
+def test_packing_without_kept_words_is_the_same(spark, docs):
+    path = queries._vocabulary("word_bpe_49k.json")
+    rows = lambda df: sorted(map(tuple, df.select("doc_id", "piece", "start", "length", "ids_crc32", "offset").collect()))
+    assert rows(packing.pack(docs, path, keep_words=False)) == rows(packing.pack(docs, path))
