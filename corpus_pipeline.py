@@ -54,7 +54,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece; a null or empty text is one piece of the closing id."""
-    packed = packing.pack(docs, queries._vocabulary("word_bpe_49k.json"))
+    packed = packing.pack(docs, queries._vocabulary("word_bpe_49k.json"), keep_words=False)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
