@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from corvidex.functions.tokenize import dot, normalise
 from corvidex.operators.bm25 import ranked
@@ -134,11 +135,27 @@ def train_cells(vectors: DataFrame, cells: int = 100, sample: int = 50_000, seed
 
 
 def assign_cells(vectors: DataFrame, centres: DataFrame, vector_col: str = "dv", probes: int = 1) -> DataFrame:
-    """The rows once for each of the ``probes`` cells nearest to them; the centres, a fixed number of rows, go into the plan."""
-    rows = centres.orderBy("cell_id").collect()
-    distance = [F.struct(dot(F.col(vector_col), F.array(*[F.lit(x) for x in r["centre"]])).alias("d"), F.lit(r["cell_id"]).alias("cell_id")) for r in rows]
-    near = F.slice(F.sort_array(F.array(*distance), asc=False), 1, probes)
-    return vectors.withColumn("cell_id", F.explode(F.transform(near, lambda e: e["cell_id"])))
+    """The rows once for each of the ``probes`` cells nearest to them, by one matrix product a batch; ties to larger cells.
+
+    The centres, a fixed number of rows, go to every task.  A row whose vector does not fit them is put into the first cell.
+    """
+    held = centres.orderBy("cell_id").collect()
+    cells, middle = np.array([r["cell_id"] for r in held], np.int32), np.array([r["centre"] for r in held], float)
+    column = vectors.columns.index(vector_col)
+
+    def work(batches):
+        for batch in batches:
+            lists = batch.column(column)
+            fit = np.flatnonzero(np.asarray(lists.value_lengths().fill_null(-1), dtype=np.int64) == middle.shape[1])
+            v = np.asarray(lists.take(pa.array(fit)).flatten().cast(pa.float64()).fill_null(0.0), dtype=float).reshape(len(fit), -1)
+            near = np.argsort(v @ middle.T, axis=1, kind="stable")[:, ::-1][:, :probes]
+            rest = np.setdiff1d(np.arange(len(batch)), fit)
+            rows = np.concatenate([np.repeat(fit, near.shape[1]), rest])
+            own = batch.take(pa.array(rows))
+            cell = np.concatenate([cells[near].ravel(), np.full(len(rest), cells[0], np.int32)])
+            yield pa.RecordBatch.from_arrays([*own.columns, pa.array(cell, pa.int32())], names=[*batch.schema.names, "cell_id"])
+
+    return vectors.mapInArrow(work, StructType([*vectors.schema.fields, StructField("cell_id", IntegerType())]))
 
 
 def search_cells(queries: DataFrame, assigned: DataFrame, centres: DataFrame, k: int = 5, probes: int = 10) -> DataFrame:
