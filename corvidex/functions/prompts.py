@@ -6,12 +6,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvidex.functions.questions import pack_line
+from corvidex.functions.text import strip
 from corvidex.operators import order as order_of
 
 # System lines of the production prompts
 SYSTEM_MC = "당신은 한국 금융보안 전문가입니다. 객관식 문제의 정답 번호만 답하세요."
 SYSTEM_OPEN = "당신은 한국 금융보안 전문가입니다. 텍스트로만 답변하며, 이미지, 링크, URL, 마크다운 문법을 절대 사용하지 않습니다."
 
+# The parts of the production prompts between documents, question and choices
+MC_DOCS = "참고 자료:\n"
+MC_QUESTION = "\n\n문제: "
+MC_CHOICES = "\n\n선택지:\n"
+MC_RULE = "\n\n지침: 1부터 "
+MC_END = "까지 중 하나의 숫자만 답하세요. 설명 없이 숫자만 출력하세요.\n\n정답 번호:"
+OPEN_DOCS = "참고 문서:\n"
+OPEN_QUESTION = "\n\n질문: "
+OPEN_END = """
+
+지침: 
+- 참고 문서를 바탕으로 정확한 답변을 한국어로 작성하세요
+- 순수 텍스트로만 답변하세요
+- 이미지, URL, 링크, 마크다운 문법을 사용하지 마세요
+- 그림이나 도표가 필요한 경우 텍스트로 설명하세요
+- 핵심 내용을 2-3문장으로 설명하세요
+
+답변:"""
+
 
 def pack(found: DataFrame, most: int = 2000, text: str = "text") -> DataFrame:
     """Documents of each query in rank order until the first that would exceed ``most`` characters.
@@ -34,20 +54,25 @@ def truncated(found: DataFrame, tokens: int = 500, chars: int = 3, text: str = "
     return rows.withColumn("kept", kept).where(F.col("kept").isNotNull()).select("query_id", "rank", "doc_id", "kept")
 
 
-def listed(contexts: Column, most: int | None, length: int, label: str) -> Column:
+def listed(contexts: Column, most: int | None, length: int, line) -> Column:
+    """The contexts that hold something, cut to ``length``, as ``line(number, text)``; a blank one keeps its number to itself."""
     own = contexts if most is None else F.slice(contexts, 1, most)
-    return F.array_join(F.transform(own, lambda c, i: F.concat(F.lit(f"[{label}"), (i + 1).cast("string"), F.lit("] "), F.left(c, F.lit(length)), F.lit("\n"))), "")
+    lines = F.transform(own, lambda c, i: F.when(c != "", line((i + 1).cast("string"), F.left(c, F.lit(length)))))
+    return F.array_join(F.filter(lines, lambda x: x.isNotNull()), "")
 
 
 def multiple_choice(question: Column, contexts: Column) -> Column:
-    """Three contexts of 200 characters, the choices and how many there are."""
-    parts = F.split(question, "\n")
-    choices = F.filter(F.transform(F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), F.trim), lambda x: x.rlike(r"^\d"))
-    return F.concat(F.lit("참고 자료:\n"), listed(contexts, 3, 200, "참고"), F.lit("\n문제: "), F.get(parts, F.lit(0)), F.lit("\n\n선택지:\n"), F.array_join(choices, "\n"), F.lit("\n\n지침: 1부터 "), F.size(choices).cast("string"), F.lit("까지 중 하나의 숫자만 답하세요.\n\n정답 번호:"))
+    """Three contexts of 200 characters, the first line, the lines after it that begin with a digit, and how many there are."""
+    parts = F.split(question, "\n", -1)
+    choices = F.filter(F.transform(F.slice(parts, F.lit(2), F.size(parts)), strip), lambda x: x.rlike(r"^\p{Nd}"))
+    docs = listed(contexts, 3, 200, lambda i, c: F.concat(F.lit("[참고"), i, F.lit("] "), c, F.lit("\n")))
+    return F.concat(F.lit(MC_DOCS), docs, F.lit(MC_QUESTION), F.get(parts, F.lit(0)), F.lit(MC_CHOICES), F.array_join(choices, "\n"), F.lit(MC_RULE), F.size(choices).cast("string"), F.lit(MC_END))
 
 
 def open_question(question: Column, contexts: Column, length: int = 300) -> Column:
-    return F.concat(F.lit("참고 문서:\n"), listed(contexts, None, length, "참고문서 "), F.lit("\n질문: "), question, F.lit("\n\n답변:"))
+    """Every context cut to ``length``, the question, and how to answer it."""
+    docs = listed(contexts, None, length, lambda i, c: F.concat(F.lit("[참고문서 "), i, F.lit("]\n"), c, F.lit("\n\n")))
+    return F.concat(F.lit(OPEN_DOCS), docs, F.lit(OPEN_QUESTION), question, F.lit(OPEN_END))
 
 
 def chat(system: Column, user: Column) -> Column:
