@@ -7,15 +7,17 @@ Hangul words; a full analyser plugs in by the same two methods.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from typing import Protocol
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql import types as T
 
-PAIRS = "array<struct<form:string,tag:string>>"
+from corvidex.functions import slices
+
+PAIRS = T.ArrayType(T.StructType([T.StructField("form", T.StringType()), T.StructField("tag", T.StringType())]))
+TOKENS = T.ArrayType(T.StringType())
 #: Tags that carry meaning: nouns, verbs, adjectives, foreign words
 CONTENT = ("N", "V", "VA", "SL")
 # Particles that follow nouns, the longest first, and endings that make verbs and adjectives
@@ -53,21 +55,27 @@ class RuleAnalyzer:
 
 
 class Morphemes:
-    """Columns of a provider that ``load`` makes once a worker; a text that fails is split at white space instead."""
+    """Columns of a provider that ``load`` makes once a worker; a text that fails is split at white space instead.
+
+    A column asked for again is the same UDF, so Spark computes it once a row, and all of them share one worker.
+    """
 
     def __init__(self, load: Callable[[], Analyzer] = RuleAnalyzer):
         self.load = load
+        self._made: dict[tuple, Callable] = {}
 
-    def _each(self, kind: str, work, text: Column) -> Column:
+    def _each(self, kind: T.DataType, work, text: Column, *key) -> Column:
         load = self.load
+        if (kind, *key) not in self._made:
+            model: list[Analyzer] = []
 
-        @pandas_udf(kind)
-        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            model = load()
-            for own in batches:
-                yield pd.Series([work(model, t or "") for t in own], dtype=object)
+            def one(t):
+                if not model:
+                    model.append(load())
+                return work(model[0], t or "")
 
-        return run(text)
+            self._made[kind, *key] = slices.each(kind, one)
+        return self._made[kind, *key](text)
 
     def pairs(self, text: Column) -> Column:
         """(form, tag) of every morpheme; empty where the provider fails."""
@@ -90,7 +98,7 @@ class Morphemes:
             except Exception:
                 return (t.lower() if lower else t).split()
 
-        return self._each("array<string>", work, text)
+        return self._each(TOKENS, work, text, tags, least, lower)
 
     def forms(self, text: Column) -> Column:
         """Every form as it is."""
@@ -106,4 +114,4 @@ class Morphemes:
         return F.filter(both, lambda x: x.isNotNull())
 
     def spaced(self, text: Column) -> Column:
-        return self._each("string", lambda model, t: model.space(t), text)
+        return self._each(T.StringType(), lambda model, t: model.space(t), text)

@@ -27,3 +27,22 @@ def test_pairs_are_counted_by_score_and_none_is_lost(spark, monkeypatch):
     assert abs(report["pearson"] - flat["score"].corr(flat["gold"])) < 2e-6
     one_by_one = analytics.embedding_eval(spark.createDataFrame(flat[["score", "gold"]])).first()
     assert one_by_one == report
+
+
+def test_morphemes_are_analysed_once_a_row_and_in_slices(spark, monkeypatch):
+    import pyarrow as pa
+
+    from corvidex.functions import slices
+    from corvidex.functions.morphemes import Morphemes, RuleAnalyzer
+
+    texts = ["학교에서 공부를 하다 AI 3", None, "", "은행의 금리 은행의 금리 " * 50, "x"]
+    monkeypatch.setattr(slices, "SLICE_BYTES", 40)
+    assert list(slices.cuts(pa.array(texts))) == [(0, 3), (3, 1), (4, 1)]
+    m, t = Morphemes(), F.col("text")
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1).select("text", m.forms(t).alias("forms"), m.nouns(t).alias("nouns"), m.compounds(t).alias("compounds"), m.tokens(t).alias("tokens"), m.spaced(t).alias("spaced"))
+    for r in rows.collect():
+        own = RuleAnalyzer().analyse(r["text"] or "")
+        assert r["forms"] == [f for f, _ in own] and r["nouns"] == [f for f, g in own if g.startswith("N")]
+        assert r["spaced"] == " ".join((r["text"] or "").split())
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython ") == 1 or plan.count("+- ArrowEvalPython") == 1  # one worker a task, not one a column
