@@ -6,18 +6,18 @@ overlaps) is built from expressions.  Documents are independent, so nothing is s
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
 
+from corvidex.functions import slices
 from corvidex.functions.text import clean_chunk, hierarchy_path, merge_pages
 from corvidex.operators import splitting
 
 #: chunk size and overlap by header level
 LEVEL_SIZES = {1: (1024, 100), 2: (512, 50), 3: (256, 30), 4: (256, 20)}
 RULE = "\n\n---\n\n"
+TEXTS = T.ArrayType(T.StringType())
 
 
 def doc_key(text: Column, prefix: int | None = None) -> Column:
@@ -32,11 +32,7 @@ def chunk_key(doc: Column, index: Column, content: Column, prefix: int = 50) ->
 
 def chunk(docs: DataFrame, size: int = 512, overlap: int = 50, id_col: str = "doc_id", text_col: str = "text", clean: bool = True, least: int = 50) -> DataFrame:
     """(source_id, doc_key, chunk_id, chunk_index, content, total_chunks): packed chunks, cleaned, numbered after filtering."""
-
-    @pandas_udf("array<string>")
-    def split(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: splitting.split_packed(t or "", size, overlap))
-
+    split = slices.each(TEXTS, lambda t: splitting.split_packed(t or "", size, overlap))
     rows = docs.select(F.col(id_col).alias("source_id"), doc_key(F.coalesce(text_col, F.lit(""))).alias("doc_key"), split(F.col(text_col)).alias("parts"))
     kept = F.filter(F.transform("parts", lambda p: clean_chunk(p, least, normalise=False)), lambda p: p.isNotNull()) if clean else F.col("parts")
     rows = rows.select("source_id", "doc_key", kept.alias("parts"))
@@ -45,15 +41,12 @@ def chunk(docs: DataFrame, size: int = 512, overlap: int = 50, id_col: str = "do
     return out.select("source_id", "doc_key", chunk_key(F.col("doc_key"), F.col("chunk_index"), F.col("content")).alias("chunk_id"), "chunk_index", "content", "total_chunks")
 
 
-@pandas_udf(T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("h1", "h2", "h3", "h4", "content")])))
-def _sections(texts: pd.Series) -> pd.Series:
-    names = ("h1", "h2", "h3", "h4")
-    return texts.map(lambda t: [{n: h.get(i) for i, n in enumerate(names, 1)} | {"content": s} for h, s in splitting.markdown_sections(t or "")])
-
-
-@pandas_udf(T.ArrayType(T.StringType()))
-def _split_by_level(texts: pd.Series, levels: pd.Series) -> pd.Series:
-    return pd.Series([splitting.split_kept(t, *LEVEL_SIZES[lv]) for t, lv in zip(texts, levels, strict=True)], dtype=object)
+_HEADS = ("h1", "h2", "h3", "h4")
+_sections = slices.each(
+    T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in (*_HEADS, "content")])),
+    lambda t: [{n: h.get(i) for i, n in enumerate(_HEADS, 1)} | {"content": s} for h, s in splitting.markdown_sections(t or "")],
+)
+_split_by_level = slices.each(TEXTS, lambda t, level: splitting.split_kept(t, *LEVEL_SIZES[level]))
 
 
 def header_level(h1: Column, h2: Column, h3: Column, h4: Column) -> Column:
@@ -86,15 +79,8 @@ def boundaries(sections: DataFrame, width: int = 300, mark: str = "[섹션 경
 
 def hybrid(docs: DataFrame, size: int = 2300, overlap: int = 200, width: int = 300, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Cleaned chunks of h1 and h2 sections, and uncleaned boundary chunks between sections."""
-
-    @pandas_udf("array<string>")
-    def sections(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [s for _, s in splitting.markdown_sections(t or "", levels=2)])
-
-    @pandas_udf("array<string>")
-    def split(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: splitting.split_kept(t, size, overlap))
-
+    sections = slices.each(TEXTS, lambda t: [s for _, s in splitting.markdown_sections(t or "", levels=2)])
+    split = slices.each(TEXTS, lambda t: splitting.split_kept(t, size, overlap))
     parts = docs.select(F.col(id_col).alias("source_id"), doc_key(F.col(text_col), 500).alias("doc_key"), F.posexplode_outer(sections(merge_pages(F.col(text_col)))).alias("section_index", "content")).where(F.col("section_index").isNotNull())
     regular = parts.select("source_id", "doc_key", F.col("section_index").cast("string").alias("section"), F.col("section_index").alias("__at"), F.posexplode_outer(split("content")).alias("__n", "content")).where(F.col("__n").isNotNull())
     regular = regular.withColumn("content", clean_chunk(F.col("content"), normalise=False)).where(F.col("content").isNotNull()).withColumn("is_boundary", F.lit(False))
@@ -144,9 +130,7 @@ def longest_border(before: str, after: str) -> int:
     return k
 
 
-@pandas_udf(T.IntegerType())
-def whole_overlap(before: pd.Series, after: pd.Series) -> pd.Series:
-    return pd.Series([longest_border(a, b) if a is not None and b is not None else None for a, b in zip(before, after, strict=True)], dtype="Int32")
+whole_overlap = slices.each(T.IntegerType(), lambda a, b: longest_border(a, b) if a is not None and b is not None else None)
 
 
 def overlaps(chunks: DataFrame) -> DataFrame:
@@ -191,11 +175,7 @@ def page_chunks(docs: DataFrame, size: int = 512, overlap: int = 50, page_col: s
 
 def paragraphs(docs: DataFrame, size: int = 1000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(source_id, chunk_index, content): whole paragraphs packed up to ``size`` characters, without overlap."""
-
-    @pandas_udf("array<string>")
-    def split(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: splitting.split_paragraphs(t or "", size))
-
+    split = slices.each(TEXTS, lambda t: splitting.split_paragraphs(t or "", size))
     rows = docs.select(F.col(id_col).alias("source_id"), split(F.col(text_col)).alias("parts"))
     return rows.select("source_id", F.posexplode_outer("parts").alias("chunk_index", "content")).where(F.col("chunk_index").isNotNull())
 

@@ -46,3 +46,22 @@ def test_morphemes_are_analysed_once_a_row_and_in_slices(spark, monkeypatch):
         assert r["spaced"] == " ".join((r["text"] or "").split())
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython ") == 1 or plan.count("+- ArrowEvalPython") == 1  # one worker a task, not one a column
+
+
+def test_results_are_built_in_slices(spark, monkeypatch):
+    """One slice's results are Python objects at a time, however many rows a batch has."""
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    from corvidex.functions import slices
+    from corvidex.operators import chunking, splitting
+
+    sizes = []
+    real = pa.array
+    monkeypatch.setattr(slices, "SLICE_BYTES", 1000)
+    monkeypatch.setattr(pa, "array", lambda x, *a, **k: (sizes.append(len(x)), real(x, *a, **k))[1])
+    texts = real(["word " * 40, None, "", "a. b. " * 400] * 20)
+    out = slices.each(T.ArrayType(T.StringType()), lambda t: splitting.split_kept(t or "", 100, 20)).func(texts)
+    assert out.to_pylist() == [splitting.split_kept(t or "", 100, 20) for t in texts.to_pylist()] and max(sizes) < 12
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert chunking.paragraphs(empty).count() == 0
