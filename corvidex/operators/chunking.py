@@ -183,10 +183,13 @@ def paragraphs(docs: DataFrame, size: int = 1000, id_col: str = "doc_id", text_c
 def enhance(chunks: DataFrame, selective: bool = True, least: int = 400, id_col: str = "chunk_id") -> DataFrame:
     """Chunks cut again where their sentences part in meaning, with ``semantic_enhanced``; if ``selective``, only long prose is cut.
 
-    Parts keep the columns of their chunk and are numbered ``segment``.
+    Parts keep the columns of their chunk and are numbered ``segment``.  Copies of a document have chunks of one ``chunk_id``; where
+    chunks name their source and place, each of them is cut by itself.
     """
     flag = F.coalesce(F.col("semantic_enhanced"), F.lit(False)) if "semantic_enhanced" in chunks.columns else F.lit(False)
     wanted = eligible_for_semantic(F.col("content"), flag) if selective else F.length("content") >= least
-    cut = semantic(chunks.where(wanted), id_col=id_col, text_col="content").select(F.col("source_id").alias(id_col), "segment", F.col("content").alias("__part"))
-    rows = chunks.drop("semantic_enhanced").join(cut, id_col, "left")
+    keys = [id_col, *(c for c in ("source_id", "doc_key", "chunk_index") if c in chunks.columns and c != id_col)]
+    rows = chunks.drop("semantic_enhanced").withColumn("__key", F.struct(*keys))
+    cut = semantic(chunks.withColumn("__key", F.struct(*keys)).where(wanted), id_col="__key", text_col="content").select(F.col("source_id").alias("__key"), "segment", F.col("content").alias("__part"))
+    rows = rows.join(cut, "__key", "left").drop("__key")
     return rows.withColumn("content", F.coalesce("__part", "content")).withColumn("semantic_enhanced", F.col("__part").isNotNull()).withColumn("segment", F.coalesce("segment", F.lit(0).cast("long"))).drop("__part")

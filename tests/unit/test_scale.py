@@ -48,6 +48,20 @@ def test_morphemes_are_analysed_once_a_row_and_in_slices(spark, monkeypatch):
     assert plan.count("ArrowEvalPython ") == 1 or plan.count("+- ArrowEvalPython") == 1  # one worker a task, not one a column
 
 
+def test_copies_are_cut_each_by_itself(spark):
+    """Chunks of copies share their chunk_id; their sentences must not meet, nor each copy get the parts of all."""
+    from corvidex.operators import chunking
+
+    text = ". ".join(f"Sentence {i} of a long prose text about {'rates and banks' if i < 12 else 'cats and dogs'}" for i in range(24)) + "."
+    once = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    copies = spark.createDataFrame([(i, text) for i in range(1, 6)], "doc_id long, text string")
+    cut = lambda docs: [(r["source_id"], r["segment"], r["content"]) for r in chunking.enhance(chunking.hybrid(docs)).select("source_id", "segment", "content").collect()]
+    alone = {(s, c) for _, s, c in cut(once)}
+    assert len(alone) > 1
+    got = cut(copies)
+    assert len(got) == 5 * len(alone) and {(s, c) for _, s, c in got} == alone
+
+
 def test_results_are_built_in_slices(spark, monkeypatch):
     """One slice's results are Python objects at a time, however many rows a batch has."""
     import pyarrow as pa
