@@ -9,11 +9,11 @@ from __future__ import annotations
 import re
 import unicodedata
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
+
+from corvidex.functions import slices
 
 #: Unicode white space as Python's ``\s`` sees it
 WS = r"[\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
@@ -47,17 +47,12 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-@pandas_udf(T.StringType())
-def nfc(text: pd.Series) -> pd.Series:
-    """Canonical composition; Spark has no function for it."""
-    return text.map(lambda t: None if t is None else t if t.isascii() else unicodedata.normalize("NFC", t))
-
+def _composed(form: str):
+    return slices.each(T.StringType(), lambda t: None if t is None else t if t.isascii() else unicodedata.normalize(form, t))
 
-@pandas_udf(T.StringType())
-def nfkc(text: pd.Series) -> pd.Series:
-    """Compatibility composition."""
-    return text.map(lambda t: None if t is None else t if t.isascii() else unicodedata.normalize("NFKC", t))
 
+#: Canonical and compatibility composition; Spark has no function for them
+nfc, nfkc = _composed("NFC"), _composed("NFKC")
 
 #: The characters of ``WS``, for trimming without a pattern
 SPACES = "".join(chr(i) for i in (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))

@@ -79,3 +79,22 @@ def test_results_are_built_in_slices(spark, monkeypatch):
     assert out.to_pylist() == [splitting.split_kept(t or "", 100, 20) for t in texts.to_pylist()] and max(sizes) < 12
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert chunking.paragraphs(empty).count() == 0
+
+
+def test_pages_and_compositions_are_built_in_slices(spark, monkeypatch):
+    import unicodedata
+
+    import pyarrow as pa
+
+    from corvidex.functions import slices, text
+    from corvidex.sources import html
+
+    monkeypatch.setattr(slices, "SLICE_BYTES", 300)
+    pages = ["<h1>A</h1><a href='x'>y</a> é" + "<p>z</p>" * i for i in range(40)] + [None, ""]
+    sizes, real = [], pa.array
+    monkeypatch.setattr(pa, "array", lambda x, *a, **k: (sizes.append(len(x)), real(x, *a, **k))[1])
+    assert html._parsed.func(real(pages)).to_pylist() == [html.parse(p) for p in pages]
+    texts = ["é ﬁ " * i for i in range(30)] + [None, "plain"]
+    for f, form in ((text.nfc, "NFC"), (text.nfkc, "NFKC")):
+        assert f.func(real(texts)).to_pylist() == [t if t is None else unicodedata.normalize(form, t) for t in texts]
+    assert max(sizes) < 20
