@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,10 +81,15 @@ def weights(index: Index, formula: str = "lucene", epsilon: float = 0.25) -> Dat
     return raw.crossJoin(F.broadcast(mean)).select("term", "df", F.when(F.col("raw") < 0, epsilon * F.col("mean")).otherwise(F.col("raw")).alias("idf"))
 
 
+def _asked(index: Index, queries: DataFrame, id_col: str = "query_id", text_col: str = "query") -> tuple[DataFrame, bool]:
+    """(query_id, term, qtf), and whether they are few enough to go to every executor."""
+    asked = queries.select(F.col(id_col).alias("query_id"), F.explode_outer(TOKENIZERS[index.tokenizer](F.col(text_col))).alias("term")).where(F.col("term").isNotNull()).groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
+    return asked, asked.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
+
+
 def scores(index: Index, queries: DataFrame, formula: str = "lucene", k1: float = 1.5, b: float = 0.75, id_col: str = "query_id", text_col: str = "query") -> DataFrame:
     """(query_id, doc_id, score) of all documents that share a term with a query; scores rounded to 6 places."""
-    asked = queries.select(F.col(id_col).alias("query_id"), F.explode_outer(TOKENIZERS[index.tokenizer](F.col(text_col))).alias("term")).where(F.col("term").isNotNull()).groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
-    few = asked.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
+    asked, few = _asked(index, queries, id_col, text_col)
     known = weights(index, formula).join(F.broadcast(asked) if few else asked, "term")
     top = F.col("tf") * (k1 + 1 if formula == "okapi" else 1)
     part = F.col("qtf") * F.col("idf") * top / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
@@ -101,8 +108,70 @@ def ranked(scored: DataFrame, k: int, by: str = "query_id", tie: str = "doc_id")
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).withColumn("rank", F.col("rank").cast("long"))
 
 
+def _local_best(index: Index, asked: DataFrame, k: int, formula: str, k1: float = 1.5, b: float = 0.75) -> DataFrame:
+    """(query_id, doc_id, score): each task's ``k`` best documents of every query.
+
+    Of the postings only those of asked terms are shuffled, to one row a document; scores of a share of documents and all queries are summed in an array,
+    so no row is made of a query and a document that is not among its best.
+    """
+    from corvidex.operators.dense import from_arrow, keep_best
+
+    known = weights(index, formula).join(F.broadcast(asked), "term").select("term", "query_id", (F.col("qtf") * F.col("idf")).alias("w")).toArrow()
+    names, places = np.unique(np.array(known["term"].to_pylist(), dtype=object), return_inverse=True) if len(known) else (np.zeros(0, object), np.zeros(0, np.int64))
+    asking = known["query_id"].combine_chunks().dictionary_encode("encode")
+    who, ids_of, w = asking.indices.to_numpy(zero_copy_only=False), asking.dictionary, known["w"].to_numpy()
+    order = np.argsort(places, kind="stable")
+    who, w = who[order], w[order]
+    begins = np.searchsorted(places[order], np.arange(len(names) + 1))
+    spark = index.postings.sparkSession
+    numbered = spark.createDataFrame([(t, i) for i, t in enumerate(names.tolist())], "term string, t int")
+    top = F.col("tf") * (k1 + 1 if formula == "okapi" else 1)
+    part = top / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
+    hits = index.postings.join(F.broadcast(numbered), "term").crossJoin(F.broadcast(index.stats)).select("doc_id", "t", part.alias("x"))
+    docs = hits.groupBy("doc_id").agg(F.collect_list(F.struct("t", "x")).alias("e")).select("doc_id", F.col("e.t").alias("t"), F.col("e.x").alias("x"))
+    out = asked.select("query_id").schema.add("doc_id", index.postings.schema["doc_id"].dataType).add("score", "double")
+    kind, n = from_arrow(docs, "doc_id"), len(ids_of)
+    share = max(1, 1_000_000 // max(n, 1))
+
+    def rows_of(at, ids, scores):
+        return pa.RecordBatch.from_arrays([ids_of.take(pa.array(at)), ids, pa.array(scores)], names=["query_id", "doc_id", "score"])
+
+    def work(batches):
+        best, found, values, least = np.zeros(0, np.int64), None, np.zeros(0), np.full(n, -np.inf)
+        for whole in batches:
+            for lo in range(0, len(whole), share):
+                batch = whole.slice(lo, share)
+                ids, size = batch.column(0), len(batch)
+                lists, x = batch.column(1), batch.column(2).flatten().to_numpy(zero_copy_only=False)
+                t = lists.flatten().to_numpy(zero_copy_only=False)
+                doc = np.repeat(np.arange(size), np.asarray(lists.value_lengths(), dtype=np.int64))
+                many = begins[t + 1] - begins[t]
+                entry = np.repeat(begins[t] - np.cumsum(many) + many, many) + np.arange(many.sum())
+                cell = np.repeat(doc, many) * n + who[entry]
+                s = np.bincount(cell, w[entry] * np.repeat(x, many), size * n).round(6) + 0.0
+                s[np.bincount(cell, minlength=size * n) == 0] = -np.inf
+                s = s.reshape(size, n)
+                for i in np.flatnonzero(ids.is_null().to_numpy(zero_copy_only=False)):  # the group of documents without an id, one row at most
+                    at = np.flatnonzero(s[i] > -np.inf)
+                    yield rows_of(at, pa.nulls(len(at), kind), s[i, at])
+                    s[i] = -np.inf
+                col, at = np.nonzero((s >= least) & (s > -np.inf))
+                own = ids.take(pa.array(col)).to_numpy(zero_copy_only=False)
+                best, values, found = np.concatenate([best, at]), np.concatenate([values, s[col, at]]), own if found is None else np.concatenate([found, own])
+                keep = keep_best(best, values, found, k)
+                best, values, found = best[keep], values[keep], found[keep]
+                worst = np.full(n, np.inf)
+                np.minimum.at(worst, best, values)
+                least = np.where(np.bincount(best, minlength=n) >= k, worst, -np.inf)
+        if found is not None:
+            yield rows_of(best, pa.array(found, kind), values)
+
+    return docs.mapInArrow(work, out)
+
+
 def search(index: Index, queries: DataFrame, k: int = 3, formula: str = "lucene", min_score: float | None = None, **names) -> DataFrame:
-    found = scores(index, queries, formula, **names)
+    asked, few = _asked(index, queries, **names)
+    found = _local_best(index, asked, k, formula) if few and k > 0 else scores(index, queries, formula, **names)
     return ranked(found if min_score is None else found.where(F.col("score") > min_score), k)
 
 

@@ -98,3 +98,22 @@ def test_pages_and_compositions_are_built_in_slices(spark, monkeypatch):
     for f, form in ((text.nfc, "NFC"), (text.nfkc, "NFKC")):
         assert f.func(real(texts)).to_pylist() == [t if t is None else unicodedata.normalize(form, t) for t in texts]
     assert max(sizes) < 20
+
+
+def test_search_shuffles_no_row_of_query_and_document(spark):
+    """Equal to ranking all scores, ids null, repeated and as text among them; the plan has no group by query and document."""
+    from corvidex.operators import bm25
+
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.4, int(rng.integers(0, 40))) if x < 60) for _ in range(150)]
+    rows = [(None if i == 3 else i % 120, t) for i, t in enumerate(texts)]
+    for kind in ("long", "string"):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").select(F.col("doc_id").cast(kind).alias("doc_id"), "text").repartition(5)
+        queries = spark.createDataFrame([(i, f"w1 w{i} w{i} w{2 * i}") for i in range(12)] + [(99, "absent"), (None, "w2")], "query_id long, query string")
+        index = bm25.build(docs)
+        for formula in ("lucene", "okapi"):
+            key = lambda df: sorted(((r["query_id"], r["rank"], r["doc_id"], r["score"]) for r in df.collect()), key=str)
+            got, want = bm25.search(index, queries, 4, formula), bm25.ranked(bm25.scores(index, queries, formula), 4)
+            assert key(got) == key(want)
+    assert "MapInArrow" in got._jdf.queryExecution().executedPlan().toString()
+    assert bm25.search(bm25.build(docs.where("false")), queries, 3).count() == 0
