@@ -131,7 +131,7 @@ def _local_best(index: Index, asked: DataFrame, k: int, formula: str, k1: float
     docs = hits.groupBy("doc_id").agg(F.collect_list(F.struct("t", "x")).alias("e")).select("doc_id", F.col("e.t").alias("t"), F.col("e.x").alias("x"))
     out = asked.select("query_id").schema.add("doc_id", index.postings.schema["doc_id"].dataType).add("score", "double")
     kind, n = from_arrow(docs, "doc_id"), len(ids_of)
-    share = max(1, 1_000_000 // max(n, 1))
+    share = max(1, 100_000 // max(n, 1))  # documents at a time
 
     def rows_of(at, ids, scores):
         return pa.RecordBatch.from_arrays([ids_of.take(pa.array(at)), ids, pa.array(scores)], names=["query_id", "doc_id", "score"])
@@ -170,8 +170,9 @@ def _local_best(index: Index, asked: DataFrame, k: int, formula: str, k1: float
 
 
 def search(index: Index, queries: DataFrame, k: int = 3, formula: str = "lucene", min_score: float | None = None, **names) -> DataFrame:
-    asked, few = _asked(index, queries, **names)
-    found = _local_best(index, asked, k, formula) if few and k > 0 else scores(index, queries, formula, **names)
+    weighed = {n: names[n] for n in ("k1", "b") if n in names}
+    asked, few = _asked(index, queries, **{n: v for n, v in names.items() if n not in weighed})
+    found = _local_best(index, asked, k, formula, **weighed) if few and k > 0 else scores(index, queries, formula, **names)
     return ranked(found if min_score is None else found.where(F.col("score") > min_score), k)
 
 
