@@ -9,9 +9,12 @@ fingerprints propose, are verified on the whole sets.
 * The order puts shingles that a sample of the sets shows to be common last, so a line that many texts share is
   looked up only by texts made of such lines.  The sample changes the cost and never the result.
 * Pairs whose sizes, or places in the order, rule out 0.8 are not verified.
-* A shingle that more than ``HOT_BUCKET`` sets look up is first compared with ``LEADERS`` of them.  What those links
-  join is one component; then every set outside the largest component of the shingle is compared with all sets of
-  other components.  Pairs within a component need no link, so all links that matter are there.
+* A shingle that more than ``HOT_BUCKET`` sets look up is first compared with some of them: ``CENTRAL`` with the most such
+  shingles for their size, as the text has that others are edited from, and ``LEADERS`` by hash.  What those links join is
+  one component; then every set outside the largest component of the shingle is compared with all sets of other
+  components.  Pairs within a component need no link, so all links that matter are there.
+* That last comparison makes pairs only of sets whose sketches allow the similarity.  A sketch is the parity of the set's
+  hashes in each of ``SKETCH`` cells; where two sketches differ, a hash is in one set only, so no pair that is alike is lost.
 
 Equal sets are one node from the start, so copies never multiply.  A task holds ``PART_BYTES`` of text or the longest text.
 
@@ -40,7 +43,9 @@ FOUR_FIFTHS = Fraction(4, 5)
 #: 1 / SAMPLE of the sets is counted for the order; a shingle in COMMON of them comes late.  At most MOST shingles do.
 SAMPLE, COMMON, MOST = 8, 3, 200_000
 HOT_BUCKET = 16
-LEADERS = 8
+LEADERS, CENTRAL = 8, 2
+#: Cells of a sketch, a multiple of 64.
+SKETCH = 1024
 #: Of text at a time; a longer text is a part of its own.
 PART_BYTES = 4 << 20
 _FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -83,6 +88,12 @@ def prefix_length(n: int, similarity: Fraction = FOUR_FIFTHS) -> int:
     return n - ceil(similarity * n) + 1 if n else 0
 
 
+def sketch_of(shingles: np.ndarray) -> np.ndarray:
+    """The parities of how many hashes of a set fall into each cell, as signed words of 64 cells."""
+    odd = np.bincount((shingles % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) % 2
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def named(rows: DataFrame, width: int) -> DataFrame:
     """The columns of ``rows(.., text)`` but the text, with the name and the fingerprint of its set."""
     keys = [c for c in rows.columns if c != "text"]
@@ -246,6 +257,28 @@ def _likely(met: DataFrame, hot: DataFrame, similarity: Fraction) -> DataFrame:
     return both.where(_alike(most, F.col("na") + F.col("nb"), similarity)).select("a", "b")
 
 
+def _sketches(texts: DataFrame, width: int) -> DataFrame:
+    """(node, s0, s1, ..): the sketches of the texts' sets."""
+    words = [f"s{i}" for i in range(SKETCH // 64)]
+
+    def work(batches):
+        for batch in batches:
+            for start, stop in slices(batch.column(0), PART_BYTES):
+                sets = (shingle_set(t.as_py(), width) for t in texts_of(batch.column(0).slice(start, stop - start)))
+                rows = np.array([(node_of(x), *sketch_of(x)) for x in sets], np.int64).reshape(-1, 1 + len(words))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows.T], names=["node", *words])
+                give_back_memory()
+
+    return texts.select("text").mapInArrow(work, ", ".join(f"{c} long" for c in ("node", *words))).dropDuplicates(["node"])
+
+
+def _sketches_allow(similarity: Fraction) -> Column:
+    """Of the sets x and y: as many hashes as cells differ are in one of them only, so the rest of both bounds what they share."""
+    differ = sum((F.bit_count(F.col(f"s{i}_x").bitwiseXOR(F.col(f"s{i}_y"))) for i in range(1, SKETCH // 64)), F.bit_count(F.col("s0_x").bitwiseXOR(F.col("s0_y"))))
+    sizes = F.col("n_x") + F.col("n_y")
+    return _alike(sizes - differ, 2 * sizes, similarity)
+
+
 def _verified(pairs: DataFrame, texts_of_nodes, width: int, similarity: Fraction) -> DataFrame:
     """The pairs whose whole sets have that much of their union in common."""
 
@@ -275,13 +308,22 @@ def links(texts: DataFrame, texts_of_nodes, proposed: DataFrame, width: int = WI
     pairs = _likely(met.where(F.col("token").isNull()), hot, least).union(proposed.select("a", "b"))
     if hot.isEmpty():
         return _verified(stored(pairs.distinct(), "jaccard-pairs"), texts_of_nodes, width, least)
-    # the least of several hashes each
-    found = hot.groupBy("token").agg(F.array_distinct(F.array(*[F.min(F.struct(F.xxhash64("node", F.lit(s)).alias("h"), "node", "n", "pos")).getField("node") for s in range(LEADERS)])).alias("nodes"))
+    # the most hot shingles for their size, and the least of several hashes each
+    share = hot.join(hot.groupBy("node").agg((F.count(F.lit(1)) / F.first("n")).alias("share")), "node")
+    by = [F.struct((-F.col("share")).alias("share"), F.xxhash64("node", F.lit(s)).alias("h"), "node") for s in range(CENTRAL)] + [F.struct(F.xxhash64("node", F.lit(s)).alias("h"), "node") for s in range(LEADERS)]
+    found = share.groupBy("token").agg(F.array_distinct(F.array(*[F.min(b).getField("node") for b in by])).alias("nodes"))
     leaders = found.select("token", F.explode("nodes").alias("node")).join(hot, ["token", "node"])
     pairs = stored(pairs.union(_pairs(leaders, hot, least)).distinct(), "jaccard-pairs")
     edges = stored(_verified(pairs, texts_of_nodes, width, least), "jaccard-edges")
     placed = stored(hot.join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node")), "jaccard-hot")
     largest = placed.groupBy("token", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("token").agg(F.max_by("root", F.struct("c", "root")).alias("top"))
-    outside = placed.join(largest, "token").where("root <> top").drop("top")
-    rest = stored(_pairs(outside, placed, least, F.col("root_x") != F.col("root_y")).join(pairs, ["a", "b"], "left_anti"), "jaccard-rest")
+    placed = placed.join(largest, "token").withColumn("out", F.col("root") != F.col("top")).drop("top")
+    outside = placed.where("out")
+    if outside.isEmpty():
+        return edges
+    apart = placed.join(outside.select("token").distinct(), "token", "left_semi")
+    sketches = stored(_sketches(texts_of_nodes(apart.select("node").distinct()), width), "jaccard-sketches")
+    apart = stored(apart.join(sketches, "node"), "jaccard-apart")
+    once = ~F.col("out_y") | (F.col("node_x") < F.col("node_y"))
+    rest = stored(_pairs(apart.where("out"), apart, least, F.col("root_x") != F.col("root_y"), once, _sketches_allow(least)).join(pairs, ["a", "b"], "left_anti"), "jaccard-rest")
     return edges if rest.isEmpty() else edges.unionByName(_verified(rest, texts_of_nodes, width, least))

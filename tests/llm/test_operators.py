@@ -603,6 +603,52 @@ def test_jaccard_components_against_all_pairs(spark, docs, odd, hot):
     assert simhash.keep_first(odd).columns == odd.columns and simhash.keep_first(empty(odd)).count() == 0
 
 
+def test_near_copies_of_one_text_are_not_all_paired(spark, monkeypatch):
+    """Copies that are alike with their source but not with each other: pairs grow with the group, not with its square."""
+    rng = random.Random(8)
+    source = [f"w{i}" for i in range(300)]
+    rows = [(0, " ".join(source))]
+    for i in range(1, 400):
+        own = list(source)
+        for at in rng.sample(range(0, 300, 10), 6):
+            own[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(own)))
+    sizes = {}
+    plain = jaccard.stored
+
+    def counted(df, tag):
+        out = plain(df, tag)
+        sizes[tag] = max(sizes.get(tag, 0), out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    got = {r["doc_id"] for r in simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = {i: frozenset(jaccard.shingle_set(t).tolist()) for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if a < b and 5 * (both := len(sets[a] & sets[b])) >= 4 * (len(sets[a]) + len(sets[b]) - both):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    assert got == {find(i) for i in sets}
+    assert sizes.get("jaccard-pairs", 0) < 20 * len(rows) and sizes.get("jaccard-rest", 0) < 5 * len(rows)
+
+
+def test_sketches_lose_no_pair():
+    rng = np.random.default_rng(5)
+    for n in (1, 3, 40, 600, 5000):
+        for share in (0.0, 0.05, 0.1, 0.3):
+            x = rng.integers(0, 1 << 63, n).astype(np.uint64)
+            y = np.append(x[int(share * n) :], rng.integers(0, 1 << 63, int(share * n)).astype(np.uint64))
+            differ = int(np.bitwise_count((jaccard.sketch_of(x) ^ jaccard.sketch_of(y)).view(np.uint64)).sum())
+            assert differ <= len(np.setxor1d(x, y))
+
+
 def test_keep_first_tells_rows_apart(spark):
     """Rows that share an id but not a text stay; of copies one stays, whatever their ids; null ids come last."""
     one, two, three = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
