@@ -31,8 +31,11 @@ def _hits(c: Column, patterns) -> Column:
 
 def text_checks(c: Column, repetition: bool = True) -> Column:
     """Counts of each kind of fault; repeats need back-references, which not every engine has."""
-    t = F.coalesce(c, F.lit(""))
-    return F.struct(_hits(t, ENCODING).alias("encoding"), _hits(t, METADATA).alias("metadata"), (_hits(t, REPETITION) if repetition else F.lit(0)).alias("repetition"), _hits(t, WHITESPACE).alias("whitespace"), (F.length(strip(t)) < 10).alias("truncated"))
+
+    def checks(t: Column) -> Column:
+        return F.struct(_hits(t, ENCODING).alias("encoding"), _hits(t, METADATA).alias("metadata"), (_hits(t, REPETITION) if repetition else F.lit(0)).alias("repetition"), _hits(t, WHITESPACE).alias("whitespace"), (F.length(strip(t)) < 10).alias("truncated"))
+
+    return let(F.coalesce(c, F.lit("")), checks)
 
 
 def text_score(checks: Column) -> Column:
@@ -55,8 +58,8 @@ def relevance(answer: Column, question: Column, context: Column | None = None) -
     share = F.when(F.size(keys) == 0, 0.5).otherwise(F.size(F.filter(keys, lambda k: F.contains(answer, k))) / F.size(keys))
     if context is None:
         return share
-    a, b = F.array_distinct(F.split(F.lower(answer), r"\s+")), F.array_distinct(F.split(F.lower(context), r"\s+"))
-    return (share + F.size(F.array_intersect(a, b)) / F.greatest(F.size(F.array_union(a, b)), F.lit(1))) / 2
+    words = F.struct(*[F.array_distinct(F.split(F.lower(c), r"\s+")).alias(n) for n, c in (("a", answer), ("b", context))])
+    return (share + let(words, lambda w: F.size(F.array_intersect(w["a"], w["b"])) / F.greatest(F.size(F.array_union(w["a"], w["b"])), F.lit(1)))) / 2
 
 
 def answer_issues(answer: Column, question: Column, kind: Column, context: Column | None = None) -> Column:
@@ -99,16 +102,21 @@ def answer_score(issues: Column) -> Column:
 def mean_text_score(texts: Column, first: int) -> Column:
     """The mean score of the first texts of a list; null for an empty one."""
     scores = F.transform(F.slice(texts, 1, first), lambda t: text_score(text_checks(t)))
-    return F.try_divide(F.aggregate(scores, F.lit(0.0), lambda a, s: a + s), F.size(scores))
+    return let(scores, lambda own: F.try_divide(F.aggregate(own, F.lit(0.0), lambda a, s: a + s), F.size(own)))
 
 
 def pipeline_report(input_text: Column, processed: Column, chunks: Column, contexts: Column, answer: Column, question: Column, kind: Column) -> Column:
     """(score, level, passed, issues, stages): a blank text and an empty list leave their stage out, which counts 0."""
     blank = F.array().cast("array<string>")
-    judge = lambda t: F.when(F.coalesce(t, F.lit("")) != "", let(text_checks(t), lambda c: F.struct(text_score(c).alias("score"), text_issues(c).alias("issues"))))
-    none = F.size(F.coalesce(contexts, blank)) == 0
-    found = F.when(none, answer_issues(answer, question, kind)).otherwise(answer_issues(answer, question, kind, F.array_join(contexts, "\n")))
-    facts = F.struct(judge(input_text).alias("input"), judge(processed).alias("processed"), found.alias("answer"), mean_text_score(chunks, 5).alias("chunks"), mean_text_score(contexts, 3).alias("contexts"))
+    judge = lambda t: F.when(t != "", let(text_checks(t), lambda c: F.struct(text_score(c).alias("score"), text_issues(c).alias("issues"))))
+    once = lambda c: let(F.coalesce(c, F.lit("")), judge)
+
+    def of_contexts(own: Column) -> Column:
+        none = F.size(F.coalesce(own, blank)) == 0
+        found = F.when(none, answer_issues(answer, question, kind)).otherwise(let(F.array_join(own, "\n"), lambda text: answer_issues(answer, question, kind, text)))
+        return F.struct(once(input_text).alias("input"), once(processed).alias("processed"), found.alias("answer"), mean_text_score(chunks, 5).alias("chunks"), mean_text_score(own, 3).alias("contexts"))
+
+    facts = let(contexts, of_contexts)
 
     def report(f: Column) -> Column:
         stages = {"input": f["input"]["score"], "processed": f["processed"]["score"], "chunks": f["chunks"], "contexts": f["contexts"], "answer": answer_score(f["answer"])}
