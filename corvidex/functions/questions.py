@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -124,11 +127,14 @@ def max_choice(q: Column) -> Column:
 
 
 def _first_match(q: Column, table: dict, default: str) -> Column:
-    out = None
-    for name, words in table.items():
-        test = F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(q, w))
-        out = F.when(test, name) if out is None else out.when(test, name)
-    return out.otherwise(default)
+    def first(t: Column) -> Column:
+        out = None
+        for name, words in table.items():
+            test = reduce(or_, [F.contains(t, F.lit(w)) for w in words])
+            out = F.when(test, name) if out is None else out.when(test, name)
+        return out.otherwise(default)
+
+    return let(q, first)
 
 
 def question_type(q: Column) -> Column:
