@@ -20,11 +20,24 @@ from corvidex.llm._spark import stored
 
 #: A document of two languages in equal parts still passes.
 LEAST_LANGUAGE = 0.4
+#: Bytes of a batch between an executor's JVM, which holds it outside its heap, and a Python worker; a longer row is a batch of its own.
+BATCH_BYTES = 2 << 20
+#: Text that a packing worker works on at a time and words whose ids it holds: it runs beside JVMs that four stages have filled.
+PACK_BYTES, PACK_WORDS = 1 << 20, 100_000
 ORACLE_SQL = None
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Batches of rows are bounded by their bytes from here on, in this session: texts differ too much in length for a bound by rows.
+
+    Not undone after a stage, as its rows are made when whoever asked for them writes them; no result depends on it.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Null, empty and letterless texts go; an empty table, or one without any ``lang`` to learn from, gives no rows."""
+    small_batches(spark)
     names = docs.columns
     # trained outside fold 0 of this very input
     found = langid.identify(docs.withColumnsRenamed({c: f"in_{c}" for c in names}), langid.train_langid(docs), "in_doc_id", "in_text", keep=tuple(f"in_{c}" for c in names))
@@ -40,6 +53,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies one document stays, that of the smallest id.  Rows that share an id but not a text are
     documents of their own; repeated rows are copies; a document without an id stays only if no other of its group has one."""
+    small_batches(spark)
     return simhash.keep_first(docs, width=5, similarity=0.8)
 
 
@@ -54,7 +68,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece; a null or empty text is one piece of the closing id."""
-    packed = packing.pack(docs, queries._vocabulary("word_bpe_49k.json"), keep_words=False)
+    small_batches(spark)
+    packed = packing.pack(docs, queries._vocabulary("word_bpe_49k.json"), keep_words=False, slice_bytes=PACK_BYTES, most_words=PACK_WORDS)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

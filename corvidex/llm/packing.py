@@ -37,6 +37,8 @@ from corvidex.llm._words import ranges, slices, texts_of, word_table
 FAN_IN = 64
 #: Bytes of text whose words a worker holds at a time.
 SLICE = 3 << 20
+#: Words whose ids a worker keeps.
+MOST_WORDS = 250_000
 #: Words whose ids are gathered at a time.
 GATHER = 1 << 18
 _loaded: dict = {}
@@ -49,6 +51,7 @@ def tokenizer(path: str):
         from tokenizers import Tokenizer
 
         _loaded[path] = Tokenizer.from_file(path)
+        give_back_memory()  # what reading the file took
     return _loaded[path]
 
 
@@ -83,7 +86,7 @@ class WordIds:
     Word i has the ids ``flat[starts[i]:starts[i + 1]]``; the arrays double as they fill.
     """
 
-    def __init__(self, path: str, most: int = 250_000, chunk: int = 4096):
+    def __init__(self, path: str, most: int = MOST_WORDS, chunk: int = 4096):
         self.encoder, self.most, self.chunk = tokenizer(path), most, chunk
         size = self.encoder.get_vocab_size()
         self.ends = np.fromiter((self.encoder.id_to_token(i).endswith("</w>") for i in range(size)), bool, size)
@@ -162,14 +165,14 @@ def _grown(held: np.ndarray, size: int) -> np.ndarray:
 _words: dict[str, WordIds] = {}
 
 
-def encoded(path: str, texts: pa.Array):
+def encoded(path: str, texts: pa.Array, most_words: int = MOST_WORDS):
     """Yields (first text, ids of the texts from it on, ids in each of them): all texts in order, some at a time.
 
     The tokenizer drops white space and never joins over it, so words can be encoded one by one.
     """
     offsets, codes, words = word_table(texts)
     if path not in _words:
-        _words[path] = WordIds(path)
+        _words[path] = WordIds(path, most_words)
     held = _words[path]
     # the distinct words' ids first, then gathers of them
     two = np.stack(held.rows(words), axis=1).ravel()
@@ -238,14 +241,14 @@ class OpenBins:
         return [(name, self.capacity - space) for space, own in sorted(self.by_space.items()) for name in own]
 
 
-def _pieces(path: str, capacity: int, open_bins: int, close: int, with_ids: bool, keep_words: bool = True):
+def _pieces(path: str, capacity: int, open_bins: int, close: int, with_ids: bool, keep_words: bool = True, slice_bytes: int = SLICE, most_words: int = MOST_WORDS):
     def work(batches):
         task = TaskContext.get().partitionId() << 40
         bins = OpenBins(capacity, open_bins, task)
         for batch in batches:
             column = batch.column(1)
-            for lo, hi in slices(column, SLICE):
-                for first, ids, lengths in encoded(path, texts_of(column.slice(lo, hi - lo))):
+            for lo, hi in slices(column, slice_bytes):
+                for first, ids, lengths in encoded(path, texts_of(column.slice(lo, hi - lo)), most_words):
                     closed = np.insert(ids, np.cumsum(lengths), close).astype("<u4")
                     rows: list[tuple] = []
                     at = 0
@@ -295,14 +298,15 @@ def _join_bins(capacity: int, open_bins: int):
     return work
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, close: int = 1, open_bins: int = 256, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, keep_words: bool = True) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, close: int = 1, open_bins: int = 256, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, keep_words: bool = True, slice_bytes: int = SLICE, most_words: int = MOST_WORDS) -> DataFrame:
     """(id, piece, start, length, ids_crc32, ids, sequence_id, offset): one row per piece; ``ids`` only if asked for.
 
     With ``keep_words`` a worker keeps its tokenizer and word table for its next task; without, it gives their memory back.
+    ``slice_bytes`` of text are worked on at a time and ids of ``most_words`` words held; less of both takes less memory and more time.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     schema = "id long, piece int, start long, length long, ids_crc32 long, bin long, offset long, ids array<long>, open boolean"
-    placed = stored(rows.mapInArrow(_pieces(tokenizer_path, capacity, open_bins, close, with_ids, keep_words), schema), "pack-pieces")
+    placed = stored(rows.mapInArrow(_pieces(tokenizer_path, capacity, open_bins, close, with_ids, keep_words, slice_bytes, most_words), schema), "pack-pieces")
     places = join_open_bins(placed.where("open").select("bin", F.col("length").alias("held")), capacity, open_bins)
     out = placed.where("NOT open").join(places, "bin", "left")
     return out.select(F.col("id").alias(id_col), "piece", "start", "length", "ids_crc32", "ids", F.coalesce("into", "bin").alias("sequence_id"), (F.col("offset") + F.coalesce("shift", F.lit(0))).alias("offset"))
