@@ -160,3 +160,21 @@ def test_a_question_is_lower_case_once(spark):
 
     plan = spark.createDataFrame([("a",)], "t string").select(questions.question_type(F.col("t")).alias("r"))._jdf.queryExecution().analyzed().toString()
     assert plan.count("lower(") == 1
+
+
+def test_kept_tables_are_built_from_batches_of_few_bytes(spark, tmp_path):
+    import pyarrow as pa
+
+    from corvidex.sources import store
+
+    path = str(tmp_path / "long.parquet")
+    spark.range(900).repartition(1).select("id", F.repeat(F.lit("x"), 10_000).alias("text")).write.parquet(path)
+    docs = spark.read.parquet(path)
+
+    @F.arrow_udf("long")
+    def held(texts: pa.Array) -> pa.Array:
+        return pa.array([texts.nbytes] * len(texts))
+
+    got = store.kept(docs, "batches", lambda: docs.select("id", held("text").alias("n")))
+    assert got.count() == 900 and got.agg(F.max("n")).first()[0] < 2 * store.BATCH_BYTES
+    assert spark.conf.get(store.ARROW_BYTES, None) is None  # as before
