@@ -317,7 +317,7 @@ def links(texts: DataFrame, texts_of_nodes, proposed: DataFrame, width: int = WI
     edges = stored(_verified(pairs, texts_of_nodes, width, least), "jaccard-edges")
     placed = stored(hot.join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node")), "jaccard-hot")
     largest = placed.groupBy("token", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("token").agg(F.max_by("root", F.struct("c", "root")).alias("top"))
-    placed = placed.join(largest, "token").withColumn("out", F.col("root") != F.col("top")).drop("top")
+    placed = stored(placed.join(largest, "token").withColumn("out", F.col("root") != F.col("top")).drop("top"), "jaccard-placed")
     outside = placed.where("out")
     if outside.isEmpty():
         return edges

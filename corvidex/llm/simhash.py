@@ -266,7 +266,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     low = lambda c, name: by_fp.select(F.col("fp").alias(c), F.col("low").alias(name))
     proposed = met.join(low("a", "x"), "a").join(low("b", "y"), "b").select("x", "y").union(nodes.join(by_fp, "fp").where("node <> low").select("low", "node"))
     proposed = stored(proposed.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), "near-proposed")
-    one_each = lambda nodes: _rows_of(rows, reps.join(nodes, "node", "left_semi").select("h1", "h2"), "left_semi")
+    one_each = lambda nodes: _rows_of(rows, stored(reps.join(nodes, "node", "left_semi").select("h1", "h2"), "near-keys"), "left_semi")
     edges = jaccard.links(_rows_of(rows, copies, "left_anti"), one_each, proposed, width, similarity)
     rooted = nodes.join(components(edges), "node", "left").select("key", F.coalesce("root", "node").alias("root"))
     # within a group all but the row of the smallest key go
@@ -279,7 +279,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def _rows_of(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-    """``rows`` with (``left_semi``) or without (``left_anti``) those whose hashes are in ``keys(h1, h2)``; up to
+    """``rows`` with (``left_semi``) or without (``left_anti``) those whose hashes are in the stored ``keys(h1, h2)``; up to
     ``BROADCAST_KEYS`` keys of sixteen bytes are sent to every task, more meet the rows in a shuffle."""
     few = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
     return rows.join(F.broadcast(keys) if few else keys, ["h1", "h2"], how)
