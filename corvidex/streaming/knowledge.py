@@ -144,7 +144,7 @@ class KnowledgeBase:
         at = f"{self.folder.path}/segments/{segment}"
         for name in ("documents", "postings", "vectors"):
             rows = now._live(name, self.types[name])
-            rows = rows.repartitionByRange("term").sortWithinPartitions("term") if name == "postings" else rows
+            rows = rows.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id") if name == "postings" else rows
             rows.write.parquet(f"{at}/{name}")
         self.spark.createDataFrame([], self.types["tombstones"]).write.parquet(f"{at}/tombstones")
         return versions.switch(self.folder, now.number, {"segments": [segment], "batches": now.batches})

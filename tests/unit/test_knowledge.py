@@ -131,3 +131,16 @@ def test_retriever_takes_weights_and_refreshes(spark, tmp_path):
     assert 5 not in old and 5 in new and 4 not in new
     ranked = knowledge.Retriever(base, rerank=lambda query, text: F.length(text).cast("double")).search(q, 1)
     assert {r["doc_id"] for r in ranked.where("query_id = 0").collect()} == {2}
+
+
+def test_the_queries_search_one_segment(spark):
+    """The registered queries' last batch merges the three segments before it, with what their tombstones hide gone."""
+    from corvidex.plans import retrieval
+
+    snapshot = retrieval._batches(spark, "/root/testdata/sf0.001")
+    assert len(snapshot.segments) == 1 and snapshot._all("tombstones", "doc_id long").count() == 0
+    assert [r["segments"] for r in snapshot.base.history().orderBy("snapshot").collect()] == [1, 2, 3, 1]
+    stored, live = snapshot._all("postings", snapshot.base.types["postings"]), snapshot.documents()
+    assert live.where("doc_id % 7 = 0").count() == 0 and live.where("doc_id % 5 = 0 AND NOT endswith(text, ' revised edition')").count() == 0
+    # nothing is stored but the live documents' own postings
+    assert stored.drop("segment").exceptAll(bm25.postings_of(live)).count() == 0 == bm25.postings_of(live).exceptAll(stored.drop("segment")).count()
