@@ -78,27 +78,36 @@ def boundaries(sections: DataFrame, width: int = 300, mark: str = "[섹션 경
 
 
 def hybrid(docs: DataFrame, size: int = 2300, overlap: int = 200, width: int = 300, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Cleaned chunks of h1 and h2 sections, and uncleaned boundary chunks between sections."""
-    sections = slices.each(TEXTS, lambda t: [s for _, s in splitting.markdown_sections(t or "", levels=2)])
-    split = slices.each(TEXTS, lambda t: splitting.split_kept(t, size, overlap))
-    parts = docs.select(F.col(id_col).alias("source_id"), doc_key(F.col(text_col), 500).alias("doc_key"), F.posexplode_outer(sections(merge_pages(F.col(text_col)))).alias("section_index", "content")).where(F.col("section_index").isNotNull())
-    regular = parts.select("source_id", "doc_key", F.col("section_index").cast("string").alias("section"), F.col("section_index").alias("__at"), F.posexplode_outer(split("content")).alias("__n", "content")).where(F.col("__n").isNotNull())
-    regular = regular.withColumn("content", clean_chunk(F.col("content"), normalise=False)).where(F.col("content").isNotNull()).withColumn("is_boundary", F.lit(False))
-    edge = boundaries(parts, width).select("source_id", "doc_key", F.concat_ws("-", "from_section", "to_section").alias("section"), F.col("to_section").alias("__at"), F.lit(-1).alias("__n"), "content", F.lit(True).alias("is_boundary"))
-    both = regular.unionByName(edge)
-    w = Window.partitionBy("source_id", "doc_key")
-    both = both.withColumn("chunk_index", F.row_number().over(w.orderBy("__at", "__n")) - 1).withColumn("total_chunks", F.count(F.lit(1)).over(w))
-    return both.withColumn("chunk_id", chunk_key(F.col("doc_key"), F.col("chunk_index"), F.col("content"), 100)).drop("__at", "__n")
+    """Cleaned chunks of h1 and h2 sections, and uncleaned boundary chunks between sections.
+
+    Each row is a document, also where rows share an id; it is cut, cleaned and numbered in one go, so nothing is shuffled.
+    """
+    between = f"{RULE}[섹션 경계]{RULE}"
+    names = ("section", "is_boundary", "content")
+    kind = T.ArrayType(T.StructType([T.StructField(n, T.BooleanType() if n == "is_boundary" else T.StringType()) for n in names]))
+    pieces = slices.each(kind, lambda t: [dict(zip(names, p, strict=True)) for p in splitting.hybrid_pieces(t or "", size, overlap, width, between)])
+    rows = docs.select(F.col(id_col).alias("source_id"), doc_key(F.col(text_col), 500).alias("doc_key"), pieces(F.col(text_col)).alias("pieces"))
+    rows = rows.select("source_id", "doc_key", F.size("pieces").cast("long").alias("total_chunks"), F.posexplode_outer("pieces").alias("chunk_index", "p")).where(F.col("chunk_index").isNotNull())
+    rows = rows.select("source_id", "doc_key", *[F.col(f"p.{n}").alias(n) for n in names], "chunk_index", "total_chunks")
+    return rows.withColumn("chunk_id", chunk_key(F.col("doc_key"), F.col("chunk_index"), F.col("content"), 100))
+
+
+def _segments(percentile: float):
+    kind = T.ArrayType(T.StructType([T.StructField("content", T.StringType()), T.StructField("sentences", T.LongType())]))
+    return slices.each(kind, lambda t: None if t is None else splitting.segments(t, percentile))
 
 
 def semantic(docs: DataFrame, embed: Column | None = None, percentile: float = 0.95, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Sentences joined into segments that break where neighbouring vectors differ most.
 
-    ``embed`` maps the column ``sentence`` to a unit vector; the offline default is a bucket vector.
+    ``embed`` maps the column ``sentence`` to a unit vector; the offline default is a bucket vector, with which a row is
+    cut by itself and nothing is shuffled.
     """
-    from corvidex.functions.tokenize import bucket_vector, dot, simple
+    from corvidex.functions.tokenize import dot
 
-    embed = bucket_vector(simple(F.col("sentence"))) if embed is None else embed
+    if embed is None:
+        rows = docs.select(F.col(id_col).alias("source_id"), F.posexplode_outer(_segments(percentile)(F.col(text_col))).alias("segment", "s")).where(F.col("segment").isNotNull())
+        return rows.select("source_id", F.col("segment").cast("long").alias("segment"), "s.content", "s.sentences")
     rows = docs.select(F.col(id_col).alias("source_id"), F.posexplode(F.split(text_col, r"(?<=[.!?])\s+")).alias("i", "sentence")).withColumn("v", embed)
     w = Window.partitionBy("source_id").orderBy("i")
     rows = rows.withColumn("d", 1 - dot(F.col("v"), F.lag("v").over(w)))
@@ -180,16 +189,14 @@ def paragraphs(docs: DataFrame, size: int = 1000, id_col: str = "doc_id", text_c
     return rows.select("source_id", F.posexplode_outer("parts").alias("chunk_index", "content")).where(F.col("chunk_index").isNotNull())
 
 
-def enhance(chunks: DataFrame, selective: bool = True, least: int = 400, id_col: str = "chunk_id") -> DataFrame:
+def enhance(chunks: DataFrame, selective: bool = True, least: int = 400) -> DataFrame:
     """Chunks cut again where their sentences part in meaning, with ``semantic_enhanced``; if ``selective``, only long prose is cut.
 
-    Parts keep the columns of their chunk and are numbered ``segment``.  Copies of a document have chunks of one ``chunk_id``; where
-    chunks name their source and place, each of them is cut by itself.
+    Parts keep the columns of their chunk and are numbered ``segment``.  Each row is cut by itself, whatever ids it shares with others.
     """
     flag = F.coalesce(F.col("semantic_enhanced"), F.lit(False)) if "semantic_enhanced" in chunks.columns else F.lit(False)
     wanted = eligible_for_semantic(F.col("content"), flag) if selective else F.length("content") >= least
-    keys = [id_col, *(c for c in ("source_id", "doc_key", "chunk_index") if c in chunks.columns and c != id_col)]
-    rows = chunks.drop("semantic_enhanced").withColumn("__key", F.struct(*keys))
-    cut = semantic(chunks.withColumn("__key", F.struct(*keys)).where(wanted), id_col="__key", text_col="content").select(F.col("source_id").alias("__key"), "segment", F.col("content").alias("__part"))
-    rows = rows.join(cut, "__key", "left").drop("__key")
-    return rows.withColumn("content", F.coalesce("__part", "content")).withColumn("semantic_enhanced", F.col("__part").isNotNull()).withColumn("segment", F.coalesce("segment", F.lit(0).cast("long"))).drop("__part")
+    rows = chunks.select("*", _segments(0.95)(F.when(wanted, F.col("content"))).alias("__parts")).drop("semantic_enhanced")
+    rows = rows.select("*", F.posexplode_outer("__parts").alias("__at", "__part")).drop("__parts")
+    rows = rows.withColumn("content", F.coalesce("__part.content", "content")).withColumn("semantic_enhanced", F.col("__part").isNotNull())
+    return rows.withColumn("segment", F.coalesce(F.col("__at").cast("long"), F.lit(0).cast("long"))).drop("__at", "__part")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corvidex.functions import prompts, questions, text
 from corvidex.operators import analytics, chunking, quality, reports, sampling, similar
-from corvidex.plans.base import WS, documents, strip, table
+from corvidex.plans.base import WS, documents, spread, strip, table
 from corvidex.sources import files, html
 
 QUERIES, SQL = {}, {}
@@ -239,12 +239,12 @@ def hierarchical_chunks(spark, d):
 
 @query()
 def hybrid_chunks(spark, d):
-    return chunking.hybrid(documents(spark, d)).select("source_id", "chunk_id", "chunk_index", "total_chunks", "section", "is_boundary", F.md5("content").alias("content"))
+    return chunking.hybrid(spread(documents(spark, d))).select("source_id", "chunk_id", "chunk_index", "total_chunks", "section", "is_boundary", F.md5("content").alias("content"))
 
 
 @query()
 def semantic_segments(spark, d):
-    return chunking.semantic(documents(spark, d)).select("source_id", "segment", "sentences", F.md5("content").alias("content"))
+    return chunking.semantic(spread(documents(spark, d))).select("source_id", "segment", "sentences", F.md5("content").alias("content"))
 
 
 _BUCKET = "CASE WHEN length(text) < 500 THEN 'short' WHEN length(text) < 1500 THEN 'medium' ELSE 'long' END"

@@ -12,7 +12,7 @@ from corvidex.functions.tokenize import simple, technical_terms
 from corvidex.operators import analytics, bm25, chunking, fusion, order, quality, rerank, reports, retrieve, sampling
 from corvidex.operators import vectors as stores
 from corvidex.plans import retrieval
-from corvidex.plans.base import bm25_sql, close, documents, index, quoted, ranked_sql, sparse, strip, table, tokens, vector_sql, vectors
+from corvidex.plans.base import bm25_sql, close, documents, index, quoted, ranked_sql, sparse, spread, strip, table, tokens, vector_sql, vectors
 from corvidex.plans.base import questions as asked
 from corvidex.plans.corpus import _clean_sql
 from corvidex.sources.store import kept, shared_folder
@@ -244,7 +244,7 @@ def paragraph_chunks(spark, d):
 
 
 def _enhanced(spark, d):
-    chunks = kept(documents(spark, d), "chunks-2300", lambda: chunking.hybrid(documents(spark, d)))
+    chunks = kept(documents(spark, d), "chunks-2300", lambda: chunking.hybrid(spread(documents(spark, d))))
     return chunks, kept(documents(spark, d), "chunks-2300-cut", lambda: chunking.enhance(chunks))
 
 
